@@ -45,7 +45,7 @@ def arrow_schema(spark, ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    return to_arrow_schema(StructType.fromDDL(ddl), timezone="UTC")
+    return to_arrow_schema(StructType.fromDDL(ddl))
 
 
 _M = (1 << 64) - 1

@@ -6,7 +6,7 @@ import os
 
 import public_tokenizers
 
-from logspark.llm import bpe
+from logspark.llm import bpe, decontaminate, secrets
 
 VOCABULARY = os.environ.get("BPE_VOCABULARY") or public_tokenizers.path("word_bpe_49k.json")
 
@@ -19,5 +19,14 @@ def op1_bpe(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe,)}
+def op3_decontaminate(spark, sf_dir):
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans")
+
+
+def op10_secrets(spark, sf_dir):
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op3_decontaminate, op10_secrets)}
 ORACLE: dict[str, str] = {}
