@@ -6,7 +6,7 @@ import os
 
 import public_tokenizers
 
-from logspark.llm import bpe, decontaminate, quality, secrets
+from logspark.llm import bpe, decontaminate, minhash, quality, secrets
 
 VOCABULARY = os.environ.get("BPE_VOCABULARY") or public_tokenizers.path("word_bpe_49k.json")
 
@@ -19,6 +19,10 @@ def op1_bpe(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op2_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
 def op3_decontaminate(spark, sf_dir):
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans")
@@ -33,5 +37,5 @@ def op10_secrets(spark, sf_dir):
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_decontaminate, op9_quality, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_minhash, op3_decontaminate, op9_quality, op10_secrets)}
 ORACLE: dict[str, str] = {}
