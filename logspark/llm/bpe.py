@@ -15,6 +15,7 @@ import hashlib
 import json
 import unicodedata
 from functools import lru_cache
+from struct import pack, unpack
 
 import regex
 from pyspark.sql import DataFrame
@@ -22,8 +23,8 @@ from pyspark.sql import DataFrame
 from logspark.llm.common import id_text, map_rows
 
 NONE = 1 << 40
-#: Most words whose encoding a Python worker remembers; beyond it the memory starts anew.
-CACHE = 200_000
+#: Most words, and most pre-tokens, in a generation of what a Python worker remembers; it holds two generations.
+CACHE = 250_000
 SPACES = "\t\n\x0b\x0c\r\x85\xa0                　"
 
 
@@ -57,6 +58,25 @@ class MergeTree:
         return i - self.n
 
 
+class Memory:
+    """A bounded memory: entries that were used in the last generation live on in the next one."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def get(self, key):
+        """From the older generation only; callers look in new first."""
+        if (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.size:
+            self.old = self.new.copy()
+            self.new.clear()  # callers hold on to this dict's get
+        self.new[key] = value
+
+
 class Bpe:
     """A byte-level BPE vocabulary with word ends, read from a tokenizer JSON file."""
 
@@ -69,79 +89,78 @@ class Bpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.pairs = {(self.vocab[a], self.vocab[b]): (r, self.vocab[a + b]) for r, (a, b) in enumerate(pairs)}
+        self.rank = {(self.vocab[a], self.vocab[b]): r for r, (a, b) in enumerate(pairs)}.get
+        self.made = [self.vocab[a + b] for a, b in pairs]
         self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         other = iter(range(0x100, 0x200))
         self.byte_char = {b: chr(b) if b in printable else chr(next(other)) for b in range(256)}
-        self.words: dict[str, tuple[int, bytes, str]] = {}
-        self.memory: dict[str, list[int]] = {}
+        self.words, self.memory = Memory(CACHE), Memory(CACHE)
 
     def merge(self, ids: list[int]) -> list[int]:
         """Merges symbols until no pair has a rank."""
         n = len(ids)
         if n < 2:
             return ids
-        pairs = self.pairs
-        tree = MergeTree([pairs[p][0] if (p := (ids[i], ids[i + 1])) in pairs else NONE for i in range(n - 1)])
+        rank, made = self.rank, self.made
+        tree = MergeTree([rank(p, NONE) for p in zip(ids, ids[1:])])
+        low, put, first = tree.low, tree.set, tree.first
+        if low[1] == NONE:
+            return ids
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        while tree.low[1] != NONE:
-            i = tree.first()
+        while (best := low[1]) != NONE:
+            i = first()
             j = after[i]
-            ids[i] = pairs[ids[i], ids[j]][1]
+            ids[i] = new = made[best]
             ids[j] = -1
             after[i] = k = after[j]
             if j < n - 1:
-                tree.set(j, NONE)
+                put(j, NONE)
             if k < n:
                 before[k] = i
-                p = (ids[i], ids[k])
-                tree.set(i, pairs[p][0] if p in pairs else NONE)
+                put(i, rank((new, ids[k]), NONE))
             else:
-                tree.set(i, NONE)
+                put(i, NONE)
             if (h := before[i]) >= 0:
-                p = (ids[h], ids[i])
-                tree.set(h, pairs[p][0] if p in pairs else NONE)
+                put(h, rank((ids[h], new), NONE))
         return [x for x in ids if x >= 0]
 
     def piece(self, piece: str) -> list[int]:
         """Ids of one pre-token."""
-        if (found := self.memory.get(piece)) is None:
+        if (found := self.memory.new.get(piece) or self.memory.get(piece)) is None:
             chars = [self.byte_char[b] for b in piece.encode()]
             chars[-1] += self.end
-            found = self.merge([self.vocab[c] for c in chars if c in self.vocab])
-            if len(self.memory) >= CACHE:
-                self.memory.clear()
-            self.memory[piece] = found
+            found = self.merge([self.vocab[c] for c in chars])
+            self.memory.put(piece, found)
         return found
 
     def word(self, word: str) -> tuple[int, bytes, str]:
         """Of a word without white space: number of ids, ids as little-endian 32-bit integers, decoded text."""
+        if (found := self.words.get(word)) is not None:
+            return found
         ids: list[int] = []
         for part in self.specials.split(word) if "<|" in word else (word,):
             if part in self.special:
                 ids.append(self.special[part])
             elif part:
                 # lower-casing goes by single characters: a final capital sigma has no form of its own
-                for p in self.pieces.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()):
+                for p in self.pieces.findall(part.lower() if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()):
                     ids += self.piece(p)
-        found = len(ids), b"".join(i.to_bytes(4, "little") for i in ids), self.decode(ids)
-        if len(self.words) >= CACHE:
-            self.words.clear()
+        found = len(ids), pack(f"<{len(ids)}I", *ids), self.decode(ids)
         if len(word) <= 256:
-            self.words[word] = found
+            self.words.put(word, found)
         return found
 
     def split(self, text: str) -> list[tuple[int, bytes, str]]:
         for c in SPACES:
             if c in text:
                 text = text.replace(c, " ")
-        get, make = self.words.get, self.word
+        get, make = self.words.new.get, self.word
         return [get(w) or make(w) for w in text.split(" ") if w]
 
     def encode(self, text: str) -> list[int]:
-        return [int.from_bytes(b[i : i + 4], "little") for _, b, _ in self.split(text) for i in range(0, len(b), 4)]
+        return [i for n, b, _ in self.split(text) for i in unpack(f"<{n}I", b)]
 
     def decode(self, ids: list[int]) -> str:
         """The tokens' strings with blanks between them: the vocabulary file names no decoder."""
