@@ -154,3 +154,23 @@ def _by_blocks(df: DataFrame, held: list) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), final, strict=True)], schema=final)
 
     return df.mapInArrow(end, SCHEMA)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
+    """The rows of docs that are not contaminated, with their columns as they were; texts never leave their partition."""
+    made = [windows(b, window) for b in blocks(benchmark)]
+    held = [(hashlib.sha256(repr(sorted(w.items())).encode()).hexdigest(), docs.sparkSession.sparkContext.broadcast(w)) for w in made]
+
+    @F.pandas_udf("boolean")
+    def clean(texts):
+        hits = [[] for _ in texts]
+        words = [0] * len(texts)
+        for key, sent in held:
+            machine = automaton(key, sent.value)
+            for i, t in enumerate(texts):
+                words[i], more, _ = scan((t or "").encode(), machine)
+                hits[i] = union(hits[i], more)
+        n = [sum(b - a for a, b in h) for h in hits]
+        return type(texts)([x == 0 or 20 * x < w for x, w in zip(n, words, strict=True)])
+
+    return docs.where(clean(F.col(f"`{text_col}`").cast("string")))

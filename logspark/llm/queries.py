@@ -6,7 +6,7 @@ import os
 
 import public_tokenizers
 
-from logspark.llm import bpe, decontaminate, minhash, quality, secrets
+from logspark.llm import bpe, decontaminate, licenses, minhash, quality, secrets, toxicity
 
 VOCABULARY = os.environ.get("BPE_VOCABULARY") or public_tokenizers.path("word_bpe_49k.json")
 
@@ -28,6 +28,14 @@ def op3_decontaminate(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans")
 
 
+def op5_licenses(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_quality(spark, sf_dir):
     judged = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_bits")
@@ -37,5 +45,5 @@ def op10_secrets(spark, sf_dir):
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_minhash, op3_decontaminate, op9_quality, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_minhash, op3_decontaminate, op5_licenses, op7_toxicity, op9_quality, op10_secrets)}
 ORACLE: dict[str, str] = {}
