@@ -61,8 +61,7 @@ def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     twice = lambda s, i: s["h"].eqNullSafe(F.get("_s", i - 1)["h"]) | s["h"].eqNullSafe(F.get("_s", i + 1)["h"])
     places = sorted_.select("*", F.sort_array(F.transform(F.filter("_s", twice), lambda s: s["i"])).alias("_p"))
     covered = F.aggregate(F.transform("_p", lambda p, i: F.least(F.lit(3), p - F.coalesce(F.get("_p", i - 1), F.lit(-3)))), F.lit(0), lambda a, x: a + x)
-    return places.select(
-        "doc_id",
+    facts = F.struct(
         F.size("_w").cast("long").alias("n_words"),
         "word_chars", "n_symbols",
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
@@ -70,6 +69,8 @@ def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         "n_upper", "n_exclaim",
         F.size("_l").cast("long").alias("n_lines"),
     )
+    # The generator keeps later filters above it: pushed below, they would repeat the expressions for each use.
+    return places.select("doc_id", F.explode(F.array(facts)).alias("_m")).select("doc_id", "_m.*")
 
 
 def ledger(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
