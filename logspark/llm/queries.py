@@ -6,7 +6,7 @@ import os
 
 import public_tokenizers
 
-from logspark.llm import bpe, decontaminate, licenses, minhash, quality, secrets, toxicity
+from logspark.llm import bpe, decontaminate, htmltext, licenses, minhash, pii, quality, secrets, toxicity
 
 VOCABULARY = os.environ.get("BPE_VOCABULARY") or public_tokenizers.path("word_bpe_49k.json")
 
@@ -28,10 +28,18 @@ def op3_decontaminate(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans")
 
 
+def op4_html(spark, sf_dir):
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_licenses(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark, sf_dir):
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,5 +53,5 @@ def op10_secrets(spark, sf_dir):
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_minhash, op3_decontaminate, op5_licenses, op7_toxicity, op9_quality, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_minhash, op3_decontaminate, op4_html, op5_licenses, op6_pii, op7_toxicity, op9_quality, op10_secrets)}
 ORACLE: dict[str, str] = {}
