@@ -6,7 +6,7 @@ import os
 
 import public_tokenizers
 
-from logspark.llm import bpe, decontaminate, htmltext, licenses, minhash, pii, quality, secrets, toxicity
+from logspark.llm import bpe, decontaminate, htmltext, licenses, minhash, pii, quality, secrets, substrings, toxicity
 
 VOCABULARY = os.environ.get("BPE_VOCABULARY") or public_tokenizers.path("word_bpe_49k.json")
 
@@ -44,6 +44,10 @@ def op7_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_substrings(spark, sf_dir):
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op9_quality(spark, sf_dir):
     judged = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_bits")
@@ -53,5 +57,5 @@ def op10_secrets(spark, sf_dir):
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_minhash, op3_decontaminate, op4_html, op5_licenses, op6_pii, op7_toxicity, op9_quality, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_minhash, op3_decontaminate, op4_html, op5_licenses, op6_pii, op7_toxicity, op8_substrings, op9_quality, op10_secrets)}
 ORACLE: dict[str, str] = {}
