@@ -5,14 +5,16 @@ half as many hash evaluations; both are unbiased for the Jaccard similarity. Ban
 
 1. One pass over the texts (no shuffle) makes signatures and a digest of each shingle set. Rows with equal sets become
    one class, represented by its smallest id, however many they are; a digest pre-aggregates them before the shuffle.
-2. Buckets with two or more classes give candidates. In each round every bucket ties its members to one pivot, another
-   one each round, if they are not yet in one component: pairs grow with members, never with their square. When a round
-   finds nothing new, the pairs of different components that are left in a bucket are all compared, so that no link
-   inside a bucket is lost.
-3. A pair is a link only if its whole shingle sets say so: 100 * intersection >= percent * union.
-4. Connected components over the links, distributed; texts travel only for classes that share a bucket.
+2. Buckets with two or more classes give candidates: all pairs of a bucket of at most SMALL classes, and of a larger one
+   the pairs of each member with two pivots, so pairs grow with members and never with their square.
+3. A pair is a link only if its whole shingle sets say so: 100 * intersection >= percent * union. Pairs whose sketches
+   agree in fewer than LEAST of 64 bytes (at a similarity of 0.8: one in ten million) are not looked at.
+4. Large buckets that still hold several connected components form families. A family's sets are dealt once into
+   blocks of bounded size, and every two blocks are compared in one task, each set against a whole block at a time,
+   so that no link inside a bucket is lost and no pair is written but one that joins two components.
+5. Connected components over the links, distributed; texts travel only for classes that share a bucket.
 
-At a similarity of 0.8 a pair shares no bucket with probability (1 - 0.8^4)^24, about 3e-6.
+At a similarity of 0.8 a pair shares no bucket with probability (1 - 0.8^5)^30, about 7e-6.
 
 Edge cases: a null, empty or blank text has an empty set, is linked with nothing and is its own component; fewer words
 than a shingle are one shingle; repeated rows are all returned, with equal values; a null id takes part and gets the
@@ -32,8 +34,12 @@ from pyspark.sql import functions as F
 from logspark.llm.common import LOWER, id_text, map_rows, shingles, word_hashes
 from logspark.llm.tables import components, small, written
 
-ROWS, BANDS = 4, 24
+ROWS, BANDS = 5, 30
 HASHES = ROWS * BANDS
+SMALL = 8
+LEAST = 34
+#: Members and shingles of a block of a family.
+BLOCK, BLOCK_SHINGLES = 1024, 400_000
 _rng = np.random.default_rng(20)
 MULTIPLY = _rng.integers(0, 1 << 63, HASHES // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 FLIP = _rng.integers(0, 1 << 63, HASHES // 2, dtype=np.uint64)
@@ -61,8 +67,9 @@ def bands(values: np.ndarray) -> list[int]:
 def _signed(doc_id, data: bytes, k: int) -> tuple:
     found = shingle_set(data, k)
     if not len(found):
-        return doc_id, 0, None, None
-    return doc_id, len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(), bands(signature(found))
+        return doc_id, 0, None, None, None
+    values = signature(found)
+    return doc_id, len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(), bands(values), (values[:64] >> np.uint64(40)).astype(np.uint8).tobytes()
 
 
 def _confirm(pairs: DataFrame, percent: int) -> DataFrame:
@@ -80,6 +87,19 @@ def _confirm(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs whose sketches agree in LEAST bytes or more."""
+
+    def run(batches):
+        for t in batches:
+            x, y = (np.frombuffer(b"".join(t.column(i).to_pylist()), np.uint8).reshape(-1, 64) for i in (2, 3))
+            yield t.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= LEAST, pa.bool_()))
+
+    k = small(sketches)
+    both = pairs.join(k.toDF("a", "ka"), "a").join(k.toDF("b", "kb"), "b")
+    return both.select("a", "b", "ka", "kb").mapInArrow(run, "a long, b long")
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Brings the two sets of each pair together under the pair, so that a pivot with many partners is spread out."""
     p = small(pairs)
@@ -88,36 +108,86 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _confirm(sa.join(sb, ["a", "b"]), percent)
 
 
+def _pairs(bucket: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs a < b: all of a small bucket, those with two pivots of a large one."""
+    order = F.xxhash64("id")  # the same in all buckets, so that a member meets the same pivot in most of them
+    facts = bucket.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n")).alias("p"), F.min(F.struct(order, "id", "n")).alias("q"))
+    little = bucket.join(facts.where(f"size <= {SMALL}").select("key"), "key")
+    every = little.alias("x").join(little.alias("y"), "key").where("x.id < y.id").selectExpr("x.id a", "y.id b", "x.n na", "y.n nb")
+    pivots = facts.where(f"size > {SMALL}").selectExpr("key", "inline(array(struct(p.id as pid, p.n as pn), struct(q.id as pid, q.n as pn)))")
+    star = bucket.join(pivots, "key").where("id <> pid").selectExpr("least(id, pid) a", "greatest(id, pid) b", "n na", "pn nb")
+    return every.union(star).where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
+
+
+def _families(bucket: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, family, component) of the members of large buckets that hold several components."""
+    seen = bucket.join(labels, "id")
+    open_ = seen.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("first"))
+    left = written(seen.join(open_.where(f"size > {SMALL} and low <> high").select("key", "first"), "key").select("id", "first", "component").distinct(), "open")
+    nodes = left.select("id", "component").distinct()
+    family = components(left.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), nodes.select("id"))
+    return nodes.join(family.withColumnRenamed("component", "family"), "id")
+
+
+def _within(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of each family, from every two blocks of its members."""
+    held = families.join(sets, "id").withColumn("n", F.length("shingles") / 8)
+    size = held.groupBy("family").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    held = held.join(size, "family").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = held.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "component", "block", "shingles")
+
+    def compare(t: pa.Table) -> pa.Table:
+        ids, comps, block = (t.column(c).to_pylist() for c in ("id", "component", "block"))
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        found = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
+        left, right = [k for k, x in enumerate(block) if x == i], [k for k, x in enumerate(block) if x == j]
+        links = []
+        if left and right:
+            names, local = np.unique(np.concatenate(found), return_inverse=True)
+            cut = np.cumsum([0, *map(len, found)])
+            mine = [local[cut[k] : cut[k + 1]] for k in range(len(found))]
+            theirs, sizes = np.concatenate([mine[k] for k in right]), np.array([len(mine[k]) for k in right])
+            starts = np.cumsum(sizes) - sizes
+            comp = np.array(comps)
+            flag = np.zeros(len(names), np.int32)
+            for k in left:
+                if (comp[right] == comp[k]).all():
+                    continue
+                flag[mine[k]] = 1
+                both = np.add.reduceat(flag[theirs], starts)
+                flag[mine[k]] = 0
+                for y in np.flatnonzero(100 * both >= percent * (len(mine[k]) + sizes - both)):
+                    if comp[right[y]] != comp[k]:
+                        links.append((ids[k], ids[right[y]]))
+                        comp[comp == comp[right[y]]] = comp[k]
+        return pa.table({"a": pa.array([min(x) for x in links], pa.int64()), "b": pa.array([max(x) for x in links], pa.int64())})
+
+    return dealt.groupBy("family", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of df: doc_id, n_shingles, component_id, kept."""
     docs = id_text(df, id_col, text_col)
-    signed = written(map_rows(docs, "doc_id long, n_shingles long, digest binary, bands array<long>", lambda i, t: _signed(i, t, k)), "signatures")
+    signed = written(map_rows(docs, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary", lambda i, t: _signed(i, t, k)), "signatures")
     filled = signed.where("digest is not null")
-    classes = written(filled.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
+    classes = filled.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = written(classes, "classes")
     members = classes.where("id is not null").select("id", "n", F.explode("bands").alias("key"))
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
-    bucket = written(members.join(shared, "key").select("key", "id", "n").distinct(), "buckets")
+    bucket = written(members.join(shared, "key").select("key", "id", "n"), "buckets")
     nodes = written(bucket.select("id").distinct(), "candidates")
+    once = _repeats(signed)
+    sketches = classes.join(small(nodes), "id", "left_semi").select("id", "sketch")
+    pairs = written(_alike(_pairs(bucket, percent), sketches.dropDuplicates(["id"]) if once else sketches), "pairs")
     texts = docs.join(small(nodes), docs.doc_id == nodes.id, "left_semi")
     sets = map_rows(texts, "id long, shingles binary", lambda i, t: (i, shingle_set(t, k).tobytes())).where("length(shingles) > 0")
-    sets = written(sets.dropDuplicates(["id"]) if _repeats(signed) else sets, "sets")
-    labels = nodes.select("id", F.col("id").alias("component"))
-    tested = links = None
-    turn, idle = 0, 0
-    while True:
-        pairs = _pairs(bucket, labels, None if idle else turn, percent)
-        pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = written(_links(pairs, sets, percent), "links")
-        done = bool(idle)
-        if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            labels = components(links, nodes)
-        elif not done:
-            idle = 1
-        if done:
-            break
-        tested = pairs if tested is None else tested.union(pairs)
-        turn += 1
+    sets = written(sets.dropDuplicates(["id"]) if once else sets, "sets")
+    links = written(_links(pairs, sets, percent), "links")
+    labels = components(links, nodes)
+    families = written(_families(bucket, labels), "families")
+    more = written(_within(families, sets, percent), "links")
+    if not more.isEmpty():
+        labels = components(links.union(more), nodes)
     names = classes.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     return signed.select("doc_id", "n_shingles", "digest").join(names, "digest", "left").select(
         "doc_id", "n_shingles",
@@ -130,22 +200,6 @@ def _repeats(signed: DataFrame) -> bool:
     return not signed.groupBy("doc_id").count().where("count > 1").isEmpty()
 
 
-def _pairs(bucket: DataFrame, labels: DataFrame, turn: int | None, percent: int) -> DataFrame:
-    """Candidate pairs a < b of one turn; turn None: all that are left between the components of a bucket."""
-    seen = bucket.join(labels, "id")
-    order = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
-    pivot = F.min(F.struct(order.alias("order"), "id", "n", "component")).alias("pivot")
-    open_ = seen.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), pivot).where("low <> high")
-    if turn is None:
-        left = seen.join(open_.select("key"), "key")
-        pairs = left.alias("x").join(left.alias("y"), "key").where("x.id < y.id and x.component <> y.component")
-        pairs = pairs.selectExpr("x.id a", "y.id b", "x.n na", "y.n nb")
-    else:
-        pairs = seen.join(open_.select("key", "pivot"), "key").where("component <> pivot.component")
-        pairs = pairs.selectExpr("least(id, pivot.id) a", "greatest(id, pivot.id) b", "n na", "pivot.n nb")
-    return pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
-
-
 def drop_near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with one document of each component, the one with the smallest id; of rows that share its id, one stays."""
     judged = written(near_duplicates(df, k, percent, id_col, text_col), "judged")
