@@ -6,8 +6,10 @@ A window is SIZE consecutive words; a word goes if a window over it has the same
 1. One pass over the texts hashes each window to 80 bits. Inside a slice of a task's documents repeated windows are
    found at once and only the earliest of each goes on, so a passage that a third of all documents share is shuffled
    once for each slice and not once for each document. What goes on is packed by shard, 10 bytes a window and its place.
-2. A shard, that is all windows of some hash values, finds the windows that are not the earliest of their kind.
-3. Found starts, packed again, come together for each document, are joined to ranges of words and cut from the text.
+   A window's shard comes from the least hash of its GRAM-word parts, which most of its neighbours share, so that a
+   shard gets runs of windows, whose places pack to almost nothing.
+2. A shard finds the windows that are not the earliest of their kind.
+3. Found starts, packed by document, come together, are joined to ranges of words and cut from the text.
 
 A window that is unique can be taken for a repeat only if 80 bits collide: for 10^8 windows the chance is 10^-8, and at
 10^13 windows about a hundred would be hit.
@@ -30,8 +32,9 @@ from logspark.llm.common import arrow_schema, id_text, mix, word_bounds, word_ha
 from logspark.llm.tables import small, written
 
 SIZE = 20
+GRAM = 6
 #: Text and rows of a slice.
-SLICE_BYTES, SLICE_ROWS = 8 << 20, 2048
+SLICE_BYTES, SLICE_ROWS = 4 << 20, 2048
 #: Rows with removals whose ranges a join may broadcast.
 BROADCAST_ROWS = 250_000
 PACKED = "shard int, docs binary, keys binary, cuts binary, steps binary, low binary, high binary"
@@ -57,6 +60,16 @@ def window_hashes(words: np.ndarray, size: int, lane: int) -> np.ndarray:
     return out
 
 
+def least_grams(words: np.ndarray, size: int) -> np.ndarray:
+    """For each window the least hash of its GRAM-word parts: sliding minima by doubling."""
+    gram = min(GRAM, size)
+    low, width, n = window_hashes(words, gram, 2), 1, size - gram + 1
+    while 2 * width <= n:
+        low = np.minimum(low[: len(low) - width], low[width:])
+        width *= 2
+    return np.minimum(low[: len(low) - (n - width)], low[n - width :]) if n > width else low
+
+
 def _slices(batches):
     """Lists of (id, key, text) of bounded size."""
     held, size = [], 0
@@ -117,7 +130,7 @@ def _hashed(shards: int, size: int):
             gone = np.sort(order[again])
             first = np.sort(order[~again])
             yield from _rows(gone, None, doc, place, ids, keys, None, None, shards)
-            yield from _rows(first, (high[first] >> np.uint64(40)) % np.uint64(shards), doc, place, ids, keys, low, high, shards)
+            yield from _rows(first, mix(least_grams(joined, size)[index[first]]) % np.uint64(shards), doc, place, ids, keys, low, high, shards)
 
     def batches(it):
         for row in run(it):
@@ -151,7 +164,7 @@ def _rows(chosen, shard, doc, place, ids, keys, low, high, shards):
         yield out
 
 
-def _judged(types: pa.Schema):
+def _judged(types: pa.Schema, buckets: int):
     def run(table: pa.Table) -> pa.Table:
         doc, key, place, low, high = [], [], [], [], []
         done = []
@@ -170,44 +183,54 @@ def _judged(types: pa.Schema):
             lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
             gone = same & ~((doc == doc[lead]) & (place == place[lead]))
             done.append((doc[gone], key[gone], place[gone]))
-        ids, keys, starts = [], [], []
+        out = []
         if done:
             doc, key, place = (np.concatenate([d[i] for d in done]) for i in range(3))
-            order = np.lexsort((place, key, doc))
-            doc, key, place = doc[order], key[order], place[order].astype(np.int32)
-            cut = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]), [True]))) if len(doc) else np.zeros(1, int)
+            bucket = (mix(doc.astype(np.uint64) + mix(key.astype(np.uint64))) % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((place, key, doc, bucket))
+            doc, key, place, bucket = doc[order], key[order], place[order], bucket[order]
+            new = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
+            first = np.concatenate(([True], new)) if len(doc) else np.zeros(0, bool)
+            cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(doc) else np.zeros(1, int)
             for a, b in zip(cut[:-1], cut[1:], strict=True):
-                ids.append(int(doc[a]))
-                keys.append(int(key[a]))
-                starts.append(place[a:b].tobytes())
-        return pa.table([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(starts, pa.binary())], schema=types)
+                at = np.flatnonzero(first[a:b]) + a
+                out.append(_pack(int(bucket[a]), doc[at], key[at], np.diff(np.append(at, b)), place[a:b], None, None))
+        return pa.Table.from_pylist(out, schema=types)
+
+    return run
+
+
+def _listed(types: pa.Schema, size: int):
+    """The ranges of each document of a bucket."""
+
+    def run(table: pa.Table) -> pa.Table:
+        found = [_unpack(row) for row in table.to_pylist()]
+        doc, key, place = (np.concatenate([f[i] for f in found]) for i in range(3))
+        order = np.lexsort((place, key, doc))
+        doc, key, place = doc[order], key[order], place[order]
+        cut = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]), [True])))
+        ranges = [_ranges(place[a:b], size) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        return pa.table([pa.array(doc[cut[:-1]], pa.int64()), pa.array(key[cut[:-1]], pa.int64()), pa.array(ranges, pa.binary())], schema=types)
 
     return run
 
 
-def _ranges(parts: list[bytes], size: int) -> bytes:
-    """Window starts, from all shards, as ranges of words (start, end)."""
-    at = np.unique(np.concatenate([np.frombuffer(p, np.int32) for p in parts]))
-    new = np.concatenate(([True], at[1:] > at[:-1] + size))
+def _ranges(starts: np.ndarray, size: int) -> bytes:
+    """Sorted window starts as ranges of words (start, end)."""
+    new = np.concatenate(([True], starts[1:] > starts[:-1] + size))
     last = np.concatenate((new[1:], [True]))
-    return np.column_stack((at[new], at[last] + size)).astype(np.int32).tobytes()
+    return np.column_stack((starts[new], starts[last] + size)).astype(np.int32).tobytes()
 
 
 def find_repeats(df: DataFrame, size: int = SIZE, shards: int | None = None) -> DataFrame:
     """(doc_id, key, ranges) of the documents (doc_id, key, text) with words to remove; ranges are packed int pairs."""
     spark = df.sparkSession
-    shards = shards or max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or max(64, 4 * partitions)
     packed = df.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "text").mapInArrow(_hashed(shards, size)(arrow_schema(spark, PACKED)), PACKED)
-    starts = "doc_id long, key long, starts binary"
-    judged = packed.groupBy("shard").applyInArrow(_judged(arrow_schema(spark, starts)), starts)
-    listed = judged.groupBy("doc_id", "key").agg(F.collect_list("starts").alias("parts"))
-    types = arrow_schema(spark, "doc_id long, key long, ranges binary")
-
-    def join(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([_ranges(p, size) for p in b.column(2).to_pylist()], pa.binary())], schema=types)
-
-    return listed.mapInArrow(join, "doc_id long, key long, ranges binary")
+    judged = packed.groupBy("shard").applyInArrow(_judged(arrow_schema(spark, PACKED), max(16, partitions)), PACKED)
+    out = "doc_id long, key long, ranges binary"
+    return judged.groupBy("shard").applyInArrow(_listed(arrow_schema(spark, out), size), out)
 
 
 def _kept(data: bytes, ranges: bytes | None) -> tuple[int, int, str]:
