@@ -6,7 +6,7 @@ half as many hash evaluations; both are unbiased for the Jaccard similarity. Ban
 1. One pass over the texts (no shuffle) makes signatures and a digest of each shingle set. Rows with equal sets become
    one class, represented by its smallest id, however many they are; a digest pre-aggregates them before the shuffle.
 2. Buckets with two or more classes give candidates: all pairs of a bucket of at most SMALL classes, and of a larger one
-   the pairs of each member with two pivots, so pairs grow with members and never with their square.
+   the pairs of each member with its smallest id, so pairs grow with members and never with their square.
 3. A pair is a link only if its whole shingle sets say so: 100 * intersection >= percent * union. Pairs whose sketches
    agree in fewer than LEAST of 64 bytes (at a similarity of 0.8: one in ten million) are not looked at.
 4. Large buckets that still hold several connected components form families. A family's sets are dealt once into
@@ -109,13 +109,12 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _pairs(bucket: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs a < b: all of a small bucket, those with two pivots of a large one."""
-    order = F.xxhash64("id")  # the same in all buckets, so that a member meets the same pivot in most of them
-    facts = bucket.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n")).alias("p"), F.min(F.struct(order, "id", "n")).alias("q"))
+    """Candidate pairs a < b: all of a small bucket, those with the smallest id of a large one."""
+    facts = bucket.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n")).alias("p"))
     little = bucket.join(facts.where(f"size <= {SMALL}").select("key"), "key")
     every = little.alias("x").join(little.alias("y"), "key").where("x.id < y.id").selectExpr("x.id a", "y.id b", "x.n na", "y.n nb")
-    pivots = facts.where(f"size > {SMALL}").selectExpr("key", "inline(array(struct(p.id as pid, p.n as pn), struct(q.id as pid, q.n as pn)))")
-    star = bucket.join(pivots, "key").where("id <> pid").selectExpr("least(id, pid) a", "greatest(id, pid) b", "n na", "pn nb")
+    pivots = facts.where(f"size > {SMALL}").selectExpr("key", "p.id as pid", "p.n as pn")
+    star = bucket.join(pivots, "key").where("id <> pid").selectExpr("pid a", "id b", "n na", "pn nb")
     return every.union(star).where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
 
 
