@@ -6,6 +6,8 @@ map-side combined aggregation. Tables are Parquet, partitioned by target and day
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -187,23 +189,27 @@ def latest_merged(files: DataFrame, version: str) -> DataFrame:
 
 
 def delete_object(spark: SparkSession, root: str, kind: str, object_id: str) -> int:
-    """K15. Takes an object's entries out of one index table and returns their number; only the touched files are rewritten."""
+    """K15. Takes an object's entries out of one index table and returns their number.
+
+    Only partitions that hold the object are rewritten: their other rows are staged, the partitions' folders removed by
+    the file system that holds them, and the staged rows appended.
+    """
     path = f"{root}/{kind}"
     rows = spark.read.parquet(path)
-    days = rows.where(F.col("object_id") == object_id).select("target", "bucket_day").distinct()
-    touched = rows.join(days, ["target", "bucket_day"], "left_semi")
-    gone = rows.where(F.col("object_id") == object_id).count()
-    if gone:
-        kept = without_object(touched, object_id)
-        staged = f"{root}/_staged_{kind}"
-        kept.write.mode("overwrite").partitionBy("target", "bucket_day").parquet(staged)
-        held = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            spark.read.parquet(staged).write.mode("overwrite").partitionBy("target", "bucket_day").parquet(path)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", held)
-    return gone
+    own = rows.where(F.col("object_id") == object_id).groupBy("target", "bucket_day").agg(F.count(F.lit(1)).alias("n"))
+    touched = own.collect()  # a row for each day of one object
+    if not touched:
+        return 0
+    kept = without_object(rows.join(F.broadcast(own.select("target", "bucket_day")), ["target", "bucket_day"], "left_semi"), object_id)
+    staged = f"{root}/_staged_{kind}_{uuid.uuid4().hex}"
+    kept.write.partitionBy("target", "bucket_day").parquet(staged)
+    left = spark.read.schema(rows.schema).parquet(staged)
+    jvm = spark.sparkContext._jvm
+    for r in touched:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/target={r.target}/bucket_day={r.bucket_day}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    left.write.mode("append").partitionBy("target", "bucket_day").parquet(path)
+    return sum(r.n for r in touched)
 
 
 def without_object(df: DataFrame, object_id) -> DataFrame:

@@ -132,10 +132,10 @@ def run_with_deadline(spark: SparkSession, fn: Callable[[], object], ms: int) ->
 
     def stop() -> None:
         late.set()
-        spark.interruptTag(tag)
+        spark.sparkContext.cancelJobsWithTag(tag)
 
     timer = threading.Timer(ms / 1000, stop)
-    spark.addTag(tag)
+    spark.sparkContext.addJobTag(tag)
     timer.start()
     try:
         return fn(), False
@@ -145,4 +145,4 @@ def run_with_deadline(spark: SparkSession, fn: Callable[[], object], ms: int) ->
         return None, True
     finally:
         timer.cancel()
-        spark.removeTag(tag)
+        spark.sparkContext.removeJobTag(tag)
