@@ -25,7 +25,7 @@ def op2_minhash(spark, sf_dir):
 
 def op3_decontaminate(spark, sf_dir):
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op4_html(spark, sf_dir):
@@ -58,4 +58,41 @@ def op10_secrets(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_minhash, op3_decontaminate, op4_html, op5_licenses, op6_pii, op7_toxicity, op8_substrings, op9_quality, op10_secrets)}
-ORACLE: dict[str, str] = {}
+LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ALNUM = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def _runs_of(table: str, key: str, k: int) -> str:
+    """Every k consecutive words of a table (key, i, a) as one string, with its place."""
+    return f"SELECT {key}, i, {k} AS k, s FROM (SELECT {key}, i, string_agg(a, ' ') OVER w AS s, count(*) OVER w AS n FROM {table} WINDOW w AS (PARTITION BY {key} ORDER BY i ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING)) WHERE n = {k}"
+
+
+#: The queries that SQL can express. Tokenizer ids, links between shingle sets, parsed markup, places of matches and
+#: learned scores can't; their tests hold them against brute force.
+ORACLE: dict[str, str] = {
+    "op3_decontaminate": f"""WITH d AS (SELECT doc_id, {ALNUM.format(LOWER.format("text"))} AS w FROM documents),
+ x AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM d),
+ b AS (SELECT item_id, {ALNUM.format(LOWER.format("text"))} AS w FROM benchmark), y AS (SELECT item_id, unnest(w) AS a, generate_subscripts(w, 1) AS i, len(w) AS n FROM b),
+ q AS ({_runs_of("y", "item_id", 13)} UNION ALL SELECT item_id, 1, n, string_agg(a, ' ' ORDER BY i) FROM y WHERE n < 13 GROUP BY item_id, n),
+ g AS ({" UNION ALL ".join(_runs_of("x", "doc_id", k) for k in range(1, 14))}),
+ h AS (SELECT DISTINCT doc_id, g.i, g.k, item_id FROM g JOIN q ON g.k = q.k AND g.s = q.s),
+ c AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM h) GROUP BY 1),
+ m AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY 1)
+ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)""",
+    "op8_substrings": f"""WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents), x AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM d),
+ g AS ({_runs_of("x", "doc_id", 20)}), f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM g),
+ c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM f WHERE r > 1),
+ k AS (SELECT x.doc_id, count(c.i) AS n_removed, coalesce(string_agg(a, ' ' ORDER BY x.i) FILTER (c.i IS NULL), '') AS kept FROM x LEFT JOIN c ON x.doc_id = c.doc_id AND x.i = c.i GROUP BY 1)
+ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
+    "op9_quality": rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+ x AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM d),
+ g AS (SELECT doc_id, i, a, lead(a) OVER p AS b, lead(a, 2) OVER p AS c FROM x WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+ r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM g WHERE c IS NOT NULL) WHERE n > 1),
+ v AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM r) GROUP BY 1),
+ m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+  coalesce(v.n, 0)::BIGINT AS n_repeat_words, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper, length(t) - length(replace(t, '!', '')) AS n_exclaim, len(l) AS n_lines FROM d LEFT JOIN v USING (doc_id)),
+ b AS (SELECT *, ({" + ".join(f"CASE WHEN {rule} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(quality.RULES.values()))})::BIGINT AS failed_bits FROM m)
+ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits FROM b""",
+}
