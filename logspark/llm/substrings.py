@@ -3,16 +3,19 @@
 A window is SIZE consecutive words; a word goes if a window over it has the same words as one that starts earlier
 (smaller id, or the same document and an earlier place). Windows are judged on the input.
 
-1. One pass over the texts hashes each window to 80 bits. Inside a slice of a task's documents repeated windows are
-   found at once and only the earliest of each goes on, so a passage that a third of all documents share is shuffled
-   once for each slice and not once for each document. What goes on is packed by shard, 10 bytes a window and its place.
-   A window's shard comes from the least hash of its GRAM-word parts, which most of its neighbours share, so that a
-   shard gets runs of windows, whose places pack to almost nothing.
-2. A shard finds the windows that are not the earliest of their kind.
+1. One pass over the texts. Inside a slice of a task's documents repeated windows are found at once, by 80-bit hashes,
+   and only the earliest of each goes on, so a passage that a third of all documents share is shuffled once for each
+   slice and not once for each document. A window's shard comes from the least hash of its GRAM-word parts; most of its
+   neighbours share it, so windows travel as runs: the words of a run, 24 bits each, and 8 bits of each window's hash.
+   Equal windows have equal least parts, so each window has to be looked for in one shard only.
+2. In a shard, runs whose least part no other run has are done: none of their windows is anywhere else. Of equal runs
+   only the earliest has to be searched. Over what is left a compressed FM-index is built (a wavelet matrix over the BWT),
+   and backward search streams the windows through it: a window whose matching statistic reaches SIZE with two places or
+   more shares its suffix interval with its copies, and all but the earliest of an interval are found.
 3. Found starts, packed by document, come together, are joined to ranges of words and cut from the text.
 
-A window that is unique can be taken for a repeat only if 80 bits collide: for 10^8 windows the chance is 10^-8, and at
-10^13 windows about a hundred would be hit.
+Two windows of one least part (64 bits to choose the shard, 32 of them to compare runs) that differ in one word only are
+taken for equal with a probability of 2^-32 (24 bits of the word and 8 of the window).
 
 Edge cases: null, empty and blank texts have no words, and fewer than SIZE words no window; of repeated rows with one
 id and one text none is earlier than the other, both get the same result; a null id counts as the smallest; an empty
@@ -29,15 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logspark.llm.common import arrow_schema, id_text, mix, word_bounds, word_hashes
+from logspark.llm.fmindex import FmIndex
 from logspark.llm.tables import small, written
 
 SIZE = 20
-GRAM = 6
+GRAM = 4
 #: Text and rows of a slice.
 SLICE_BYTES, SLICE_ROWS = 4 << 20, 2048
 #: Rows with removals whose ranges a join may broadcast.
 BROADCAST_ROWS = 250_000
-PACKED = "shard int, docs binary, keys binary, cuts binary, steps binary, low binary, high binary"
+PACKED = "shard int, docs binary, keys binary, cuts binary, steps binary, runs binary, tags binary, words binary, checks binary"
 NULL_ID = -(1 << 63)
 
 
@@ -84,15 +88,15 @@ def _slices(batches):
         yield held
 
 
-def _pack(shard: int, docs: np.ndarray, keys: np.ndarray, counts: np.ndarray, at: np.ndarray, low: np.ndarray | None, high: np.ndarray | None) -> dict:
-    """A row: ids and keys of documents, the number of windows of each, their places as steps, and hashes."""
+def _pack(shard: int, docs: np.ndarray, keys: np.ndarray, counts: np.ndarray, at: np.ndarray, **more: bytes) -> dict:
+    """A row: ids and keys of documents, the number of places of each, the places as steps, and more."""
     steps = np.diff(at, prepend=0).astype(np.int32)
     steps[np.cumsum(counts)[:-1]] = at[np.cumsum(counts)[:-1]]  # each document's first place stands for itself
-    return {"shard": shard, "docs": docs.tobytes(), "keys": keys.tobytes(), "cuts": counts.astype(np.int32).tobytes(), "steps": steps.tobytes(), "low": low.tobytes() if low is not None else None, "high": high.tobytes() if high is not None else None}
+    return {"shard": shard, "docs": docs.tobytes(), "keys": keys.tobytes(), "cuts": counts.astype(np.int32).tobytes(), "steps": steps.tobytes(), **more}
 
 
 def _unpack(row: dict) -> tuple[np.ndarray, ...]:
-    """(id, key, place) for each window."""
+    """(id, key, place) for each place."""
     counts, steps = np.frombuffer(row["cuts"], np.int32), np.frombuffer(row["steps"], np.int32).astype(np.int64)
     first = np.cumsum(counts) - counts
     total = np.cumsum(steps)
@@ -129,8 +133,8 @@ def _hashed(shards: int, size: int):
             again = same & ~((ids[doc[order]] == ids[doc[lead]]) & (place[order] == place[lead]))
             gone = np.sort(order[again])
             first = np.sort(order[~again])
-            yield from _rows(gone, None, doc, place, ids, keys, None, None, shards)
-            yield from _rows(first, mix(least_grams(joined, size)[index[first]]) % np.uint64(shards), doc, place, ids, keys, low, high, shards)
+            yield from _found(gone, doc, place, ids, keys, shards)
+            yield from _runs(first, least_grams(joined, size)[index], index, doc, place, ids, keys, low, joined, size, shards)
 
     def batches(it):
         for row in run(it):
@@ -144,19 +148,54 @@ def _hashed(shards: int, size: int):
     return start
 
 
-def _rows(chosen, shard, doc, place, ids, keys, low, high, shards):
-    """Packed rows of the chosen windows, one for each shard that has some; without hashes: found already."""
-    if not len(chosen):
+def _cuts(shard: np.ndarray):
+    """Ranges of equal neighbours."""
+    cut = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1], [True])))
+    return zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)
+
+
+def _found(gone, doc, place, ids, keys, shards):
+    """Packed rows of windows that a slice has found already."""
+    if len(gone):
+        gone = gone[np.argsort(doc[gone] % shards, kind="stable")]
+        out = []
+        for a, b in _cuts(doc[gone] % shards):
+            d, counts = np.unique(doc[gone[a:b]], return_counts=True)
+            out.append(_pack(int(d[0] % shards), ids[d], keys[d], counts, place[gone[a:b]]))
+        yield out
+
+
+def _ramp(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, ... inside each length."""
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+def _runs(first, least, index, doc, place, ids, keys, low, words, size, shards):
+    """Packed rows of runs: neighbouring windows of one least part, with the words they cover."""
+    if not len(first):
         return
-    shard = (doc[chosen] % shards) if shard is None else shard.astype(np.int64)
+    new = np.concatenate(([True], (first[1:] != first[:-1] + 1) | (least[first[1:]] != least[first[:-1]]) | (doc[first[1:]] != doc[first[:-1]])))
+    begin = np.flatnonzero(new)
+    n = np.diff(np.append(begin, len(first)))
+    long = n > 255  # a run's length fits in a byte; longer ones are cut
+    if long.any():
+        parts = -(-n // 255)
+        begin = np.repeat(begin, parts) + _ramp(parts) * 255
+        n = np.diff(np.append(begin, len(first)))
+    head = first[begin]
+    shard = (mix(least[head]) % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
-    chosen, shard = chosen[order], shard[order]
-    cut = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1], [True])))
+    begin, n, head, shard = begin[order], n[order], head[order], shard[order]
     out = []
-    for a, b in zip(cut[:-1], cut[1:], strict=True):
-        part = chosen[a:b]
-        d, counts = np.unique(doc[part], return_counts=True)
-        out.append(_pack(int(shard[a]), ids[d], keys[d], counts, place[part], low[part] if low is not None else None, high[part] if high is not None else None))
+    for a, b in _cuts(shard):
+        at, long_ = head[a:b], n[a:b]
+        d, counts = np.unique(doc[at], return_counts=True)
+        covered = words[np.repeat(index[at], long_ + size - 1) + _ramp(long_ + size - 1)]
+        checks = low[first[np.repeat(begin[a:b], long_) + _ramp(long_)]]
+        out.append(_pack(
+            int(shard[a]), ids[d], keys[d], counts, place[at], runs=long_.astype(np.uint8).tobytes(), tags=(least[at] >> np.uint64(32)).astype(np.uint32).tobytes(),
+            words=np.ascontiguousarray(covered.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :3]).tobytes(), checks=checks.astype(np.uint8).tobytes(),
+        ))
         if len(out) == 256:
             yield out
             out = []
@@ -164,37 +203,76 @@ def _rows(chosen, shard, doc, place, ids, keys, low, high, shards):
         yield out
 
 
-def _judged(types: pa.Schema, buckets: int):
+def _search(rows: list[dict], size: int) -> list[tuple[np.ndarray, ...]]:
+    """(id, key, place) of the windows of a shard's runs that are not the earliest of their kind."""
+    parts = [(*_unpack(r), np.frombuffer(r["runs"], np.uint8).astype(np.int64), np.frombuffer(r["tags"], np.uint32)) for r in rows]
+    doc, key, place, n, tag = (np.concatenate([p[i] for p in parts]) for i in range(5))
+    words = b"".join([r["words"] for r in rows])
+    checks = np.frombuffer(b"".join([r["checks"] for r in rows]), np.uint8)
+    _, inverse, counts = np.unique(tag, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(counts[inverse] > 1)
+    if not len(shared):
+        return []
+    at_word, at_check = 3 * (np.cumsum(n + size - 1) - (n + size - 1)), np.cumsum(n) - n
+    shared = shared[np.lexsort((place[shared], doc[shared]))]
+    earliest: dict[bytes, int] = {}
+    again, once = [], []
+    raw = checks.tobytes()
+    for r in shared.tolist():
+        content = words[at_word[r] : at_word[r] + 3 * (n[r] + size - 1)] + raw[at_check[r] : at_check[r] + n[r]]
+        lead = earliest.setdefault(content, r)
+        if lead == r:
+            once.append(r)
+        elif (doc[lead], place[lead]) != (doc[r], place[r]):
+            again.append(r)
+        else:
+            once.append(r)  # the same row of a repeated document
+    out = []
+    if again:
+        a = np.array(again)
+        out.append((np.repeat(doc[a], n[a]), np.repeat(key[a], n[a]), np.repeat(place[a], n[a]) + _ramp(n[a])))
+    o = np.array(once)
+    length = n[o] + size - 1
+    flat = np.frombuffer(words, np.uint8).reshape(-1, 3)
+    index = np.repeat(at_word[o] // 3, length) + _ramp(length)
+    symbols = flat[index].astype(np.int64) @ np.array([1, 256, 65536])
+    names, local = np.unique(symbols, return_inverse=True)
+    text = np.zeros(len(local) + len(o), np.int64)  # a separator after each run
+    starts = np.cumsum(length + 1) - (length + 1)
+    text[np.repeat(starts, length) + _ramp(length)] = local + 1
+    del names
+    windows = np.repeat(starts, n[o]) + _ramp(n[o])
+    matched, low, _ = FmIndex(text).search(text, windows, size)
+    hit = np.flatnonzero(matched == size)
+    if len(hit):
+        d, k, p = np.repeat(doc[o], n[o])[hit], np.repeat(key[o], n[o])[hit], (np.repeat(place[o], n[o]) + _ramp(n[o]))[hit]
+        c, same_as = checks[np.repeat(at_check[o], n[o]) + _ramp(n[o])][hit], low[hit]
+        order = np.lexsort((p, d, c, same_as))
+        d, k, p, c, same_as = d[order], k[order], p[order], c[order], same_as[order]
+        same = np.concatenate(([False], (same_as[1:] == same_as[:-1]) & (c[1:] == c[:-1])))
+        lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
+        gone = same & ~((d == d[lead]) & (p == p[lead]))
+        out.append((d[gone], k[gone], p[gone]))
+    return out
+
+
+def _judged(types: pa.Schema, buckets: int, size: int):
     def run(table: pa.Table) -> pa.Table:
-        doc, key, place, low, high = [], [], [], [], []
-        done = []
-        for row in table.to_pylist():
-            found = _unpack(row)
-            if row["high"] is None:
-                done.append(found)
-                continue
-            for held, x in zip((doc, key, place, low, high), (*found, np.frombuffer(row["low"], np.uint16), np.frombuffer(row["high"], np.uint64)), strict=True):
-                held.append(x)
-        if doc:
-            doc, key, place, low, high = map(np.concatenate, (doc, key, place, low, high))
-            order = np.lexsort((place, doc, low, high))
-            doc, key, place, low, high = doc[order], key[order], place[order], low[order], high[order]
-            same = np.concatenate(([False], (high[1:] == high[:-1]) & (low[1:] == low[:-1])))
-            lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
-            gone = same & ~((doc == doc[lead]) & (place == place[lead]))
-            done.append((doc[gone], key[gone], place[gone]))
+        rows = table.to_pylist()
+        done = [_unpack(r) for r in rows if r["runs"] is None]
+        if runs := [r for r in rows if r["runs"] is not None]:
+            done += _search(runs, size)
         out = []
         if done:
             doc, key, place = (np.concatenate([d[i] for d in done]) for i in range(3))
             bucket = (mix(doc.astype(np.uint64) + mix(key.astype(np.uint64))) % np.uint64(buckets)).astype(np.int64)
             order = np.lexsort((place, key, doc, bucket))
             doc, key, place, bucket = doc[order], key[order], place[order], bucket[order]
-            new = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
-            first = np.concatenate(([True], new)) if len(doc) else np.zeros(0, bool)
-            cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(doc) else np.zeros(1, int)
-            for a, b in zip(cut[:-1], cut[1:], strict=True):
+            first = np.concatenate(([True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])))[: len(doc)]
+            for a, b in _cuts(bucket) if len(doc) else ():
                 at = np.flatnonzero(first[a:b]) + a
-                out.append(_pack(int(bucket[a]), doc[at], key[at], np.diff(np.append(at, b)), place[a:b], None, None))
+                at = at if len(at) and at[0] == a else np.append(a, at)
+                out.append(_pack(int(bucket[a]), doc[at], key[at], np.diff(np.append(at, b)), place[a:b]))
         return pa.Table.from_pylist(out, schema=types)
 
     return run
@@ -228,7 +306,7 @@ def find_repeats(df: DataFrame, size: int = SIZE, shards: int | None = None) ->
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = shards or max(64, 4 * partitions)
     packed = df.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "text").mapInArrow(_hashed(shards, size)(arrow_schema(spark, PACKED)), PACKED)
-    judged = packed.groupBy("shard").applyInArrow(_judged(arrow_schema(spark, PACKED), max(16, partitions)), PACKED)
+    judged = packed.groupBy("shard").applyInArrow(_judged(arrow_schema(spark, PACKED), max(16, partitions), size), PACKED)
     out = "doc_id long, key long, ranges binary"
     return judged.groupBy("shard").applyInArrow(_listed(arrow_schema(spark, out), size), out)
 

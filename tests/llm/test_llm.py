@@ -334,3 +334,26 @@ def test_pipeline_stages(spark, tmp_path, texts):
     assert set(held) == {1, 4}
     assert "[SECRET]" in held[4].text and held[4].n_chars == len(held[4].text)
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == [1, 4]
+
+
+def test_fm_index_matching_statistics():
+    import numpy as np
+
+    from logspark.llm.fmindex import FmIndex
+
+    r = np.random.default_rng(4)
+    for sigma in (1, 3, 40):
+        parts = [r.integers(1, sigma + 1, r.integers(8, 60)) for _ in range(20)]
+        text = np.concatenate([x for p in parts for x in (p, [0])])
+        starts = np.concatenate([np.arange(len(p) - 5) + at for p, at in zip(parts, np.cumsum([0, *[len(p) + 1 for p in parts[:-1]]]), strict=True)])
+        matched, low, high = FmIndex(text).search(text, starts, 6)
+        grams = collections.Counter(tuple(text[i : i + 6]) for i in starts)
+        for s, m, a, b in zip(starts, matched, low, high, strict=True):
+            n = grams[tuple(text[s : s + 6])]
+            assert (m == 6) == (n > 1)
+            assert n == 1 or b - a == n
+        same = collections.defaultdict(set)
+        for s, m, a in zip(starts, matched, low, strict=True):
+            if m == 6:
+                same[tuple(text[s : s + 6])].add(a)
+        assert all(len(v) == 1 for v in same.values())
