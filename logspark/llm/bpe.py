@@ -145,8 +145,15 @@ class Bpe:
                 ids.append(self.special[part])
             elif part:
                 # lower-casing goes by single characters: a final capital sigma has no form of its own
-                for p in self.pieces.findall(part.lower() if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()):
-                    ids += self.piece(p)
+                part = part.lower() if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+                if part.isalpha():  # letters only are one pre-token
+                    ids += self.piece(part)
+                elif part[:-1].isalpha():
+                    ids += self.piece(part[:-1])
+                    ids += self.piece(part[-1])
+                else:
+                    for p in self.pieces.findall(part):
+                        ids += self.piece(p)
         found = len(ids), pack(f"<{len(ids)}I", *ids), self.decode(ids)
         if len(word) <= 256:
             self.words.put(word, found)

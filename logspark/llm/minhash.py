@@ -204,4 +204,7 @@ def drop_near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: s
     judged = written(near_duplicates(df, k, percent, id_col, text_col), "judged")
     gone = small(judged.where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
     left = df.join(gone, df[f"`{id_col}`"] == gone["_gone"], "left_anti")
-    return left.dropDuplicates([id_col]) if _repeats(judged) else left
+    if not _repeats(judged.where("doc_id is not null")):
+        return left
+    known = F.col(f"`{id_col}`").isNotNull()
+    return left.where(known).dropDuplicates([id_col]).union(left.where(~known))
