@@ -215,3 +215,27 @@ def test_every_query_runs(spark):
     assert set(QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_extensions(spark):
+    from logspark.operators import extend as E
+
+    df = spark.createDataFrame([("error: x", "TRUE"), ("fine", None)], "line string, flag string")
+    E.register_includes(spark)
+    assert E.run_sql(spark, "SELECT count(*) AS n FROM {d} WHERE includes(line, :v)", {"v": "error"}, d=df).head().n == 1
+    assert [r.x for r in df.select(E.truthy(E.expr("flag")).alias("x")).collect()] == [True, False]
+    E.register(spark, "shout", lambda s: s.str.upper(), "string")
+    assert E.run_sql(spark, "SELECT shout('a') AS x").head().x == "A"
+
+
+def test_model_matches_operators(spark):
+    from logspark.model import DDL, schema
+
+    e = indexed_events(spark, SF)
+    postings = I.distinct_tokens(e)
+    made = {"events": e, "postings": postings, "filters": I.build_bloom(I.assign_parts(postings)), "chunks": I.chunk_bounds(e)}
+    for name, df in made.items():
+        types = {f.name: f.dataType.simpleString() for f in schema(name)}
+        assert set(types) <= set(df.columns), name
+        assert types == {c: df.schema[c].dataType.simpleString() for c in types}
+    assert all(schema(n) for n in DDL)
