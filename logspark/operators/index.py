@@ -143,7 +143,8 @@ def _append(df: DataFrame, path: str, *by: str) -> None:
 def write_filters(df: DataFrame, root: str, kind: str = "filters") -> None:
     """K1. Bitmaps or postings by target and day, sorted so that chunks and buckets are found by row groups."""
     day = df.withColumn("bucket_day", F.date_format(F.timestamp_millis("bucket"), "yyyy-MM-dd"))
-    rows = day.repartition("target", "bucket_day").sortWithinPartitions("target", "bucket_day", "bucket", "object_id", "chunk_id")
+    order = ["target", "bucket_day", "bucket", "object_id", "chunk_id"]
+    rows = day.repartitionByRange(*order).sortWithinPartitions(*order)  # by range, so that a busy day is spread out
     _append(rows, f"{root}/{kind}", "target", "bucket_day")
 
 

@@ -122,7 +122,7 @@ def read_results(spark: SparkSession, root: str, query_id: str, schema, kind: st
 
 def write_query_log(df: DataFrame, root: str) -> None:
     """K14. By query, in order of time."""
-    df.repartition("query_id").sortWithinPartitions("query_id", "worker_id", "ts").write.mode("append").partitionBy("query_id").parquet(f"{root}/query_log")
+    df.repartitionByRange("query_id", "worker_id", "ts").sortWithinPartitions("query_id", "worker_id", "ts").write.mode("append").partitionBy("query_id").parquet(f"{root}/query_log")
 
 
 def run_with_deadline(spark: SparkSession, fn: Callable[[], object], ms: int) -> tuple[object, bool]:
