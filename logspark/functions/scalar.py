@@ -192,18 +192,19 @@ def otlp_body(col) -> Column:
     return F.coalesce(F.get_json_object(_c(col), "$.stringValue"), any_value_to_json(col))
 
 
-MARKER = "_tenx_"
+#: Prefix of attributes that only carry times and resource keys between systems; a parameter where others use another.
+MARKER = "_carried_"
 
 
-def split_markers(attributes) -> Column:
+def split_markers(attributes, prefix: str = MARKER) -> Column:
     """C18. Attributes without the carried markers."""
-    return F.map_filter(_c(attributes), lambda k, v: ~k.startswith(MARKER))
+    return F.map_filter(_c(attributes), lambda k, v: ~k.startswith(prefix))
 
 
-def join_markers(attributes, **markers) -> Column:
+def join_markers(attributes, prefix: str = MARKER, **markers) -> Column:
     """C18. Attributes with markers added; a key that is there already keeps its value."""
     held = F.coalesce(_c(attributes), F.expr("cast(map() as map<string,string>)"))
-    more = F.create_map(*[x for k, v in markers.items() for x in (F.lit(MARKER + k), _c(v).cast("string"))])
+    more = F.create_map(*[x for k, v in markers.items() for x in (F.lit(prefix + k), _c(v).cast("string"))])
     return F.map_concat(held, F.map_filter(more, lambda k, v: v.isNotNull() & ~F.map_contains_key(held, k)))
 
 
@@ -242,7 +243,7 @@ def truncate_dimension(value, name) -> Column:
     return F.when(n == "level", F.upper(F.left(F.coalesce(F.nullif(v, F.lit("")), F.lit("UNCLASSIFIED")), F.lit(4)))).when(n == "http", F.left(v, F.lit(3))).otherwise(F.left(v, F.lit(10)))
 
 
-STANDARD_FIELDS = ("type", "message_pattern", "tenx_user_service", "summaryVolume", "summaryBytes", "summaryTotals")
+STANDARD_FIELDS = ("type", "message_pattern", "user_service", "summaryVolume", "summaryBytes", "summaryTotals")
 
 
 def dimensions(columns: list[str], skip: tuple[str, ...] = STANDARD_FIELDS) -> Column:

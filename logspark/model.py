@@ -13,7 +13,7 @@ DDL = {
     "postings": "target STRING, bucket BIGINT, object_id STRING, chunk_id BIGINT, token STRING",
     "templates": "template_hash STRING, template STRING, first_seen BIGINT",
     "ranges": "object_id STRING, offset BIGINT, length BIGINT",
-    "summaries": "message_pattern STRING, tenx_user_service STRING, severity_level STRING, http_code STRING, summaryVolume BIGINT, summaryBytes BIGINT",
+    "summaries": "message_pattern STRING, user_service STRING, severity_level STRING, http_code STRING, summaryVolume BIGINT, summaryBytes BIGINT",
     "encoded_events": "seq BIGINT, template_hash STRING, template STRING, encoded STRING",
     "query_summary": "query_id STRING, scanned BIGINT, matched BIGINT, skipped_search BIGINT, skipped_template BIGINT, requests BIGINT, reason STRING",
     "query_log": "query_id STRING, worker_id STRING, ts TIMESTAMP, level STRING, message STRING, data MAP<STRING,STRING>",

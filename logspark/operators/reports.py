@@ -54,11 +54,11 @@ def with_rank(df: DataFrame, value: str, tie: str) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(W.orderBy(F.desc(value), tie)))
 
 
-def top_patterns(summaries: DataFrame, n: int = 10) -> DataFrame:
+def top_patterns(summaries: DataFrame, n: int = 10, service: str = "user_service") -> DataFrame:
     """T3. Patterns by bytes with their share of all bytes."""
-    sums = summaries.groupBy("message_pattern", "tenx_user_service").agg(F.sum("summaryBytes").alias("bytes"), F.sum("summaryVolume").alias("volume"))
-    cut = with_share(sums, "bytes").orderBy(F.desc("bytes"), "message_pattern", "tenx_user_service").limit(n)
-    return cut.select(F.left("message_pattern", F.lit(200)).alias("pattern"), F.left("tenx_user_service", F.lit(40)).alias("service"), "bytes", "volume", "share")
+    sums = summaries.groupBy("message_pattern", F.col(service).alias("user_service")).agg(F.sum("summaryBytes").alias("bytes"), F.sum("summaryVolume").alias("volume"))
+    cut = with_share(sums, "bytes").orderBy(F.desc("bytes"), "message_pattern", "user_service").limit(n)
+    return cut.select(F.left("message_pattern", F.lit(200)).alias("pattern"), F.left("user_service", F.lit(40)).alias("service"), "bytes", "volume", "share")
 
 
 def template_volume(encoded: DataFrame) -> DataFrame:

@@ -62,13 +62,13 @@ def indexed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as summaries: pattern, service, level and code from their fields."""
     return raw_events(spark, sf_dir).select(
-        F.concat_ws(" ", F.lit("pattern"), "event_type", (F.col("user_id") % 7).cast("string")).alias("message_pattern"), F.concat(F.lit("svc"), (F.col("user_id") % 3).cast("string")).alias("tenx_user_service"),
+        F.concat_ws(" ", F.lit("pattern"), "event_type", (F.col("user_id") % 7).cast("string")).alias("message_pattern"), F.concat(F.lit("svc"), (F.col("user_id") % 3).cast("string")).alias("user_service"),
         F.when(F.col("event_type") == "error", "warning").otherwise("information").alias("severity_level"), F.concat((F.col("event_id") % 5 * 100).cast("string"), F.lit(" status")).alias("http_code"),
         F.lit(1).cast("long").alias("summaryVolume"), (F.octet_length("props") + F.octet_length("event_type")).cast("long").alias("summaryBytes"), "event_type", "event_id", "ts_ms", "day", "user_id",
     )
 
 
-SUMMARIES = """s AS (SELECT concat('pattern ', event_type, ' ', user_id % 7) AS message_pattern, concat('svc', user_id % 3) AS tenx_user_service,
+SUMMARIES = """s AS (SELECT concat('pattern ', event_type, ' ', user_id % 7) AS message_pattern, concat('svc', user_id % 3) AS user_service,
  CASE WHEN event_type = 'error' THEN 'warning' ELSE 'information' END AS severity_level, concat(event_id % 5 * 100, ' status') AS http_code,
  1 AS vol, strlen(props) + strlen(event_type) AS byt, event_type, event_id, user_id, epoch_us(ts) // 1000 AS ts_ms, strftime(ts, '%Y-%m-%d') AS day FROM events)"""
 
@@ -409,7 +409,7 @@ def report_totals(spark, sf_dir):
     return out.withColumn("compression", F.col("compression").cast("double"))
 
 
-@query(f"WITH {SUMMARIES}, g AS (SELECT message_pattern, tenx_user_service, sum(byt)::BIGINT b, sum(vol)::BIGINT v FROM s GROUP BY 1, 2) SELECT message_pattern AS pattern, tenx_user_service AS service, b AS bytes, v AS volume, floor(b * 100 / sum(b) OVER () * 10 + 0.5) / 10 AS share FROM g ORDER BY b DESC, 1, 2 LIMIT 10")
+@query(f"WITH {SUMMARIES}, g AS (SELECT message_pattern, user_service, sum(byt)::BIGINT b, sum(vol)::BIGINT v FROM s GROUP BY 1, 2) SELECT message_pattern AS pattern, user_service AS service, b AS bytes, v AS volume, floor(b * 100 / sum(b) OVER () * 10 + 0.5) / 10 AS share FROM g ORDER BY b DESC, 1, 2 LIMIT 10")
 def report_top(spark, sf_dir):
     return T.top_patterns(summaries(spark, sf_dir))
 

@@ -93,7 +93,7 @@ def test_scalars(spark):
     assert [value(S.is_well_formed_utf8(F.unhex(lit(x)))) for x in ("C3A9", "FF")] == [True, False]
     assert value(S.series_hash(lit("a"), lit("b"))) == value(S.series_hash(lit("a"), lit("b"))) != value(S.series_hash(lit("ab"), lit("")))
     assert S.time_slice(0, 100, 10, 3) == 40
-    assert value(S.join_markers(F.create_map(lit("a"), lit("1")), t=lit(5))) == {"a": "1", "_tenx_t": "5"}
+    assert value(S.join_markers(F.create_map(lit("a"), lit("1")), t=lit(5))) == {"a": "1", "_carried_t": "5"}
     assert [value(S.format_bytes(lit(x))) for x in (999, 1500, 2_000_000, 3_100_000_000)] == ["999B", "1.5KB", "2.0MB", "3.1GB"]
     with pytest.raises(Exception, match="unsupported data point"):
         value(S.sample_value(lit("histogram"), lit(1.0), lit(1.0)))
