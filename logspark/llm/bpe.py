@@ -14,13 +14,12 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from functools import lru_cache
 from struct import pack, unpack
 
 import regex
 from pyspark.sql import DataFrame
 
-from logspark.llm.common import id_text, map_rows
+from logspark.llm.common import hold, id_text, map_rows
 
 NONE = 1 << 40
 #: Most words, and most pre-tokens, in a generation of what a Python worker remembers; it holds two generations.
@@ -174,10 +173,9 @@ class Bpe:
         return " ".join([self.token[i] for i in ids])
 
 
-@lru_cache(2)
 def load(path: str) -> Bpe:
-    """One vocabulary for each Python worker, kept between its tasks."""
-    return Bpe(path)
+    """The vocabulary, with what it remembers, of a Python worker."""
+    return hold(("bpe", path), lambda: Bpe(path))
 
 
 def digest(doc_id, text: bytes, bpe: Bpe) -> tuple:
@@ -191,12 +189,12 @@ def encode_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
 
     path is the vocabulary file, which every executor must be able to open (it is part of an installed package).
     """
-    return map_rows(id_text(df, id_col, text_col), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", digest, lambda: load(path))
+    return map_rows(id_text(df, id_col, text_col), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", digest, (("bpe", path), lambda: Bpe(path)))
 
 
 def encode_ids(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and the token ids themselves."""
-    return map_rows(id_text(df, id_col, text_col), "doc_id long, ids array<int>", lambda i, t, bpe: (i, bpe.encode(t.decode("utf-8", "replace"))), lambda: load(path))
+    return map_rows(id_text(df, id_col, text_col), "doc_id long, ids array<int>", lambda i, t, bpe: (i, bpe.encode(t.decode("utf-8", "replace"))), (("bpe", path), lambda: Bpe(path)))
 
 
 def decode_ids(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -20,17 +20,29 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
-def map_rows(df: DataFrame, schema: str, fn: Callable[[object, bytes], tuple], extra: Callable[[], object] | None = None) -> DataFrame:
+_held: list = [None, None]
+
+
+def hold(key: object, make: Callable[[], object]) -> object:
+    """One object for each Python worker, kept between tasks of the same key; a task of another key lets it go first."""
+    if _held[0] != key:
+        _held[:] = [None, None]
+        _held[:] = [key, make()]
+    return _held[1]
+
+
+def map_rows(df: DataFrame, schema: str, fn: Callable[[object, bytes], tuple], extra: tuple[object, Callable[[], object]] | None = None) -> DataFrame:
     """Applies fn(doc_id, utf8 bytes) -> tuple to each row of a (doc_id, text) frame, a batch of rows at a time.
 
-    A null text is passed as empty bytes. Rows stay in their partition: no shuffle. extra, if given, is
-    called once in each task and its result is fn's third argument (an automaton, a model).
+    A null text is passed as empty bytes. Rows stay in their partition: no shuffle. extra, if given, is a key and a
+    function that makes fn's third argument (an automaton, a model), which a worker holds until another key's task.
     """
     spark = df.sparkSession
     types = arrow_schema(spark, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        more = (extra(),) if extra else ()
+        held = hold(*(extra or (None, lambda: None)))
+        more = (held,) if extra else ()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)

@@ -20,13 +20,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logspark.llm.common import ALNUM, id_text, map_rows
+from logspark.llm.common import ALNUM, hold, id_text, map_rows
 
 WINDOW = 13
 #: Benchmark text in one automaton.
 BLOCK_BYTES = 4 << 20
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<long>, spans string"
-_kept: dict[str, ahocorasick.Automaton] = {}
 
 
 def normalise(data: bytes) -> list[bytes]:
@@ -44,17 +43,18 @@ def windows(items: list[tuple[int, bytes]], size: int) -> dict[str, tuple[int, t
     return {k.decode("latin-1"): (n, tuple(ids)) for k, (n, ids) in found.items()}
 
 
+def build(of: dict[str, tuple[int, tuple]]) -> ahocorasick.Automaton:
+    made = ahocorasick.Automaton()
+    for k, (n, ids) in of.items():
+        made.add_word(k, (len(k), n, ids))
+    if of:
+        made.make_automaton()
+    return made
+
+
 def automaton(key: str, of: dict[str, tuple[int, tuple]]) -> ahocorasick.Automaton:
     """Built once in each Python worker."""
-    if key not in _kept:
-        _kept.clear()
-        made = ahocorasick.Automaton()
-        for k, (n, ids) in of.items():
-            made.add_word(k, (len(k), n, ids))
-        if of:
-            made.make_automaton()
-        _kept[key] = made
-    return _kept[key]
+    return hold(("windows", key), lambda: build(of))
 
 
 def scan(data: bytes, machine: ahocorasick.Automaton) -> tuple[int, list[tuple[int, int]], set]:
@@ -121,7 +121,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     held = [(hashlib.sha256(repr(sorted(w.items())).encode()).hexdigest(), docs.sparkSession.sparkContext.broadcast(w)) for w in made]
     if len(held) == 1:
         (key, sent), = held
-        return map_rows(df, SCHEMA, lambda i, t, m: row(i, t, *scan(t, m)), lambda: automaton(key, sent.value))
+        return map_rows(df, SCHEMA, lambda i, t, m: row(i, t, *scan(t, m)), (("windows", key), lambda: build(sent.value)))
     return _by_blocks(df, held)
 
 

@@ -20,7 +20,7 @@ import zlib
 import ahocorasick
 from pyspark.sql import DataFrame
 
-from logspark.llm.common import LOWER, id_text, map_rows
+from logspark.llm.common import LOWER, hold, id_text, map_rows
 
 BASE = ("assign", "access", "hex")
 # Token prefixes and forms as their issuers publish them.
@@ -110,7 +110,7 @@ def row(doc_id, data: bytes, of) -> tuple:
 
 def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of df: counts of the base kinds, digest of their spans, and all spans as kind:start:end."""
-    return map_rows(id_text(df, id_col, text_col), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string", row, machine)
+    return map_rows(id_text(df, id_col, text_col), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string", row, ("secrets", machine))
 
 
 def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]", count_col: str | None = None) -> DataFrame:
@@ -122,7 +122,7 @@ def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]", count_
 
     @F.pandas_udf("string")
     def clean(texts):
-        of = machine()
+        of = hold("secrets", machine)
 
         def one(text):
             if text is None:

@@ -19,6 +19,7 @@ the sample, not with the corpus, and is what tasks hold. Scoring is one pass wit
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -197,5 +198,5 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """One row for each row of docs: doc_id, held_out, score, predicted, and the significant segments as word numbers."""
     df = id_text(docs, id_col, text_col)
     sent = df.sparkSession.sparkContext.broadcast(train(df, labels, sample))
-    out = map_rows(df, "doc_id long, score double, segments string", _judge, lambda: (sent.value, {}))
+    out = map_rows(df, "doc_id long, score double, segments string", _judge, (("toxicity", uuid.uuid4().hex), lambda: (sent.value, {})))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"), "segments")
