@@ -6,16 +6,17 @@ A window is SIZE consecutive words; a word goes if a window over it has the same
 1. One pass over the texts. Inside a slice of a task's documents repeated windows are found at once, by 80-bit hashes,
    and only the earliest of each goes on, so a passage that a third of all documents share is shuffled once for each
    slice and not once for each document. A window's shard comes from the least hash of its GRAM-word parts; most of its
-   neighbours share it, so windows travel as runs: the words of a run, 24 bits each, and 8 bits of each window's hash.
+   neighbours share it, so windows travel as runs: a symbol of 8 bits for each word, and each window's 80-bit hash.
    Equal windows have equal least parts, so each window has to be looked for in one shard only.
 2. In a shard, runs whose least part no other run has are done: none of their windows is anywhere else. Of equal runs
    only the earliest has to be searched. Over what is left a compressed FM-index is built (a wavelet matrix over the BWT),
    and backward search streams the windows through it: a window whose matching statistic reaches SIZE with two places or
-   more shares its suffix interval with its copies, and all but the earliest of an interval are found.
+   more shares its suffix interval with its copies. Symbols only find these candidates: windows of an interval are equal
+   if their 80-bit hashes are, and all but the earliest of equal ones are found.
 3. Found starts, packed by document, come together, are joined to ranges of words and cut from the text.
 
-Two windows of one least part (64 bits to choose the shard, 32 of them to compare runs) that differ in one word only are
-taken for equal with a probability of 2^-32 (24 bits of the word and 8 of the window).
+Two different windows are taken for equal if their 80-bit hashes and all their symbols are, or if their words differ only
+in words of one 64-bit hash: 2^-64 a pair of words, which is 2.4e-7 for all pairs of three million words of their own.
 
 Edge cases: null, empty and blank texts have no words, and fewer than SIZE words no window; of repeated rows with one
 id and one text none is earlier than the other, both get the same result; a null id counts as the smallest; an empty
@@ -42,6 +43,8 @@ SLICE_BYTES, SLICE_ROWS = 4 << 20, 2048
 #: Rows with removals whose ranges a join may broadcast.
 BROADCAST_ROWS = 250_000
 PACKED = "shard int, docs binary, keys binary, cuts binary, steps binary, runs binary, tags binary, words binary, checks binary"
+#: A window's hash as it travels.
+CHECK = np.dtype([("high", "<u8"), ("low", "<u2")])
 NULL_ID = -(1 << 63)
 
 
@@ -74,6 +77,13 @@ def least_grams(words: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(low[: len(low) - (n - width)], low[n - width :]) if n > width else low
 
 
+def _checks(high: np.ndarray, low: np.ndarray) -> bytes:
+    """The 80-bit hashes of windows, ten bytes each."""
+    out = np.empty(len(high), CHECK)
+    out["high"], out["low"] = high, low
+    return out.tobytes()
+
+
 def _slices(batches):
     """Lists of (id, key, text) of bounded size."""
     held, size = [], 0
@@ -134,7 +144,7 @@ def _hashed(shards: int, size: int):
             gone = np.sort(order[again])
             first = np.sort(order[~again])
             yield from _found(gone, doc, place, ids, keys, shards)
-            yield from _runs(first, least_grams(joined, size)[index], index, doc, place, ids, keys, low, joined, size, shards)
+            yield from _runs(first, least_grams(joined, size)[index], index, doc, place, ids, keys, high, low, joined, size, shards)
 
     def batches(it):
         for row in run(it):
@@ -170,7 +180,7 @@ def _ramp(lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
 
-def _runs(first, least, index, doc, place, ids, keys, low, words, size, shards):
+def _runs(first, least, index, doc, place, ids, keys, high, low, words, size, shards):
     """Packed rows of runs: neighbouring windows of one least part, with the words they cover."""
     if not len(first):
         return
@@ -191,10 +201,10 @@ def _runs(first, least, index, doc, place, ids, keys, low, words, size, shards):
         at, long_ = head[a:b], n[a:b]
         d, counts = np.unique(doc[at], return_counts=True)
         covered = words[np.repeat(index[at], long_ + size - 1) + _ramp(long_ + size - 1)]
-        checks = low[first[np.repeat(begin[a:b], long_) + _ramp(long_)]]
+        held = first[np.repeat(begin[a:b], long_) + _ramp(long_)]
         out.append(_pack(
             int(shard[a]), ids[d], keys[d], counts, place[at], runs=long_.astype(np.uint8).tobytes(), tags=(least[at] >> np.uint64(32)).astype(np.uint32).tobytes(),
-            words=np.ascontiguousarray(covered.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :3]).tobytes(), checks=checks.astype(np.uint8).tobytes(),
+            words=covered.astype(np.uint8).tobytes(), checks=_checks(high[held], low[held]),
         ))
         if len(out) == 256:
             yield out
@@ -208,18 +218,18 @@ def _search(rows: list[dict], size: int) -> list[tuple[np.ndarray, ...]]:
     parts = [(*_unpack(r), np.frombuffer(r["runs"], np.uint8).astype(np.int64), np.frombuffer(r["tags"], np.uint32)) for r in rows]
     doc, key, place, n, tag = (np.concatenate([p[i] for p in parts]) for i in range(5))
     words = b"".join([r["words"] for r in rows])
-    checks = np.frombuffer(b"".join([r["checks"] for r in rows]), np.uint8)
+    raw = b"".join([r["checks"] for r in rows])
+    checks, width = np.frombuffer(raw, CHECK), CHECK.itemsize
     _, inverse, counts = np.unique(tag, return_inverse=True, return_counts=True)
     shared = np.flatnonzero(counts[inverse] > 1)
     if not len(shared):
         return []
-    at_word, at_check = 3 * (np.cumsum(n + size - 1) - (n + size - 1)), np.cumsum(n) - n
+    at_word, at_check = np.cumsum(n + size - 1) - (n + size - 1), np.cumsum(n) - n
     shared = shared[np.lexsort((place[shared], doc[shared]))]
     earliest: dict[bytes, int] = {}
     again, once = [], []
-    raw = checks.tobytes()
     for r in shared.tolist():
-        content = words[at_word[r] : at_word[r] + 3 * (n[r] + size - 1)] + raw[at_check[r] : at_check[r] + n[r]]
+        content = words[at_word[r] : at_word[r] + n[r] + size - 1] + raw[width * at_check[r] : width * (at_check[r] + n[r])]
         lead = earliest.setdefault(content, r)
         if lead == r:
             once.append(r)
@@ -233,23 +243,19 @@ def _search(rows: list[dict], size: int) -> list[tuple[np.ndarray, ...]]:
         out.append((np.repeat(doc[a], n[a]), np.repeat(key[a], n[a]), np.repeat(place[a], n[a]) + _ramp(n[a])))
     o = np.array(once)
     length = n[o] + size - 1
-    flat = np.frombuffer(words, np.uint8).reshape(-1, 3)
-    index = np.repeat(at_word[o] // 3, length) + _ramp(length)
-    symbols = flat[index].astype(np.int64) @ np.array([1, 256, 65536])
-    names, local = np.unique(symbols, return_inverse=True)
-    text = np.zeros(len(local) + len(o), np.int64)  # a separator after each run
+    symbols = np.frombuffer(words, np.uint8)[np.repeat(at_word[o], length) + _ramp(length)]
+    text = np.zeros(len(symbols) + len(o), np.int64)  # a separator after each run
     starts = np.cumsum(length + 1) - (length + 1)
-    text[np.repeat(starts, length) + _ramp(length)] = local + 1
-    del names
+    text[np.repeat(starts, length) + _ramp(length)] = symbols.astype(np.int64) + 1
     windows = np.repeat(starts, n[o]) + _ramp(n[o])
     matched, low, _ = FmIndex(text).search(text, windows, size)
     hit = np.flatnonzero(matched == size)
     if len(hit):
         d, k, p = np.repeat(doc[o], n[o])[hit], np.repeat(key[o], n[o])[hit], (np.repeat(place[o], n[o]) + _ramp(n[o]))[hit]
         c, same_as = checks[np.repeat(at_check[o], n[o]) + _ramp(n[o])][hit], low[hit]
-        order = np.lexsort((p, d, c, same_as))
+        order = np.lexsort((p, d, c["low"], c["high"], same_as))
         d, k, p, c, same_as = d[order], k[order], p[order], c[order], same_as[order]
-        same = np.concatenate(([False], (same_as[1:] == same_as[:-1]) & (c[1:] == c[:-1])))
+        same = np.concatenate(([False], (same_as[1:] == same_as[:-1]) & (c["high"][1:] == c["high"][:-1]) & (c["low"][1:] == c["low"][:-1])))
         lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
         gone = same & ~((d == d[lead]) & (p == p[lead]))
         out.append((d[gone], k[gone], p[gone]))

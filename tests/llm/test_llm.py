@@ -5,9 +5,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from logspark.llm import bpe, decontaminate, htmltext, licenses, minhash, pii, quality, secrets, substrings, toxicity
+from logspark.llm.common import word_hashes
 from logspark.llm.queries import VOCABULARY
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -261,6 +263,29 @@ def test_substrings(frame, texts, monkeypatch, rows_in_slice):
     assert {r.doc_id: r.n_removed for r in nulls} == {None: 29, 1: 30}
 
 
+def colliding_words(size):
+    """Words before and after a place, and two words for it that collide in 24 bits and with 8 bits of a window's hash."""
+    words = np.array([f"own{i}" for i in range(300_000)])
+    hashes = word_hashes(" ".join(words).encode())
+    order = np.argsort(hashes & np.uint64(0xFFFFFF))
+    same = np.flatnonzero(np.diff(hashes[order] & np.uint64(0xFFFFFF)) == 0)
+    around = [f"site{i}" for i in range(2 * size - 2)]
+    for a, b in zip(order[same], order[same + 1], strict=True):
+        pages = [[*around[: size - 1], w, *around[size - 1 :]] for w in (words[a], words[b])]
+        h = [word_hashes(" ".join(x).encode()) for x in pages]
+        x, y = (substrings.window_hashes(v, size, 1) & np.uint64(0xFF) for v in h)
+        if ((x == y) & (substrings.least_grams(h[0], size) == substrings.least_grams(h[1], size))).any():
+            return [" ".join(x) for x in pages]
+    raise AssertionError("no collision")
+
+
+def test_substrings_of_colliding_words(frame, monkeypatch):
+    monkeypatch.setattr(substrings, "SLICE_ROWS", 1)
+    a, b = colliding_words(substrings.SIZE)
+    got = substrings.remove_repeats(frame([(1, a), (2, b), (3, a)]), with_text=False).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {1: 0, 2: 0, 3: 39}
+
+
 def test_quality(frame, texts):
     rows = [*texts, (70, "### " * 80), (71, "a b c d e f g " * 20)]
     want = collections.Counter()
