@@ -3,6 +3,10 @@
 A window is SIZE consecutive words; a word goes if a window over it has the same words as one that starts earlier
 (smaller id, or the same document and an earlier place). Windows are judged on the input.
 
+0. A first pass counts windows by their least part, in 2^18 groups of parts, combined in each task. The number of shards
+   follows from the total. Windows of a group with more than HOT are spread over all shards by their full hash, each on
+   its own, so a part that stands among many different neighbours fills no single shard. Counts choose the way of a
+   window only: they may be too high (repeated windows are counted), never change a result.
 1. One pass over the texts. Inside a slice of a task's documents repeated windows are found at once, by 80-bit hashes,
    and only the earliest of each goes on, so a passage that a third of all documents share is shuffled once for each
    slice and not once for each document. A window's shard comes from the least hash of its GRAM-word parts; most of its
@@ -43,6 +47,10 @@ SLICE_BYTES, SLICE_ROWS = 4 << 20, 2048
 #: Rows with removals whose ranges a join may broadcast.
 BROADCAST_ROWS = 250_000
 PACKED = "shard int, docs binary, keys binary, cuts binary, steps binary, runs binary, tags binary, words binary, checks binary"
+#: Windows of a shard, on average, and of a group of least parts that stay together; found places of a bucket of documents.
+SHARD_WINDOWS, HOT, BUCKET_PLACES = 1_000_000, 250_000, 4_000_000
+#: Groups of least parts are told apart by this many bits.
+GROUP_BITS = 18
 #: A window's hash as it travels.
 CHECK = np.dtype([("high", "<u8"), ("low", "<u2")])
 NULL_ID = -(1 << 63)
@@ -115,7 +123,38 @@ def _unpack(row: dict) -> tuple[np.ndarray, ...]:
     return np.repeat(np.frombuffer(row["docs"], np.int64), counts), np.repeat(np.frombuffer(row["keys"], np.int64), counts), places
 
 
-def _hashed(shards: int, size: int):
+def _groups(least: np.ndarray) -> np.ndarray:
+    """The group of each least part."""
+    return (mix(least) >> np.uint64(64 - GROUP_BITS)).astype(np.int64)
+
+
+def _counted(size: int):
+    """(part, n) rows: the windows of each group of least parts in a task."""
+
+    def run(batches):
+        total = np.zeros(1 << GROUP_BITS, np.int64)
+        for b in batches:
+            for t in b.column(0).cast(pa.large_binary()):
+                words = word_hashes(t.as_py() or b"")
+                if len(words) >= size:
+                    np.add.at(total, _groups(least_grams(words, size)), 1)
+        held = np.flatnonzero(total)
+        for at in range(0, len(held), 1 << 16):
+            part = held[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["part", "n"])
+
+    return run
+
+
+def count_windows(df: DataFrame, size: int = SIZE) -> tuple[int, np.ndarray]:
+    """The number of windows of (text) rows, and the groups of least parts with more than HOT of them (total / HOT at most)."""
+    counts = df.select("text").mapInArrow(_counted(size), "part int, n long").groupBy("part").agg(F.sum("n").alias("n"))
+    total, hot, more = counts.agg(F.sum("n"), F.collect_list(F.when(F.col("n") > HOT, F.col("part"))), F.sum(F.when(F.col("n") > HOT, F.col("n")))).head()
+    # A window that travels on its own brings all its words: it weighs as much as seven in a run.
+    return (total or 0) + 6 * (more or 0), np.array(sorted(hot), np.int64)
+
+
+def _hashed(shards: int, size: int, hot: np.ndarray):
     types = None
 
     def run(batches):
@@ -144,7 +183,7 @@ def _hashed(shards: int, size: int):
             gone = np.sort(order[again])
             first = np.sort(order[~again])
             yield from _found(gone, doc, place, ids, keys, shards)
-            yield from _runs(first, least_grams(joined, size)[index], index, doc, place, ids, keys, high, low, joined, size, shards)
+            yield from _runs(first, least_grams(joined, size)[index], hot, index, doc, place, ids, keys, high, low, joined, size, shards)
 
     def batches(it):
         for row in run(it):
@@ -180,11 +219,17 @@ def _ramp(lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
 
-def _runs(first, least, index, doc, place, ids, keys, high, low, words, size, shards):
-    """Packed rows of runs: neighbouring windows of one least part, with the words they cover."""
+def _runs(first, least, hot, index, doc, place, ids, keys, high, low, words, size, shards):
+    """Packed rows of runs: neighbouring windows of one least part, with the words they cover; hot ones are on their own."""
     if not len(first):
         return
-    new = np.concatenate(([True], (first[1:] != first[:-1] + 1) | (least[first[1:]] != least[first[:-1]]) | (doc[first[1:]] != doc[first[:-1]])))
+    alone = np.zeros(len(least), bool)
+    if len(hot):
+        spread = np.zeros(1 << GROUP_BITS, bool)
+        spread[hot] = True
+        alone = spread[_groups(least)]
+        least = np.where(alone, mix(high + np.uint64(1)), least)  # equal windows have equal hashes, too
+    new = np.concatenate(([True], (first[1:] != first[:-1] + 1) | (least[first[1:]] != least[first[:-1]]) | (doc[first[1:]] != doc[first[:-1]]) | alone[first[1:]] | alone[first[:-1]]))
     begin = np.flatnonzero(new)
     n = np.diff(np.append(begin, len(first)))
     long = n > 255  # a run's length fits in a byte; longer ones are cut
@@ -310,9 +355,11 @@ def find_repeats(df: DataFrame, size: int = SIZE, shards: int | None = None) ->
     """(doc_id, key, ranges) of the documents (doc_id, key, text) with words to remove; ranges are packed int pairs."""
     spark = df.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = shards or max(64, 4 * partitions)
-    packed = df.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "text").mapInArrow(_hashed(shards, size)(arrow_schema(spark, PACKED)), PACKED)
-    judged = packed.groupBy("shard").applyInArrow(_judged(arrow_schema(spark, PACKED), max(16, partitions), size), PACKED)
+    windows, hot = count_windows(df, size)
+    shards = shards or max(64, 4 * partitions, -(-windows // SHARD_WINDOWS))
+    buckets = max(16, partitions, -(-windows // BUCKET_PLACES))
+    packed = df.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "text").mapInArrow(_hashed(shards, size, hot)(arrow_schema(spark, PACKED)), PACKED)
+    judged = packed.groupBy("shard").applyInArrow(_judged(arrow_schema(spark, PACKED), buckets, size), PACKED)
     out = "doc_id long, key long, ranges binary"
     return judged.groupBy("shard").applyInArrow(_listed(arrow_schema(spark, out), size), out)
 

@@ -6,10 +6,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from logspark.llm import bpe, decontaminate, htmltext, licenses, minhash, pii, quality, secrets, substrings, toxicity
-from logspark.llm.common import word_hashes
+from logspark.llm.common import arrow_schema, word_hashes
 from logspark.llm.queries import VOCABULARY
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -286,6 +288,34 @@ def test_substrings_of_colliding_words(frame, monkeypatch):
     assert {r.doc_id: r.n_removed for r in got} == {1: 0, 2: 0, 3: 39}
 
 
+def test_substrings_of_a_hot_part(frame, spark, monkeypatch):
+    r = random.Random(8)
+    words = [f"n{i}" for i in range(2000)]
+    least = min((tuple(r.sample(words, 4)) for _ in range(4000)), key=lambda g: substrings.window_hashes(word_hashes(" ".join(g).encode()), 4, 2)[0])
+    rows = [(i, " ".join([*r.choices(words, k=16), *least, *r.choices(words, k=16)])) for i in range(300)]
+    rows += [(300 + i, f"x{i} {rows[i][1]}") for i in range(20)]  # copies of some of them
+
+    def largest():
+        docs = frame(rows).select("doc_id", "text").withColumn("key", F.xxhash64("text"))
+        windows, hot = substrings.count_windows(docs)
+        held = [(i, 0, t) for i, t in rows]
+        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held, strict=True)], names=["doc_id", "key", "text"])
+        types = arrow_schema(spark, substrings.PACKED)
+        packed = pa.Table.from_batches(list(substrings._hashed(64, 20, hot)(types)([batch]))).to_pylist()
+        return windows, len(hot), max(collections.Counter(x["shard"] for x in packed for _ in range(len(x["checks"] or b"") // 10)).values())
+
+    total, hot, before = largest()
+    assert (total, hot) == (sum(len(t.split()) - 19 for _, t in rows), 0)
+    monkeypatch.setattr(substrings, "HOT", 1000)
+    _, hot, after = largest()
+    assert hot == 1
+    assert before > 3000 > 1000 > after
+    monkeypatch.setattr(substrings, "SLICE_ROWS", 50)
+    monkeypatch.setattr(substrings, "SHARD_WINDOWS", 50)
+    got = substrings.remove_repeats(frame(rows), with_text=False).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {i: 36 if i >= 300 else 0 for i, _ in rows}
+
+
 def test_quality(frame, texts):
     rows = [*texts, (70, "### " * 80), (71, "a b c d e f g " * 20)]
     want = collections.Counter()
