@@ -2,7 +2,9 @@
 
 1. Each page's markup is read once, in linear time, into a flat list of texts and block ends; an element is a range of
    that list. Ranges of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments,
-   known by tag, role or class, are cut. Of the other containers (div, section, lists, tables), short or link-heavy
+   known by tag, role or class, are cut; but what is known by role or class, and forms, asides and headers, never if they
+   hold an article, a main area or most of the page's prose (text outside links): such a page is read once more. Headings
+   and inline elements have no telling class or id, other elements only as a whole token or known compound. Of the other containers (div, section, lists, tables), short or link-heavy
    subtrees are hashed.
 2. Spark counts on how many pages of its host each subtree stands; one that recurs on MIN_PAGES pages and on SHARE of
    the host's pages is a template. Counts are pre-aggregated by (host, hash) before the shuffle, so a host with most of
@@ -52,46 +54,84 @@ SPACE = re.compile(r"\s+")
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
+#: Cut by tag, but for what they hold.
+WEAK = frozenset("form aside header dialog menu".split())
+#: Never cut by class or id: headings and what stands inside a line.
+UNNAMED = frozenset(
+    "html body article main p h1 h2 h3 h4 h5 h6 a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split()
+)
+#: Compounds of a name that are parts of a site, such as cookie-banner or related-posts.
+PARTS = frozenset(
+    "ad ads banner bar block box button buttons consent container content feed footer form header icons inner item items label link links list menu message modal nav notice overlay panel popup posts slot thread unit widget widgets wrap wrapper".split()
+)
+SITES = frozenset("site page main global primary secondary top bottom left right sub mobile".split())
+#: Layout classes start with these names as well: their compounds are only known with SITES in front.
+LAYOUT = frozenset("header footer sidebar nav navigation aside menu search".split())
+
+
+def _site_part(token: str) -> bool:
+    """Whether a class or id, as a whole or as a known compound, names a part of a site."""
+    token = token.replace("_", "-")
+    first, dash, last = token.partition("-")
+    return token in NAMES or (dash != "" and ((first in NAMES and last in PARTS and (first not in LAYOUT or last not in ("container", "content", "wrap", "wrapper", "inner"))) or (first in SITES and last in NAMES)))
+
+
 class Open:
-    __slots__ = ("chars", "cut", "keep", "links", "start", "tag")
+    __slots__ = ("chars", "cut", "holds", "keep", "links", "number", "prose", "start", "tag")
 
-    def __init__(self, tag, start, cut, keep):
-        self.tag, self.start, self.cut, self.keep, self.chars, self.links = tag, start, cut, keep, 0, 0
+    def __init__(self, tag, start, cut, keep, number):
+        self.tag, self.start, self.cut, self.keep, self.number, self.chars, self.links, self.prose, self.holds = tag, start, cut, keep, number, 0, 0, 0, False
 
 
-def _named(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """Whether the element is cut by its tag or attributes, and whether it is a main area."""
-    cut, main = tag in CUT or (tag == "header" and not inside), tag == "main"
+def _named(tag: str, attributes: str, inside: bool) -> tuple[int, bool]:
+    """Whether the element is cut by its tag or attributes (2: whatever it holds), and whether it is a main area."""
+    cut, main = 2 * (tag in CUT) or int(tag == "header" and not inside), tag == "main"
+    if tag in WEAK:
+        cut = min(cut, 1)
     if attributes:
         for name, value in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
             if name == "role":
-                cut, main = cut or value in ROLES, main or value == "main"
+                cut, main = max(cut, int(value in ROLES)), main or value == "main"
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
-                cut = True
-            elif name in ("class", "id") and tag not in ("html", "body", "article", "main", "p", "h1"):
-                cut = cut or any(w in NAMES or w.replace("_", "-").partition("-")[0] in NAMES for w in value.split())
+                cut = 2
+            elif name in ("class", "id") and tag not in UNNAMED:
+                cut = max(cut, int(any(map(_site_part, value.split()))))
             elif name in ("class", "id") and tag == "article":
-                cut = cut or any(w.partition("-")[0] in ("comment", "comments", "reply") for w in value.split())
+                cut = max(cut, 2 * any(w.partition("-")[0] in ("comment", "comments", "reply") for w in value.split()))
     return cut, main
 
 
 def read(page: str) -> tuple[list[str | None], list[tuple[int, int]], list[tuple[int, int]], list[tuple[int, int]], list[tuple[int, int, int]]]:
     """Texts and block ends (None); ranges of articles, of main areas and of what is cut; hashed subtrees (start, end, hash)."""
+    *found, weak, prose = _read(page, frozenset())
+    spared = frozenset(n for n, holds, own in weak if holds or 2 * own > prose)
+    return tuple(found) if not spared else _read(page, spared)[:5]
+
+
+def _read(page: str, spared: frozenset[int]) -> tuple:
+    """What read gives, with the elements of these numbers not cut; more: (number, holds article or main, prose) of the others, prose of all."""
     out: list[str | None] = []
-    stack = [Open("", 0, False, False)]
+    stack = [Open("", 0, 0, False, 0)]
+    weak: list[tuple[int, bool, int]] = []
     articles, mains, cuts, subtrees = [], [], [], []
     count: dict[str, int] = {}
-    depth_cut = depth_keep = links = 0
+    depth_cut = depth_hard = depth_keep = links = number = 0
 
     def close() -> None:
-        nonlocal depth_cut, depth_keep, links
+        nonlocal depth_cut, depth_hard, depth_keep, links
         e = stack.pop()
         count[e.tag] -= 1
         links -= e.tag == "a"
         end = len(out)
         if e.tag in BLOCK and out and out[-1] is not None:
             out.append(None)
+        if e.cut == 1 and not depth_hard:
+            weak.append((e.number, e.holds, e.prose))
+        if not depth_hard:
+            stack[-1].prose += e.prose
+            stack[-1].holds |= e.holds or e.tag == "article" or e.keep
+        depth_hard -= e.cut == 2
         if e.cut:
             depth_cut -= 1
             if not depth_cut:
@@ -111,6 +151,8 @@ def read(page: str) -> tuple[list[str | None], list[tuple[int, int]], list[tuple
 
     def text(raw: str) -> None:
         if depth_cut:
+            if not (depth_hard or links):
+                stack[-1].prose += len(raw.strip())
             return
         if "&" in raw:
             raw = html.unescape(raw)
@@ -118,6 +160,7 @@ def read(page: str) -> tuple[list[str | None], list[tuple[int, int]], list[tuple
         n = len(raw) if raw.strip() else 0
         stack[-1].chars += n
         stack[-1].links += n if links else 0
+        stack[-1].prose += 0 if links else len(raw.strip())
 
     at, n = 0, len(page)
     while at < n:
@@ -169,16 +212,20 @@ def read(page: str) -> tuple[list[str | None], list[tuple[int, int]], list[tuple
             if out and out[-1] is not None:
                 out.append(None)
         cut, main = _named(tag, attributes, depth_keep > 0)
-        stack.append(Open(tag, len(out), cut, main))
+        number += 1
+        if cut == 1 and number in spared:
+            cut = 0
+        stack.append(Open(tag, len(out), cut, main, number))
         count[tag] = count.get(tag, 0) + 1
-        depth_cut += cut
+        depth_cut += cut > 0
+        depth_hard += cut == 2
         depth_keep += tag == "article"
         links += tag == "a"
         if attributes.endswith("/") and tag not in BLOCK:
             close()
     while len(stack) > 1:
         close()
-    return out, articles, mains, cuts, subtrees
+    return out, articles, mains, cuts, subtrees, weak, stack[0].prose
 
 
 def main_text(page: str, templates: frozenset[int]) -> str:

@@ -157,6 +157,17 @@ def test_html(spark):
     assert got == {0: [TEXT], 1: [TEXT], 2: [TEXT], 7: [""], 8: [""], 9: ["a < b <c>\nd e"]}
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<div class='container sidebar-right'><article><p>All of it.</article></div>", "All of it."),
+    ("<div class='sidebar'><div><main><p>All of it.</main></div></div><footer>no</footer>", "All of it."),
+    ("<form id=aspnet><div class='header-fixed share-enabled'><p>Most of the prose of this page.</p></div></form><div class=ad>no</div>", "Most of the prose of this page."),
+    ("<article><h2 id='related-work'>Related work</h2><section id='search-methods'><p>We <a class='related'>search</a> it.</section><div class='cookie-banner'>no</div></article>", "Related work\nWe search it."),
+    ("<article><p>Kept.</article><div hidden><article><p>no</article></div><div class='related_posts'>no</div><nav>no</nav>", "Kept."),
+])
+def test_html_cuts_no_prose(page, text):
+    assert htmltext.main_text(page, frozenset()) == text
+
+
 def test_html_site_templates(spark):
     page = "<body><div><p>Join our club today</p></div><div><p>Story %d is told here.</p></div></body>"
     rows = [(i, "http://club.example/a", page % i) for i in range(15)] + [(99, "http://other.example/", page % 99)]
