@@ -16,6 +16,8 @@ from logspark.functions.scalar import DELIMITERS, object_hash, tokenize
 
 #: Bits of a bitmap and hash functions; with at most MAX_TOKENS a bitmap has about 1 % false positives.
 BITS, HASHES, MAX_TOKENS = 32768, 7, 3400
+#: Values of a part of a list.
+PART_ROWS = 100_000
 CHUNK = ["target", "bucket", "object_id", "chunk_id"]
 
 
@@ -131,9 +133,16 @@ def with_debug_values(token_sets_df: DataFrame, limit: int = 200) -> DataFrame:
 
 
 def reverse_index(df: DataFrame) -> DataFrame:
-    """K3. The index keys of each object."""
+    """K3. A row for each index key of each object."""
     key = F.concat_ws("/", "target", F.col("bucket").cast("string"), object_hash("object_id"), F.col("chunk_id").cast("string"))
-    return df.select("object_id", key.alias("key")).distinct().groupBy("object_id").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    return df.select("object_id", key.alias("key")).distinct()
+
+
+def list_parts(rows: DataFrame, key: str, value: str, out: str, size: int = PART_ROWS) -> DataFrame:
+    """Sorted lists of the values of each key, in parts of about size values by their hash: key, part, parts, out."""
+    parts = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("parts")).withColumnRenamed(key, "_key")
+    placed = rows.join(parts, F.col(key).eqNullSafe(F.col("_key"))).withColumn("part", F.pmod(F.xxhash64(value), F.col("parts")).cast("int"))
+    return placed.groupBy(key, "part", "parts").agg(F.sort_array(F.collect_list(value)).alias(out))
 
 
 def _append(df: DataFrame, path: str, *by: str) -> None:

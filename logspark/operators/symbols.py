@@ -26,10 +26,10 @@ def walk_symbols(df: DataFrame, col: str = "unit", max_depth: int = 8) -> DataFr
 
 
 def build_symbol_index(nodes: DataFrame) -> DataFrame:
-    """A17. The sorted units of each symbol."""
-    return nodes.select("value", "unit_id").distinct().groupBy(F.col("value").alias("symbol")).agg(F.sort_array(F.collect_list("unit_id")).alias("unit_ids"))
+    """A17. Postings: a row for each unit of each symbol. index.list_parts makes sorted lists of bounded size of them."""
+    return nodes.select(F.col("value").alias("symbol"), "unit_id").distinct()
 
 
 def symbol_positions(postings: DataFrame, units: DataFrame) -> DataFrame:
     """J8. Start and length of each unit of each symbol."""
-    return postings.select("symbol", F.explode("unit_ids").alias("unit_id")).join(units, "unit_id")
+    return postings.select("symbol", "unit_id").join(units, "unit_id")

@@ -242,7 +242,8 @@ def index_stats(spark, sf_dir):
 
 @query(f"WITH {POSTINGS} SELECT object_id, string_agg(key, ' ' ORDER BY key) AS keys FROM (SELECT DISTINCT object_id, concat_ws('/', 'events', bucket::VARCHAR, {HASH.format('object_id')}, chunk_id::VARCHAR) AS key FROM x) GROUP BY 1")
 def reverse_index(spark, sf_dir):
-    return I.reverse_index(indexed_events(spark, sf_dir)).select("object_id", F.array_join("keys", " ").alias("keys"))
+    keys = I.reverse_index(indexed_events(spark, sf_dir))
+    return keys.groupBy("object_id").agg(F.array_join(F.sort_array(F.collect_list("key")), " ").alias("keys"))  # the result is one string
 
 
 @query(f"WITH {POSTINGS} SELECT object_id, count(*) AS n FROM k WHERE object_id <> '2024-01-10' GROUP BY 1")

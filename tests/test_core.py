@@ -14,6 +14,7 @@ from logspark.operators import records as R
 from logspark.operators import reports as T
 from logspark.operators import results as Q
 from logspark.operators import search as X
+from logspark.operators import symbols as Y
 from logspark.plans.queries import QUERIES, indexed_events
 from logspark.sources import files
 from logspark.streaming import streams
@@ -239,3 +240,21 @@ def test_model_matches_operators(spark):
         assert set(types) <= set(df.columns), name
         assert types == {c: df.schema[c].dataType.simpleString() for c in types}
     assert all(schema(n) for n in DDL)
+
+
+def test_symbol_and_key_postings_are_rows(spark):
+    nodes = spark.range(1000).select(F.col("id").alias("unit_id"), F.explode(F.array(F.lit("leaf"), F.concat(F.lit("u"), F.col("id") % 7), F.lit("leaf"))).alias("value"))
+    postings = Y.build_symbol_index(nodes)
+    assert postings.columns == ["symbol", "unit_id"]
+    assert postings.where("symbol = 'leaf'").count() == 1000
+    placed = Y.symbol_positions(postings, spark.range(1000).select(F.col("id").alias("unit_id"), F.lit(3).alias("length")))
+    assert placed.count() == 2000
+    assert "collect_" not in placed._jdf.queryExecution().toString()
+    parts = I.list_parts(postings, "symbol", "unit_id", "unit_ids", 100).where("symbol = 'leaf'").collect()
+    assert sorted(u for r in parts for u in r.unit_ids) == list(range(1000))
+    assert len(parts) == 10
+    assert max(len(r.unit_ids) for r in parts) < 200
+    assert all(r.unit_ids == sorted(r.unit_ids) for r in parts)
+    keys = I.reverse_index(indexed_events(spark, SF))
+    assert keys.columns == ["object_id", "key"]
+    assert "collect_" not in keys._jdf.queryExecution().toString()
