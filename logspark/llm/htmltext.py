@@ -4,14 +4,15 @@
    that list. Ranges of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments,
    known by tag, role or class, are cut; but what is known by role or class, and forms, asides and headers, never if they
    hold an article, a main area or most of the page's prose (text outside links): such a page is read once more. Headings
-   and inline elements have no telling class or id, other elements only as a whole token or known compound. Of the other containers (div, section, lists, tables), short or link-heavy
-   subtrees are hashed.
-2. Spark counts on how many pages of its host each subtree stands; one that recurs on MIN_PAGES pages and on SHARE of
-   the host's pages is a template. Counts are pre-aggregated by (host, hash) before the shuffle, so a host with most of
-   the pages is no hot spot. A subtree longer than LONG characters, unless it is mostly links, and any paragraph or
-   heading, is never a template, however often articles repeat it.
-3. The pages are read again; the host's templates, a list bounded by the subtrees a page holds over SHARE, come along,
-   by broadcast where they are few, else by a join. What is left of the article (else main, else the body) is the text.
+   and inline elements have no telling class or id, other elements only as a whole token or known compound. The subtrees of
+   other containers (div, section, lists, tables) are hashed, by sums over the page's texts.
+2. Spark counts on how many pages of its host each subtree stands. Inside an article or main area one that recurs on
+   MIN_PAGES pages and on SHARE of the host's pages, and is no longer than LONG characters or mostly links, is a template.
+   On pages without these areas any subtree is, of whatever length, that recurs on SEVERAL pages of different texts.
+   Paragraphs and headings are never templates by themselves. Counts are combined before the shuffle that gathers them.
+3. The pages are read again. The host's templates inside articles, a list bounded by the subtrees a page holds over
+   SHARE, come along by host; pages without article or main area bring those of their own subtrees that are templates.
+   What is left of the article (else main, else the body) is the text.
 
 References are decoded, white space inside a block becomes one blank, blocks are trimmed and joined by newlines.
 
@@ -31,9 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logspark.llm.common import arrow_schema
-from logspark.llm.tables import small
+from logspark.llm.tables import small, written
 
-MIN_PAGES, SHARE = 10, 0.2
+MIN_PAGES, SHARE, SEVERAL = 10, 0.2, 3
 LONG, LONG_LINKS = 600, 5000
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)""", re.S)
@@ -50,6 +51,8 @@ NAMES = frozenset(
     "comment comments commentlist disqus respond replies reply responses share sharing social related recommended more-like-this search searchbox pagination pager".split()
 )
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+#: Base and modulus of the sums that tell subtrees apart.
+BASE, PRIME = 0x1B873593CC9E2D51, (1 << 61) - 1
 SPACE = re.compile(r"\s+")
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
@@ -102,8 +105,8 @@ def _named(tag: str, attributes: str, inside: bool) -> tuple[int, bool]:
     return cut, main
 
 
-def read(page: str) -> tuple[list[str | None], list[tuple[int, int]], list[tuple[int, int]], list[tuple[int, int]], list[tuple[int, int, int]]]:
-    """Texts and block ends (None); ranges of articles, of main areas and of what is cut; hashed subtrees (start, end, hash)."""
+def read(page: str) -> tuple[list[str | None], list[tuple[int, int]], list[tuple[int, int]], list[tuple[int, int]], list[tuple[int, int, int, bool]]]:
+    """Texts and block ends (None); ranges of articles, of main areas and of what is cut; hashed subtrees (start, end, hash, short)."""
     *found, weak, prose = _read(page, frozenset())
     spared = frozenset(n for n, holds, own in weak if holds or 2 * own > prose)
     return tuple(found) if not spared else _read(page, spared)[:5]
@@ -114,12 +117,13 @@ def _read(page: str, spared: frozenset[int]) -> tuple:
     out: list[str | None] = []
     stack = [Open("", 0, 0, False, 0)]
     weak: list[tuple[int, bool, int]] = []
+    sums = [0]
     articles, mains, cuts, subtrees = [], [], [], []
     count: dict[str, int] = {}
-    depth_cut = depth_hard = depth_keep = links = number = 0
+    depth_cut = depth_hard = depth_keep = depth_main = links = number = 0
 
     def close() -> None:
-        nonlocal depth_cut, depth_hard, depth_keep, links
+        nonlocal depth_cut, depth_hard, depth_keep, depth_main, links
         e = stack.pop()
         count[e.tag] -= 1
         links -= e.tag == "a"
@@ -141,9 +145,11 @@ def _read(page: str, spared: frozenset[int]) -> tuple:
                 articles.append((e.start, end))
             elif e.keep:
                 mains.append((e.start, end))
-            elif e.tag in CONTAINER and 0 < e.chars <= (LONG_LINKS if 2 * e.links > e.chars else LONG):
-                text = "\x1f".join([x or "\x1e" for x in out[e.start : end]])
-                subtrees.append((e.start, end, xxhash.xxh64_intdigest(e.tag + "\x1f" + text) - (1 << 63)))
+            elif e.tag in CONTAINER and e.chars:
+                short = e.chars <= (LONG_LINKS if 2 * e.links > e.chars else LONG)
+                if short or not (depth_keep or depth_main or e.holds):
+                    subtrees.append((e.start, end, xxhash.xxh64_intdigest(f"{e.tag} {end - e.start} {between(out, sums, e.start, end)}") - (1 << 63), short))
+        depth_main -= e.keep
         if e.tag == "article":
             depth_keep -= 1
         stack[-1].chars += e.chars
@@ -220,6 +226,7 @@ def _read(page: str, spared: frozenset[int]) -> tuple:
         depth_cut += cut > 0
         depth_hard += cut == 2
         depth_keep += tag == "article"
+        depth_main += main
         links += tag == "a"
         if attributes.endswith("/") and tag not in BLOCK:
             close()
@@ -228,15 +235,24 @@ def _read(page: str, spared: frozenset[int]) -> tuple:
     return out, articles, mains, cuts, subtrees, weak, stack[0].prose
 
 
-def main_text(page: str, templates: frozenset[int]) -> str:
+def between(out: list[str | None], sums: list[int], start: int, end: int) -> int:
+    """A hash of out[start:end]; sums holds those of its beginnings, as far as they have been needed."""
+    for x in out[len(sums) - 1 : end]:
+        sums.append((sums[-1] * BASE + xxhash.xxh64_intdigest(x or "\x1e")) % PRIME)
+    return (sums[end] - sums[start] * pow(BASE, end - start, PRIME)) % PRIME
+
+
+def main_text(page: str, templates: frozenset[int], own: frozenset[int] = frozenset()) -> str:
+    """The text without templates of the host and, on pages without article and main area, those among its own subtrees."""
     out, articles, mains, cuts, subtrees = read(page)
+    bare = not (articles or mains)
     keep = bytearray(len(out))
     for a, b in articles or mains or [(0, len(out))]:
         keep[a:b] = b"\1" * (b - a)
     for a, b in cuts:
         keep[a:b] = bytes(b - a)
-    for a, b, h in subtrees:
-        if h in templates:
+    for a, b, h, short in subtrees:
+        if (short and h in templates) or (bare and h in own):
             keep[a:b] = bytes(b - a)
     blocks, part = [], []
     for x, k in zip(out, keep, strict=True):
@@ -254,32 +270,43 @@ def _pages(df: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame
     return df.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), url.alias("url"), F.coalesce(F.lower(F.regexp_extract(url, HOST, 1)), F.lit("")).alias("host"), F.col(f"`{html_col}`").cast("string").alias("html"))
 
 
-def find_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, hash, n_pages, host_pages) of the subtrees that recur on many pages of a host."""
-    rows = _pages(pages, id_col, url_col, html_col).select("host", "html")
-    types = arrow_schema(rows.sparkSession, "host string, hash long")
+def find_subtrees(rows: DataFrame) -> DataFrame:
+    """(host, hash, page, words, bare) of the subtrees of (host, html) rows, written; page tells pages apart, words their texts."""
+    schema = "host string, hash long, page long, words long, bare boolean"
+    types = arrow_schema(rows.sparkSession, schema)
 
     def hashes(batches):
         for b in batches:
-            hosts, found = [], []
-            for host, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own = {h for _, _, h in read(page or "")[4]}
-                hosts += [host] * (len(own) + 1)
-                found += [*own, None]
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(found, pa.int64())], schema=types)
-
-    counts = rows.mapInArrow(hashes, "host string, hash long").groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n_pages"))
-    # The null hash stands once for each page: it counts the host's pages in the same aggregation.
-    many = counts.where(f"hash is null or n_pages >= {MIN_PAGES}")
+            found = []
+            for host, page, key in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                out, articles, mains, _, subtrees = read(page or "")
+                words = xxhash.xxh64_intdigest(SPACE.sub(" ", " ".join([x or "\n" for x in out]))) - (1 << 63)
+                # The null hash stands once for each page: it counts the host's pages in the same aggregation.
+                found += [(host, h, key, words, not (articles or mains)) for h in {None, *(h for _, _, h, _ in subtrees)}]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), types, strict=True)], schema=types)
+
+    return written(rows.select("host", "html", F.xxhash64("html").alias("page")).mapInArrow(hashes, schema), "subtrees")
+
+
+def count_subtrees(subtrees: DataFrame) -> DataFrame:
+    """(host, hash, n_pages, n_texts, host_pages) of the subtrees that recur on pages of a host."""
+    texts = subtrees.groupBy("host", "hash", F.when(F.col("hash").isNotNull(), F.col("words")).alias("words")).agg(F.count(F.lit(1)).alias("n"))
+    counts = texts.groupBy("host", "hash").agg(F.sum("n").alias("n_pages"), F.count(F.lit(1)).alias("n_texts"))
+    many = written(counts.where(f"hash is null or n_pages >= {MIN_PAGES} or n_texts >= {SEVERAL}"), "templates")
     hosts = many.where("hash is null").select("host", F.col("n_pages").alias("host_pages"))
-    return many.where("hash is not null").join(hosts, "host").where(F.col("n_pages") >= SHARE * F.col("host_pages"))
+    return many.where("hash is not null").join(hosts, "host")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row for each row of pages: page_id, url, text, n_chars."""
     rows = _pages(pages, id_col, url_col, html_col)
-    templates = find_templates(pages, id_col, url_col, html_col).groupBy("host").agg(F.collect_set("hash").alias("templates"))
-    joined = rows.join(small(templates, 10_000), "host", "left").select("page_id", "url", "html", "templates")
+    subtrees = find_subtrees(rows)
+    counts = count_subtrees(subtrees)
+    strict = counts.where((F.col("n_pages") >= MIN_PAGES) & (F.col("n_pages") >= SHARE * F.col("host_pages"))).groupBy("host").agg(F.collect_set("hash").alias("templates"))
+    several = counts.where(F.col("n_texts") >= SEVERAL).select("host", "hash")
+    own = subtrees.where("bare and hash is not null").join(several, ["host", "hash"], "left_semi").groupBy("host", "page").agg(F.collect_set("hash").alias("own"))
+    joined = rows.withColumn("page", F.xxhash64("html")).join(small(written(strict, "strict"), 10_000), "host", "left").join(small(written(own, "own"), 100_000), ["host", "page"], "left")
+    joined = joined.select("page_id", "url", "html", "templates", "own")
     schema = "page_id long, url string, text string, n_chars long"
     types = arrow_schema(rows.sparkSession, schema)
 
@@ -287,7 +314,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                texts = [main_text(p or "", frozenset(t or ())) for p, t in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+                texts = [main_text(p or "", frozenset(t or ()), frozenset(o or ())) for p, t, o in zip(*(part.column(c).to_pylist() for c in (2, 3, 4)), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.string()), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema=types)
 
     return joined.mapInArrow(run, schema)

@@ -178,6 +178,19 @@ def test_html_site_templates(spark):
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
+def test_html_templates_outside_articles(spark):
+    legal = "<div>%s</div>" % "".join(f"<p>Our legal words number {i} stand on each page." for i in range(20))
+    story = "<body><div><p>Story %d is told here.</p></div>%s</body>"
+    rows = [(i, f"http://a.example/{i}", story % (i, legal)) for i in range(4)]  # long, on a small host
+    rows += [(i, f"http://b.example/{i}", story % (i, "<div>Now and then</div>" if i % 20 == 0 else "")) for i in range(100, 180)]  # 5 % of a host
+    rows += [(i, "http://c.example/a", story % (7, "<section>Copies</section>")) for i in range(200, 204)]  # one page, four times
+    rows += [(i, f"http://a.example/{i}", f"<article>{story % (i, legal)}</article>") for i in range(300, 302)]  # too long inside an article
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {i: t for i, t in got.items() if i < 200} == {i: f"Story {i} is told here." for i in got if i < 200}
+    assert {got[i] for i in range(200, 204)} == {"Story 7 is told here.\nCopies"}
+    assert all(got[i].count("legal") == 20 for i in (300, 301))
+
+
 def test_licenses(frame, texts):
     want = collections.Counter()
     for i, t in texts:
