@@ -8,23 +8,30 @@ Edge cases: a null or empty text has no words and no hits; a null or empty bench
 and repeated rows are all counted (an item_id once); with an empty benchmark nothing is hit. Other columns are ignored.
 
 Scale: documents are never shuffled. The benchmark, not the corpus, is what tasks hold: its windows go out in blocks
-of at most BLOCK_BYTES of text, one scan for each block, so the memory of driver and tasks has a fixed bound.
+of at most BLOCK_BYTES of text (or one item, if longer). One block is scanned lazily; of several each has a job of its
+own, which writes its hits to the shared folder, and its windows are released before the next block's are made. Hits are
+merged by the text's digest, so driver and tasks hold one block at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logspark.llm.common import ALNUM, hold, id_text, map_rows
+from logspark.llm.common import ALNUM, arrow_schema, hold, id_text, map_rows
+from logspark.llm.tables import small, written
 
 WINDOW = 13
 #: Benchmark text in one automaton.
 BLOCK_BYTES = 4 << 20
+#: Texts with hits that a join may broadcast.
+HIT_ROWS = 100_000
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<long>, spans string"
 
 
@@ -52,11 +59,6 @@ def build(of: dict[str, tuple[int, tuple]]) -> ahocorasick.Automaton:
     return made
 
 
-def automaton(key: str, of: dict[str, tuple[int, tuple]]) -> ahocorasick.Automaton:
-    """Built once in each Python worker."""
-    return hold(("windows", key), lambda: build(of))
-
-
 def scan(data: bytes, machine: ahocorasick.Automaton) -> tuple[int, list[tuple[int, int]], set]:
     """Number of words, hit word intervals (merged) and item ids."""
     words = normalise(data)
@@ -117,60 +119,79 @@ def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "tex
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs; spans are the hit passages as code points start:end, items the ids of the items found."""
     df = id_text(docs, id_col, text_col)
-    made = [windows(b, window) for b in blocks(benchmark)]
-    held = [(hashlib.sha256(repr(sorted(w.items())).encode()).hexdigest(), docs.sparkSession.sparkContext.broadcast(w)) for w in made]
-    if len(held) == 1:
-        (key, sent), = held
+    parts = blocks(benchmark)
+    first, second = next(parts), next(parts, None)
+    if second is None:
+        key, sent = _sent(docs.sparkSession, first, window)
         return map_rows(df, SCHEMA, lambda i, t, m: row(i, t, *scan(t, m)), (("windows", key), lambda: build(sent.value)))
-    return _by_blocks(df, held)
+    hits = small(_merged(df, itertools.chain([first, second], parts), window), HIT_ROWS)
+    both = df.withColumn("_key", F.md5("text")).join(hits, "_key", "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "hit", "items")
+    types = arrow_schema(df.sparkSession, SCHEMA)
 
+    def run(batches):
+        for b in batches:
+            rows = []
+            for d, t, h, i in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                data = (t or "").encode()
+                rows.append(row(d, data, len(normalise(data)), union([(x["a"], x["b"]) for x in h or ()], []), set(i or ())))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), types, strict=True)], schema=types)
 
-def _by_blocks(df: DataFrame, held: list) -> DataFrame:
-    """A scan for each block; hits so far travel with the text."""
-    import pyarrow as pa
+    return both.mapInArrow(run, SCHEMA)
 
-    from logspark.llm.common import arrow_schema
 
-    names = "doc_id long, text string, hit array<struct<a: int, b: int>>, items array<long>"
-    types = arrow_schema(df.sparkSession, names)
-    df = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.expr("cast(array() as array<struct<a: int, b: int>>)").alias("hit"), F.expr("cast(array() as array<long>)").alias("items"))
-    for key, sent in held:
-        def run(batches, key=key, sent=sent):
-            machine = automaton(key, sent.value)
-            for b in batches:
-                hit, items = [], []
-                for t, h, i in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
-                    _, more, ids = scan((t or "").encode(), machine)
-                    hit.append([{"a": x, "b": y} for x, y in union([(x["a"], x["b"]) for x in h], more)])
-                    items.append(sorted({*i, *ids}))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hit, types.field(2).type), pa.array(items, types.field(3).type)], schema=types)
+def _sent(spark, items: list[tuple[int, bytes]], window: int) -> tuple:
+    """Name and broadcast of a block's windows."""
+    made = windows(items, window)
+    return hashlib.sha256(repr(sorted(made.items())).encode()).hexdigest(), spark.sparkContext.broadcast(made)
 
-        df = df.mapInArrow(run, names)
-    final = arrow_schema(df.sparkSession, SCHEMA)
 
-    def end(batches):
-        for b in batches:
-            rows = [row(d, (t or "").encode(), len(normalise((t or "").encode())), [(x["a"], x["b"]) for x in h], set(i)) for d, t, h, i in zip(*(c.to_pylist() for c in b.columns), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), final, strict=True)], schema=final)
+def _merged(docs: DataFrame, parts, window: int) -> DataFrame:
+    """(_key, n, hit, items) of the texts of docs with hits, by digest; a scan for each block, then its windows are released."""
+    spark = docs.sparkSession
+    names = "_key string, n long, hit array<struct<a: int, b: int>>, items array<long>"
+    types = arrow_schema(spark, names)
+    rows = docs.select(F.md5("text").alias("_key"), "text")
+    found = None
+    for part in parts:
+        key, sent = _sent(spark, part, window)
 
-    return df.mapInArrow(end, SCHEMA)
+        def run(batches, key=key, sent=sent):
+            machine = hold(("windows", key), lambda: build(sent.value))
+            for b in batches:
+                hits = []
+                for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    n, hit, items = scan((t or "").encode(), machine)
+                    if hit:
+                        hits.append({"_key": k, "n": n, "hit": [{"a": x, "b": y} for x, y in hit], "items": sorted(items)})
+                yield pa.RecordBatch.from_pylist(hits, schema=types)
+
+        hits = written(rows.mapInArrow(run, names), "hits")
+        sent.destroy()
+        found = hits if found is None else found.unionByName(hits)
+    once = found.distinct().groupBy("_key").agg(F.max("n").alias("n"), F.flatten(F.collect_list("hit")).alias("hit"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    return written(once, "hits")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
     """The rows of docs that are not contaminated, with their columns as they were; texts never leave their partition."""
-    made = [windows(b, window) for b in blocks(benchmark)]
-    held = [(hashlib.sha256(repr(sorted(w.items())).encode()).hexdigest(), docs.sparkSession.sparkContext.broadcast(w)) for w in made]
+    text = F.col(f"`{text_col}`").cast("string")
+    parts = blocks(benchmark)
+    first, second = next(parts), next(parts, None)
+    if second is not None:
+        hits = _merged(docs.select(text.alias("text")), itertools.chain([first, second], parts), window)
+
+        @F.pandas_udf("boolean")
+        def bad(n, hit):
+            return type(n)([20 * sum(b - a for a, b in union([(x["a"], x["b"]) for x in h], [])) >= w for w, h in zip(n, hit, strict=True)])
+
+        return docs.join(small(hits.where(bad("n", "hit")).select("_key"), HIT_ROWS), F.md5(text) == F.col("_key"), "left_anti")
+    key, sent = _sent(docs.sparkSession, first, window)
 
     @F.pandas_udf("boolean")
     def clean(texts):
-        hits = [[] for _ in texts]
-        words = [0] * len(texts)
-        for key, sent in held:
-            machine = automaton(key, sent.value)
-            for i, t in enumerate(texts):
-                words[i], more, _ = scan((t or "").encode(), machine)
-                hits[i] = union(hits[i], more)
-        n = [sum(b - a for a, b in h) for h in hits]
-        return type(texts)([x == 0 or 20 * x < w for x, w in zip(n, words, strict=True)])
-
-    return docs.where(clean(F.col(f"`{text_col}`").cast("string")))
+        machine = hold(("windows", key), lambda: build(sent.value))
+        found = [scan((t or "").encode(), machine) for t in texts]
+        n = [sum(b - a for a, b in hit) for _, hit, _ in found]
+        return type(texts)([x == 0 or 20 * x < w for x, (w, _, _) in zip(n, found, strict=True)])
+
+    return docs.where(clean(text))

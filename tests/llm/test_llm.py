@@ -142,6 +142,30 @@ def test_decontamination(frame, spark, texts, monkeypatch):
     assert decontaminate.find_contamination(frame([(1, "x, One é two")]), spark.createDataFrame([(1, "é TWO")], "item_id long, text string")).head().spans == "7:12"
 
 
+def test_decontamination_holds_one_block(frame, spark, monkeypatch):
+    sc, held, most = spark.sparkContext, set(), []
+    send = sc.broadcast
+
+    def broadcast(value):
+        sent = send(value)
+        if isinstance(value, dict):
+            held.add(id(sent))
+            most.append(len(held))
+            destroy = sent.destroy
+            sent.destroy = lambda: (held.discard(id(sent)), destroy())
+        return sent
+
+    monkeypatch.setattr(sc, "broadcast", broadcast)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 10)
+    bench = spark.createDataFrame([(i, f"secret number{i}") for i in range(4)], "item_id long, text string")
+    docs = frame([(1, "a secret number1, then a secret number3"), (2, "nothing"), (3, None)])
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate.find_contamination(docs, bench).collect()}
+    assert got == {1: (4, 2), 2: (0, 0), 3: (0, 0)}
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()) == [2, 3]
+    assert len(most) == 8
+    assert max(most) == 1
+
+
 PAGE = """<html><head><title>t</title></head><body><header>Site</header><nav><a href=x>Home</a></nav>%s<main><h1>A &amp; B</h1><p>One <b>two</b>
 three<p>Four<script>var x="</p>";</script><ul><li>five<li>six</ul><form>no</form><section class="comments"><p>reply</section></main>
 <div class="cookie-notice">Cookies</div><footer>&copy;</footer></body>"""
