@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,12 +15,28 @@ def read_symbol_units(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.xxhash64(F.input_file_name(), "value").alias("unit_id"), F.col("value").alias("unit"))
 
 
-def walk_symbols(df: DataFrame, col: str = "unit", max_depth: int = 8) -> DataFrame:
-    """C34. value, context, depth and path of each node, level by level down to max_depth."""
+def _written(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder (spark.checkpoint.dir; a temporary one only where that is unset)."""
+    spark = df.sparkSession
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="logspark-")
+    path = f"{root}/symbols-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def walk_symbols(df: DataFrame, col: str = "unit", max_depth: int | None = None) -> DataFrame:
+    """C34. value, context, depth and path of each node, level by level.
+
+    Each level is written, until one is empty; with max_depth, for trees known to be no deeper, nothing is written.
+    """
     node = "array<string>"
     level = df.select("unit_id", F.explode(F.from_json(F.get_json_object(col, "$.nodes"), node)).alias("node"), F.lit("").alias("above"))
     out = None
-    for depth in range(max_depth):
+    for depth in itertools.count() if max_depth is None else range(max_depth):
+        if max_depth is None:
+            level = _written(level)
+            if out is not None and level.isEmpty():
+                break
         value = F.get_json_object("node", "$.value")
         rows = level.select("unit_id", "node", value.alias("value"), F.get_json_object("node", "$.context").alias("context"), F.concat(F.col("above"), F.lit("/"), value).alias("path"))
         found = rows.select("unit_id", "value", "context", F.lit(depth).alias("depth"), "path")

@@ -258,3 +258,13 @@ def test_symbol_and_key_postings_are_rows(spark):
     keys = I.reverse_index(indexed_events(spark, SF))
     assert keys.columns == ["object_id", "key"]
     assert "collect_" not in keys._jdf.queryExecution().toString()
+
+
+def test_deep_symbols(spark):
+    tree = None
+    for depth in range(11, -1, -1):
+        tree = {"value": f"d{depth}", "context": "VAR", **({"children": [tree]} if tree else {})}
+    units = spark.createDataFrame([(1, json.dumps({"nodes": [tree]})), (2, json.dumps({"nodes": []})), (3, None)], "unit_id long, unit string")
+    assert [(r.depth, r.value) for r in Y.walk_symbols(units).orderBy("depth").collect()] == [(d, f"d{d}") for d in range(12)]
+    assert Y.walk_symbols(units, max_depth=3).count() == 3
+    assert Y.walk_symbols(units.limit(0)).count() == 0
