@@ -258,9 +258,42 @@ def test_pii(frame, spark):
     got = pii.find_pii(frame(PII)).collect()
     assert collections.Counter((r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got) == want
     assert pii.find_pii(frame([])).count() == 0
-    start, stumps, threshold = pii.boost([(1, 1, 50), (0, 0, 50), (2, 0, 5)])
-    score = lambda b: start + sum(s if b >> i & 1 else u for i, u, s in stumps)
-    assert score(1) > threshold > score(0)
+
+
+def test_pii_trees_learn_interactions():
+    counts = [(3, 1, 50), (0, 1, 50), (1, 0, 50), (2, 0, 45)]  # two bits that only tell together
+    start, trees, threshold = pii.fit(counts, counts)
+    score = lambda b: pii.score_of(b, start, trees)
+    assert min(score(3), score(0)) >= threshold > max(score(1), score(2))
+    assert pii.fit([], [])[2] == pii.fit(counts, [])[2] == pii.fit([(1, 0, 9)], [(1, 0, 9)])[2] == float("inf")
+    # calibrated on the held-out counts, not on those learned from
+    assert pii.fit(counts, [(b, 0, n) for b, _, n in counts])[2] == float("inf")
+
+
+def test_pii_trees_select(frame):
+    r = random.Random(2)
+
+    def card(lead, good):
+        d = lead + "".join(r.choices("0123456789", k=14))
+        last = next(x for x in "0123456789" if luhn(d + x))
+        return d + (last if good else str((int(last) + 1) % 10))
+
+    rows = [(i, f"paid with {card('4', i != 7)} today") for i in range(120)] + [(i, f"order {card('9', i % 10 == 0)} shipped") for i in range(200, 320)]
+    rows += [(400, None), (401, ""), (402, f"{rows[0][1]} and a@b.co"), (402, "nothing")]
+    rows += [(i, f"call +1 ({i}) 555-0100 now") for i in range(500, 540)] + [(600, "call (234) 555-0100 now"), (601, "in 2024-01-05 11:22"), (602, "4 1 2")]
+    got = {x.doc_id: x for x in pii.find_pii(frame(rows)).collect()}
+    assert (got[7].n_card, got[7].spans) == (0, "card:10:26")  # its check digit is wrong, its format and context are a card's
+    assert (got[200].n_card, got[200].spans, got[200].selected) == (1, "card:6:22", "")  # a base span stays, but the trees don't select it
+    assert (got[201].spans, got[600].spans, got[600].n_phone, got[601].spans, got[602].spans) == ("", "phone:5:19", 0, "", "")
+    docs = frame(rows)
+    out = pii.redact(docs)
+    assert out.columns == docs.columns
+    text = collections.defaultdict(set)
+    for x in out.collect():
+        text[x.doc_id].add(x.text)
+    assert text[7] == {"paid with [PII] today"} and text[402] == {"paid with [PII] today and [PII]", "nothing"} and text[600] == {"call [PII] now"}
+    assert text[400] == {None} and text[401] == {""} and text[201] == {rows[121][1]}
+    assert pii.redact(frame([])).count() == 0
 
 
 def test_toxicity_learns_words(frame, spark):
