@@ -1,29 +1,36 @@
 """Main text of web pages by site template removal.
 
 1. Each page's markup is read once, in linear time, into a flat list of texts and block ends; an element is a range of
-   that list. Ranges of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments,
-   known by tag, role or class, are cut; but what is known by role or class, and forms, asides and headers, never if they
-   hold an article, a main area or most of the page's prose (text outside links): such a page is read once more. Headings
-   and inline elements have no telling class or id, other elements only as a whole token or known compound. The subtrees of
-   other containers (div, section, lists, tables) are hashed, by sums over the page's texts.
-2. Spark counts on how many pages of its host each subtree stands. Inside an article or main area one that recurs on
-   MIN_PAGES pages and on SHARE of the host's pages, and is no longer than LONG characters or mostly links, is a template.
-   On pages without these areas any subtree is, of whatever length, that recurs on SEVERAL pages of different texts.
-   Paragraphs and headings are never templates by themselves. Counts are combined before the shuffle that gathers them.
-3. The pages are read again. The host's templates inside articles, a list bounded by the subtrees a page holds over
-   SHARE, come along by host; pages without article or main area bring those of their own subtrees that are templates.
-   What is left of the article (else main, else the body) is the text.
+   that list. Scripts, styles, controls and hidden elements give no text. The subtrees of all other containers, menus,
+   headers, footers, asides and adverts among them, are hashed by sums over the page's texts; outside articles and main
+   areas paragraphs and headings are, too.
+2. Spark counts on how many different pages of its host each subtree stands. Pages with one title and the same
+   headings are copies of one another and count once (pages without heading: those of one text). A subtree is a template if it stands on SEVERAL
+   pages; a paragraph or heading by itself only if that is half of the host's pages (COMMON); inside an article or main area
+   only if it is SHARE of them. No length and no size of a host decides.
+3. The pages are read again, each with the list of those of its subtrees that are templates. These are cut: outside
+   articles unless nothing would be left, inside them unless most of the prose (text outside links) would go, since then
+   it is the article that recurs.
+4. What recurrence can't tell, on hosts of few pages and for parts that differ from page to page, is cut by name: nav,
+   footer, form, aside and header elements, roles and, outside articles, telling classes as whole tokens or known
+   compounds; inside articles only those of adverts, notices and comments. What holds an article or a main area or,
+   on pages without these, most of the prose is never cut by name; headings and inline elements have no name.
+5. Of what is left the articles, else the main areas, are the text if they hold half of the prose; else all of it is.
 
 References are decoded, white space inside a block becomes one blank, blocks are trimmed and joined by newlines.
 
 Edge cases: null or empty html and pages of markup only have the text ""; a null url is a host of its own; unclosed,
 crossed and cut-off tags end with their parent or the page; repeated rows are all returned with equal values; an empty
 table gives an empty result. Columns other than id, url and html are ignored.
+
+Scale: counts are combined before the shuffle that gathers them, by host and hash, so that a large host is spread out.
+A page's templates come to it by a join on the page's hash; pages with more than COPIES copies are dealt over several keys.
 """
 
 from __future__ import annotations
 
 import html
+import itertools
 import re
 
 import pyarrow as pa
@@ -34,16 +41,21 @@ from pyspark.sql import functions as F
 from logspark.llm.common import arrow_schema
 from logspark.llm.tables import small, written
 
-MIN_PAGES, SHARE, SEVERAL = 10, 0.2, 3
-LONG, LONG_LINKS = 600, 5000
+SEVERAL, SHARE, COMMON = 3, 0.2, 0.5
+#: Copies of a page that one key of the join may have; rows of templates that it may broadcast.
+COPIES, BROADCAST_ROWS = 1000, 5000
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 RAW = {t: re.compile(rf"</{t}\b[^>]*(?:>|\Z)", re.I) for t in ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "xmp", "noframes")}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
-CONTAINER = frozenset("div section ul ol dl table figure details menu center dir fieldset".split())
-CUT = frozenset("nav footer aside form head script style noscript template iframe svg button select textarea dialog menu object canvas audio video".split())
+#: Elements whose subtrees are hashed, anywhere and outside of articles.
+CONTAINER = frozenset("div section ul ol dl table figure details menu center dir fieldset nav footer header aside form dialog".split())
+LEAF = frozenset("p h1 h2 h3 h4 h5 h6 address blockquote pre".split())
+#: Elements without text of their own, and those cut by their tag.
+SILENT = frozenset("head script style noscript template iframe svg button select textarea object canvas audio video".split())
+CUT = frozenset("nav footer form dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NAMES = frozenset(
     "ad ads advert advertisement advertising adbox adsense sponsored sponsor promo promotion banner cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login "
@@ -57,8 +69,10 @@ SPACE = re.compile(r"\s+")
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
-#: Cut by tag, but for what they hold.
-WEAK = frozenset("form aside header dialog menu".split())
+#: Cut by tag whatever prose they hold, unless it is an article or main area.
+FIRM = frozenset("nav footer".split())
+#: Names that count inside articles, too.
+INSIDE = frozenset("ad ads advert advertisement advertising adbox adsense sponsored cookie cookies consent gdpr newsletter subscribe subscription comment comments commentlist disqus respond".split())
 #: Never cut by class or id: headings and what stands inside a line.
 UNNAMED = frozenset(
     "html body article main p h1 h2 h3 h4 h5 h6 a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split()
@@ -72,101 +86,119 @@ SITES = frozenset("site page main global primary secondary top bottom left right
 LAYOUT = frozenset("header footer sidebar nav navigation aside menu search".split())
 
 
-def _site_part(token: str) -> bool:
+def _site_part(token: str, names: frozenset[str]) -> bool:
     """Whether a class or id, as a whole or as a known compound, names a part of a site."""
     token = token.replace("_", "-")
     first, dash, last = token.partition("-")
-    return token in NAMES or (dash != "" and ((first in NAMES and last in PARTS and (first not in LAYOUT or last not in ("container", "content", "wrap", "wrapper", "inner"))) or (first in SITES and last in NAMES)))
+    return token in names or (dash != "" and ((first in names and last in PARTS and (first not in LAYOUT or last not in ("container", "content", "wrap", "wrapper", "inner"))) or (first in SITES and last in names)))
 
 
 class Open:
-    __slots__ = ("chars", "cut", "holds", "keep", "links", "number", "prose", "start", "tag")
+    """An element that is not closed yet."""
+
+    __slots__ = ("area", "chars", "holds", "level", "links", "prose", "start", "tag")
+
+    def __init__(self, tag: str, start: int, level: int, area: bool):
+        self.tag, self.start, self.level, self.area, self.chars, self.links, self.prose, self.holds = tag, start, level, area, 0, 0, 0, False
+
+
+class Page:
+    """Texts and block ends (None), the prose of each, and ranges of them."""
 
-    def __init__(self, tag, start, cut, keep, number):
-        self.tag, self.start, self.cut, self.keep, self.number, self.chars, self.links, self.prose, self.holds = tag, start, cut, keep, number, 0, 0, 0, False
+    __slots__ = ("articles", "mains", "named", "out", "plain", "prose", "story", "subtrees")
+
+    def __init__(self):
+        self.out: list[str | None] = []
+        self.plain: list[int] = []
+        self.articles: list[tuple[int, int]] = []
+        self.mains: list[tuple[int, int]] = []
+        self.named: list[tuple[int, int, int]] = []  # start, end, prose (0: cut whatever it holds)
+        self.subtrees: list[tuple[int, int, int, int]] = []  # start, end, hash, place
+        self.prose = 0
+        self.story: list[str] = []  # words of the title and headings
+
+
+OUTSIDE, WITHIN, ALONE = 0, 1, 2  # places of subtrees: outside of articles, inside them, a paragraph or heading outside
+FREE, WEAK, HARD, MUTE = 0, 1, 2, 3  # levels of names: none, cut unless it holds most, cut, without text
 
 
 def _named(tag: str, attributes: str, inside: bool) -> tuple[int, bool]:
-    """Whether the element is cut by its tag or attributes (2: whatever it holds), and whether it is a main area."""
-    cut, main = 2 * (tag in CUT) or int(tag == "header" and not inside), tag == "main"
-    if tag in WEAK:
-        cut = min(cut, 1)
+    """The level of an element by its tag and attributes, and whether it is a main area."""
+    level, main = (HARD if tag in FIRM else WEAK) if tag in CUT or (tag in ("header", "aside") and not inside) else FREE, tag == "main"
+    if tag in SILENT:
+        return MUTE, False
     if attributes:
         for name, value in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
             if name == "role":
-                cut, main = max(cut, int(value in ROLES)), main or value == "main"
+                level, main = max(level, WEAK * (value in ROLES)), main or value == "main"
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
-                cut = 2
+                return MUTE, False
             elif name in ("class", "id") and tag not in UNNAMED:
-                cut = max(cut, int(any(map(_site_part, value.split()))))
+                names = INSIDE if inside else NAMES
+                level = max(level, WEAK * any(_site_part(w, names) for w in value.split()))
             elif name in ("class", "id") and tag == "article":
-                cut = max(cut, 2 * any(w.partition("-")[0] in ("comment", "comments", "reply") for w in value.split()))
-    return cut, main
-
-
-def read(page: str) -> tuple[list[str | None], list[tuple[int, int]], list[tuple[int, int]], list[tuple[int, int]], list[tuple[int, int, int, bool]]]:
-    """Texts and block ends (None); ranges of articles, of main areas and of what is cut; hashed subtrees (start, end, hash, short)."""
-    *found, weak, prose = _read(page, frozenset())
-    spared = frozenset(n for n, holds, own in weak if holds or 2 * own > prose)
-    return tuple(found) if not spared else _read(page, spared)[:5]
+                level = max(level, HARD * any(w.partition("-")[0] in ("comment", "comments", "reply") for w in value.split()))
+    return level, main
 
 
-def _read(page: str, spared: frozenset[int]) -> tuple:
-    """What read gives, with the elements of these numbers not cut; more: (number, holds article or main, prose) of the others, prose of all."""
-    out: list[str | None] = []
-    stack = [Open("", 0, 0, False, 0)]
-    weak: list[tuple[int, bool, int]] = []
+def read(page: str) -> Page:
+    """The page's texts and ranges."""
+    found = Page()
+    out, plain = found.out, found.plain
+    stack = [Open("", 0, FREE, False)]
     sums = [0]
-    articles, mains, cuts, subtrees = [], [], [], []
     count: dict[str, int] = {}
-    depth_cut = depth_hard = depth_keep = depth_main = links = number = 0
+    mute = areas = links = 0
+    title, headings = "", []
 
     def close() -> None:
-        nonlocal depth_cut, depth_hard, depth_keep, depth_main, links
+        nonlocal mute, areas, links
         e = stack.pop()
         count[e.tag] -= 1
         links -= e.tag == "a"
         end = len(out)
         if e.tag in BLOCK and out and out[-1] is not None:
             out.append(None)
-        if e.cut == 1 and not depth_hard:
-            weak.append((e.number, e.holds, e.prose))
-        if not depth_hard:
-            stack[-1].prose += e.prose
-            stack[-1].holds |= e.holds or e.tag == "article" or e.keep
-        depth_hard -= e.cut == 2
-        if e.cut:
-            depth_cut -= 1
-            if not depth_cut:
-                cuts.append((e.start, end))
-        elif not depth_cut:
-            if e.tag == "article":
-                articles.append((e.start, end))
-            elif e.keep:
-                mains.append((e.start, end))
-            elif e.tag in CONTAINER and e.chars:
-                short = e.chars <= (LONG_LINKS if 2 * e.links > e.chars else LONG)
-                if short or not (depth_keep or depth_main or e.holds):
-                    subtrees.append((e.start, end, xxhash.xxh64_intdigest(f"{e.tag} {end - e.start} {between(out, sums, e.start, end)}") - (1 << 63), short))
-        depth_main -= e.keep
-        if e.tag == "article":
-            depth_keep -= 1
-        stack[-1].chars += e.chars
-        stack[-1].links += e.links
+            plain.append(0)
+        if e.level == MUTE:
+            mute -= 1
+            return
+        areas -= e.area
+        above = stack[-1]
+        if e.level and not e.holds:
+            found.named.append((e.start, end, 0 if e.level == HARD else e.prose))
+        if e.tag in ("h1", "h2"):
+            headings.append("".join([x or " " for x in out[e.start : end]]))
+        if e.area:
+            (found.articles if e.tag == "article" else found.mains).append((e.start, end))
+        elif e.chars and not e.holds and (e.tag in CONTAINER or (e.tag in LEAF and not areas)):
+            place = WITHIN if areas else ALONE if e.tag in LEAF else OUTSIDE
+            found.subtrees.append((e.start, end, xxhash.xxh64_intdigest(f"{place} {e.tag} {end - e.start} {between(out, sums, e.start, end)}") - (1 << 63), place))
+        above.chars += e.chars
+        above.links += e.links
+        above.holds |= e.holds or e.area
+        above.prose += 0 if e.level == HARD and not e.holds else e.prose
 
     def text(raw: str) -> None:
-        if depth_cut:
-            if not (depth_hard or links):
-                stack[-1].prose += len(raw.strip())
+        if mute:
             return
         if "&" in raw:
             raw = html.unescape(raw)
+        n = len(raw.strip())
+        e = stack[-1]
+        e.chars += n
+        if links:
+            e.links += n
+        else:
+            e.prose += n
         out.append(raw)
-        n = len(raw) if raw.strip() else 0
-        stack[-1].chars += n
-        stack[-1].links += n if links else 0
-        stack[-1].prose += 0 if links else len(raw.strip())
+        plain.append(0 if links else n)
+
+    def end_block() -> None:
+        if out and out[-1] is not None:
+            out.append(None)
+            plain.append(0)
 
     at, n = 0, len(page)
     while at < n:
@@ -192,14 +224,17 @@ def _read(page: str, spared: frozenset[int]) -> tuple:
         if tag in VOID:
             if tag == "br":
                 text("\n")
-            elif tag == "hr" and out and out[-1] is not None:
-                out.append(None)
+            elif tag == "hr":
+                end_block()
             continue
         if tag in RAW:
             e = RAW[tag].search(page, at)
+            title = title or page[at : e.start() if e else n] if tag == "title" else title
             at = e.end() if e else n
             continue
         if tag in BLOCK:
+            while count.get("head"):  # whose end tag may be left out
+                close()
             if count.get("p") and tag not in ("option", "select"):
                 k = len(stack) - 1
                 while k and stack[k].tag != "p" and (stack[k].tag not in BLOCK):
@@ -215,24 +250,20 @@ def _read(page: str, spared: frozenset[int]) -> tuple:
                     if stack[k].tag == other:
                         while len(stack) > k:
                             close()
-            if out and out[-1] is not None:
-                out.append(None)
-        cut, main = _named(tag, attributes, depth_keep > 0)
-        number += 1
-        if cut == 1 and number in spared:
-            cut = 0
-        stack.append(Open(tag, len(out), cut, main, number))
+            end_block()
+        level, main = _named(tag, attributes, areas > 0)
+        area = not mute and level < HARD and (main or tag == "article")
+        stack.append(Open(tag, len(out), level, area))
         count[tag] = count.get(tag, 0) + 1
-        depth_cut += cut > 0
-        depth_hard += cut == 2
-        depth_keep += tag == "article"
-        depth_main += main
+        mute += level == MUTE
+        areas += area
         links += tag == "a"
         if attributes.endswith("/") and tag not in BLOCK:
             close()
     while len(stack) > 1:
         close()
-    return out, articles, mains, cuts, subtrees, weak, stack[0].prose
+    found.prose, found.story = stack[0].prose, " ".join([title, *headings]).split() if any(map(str.strip, headings)) else []
+    return found
 
 
 def between(out: list[str | None], sums: list[int], start: int, end: int) -> int:
@@ -242,27 +273,59 @@ def between(out: list[str | None], sums: list[int], start: int, end: int) -> int
     return (sums[end] - sums[start] * pow(BASE, end - start, PRIME)) % PRIME
 
 
-def main_text(page: str, templates: frozenset[int], own: frozenset[int] = frozenset()) -> str:
-    """The text without templates of the host and, on pages without article and main area, those among its own subtrees."""
-    out, articles, mains, cuts, subtrees = read(page)
-    bare = not (articles or mains)
-    keep = bytearray(len(out))
-    for a, b in articles or mains or [(0, len(out))]:
-        keep[a:b] = b"\1" * (b - a)
-    for a, b in cuts:
-        keep[a:b] = bytes(b - a)
-    for a, b, h, short in subtrees:
-        if (short and h in templates) or (bare and h in own):
+def main_text(page: str, templates: frozenset[int], names: bool = True, areas: bool = True) -> tuple[str, int]:
+    """The text without the page's templates, and how many of these were cut.
+
+    names and areas false leave out steps 4 and 5, so that recurrence alone decides.
+    """
+    found = read(page)
+    out, plain = found.out, found.plain
+    keep = bytearray(b"\1") * len(out)
+    prose = lambda ranges: sum(sum(itertools.compress(plain[a:b], keep[a:b])) for a, b in ranges)
+    whole = [(0, len(out))]
+
+    def cut(ranges: list[tuple[int, int]]) -> None:
+        for a, b in ranges:
             keep[a:b] = bytes(b - a)
+
+    recurring = [(a, b) for a, b, h, place in found.subtrees if place != WITHIN and h in templates]
+    before = bytes(keep)
+    cut(recurring)
+    if recurring and not any(k and x and not x.isspace() for x, k in zip(out, keep, strict=True)):
+        keep[:], recurring = before, []
+    if names:
+        whole_page = not (found.articles or found.mains)
+        cut([(a, b) for a, b, own in found.named if not (whole_page and 2 * own > found.prose)])
+    chosen, left = whole, prose(whole)
+    if areas:
+        chosen = next((_outer(r) for r in (found.articles, found.mains) if r and 2 * prose(_outer(r)) >= left), whole)
+    within = [(a, b) for a, b, h, place in found.subtrees if place == WITHIN and h in templates]
+    if within:
+        before, held = bytes(keep), prose(chosen)
+        cut(within)
+        if 2 * prose(chosen) < held:
+            keep[:], within = before, []
+    inside = bytearray(len(out))
+    for a, b in chosen:
+        inside[a:b] = b"\1" * (b - a)
     blocks, part = [], []
-    for x, k in zip(out, keep, strict=True):
+    for x, k, i in zip(out, keep, inside, strict=True):
         if x is None:
             blocks.append("".join(part))
             part = []
-        elif k:
+        elif k and i:
             part.append(x)
     blocks.append("".join(part))
-    return "\n".join([t for x in blocks if (t := SPACE.sub(" ", x).strip())])
+    return "\n".join([t for x in blocks if (t := SPACE.sub(" ", x).strip())]), len(recurring) + len(within)
+
+
+def _outer(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges that lie in no other of them."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges, key=lambda r: (r[0], -r[1])):
+        if not out or a >= out[-1][1]:
+            out.append((a, b))
+    return out
 
 
 def _pages(df: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -271,50 +334,53 @@ def _pages(df: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame
 
 
 def find_subtrees(rows: DataFrame) -> DataFrame:
-    """(host, hash, page, words, bare) of the subtrees of (host, html) rows, written; page tells pages apart, words their texts."""
-    schema = "host string, hash long, page long, words long, bare boolean"
+    """(host, hash, place, page, story) of the subtrees of (host, html) rows, written; page tells pages apart, story those that are no copies."""
+    schema = "host string, hash long, place byte, page long, story long"
     types = arrow_schema(rows.sparkSession, schema)
 
     def hashes(batches):
         for b in batches:
             found = []
             for host, page, key in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                out, articles, mains, _, subtrees = read(page or "")
-                words = xxhash.xxh64_intdigest(SPACE.sub(" ", " ".join([x or "\n" for x in out]))) - (1 << 63)
+                of = read(page or "")
+                story = xxhash.xxh64_intdigest(" ".join(of.story) or SPACE.sub(" ", " ".join([x or "\n" for x in of.out]))) - (1 << 63)
                 # The null hash stands once for each page: it counts the host's pages in the same aggregation.
-                found += [(host, h, key, words, not (articles or mains)) for h in {None, *(h for _, _, h, _ in subtrees)}]
+                found += [(host, h, place, key, story) for h, place in {(None, None), *((h, place) for _, _, h, place in of.subtrees)}]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), types, strict=True)], schema=types)
 
     return written(rows.select("host", "html", F.xxhash64("html").alias("page")).mapInArrow(hashes, schema), "subtrees")
 
 
-def count_subtrees(subtrees: DataFrame) -> DataFrame:
-    """(host, hash, n_pages, n_texts, host_pages) of the subtrees that recur on pages of a host."""
-    texts = subtrees.groupBy("host", "hash", F.when(F.col("hash").isNotNull(), F.col("words")).alias("words")).agg(F.count(F.lit(1)).alias("n"))
-    counts = texts.groupBy("host", "hash").agg(F.sum("n").alias("n_pages"), F.count(F.lit(1)).alias("n_texts"))
-    many = written(counts.where(f"hash is null or n_pages >= {MIN_PAGES} or n_texts >= {SEVERAL}"), "templates")
-    hosts = many.where("hash is null").select("host", F.col("n_pages").alias("host_pages"))
-    return many.where("hash is not null").join(hosts, "host")
+def find_templates(subtrees: DataFrame) -> DataFrame:
+    """(host, hash) of the subtrees that are templates of a host."""
+    stories = subtrees.groupBy("host", "hash", "place", "story").agg(F.count(F.lit(1)).alias("_"))
+    counts = written(stories.groupBy("host", "hash", "place").agg(F.count(F.lit(1)).alias("n")).where(f"hash is null or n >= {SEVERAL}"), "counts")
+    hosts = counts.where("hash is null").select("host", F.col("n").alias("pages"))
+    enough = F.when(F.col("place") == WITHIN, SHARE * F.col("pages")).when(F.col("place") == ALONE, COMMON * F.col("pages")).otherwise(SEVERAL)
+    return counts.where("hash is not null").join(hosts, "host").where(F.col("n") >= enough).select("host", "hash")
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row for each row of pages: page_id, url, text, n_chars."""
-    rows = _pages(pages, id_col, url_col, html_col)
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", names: bool = True, areas: bool = True) -> DataFrame:
+    """One row for each row of pages: page_id, url, text, n_chars, n_templates (subtrees cut because they recur)."""
+    rows = _pages(pages, id_col, url_col, html_col).withColumn("page", F.xxhash64("html"))
     subtrees = find_subtrees(rows)
-    counts = count_subtrees(subtrees)
-    strict = counts.where((F.col("n_pages") >= MIN_PAGES) & (F.col("n_pages") >= SHARE * F.col("host_pages"))).groupBy("host").agg(F.collect_set("hash").alias("templates"))
-    several = counts.where(F.col("n_texts") >= SEVERAL).select("host", "hash")
-    own = subtrees.where("bare and hash is not null").join(several, ["host", "hash"], "left_semi").groupBy("host", "page").agg(F.collect_set("hash").alias("own"))
-    joined = rows.withColumn("page", F.xxhash64("html")).join(small(written(strict, "strict"), 10_000), "host", "left").join(small(written(own, "own"), 100_000), ["host", "page"], "left")
-    joined = joined.select("page_id", "url", "html", "templates", "own")
-    schema = "page_id long, url string, text string, n_chars long"
+    templates = find_templates(subtrees)
+    mine = subtrees.where("hash is not null").join(templates, ["host", "hash"], "left_semi")
+    copies = subtrees.where("hash is null").groupBy("host", "page").agg(F.ceil(F.count(F.lit(1)) / COPIES).cast("int").alias("keys"))
+    own = written(mine.groupBy("host", "page").agg(F.collect_set("hash").alias("own")).join(copies, ["host", "page"]), "own")
+    hot = small(own.where("keys > 1").select("host", "page", "keys"), BROADCAST_ROWS)
+    dealt = rows.join(hot, ["host", "page"], "left").withColumn("key", F.coalesce(F.pmod(F.xxhash64("page_id", "url"), F.col("keys")).cast("int"), F.lit(0))).drop("keys")
+    lists = own.select("host", "page", "own", F.explode(F.sequence(F.lit(0), F.col("keys") - 1)).alias("key"))
+    joined = dealt.join(small(lists, BROADCAST_ROWS), ["host", "page", "key"], "left").select("page_id", "url", "html", "own")
+    schema = "page_id long, url string, text string, n_chars long, n_templates long"
     types = arrow_schema(rows.sparkSession, schema)
 
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                texts = [main_text(p or "", frozenset(t or ()), frozenset(o or ())) for p, t, o in zip(*(part.column(c).to_pylist() for c in (2, 3, 4)), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.string()), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema=types)
+                texts = [main_text(p or "", frozenset(o or ()), names, areas) for p, o in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+                more = [pa.array([t for t, _ in texts], pa.string()), pa.array([len(t) for t, _ in texts], pa.int64()), pa.array([n for _, n in texts], pa.int64())]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.string()), *more], schema=types)
 
     return joined.mapInArrow(run, schema)

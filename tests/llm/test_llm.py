@@ -187,32 +187,84 @@ def test_html(spark):
     ("<form id=aspnet><div class='header-fixed share-enabled'><p>Most of the prose of this page.</p></div></form><div class=ad>no</div>", "Most of the prose of this page."),
     ("<article><h2 id='related-work'>Related work</h2><section id='search-methods'><p>We <a class='related'>search</a> it.</section><div class='cookie-banner'>no</div></article>", "Related work\nWe search it."),
     ("<article><p>Kept.</article><div hidden><article><p>no</article></div><div class='related_posts'>no</div><nav>no</nav>", "Kept."),
+    ("<article><h2 class='header'>A</h2><div class='search-results'><p>B</div><ul class='share'><li>C</ul><table class='menu-items'><tr><td>D</table><aside>E</aside></article>", "A\nB\nC\nD\nE"),
+    ("<article>teaser</article><main><h1>Story</h1><p>It is a longer one.</p></main><div class=ad>An advert that says much more than the story itself.</div>", "Story\nIt is a longer one."),
+    ("<head><title>t</title><body><p>No end of the head.", "No end of the head."),
+    ("<nav>menu<article><p>In a menu that is not closed.</article>", "In a menu that is not closed."),
+    ("<div hidden><article>no</article></div><a href=x>Only a link</a>", "Only a link"),
 ])
 def test_html_cuts_no_prose(page, text):
-    assert htmltext.main_text(page, frozenset()) == text
+    assert htmltext.main_text(page, frozenset())[0] == text
+
+
+def pages_of(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
 
 
 def test_html_site_templates(spark):
     page = "<body><div><p>Join our club today</p></div><div><p>Story %d is told here.</p></div></body>"
     rows = [(i, "http://club.example/a", page % i) for i in range(15)] + [(99, "http://other.example/", page % 99)]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    df = pages_of(spark, rows)
     got = {r.page_id: r.text for r in htmltext.extract(df).collect()}
     assert got[3] == "Story 3 is told here."
     assert got[99] == "Join our club today\nStory 99 is told here."
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
-def test_html_templates_outside_articles(spark):
+def test_html_templates_of_any_length_and_host(spark):
     legal = "<div>%s</div>" % "".join(f"<p>Our legal words number {i} stand on each page." for i in range(20))
     story = "<body><div><p>Story %d is told here.</p></div>%s</body>"
     rows = [(i, f"http://a.example/{i}", story % (i, legal)) for i in range(4)]  # long, on a small host
     rows += [(i, f"http://b.example/{i}", story % (i, "<div>Now and then</div>" if i % 20 == 0 else "")) for i in range(100, 180)]  # 5 % of a host
     rows += [(i, "http://c.example/a", story % (7, "<section>Copies</section>")) for i in range(200, 204)]  # one page, four times
-    rows += [(i, f"http://a.example/{i}", f"<article>{story % (i, legal)}</article>") for i in range(300, 302)]  # too long inside an article
-    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert {i: t for i, t in got.items() if i < 200} == {i: f"Story {i} is told here." for i in got if i < 200}
+    rows += [(i, f"http://d.example/{i}", f"<article>{story % (i, '<div>Read our legal words</div>')}</article>") for i in range(300, 304)]  # inside articles
+    rows += [(i, f"http://e.example/{i}", f"<title>T</title><article><h1>One story</h1><div><p>Told under several addresses.</p></div></article><div class=ad>{i}</div>") for i in range(400, 405)]
+    rows += [(i, f"http://f.example/{i}", f"<article><div>{'All stories are alike here. ' * 3}</div><p>{i}</article>") for i in range(500, 505)]  # it is the article that recurs
+    got = {r.page_id: r.text for r in htmltext.extract(pages_of(spark, rows)).collect()}
+    assert {i: t for i, t in got.items() if i < 200 or 300 <= i < 400} == {i: f"Story {i} is told here." for i in got if i < 200 or 300 <= i < 400}
     assert {got[i] for i in range(200, 204)} == {"Story 7 is told here.\nCopies"}
-    assert all(got[i].count("legal") == 20 for i in (300, 301))
+    assert {got[i] for i in range(400, 405)} == {"One story\nTold under several addresses."}
+    assert all(got[i].startswith("All stories") for i in range(500, 505))
+
+
+@pytest.mark.parametrize("copies", [1000, 2])
+def test_html_recurrence_alone_against_brute_force(spark, monkeypatch, copies):
+    """Sites whose parts bear no telling name: what stands on three pages of different stories goes, all else stays."""
+    monkeypatch.setattr(htmltext, "COPIES", copies)
+    r = random.Random(6)
+    rows, want = [], {}
+    for i in range(240):
+        host = f"h{i % 7 if i % 3 else 0}.example"  # one host holds a third
+        parts = [f"part {r.randrange(12)} of {host}" for _ in range(4)]
+        rows.append([i, f"https://{host}/{i}", host, parts, f"Story {i if i % 5 else 0} &amp; more"])
+    rows += [[1000 + k, x[1], *x[2:]] for k, x in enumerate(rows[:9])] + [rows[3], rows[3]]
+    stories = collections.defaultdict(set)
+    for _, _, host, parts, story in rows:
+        for p in parts:
+            stories[host, p].add((story, *parts))
+    made = []
+    for i, url, host, parts, story in rows:
+        made.append((i, url, "<body>%s<div><b>%s</b></div>%s</body>" % ("".join(f"<div>{p}</div>" for p in parts[:2]), story, "".join(f"<section><div>{p}</div></section>" for p in parts[2:]))))
+    # a part in a div alone and one in a section are different subtrees of the one containing div
+    seen = collections.defaultdict(set)
+    for (_, _, host, parts, story), _ in zip(rows, made, strict=True):
+        for p in parts:
+            seen[host, p].add((story, *parts))
+        seen[host, "story", story].add((story, *parts))
+    for i, _, host, parts, story in rows:
+        left = [p for p in parts[:2] if len(seen[host, p]) < 3] + [story.replace("&amp;", "&")] * (len(seen[host, "story", story]) < 3) + [p for p in parts[2:] if len(seen[host, p]) < 3]
+        want[i] = "\n".join(left or [*parts[:2], story.replace("&amp;", "&"), *parts[2:]])
+    got = htmltext.extract(pages_of(spark, made).repartition(5))
+    assert {x.page_id: x.text for x in got.collect()} == want
+    assert got.count() == len(rows)
+
+
+def test_html_long_deep_and_odd_tables(spark):
+    deep = "<div>" * 20_000 + "deep" + "</div>" * 20_000
+    long = "<article>" + "<p>word " * 100_000 + "</article>"
+    df = spark.createDataFrame([(1, "u", deep, "t", 5, "h"), (2, None, long, "t", 5, "h"), (2, None, long, "t", 5, "h"), (None, None, None, None, None, None)], "page_id long, url string, html string, text string, n_chars int, host string")
+    got = collections.Counter((x.page_id, x.text == "deep", x.n_chars) for x in htmltext.extract(df).collect())
+    assert got == {(1, True, 4): 1, (2, False, 499_999): 2, (None, False, 0): 1}
 
 
 def test_licenses(frame, texts):
