@@ -12,6 +12,7 @@ count; equal rows give equal results; an empty table gives an empty one. Other c
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from functools import lru_cache
 
 import ahocorasick
@@ -124,9 +125,18 @@ def detect(text: str, found: set[str]) -> list[tuple[int, int, Rule]]:
     """Detections (start, end, rule) in a normalised text that hold after suppression."""
     hits = [(m.start(), m.end(), r) for r in rules()[0] if r.keyword in found for m in r.pattern.finditer(text)]
     held: list[tuple[int, int, Rule]] = []
+    # Detections of one family never overlap: at most one of each can hold a later one, found by its start.
+    taken: dict[str, tuple[list[int], list[int]]] = {}
     for a, b, r in sorted(hits, key=lambda h: (-h[2].priority, h[0] - h[1], h[0], h[2].label)):
-        if not any((x <= a and b <= y) or (s.family == r.family and a < y and x < b) for x, y, s in held):
-            held.append((a, b, r))
+        if any((k := bisect_right(starts, a)) and b <= ends[k - 1] for starts, ends in taken.values()):
+            continue
+        starts, ends = taken.setdefault(r.family, ([], []))
+        k = bisect_right(starts, a)
+        if (k and ends[k - 1] > a) or (k < len(starts) and starts[k] < b):
+            continue
+        starts.insert(k, a)
+        ends.insert(k, b)
+        held.append((a, b, r))
     return sorted(held, key=lambda h: h[:2])
 
 
@@ -135,7 +145,11 @@ def row(doc_id, data: bytes) -> tuple:
     text = " " + b" ".join(words).decode("utf-8", "replace") + " "
     places = [(end - len(k) - 1, k) for end, k in rules()[1].iter(text)] if words else []
     base = [(at, k) for at, k in places if k in BASE]
-    starts = sorted(text.count(" ", 0, at) for at, _ in base)
+    starts, last, n = [], 0, 0
+    for at, _ in sorted(base):
+        n += text.count(" ", last, at)
+        last = at
+        starts.append(n)
     held = detect(text, {k for _, k in places}) if places else []
     labels = {BASE[k] for _, k in base}
     score = max([r.relevance for _, _, r in held] + [0.7] * bool(base), default=0.0)

@@ -64,8 +64,11 @@ class Model:
         self.weights, self.drift, self.rate, self.scale, self.curve = weights, drift, rate, scale, curve
 
     def segments(self, words: list[str], memory: dict[str, float]) -> list[tuple[float, int, int]]:
-        """Maximal-scoring segments (score, first word, last word + 1), in linear time."""
-        found: list[tuple[float, float, int, int, float]] = []  # left sum, right sum, first, end, score
+        """Maximal-scoring segments (score, first word, last word + 1), in linear time.
+
+        Each segment knows the last one before it with a smaller left sum, so that a search skips what lies between.
+        """
+        found: list[tuple[float, float, int, int, int]] = []  # left sum, right sum, first, end, the last with a smaller left sum
         if len(memory) > MEMORY:
             memory.clear()
         get, weights, low = memory.get, self.weights, -self.drift
@@ -81,16 +84,15 @@ class Model:
             last = i + 1
             left, right, first = total, total + s, i
             total = right
-            while found:
-                j = len(found) - 1
-                while j >= 0 and found[j][0] >= left:
-                    j -= 1
-                if j < 0 or found[j][1] >= right:
-                    break
-                left, first = found[j][0], found[j][2]
+            j = len(found) - 1
+            while j >= 0 and found[j][0] >= left:
+                j = found[j][4]
+            while j >= 0 and found[j][1] < right:
+                left, _, first, _, before = found[j]
                 del found[j:]
-            found.append((left, right, first, i + 1, right - left))
-        return [(s, a, b) for _, _, a, b, s in found]
+                j = before
+            found.append((left, right, first, i + 1, j))
+        return [(right - left, a, b) for left, right, a, b, _ in found]
 
     def expected(self, score: float, n: int) -> float:
         """Segments of at least this score in a clean text of n words."""

@@ -377,6 +377,63 @@ def test_segments_are_maximal():
     assert got == [(4.0, 1, 4), (2.0, 9, 10)]
 
 
+def brute_segments(scores):
+    """Maximal-scoring segments by their definition: the best of the whole, then of what is left on both sides of it."""
+    best = max(((sum(scores[a:b]), -(b - a), -a) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=(0, 0, 0))
+    if best[0] <= 0:
+        return []
+    a, b = -best[2], -best[2] - best[1]
+    return [*brute_segments(scores[:a]), (best[0], a, b), *((s, b + x, b + y) for s, x, y in brute_segments(scores[b:]))]
+
+
+def test_segments_against_brute_force():
+    r = random.Random(11)
+    model = toxicity.Model({"a": 1.0, "b": 2.5, "c": 4.25}, drift=1.125)
+    for _ in range(300):
+        words = r.choices(["a", "b", "c", "x", "y", "z"], k=r.randint(0, 24))
+        got = model.segments(words, {})
+        assert [(round(s, 6), a, b) for s, a, b in got] == [(round(s, 6), a, b) for s, a, b in brute_segments([model.weights.get(w, -1.125) for w in words])]
+
+
+@pytest.mark.parametrize("scan", ["segments", "licenses"])
+def test_scans_of_long_texts_are_linear(scan):
+    import time
+
+    model = toxicity.Model({"a": 1.0}, drift=2.0)  # falling left sums: no segment ever joins another
+
+    def seconds(n):
+        words, text = ["a", "x"] * n, b"licensed under the mit license see apache license version 2 0 filler " * (n // 20)
+        least = []
+        for _ in range(3):
+            began = time.perf_counter()
+            model.segments(words, {}) if scan == "segments" else licenses.row(1, text)
+            least.append(time.perf_counter() - began)
+        return min(least)
+
+    seconds(1000)
+    assert seconds(100_000) < 8 * max(seconds(25_000), 0.01)
+
+
+def brute_detect(text, found):
+    hits = [(m.start(), m.end(), x) for x in licenses.rules()[0] if x.keyword in found for m in x.pattern.finditer(text)]
+    held = []
+    for a, b, x in sorted(hits, key=lambda h: (-h[2].priority, h[0] - h[1], h[0], h[2].label)):
+        if not any((s <= a and b <= e) or (y.family == x.family and a < e and s < b) for s, e, y in held):
+            held.append((a, b, x))
+    return sorted(held, key=lambda h: h[:2])
+
+
+def test_license_detections_against_brute_force():
+    r = random.Random(12)
+    pieces = ["licensed under the", "mit license", "apache license version 2 0", "gnu general public license v3 or later", "gnu lesser general public license", "spdx license identifier mit", "see", "x", "and",
+              "permission is hereby granted free of charge to any person obtaining a copy", "spdx license identifier apache 2 0", "creative commons attribution", "lgpl 2 1", "bsd 3 clause license"]
+    keys = {x.keyword for x in licenses.rules()[0]}
+    for _ in range(150):
+        text = " " + " ".join(r.choices(pieces, k=r.randint(1, 14))) + " "
+        found = {k for k in keys if f" {k} " in text}
+        assert licenses.detect(text, found) == brute_detect(text, found)
+
+
 @pytest.mark.parametrize("rows_in_slice", [3, 2048])
 def test_substrings(frame, texts, monkeypatch, rows_in_slice):
     monkeypatch.setattr(substrings, "SLICE_ROWS", rows_in_slice)
