@@ -5,8 +5,12 @@ A null argument gives null unless a function says otherwise. Casts that may fail
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Characters that part tokens, unless a caller names others.
 DELIMITERS = " \t\r\n,;:=\"'()[]{}<>|/\\&?!@#$%^*+`~"
@@ -61,6 +65,22 @@ def series_hash(name, *labels) -> Column:
     return F.xxhash64(_c(name), *map(_c, labels))
 
 
+def poly_hash(col, start=0) -> Column:
+    """C6. h = 31 * h + c over a string's characters, in wrapping 64-bit arithmetic; start chains it to an earlier hash.
+
+    ANSI arithmetic raises where 64 bits overflow, so the two halves are multiplied apart.
+    """
+    low = lambda v: v.bitwiseAND(F.lit(0xFFFFFFFF))
+
+    def step(h: Column, c: Column) -> Column:
+        small = low(h) * 31 + F.coalesce(F.ascii(c), F.lit(0)).cast("long")
+        large = F.shiftrightunsigned(h, 32) * 31 + F.shiftrightunsigned(small, 32)
+        return F.shiftleft(low(large), 32).bitwiseOR(low(small))
+
+    chars = F.filter(F.split(_c(col), ""), lambda c: c != "")
+    return F.aggregate(chars, (F.lit(start) if isinstance(start, int) else _c(start)).cast("long"), step)
+
+
 def utf8_length(col) -> Column:
     """C7. Bytes in UTF-8."""
     return F.octet_length(_c(col))
@@ -147,39 +167,60 @@ def tag_or(tag, field=None, default: str = "") -> Column:
     return F.coalesce(*options, F.lit(default))
 
 
+#: A JSON string; JSON without brackets outside of strings.
+STRING = r'"(?:[^"\\]|\\.)*+"'
+FLAT = rf'(?:[^\[\]{{}}"]|{STRING})*+'
+
+
 def any_value_to_json(col) -> Column:
-    """C16. Plain JSON of an AnyValue given as JSON text, arrays and key-value lists to two levels; null if it holds no value."""
+    """C16. Plain JSON of an AnyValue given as JSON text, at any depth; null if it holds no value.
 
-    def scalar(v: Column) -> Column:
-        get = lambda k: F.get_json_object(v, f"$.{k}")
-        text = F.get_json_object(F.to_json(F.struct(get("stringValue").alias("x"))), "$.x")
-        return F.coalesce(F.when(get("stringValue").isNotNull(), _quoted(text)), get("boolValue"), get("intValue"), get("doubleValue"), F.when(get("bytesValue").isNotNull(), _quoted(get("bytesValue"))))
+    Scalars are unwrapped at once, then lists and maps from the inside out, as often as there are any. Brackets of what
+    is done stand as control characters, which JSON text never holds.
+    """
+    x = F.to_json(F.try_parse_json(_c(col)))
+    for pattern, to in (
+        (rf'\{{"stringValue":({STRING})\}}', "$1"), (r'\{"(?:boolValue|intValue|doubleValue)":"?([^"{}\[\],]*+)"?\}', "$1"), (r'\{"bytesValue":("[^"]*+")\}', "$1"),
+        (r'\{"arrayValue":\{(?:"values":\[\])?\}\}', "\x01\x02"), (r'\{"kvlistValue":\{(?:"values":\[\])?\}\}', "\x03\x04"), (rf'\G((?:[^"{{]|{STRING}|\{{(?!\}}))*+)\{{\}}', "$1null"),
+    ):
+        x = F.regexp_replace(x, pattern, to)
 
-    def level(v: Column, inner) -> Column:
-        items = F.from_json(F.get_json_object(v, "$.arrayValue.values"), "array<string>")
-        pairs = F.from_json(F.get_json_object(v, "$.kvlistValue.values"), "array<struct<key:string,value:string>>")
-        listed = F.concat(F.lit("["), F.array_join(F.transform(items, lambda x: F.coalesce(inner(x), F.lit("null"))), ","), F.lit("]"))
-        mapped = F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda p: F.concat(_quoted(p["key"]), F.lit(":"), F.coalesce(inner(p["value"]), F.lit("null")))), ","), F.lit("}"))
-        return F.coalesce(scalar(v), listed, mapped)
+    def deeper(s: Column, _: Column) -> Column:
+        s_ = F.regexp_replace(s, rf'\{{"key":({STRING})\}}', "$1:null")
+        s_ = F.regexp_replace(s_, rf'\{{"key":({STRING}),"value":({FLAT})\}}', "$1:$2")
+        s_ = F.regexp_replace(s_, rf'\{{"arrayValue":\{{"values":\[({FLAT})\]\}}\}}', "\x01$1\x02")
+        return F.when(s.contains('Value":{"values":['), F.regexp_replace(s_, rf'\{{"kvlistValue":\{{"values":\[({FLAT})\]\}}\}}', "\x03$1\x04")).otherwise(s)
 
-    return level(_c(col), lambda x: level(x, scalar))
+    levels = F.regexp_count(x, F.lit(r'\{"(?:arrayValue|kvlistValue)":'))
+    nested = F.aggregate(F.sequence(F.lit(1), levels), x, deeper)
+    return F.nullif(F.translate(F.when(levels > 0, nested).otherwise(x), "\x01\x02\x03\x04", "[]{}"), F.lit("null"))
 
 
 def json_to_any_value(col) -> Column:
-    """C16. AnyValue, as JSON text, of a JSON scalar or an array of scalars."""
+    """C16. AnyValue, as JSON text, of JSON; a null in it is an AnyValue without value. Lists and maps go through Arrow."""
     x = F.trim(_c(col))
-
-    def scalar(v: Column) -> Column:
-        return (
-            F.when(v.rlike('^"'), F.concat(F.lit('{"stringValue":'), v, F.lit("}")))
-            .when(v.isin("true", "false"), F.concat(F.lit('{"boolValue":'), v, F.lit("}")))
-            .when(v.rlike(r"^-?[0-9]+$"), F.concat(F.lit('{"intValue":'), v, F.lit("}")))
-            .when(v.rlike(r"^-?[0-9.]+([eE][+-]?[0-9]+)?$"), F.concat(F.lit('{"doubleValue":'), v, F.lit("}")))
-        )
-
-    items = F.from_json(x, "array<string>")
-    each = F.transform(items, lambda v: F.coalesce(scalar(v), scalar(_quoted(v))))
-    return F.when(x.startswith("["), F.concat(F.lit('{"arrayValue":{"values":['), F.array_join(each, ","), F.lit("]}}"))).otherwise(scalar(x))
+    scalar = (
+        F.when(x.rlike('^"'), F.concat(F.lit('{"stringValue":'), x, F.lit("}")))
+        .when(x.isin("true", "false"), F.concat(F.lit('{"boolValue":'), x, F.lit("}")))
+        .when(x.rlike(r"^-?[0-9]+$"), F.concat(F.lit('{"intValue":'), x, F.lit("}")))
+        .when(x.rlike(r"^-?[0-9.]+([eE][+-]?[0-9]+)?$"), F.concat(F.lit('{"doubleValue":'), x, F.lit("}")))
+    )
+    return F.when(x.rlike(r"^[\[{]"), F.pandas_udf(_any_values, StringType())(F.when(x.rlike(r"^[\[{]"), x))).otherwise(scalar)
+
+
+def _any_values(texts: pd.Series) -> pd.Series:
+    def wrap(v):
+        if v is None:
+            return {}
+        if isinstance(v, bool):
+            return {"boolValue": v}
+        if isinstance(v, list):
+            return {"arrayValue": {"values": [wrap(i) for i in v]}}
+        if isinstance(v, dict):
+            return {"kvlistValue": {"values": [{"key": k, "value": wrap(i)} for k, i in v.items()]}}
+        return {("stringValue" if isinstance(v, str) else "intValue" if isinstance(v, int) else "doubleValue"): v}
+
+    return texts.map(lambda t: json.dumps(wrap(json.loads(t)), ensure_ascii=False, separators=(",", ":")), na_action="ignore")
 
 
 def _quoted(x: Column) -> Column:

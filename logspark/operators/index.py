@@ -6,16 +6,20 @@ map-side combined aggregation. Tables are Parquet, partitioned by target and day
 
 from __future__ import annotations
 
-import uuid
+import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logspark.functions.scalar import DELIMITERS, object_hash, tokenize
+from logspark.model import schema
+from logspark.session import written
 
-#: Bits of a bitmap and hash functions; with at most MAX_TOKENS a bitmap has about 1 % false positives.
-BITS, HASHES, MAX_TOKENS = 32768, 7, 3400
+#: Bits of a bitmap, stored as longs, and hash functions.
+BITS, HASHES = 32768, 7
 #: Values of a part of a list.
 PART_ROWS = 100_000
 CHUNK = ["target", "bucket", "object_id", "chunk_id"]
@@ -92,19 +96,27 @@ def token_sets(events: DataFrame) -> DataFrame:
     return distinct_tokens(events).groupBy(*CHUNK).agg(F.sort_array(F.collect_set("token")).alias("tokens"))
 
 
-def assign_parts(postings: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """A3. part and parts, so that no bitmap holds much more than max_tokens."""
+def tokens_for(fpr: float, k: int = HASHES, bits: int = BITS) -> int:
+    """A3. The most tokens with which a bitmap of this size keeps to a false-positive rate."""
+    if not 0 < fpr < 1:
+        raise ValueError("the rate must be between 0 and 1")
+    return max(1, int(-bits / k * math.log(1 - fpr ** (1 / k))))
+
+
+def assign_parts(postings: DataFrame, max_tokens: int | None = None, fpr: float = 0.01) -> DataFrame:
+    """A3. part and parts, so that no bitmap holds much more than max_tokens, by default what the false-positive rate allows."""
+    max_tokens = max_tokens or tokens_for(fpr)
     sizes = postings.groupBy(*CHUNK).agg(F.count(F.lit(1)).alias("n"))
     parts = sizes.select(*CHUNK, F.ceil(F.col("n") / max_tokens).cast("int").alias("parts"))
     return postings.join(parts, CHUNK).withColumn("part", F.pmod(F.xxhash64("token", F.lit(-1)), F.col("parts")).cast("int"))
 
 
-def build_bloom(postings: DataFrame, k: int = HASHES, bits: int = BITS, fpr: float = 0.01) -> DataFrame:
-    """A2. One bitmap for each chunk, bucket and part."""
-    if bits != BITS:
-        raise ValueError("a bitmap has 32768 bits")
-    placed = postings.withColumn("_bit", F.explode(F.array(*[F.pmod(F.xxhash64("token", F.lit(i)), F.lit(bits)) for i in range(k)])))
-    return placed.groupBy(*CHUNK, "part", "parts").agg(F.count_distinct("token").cast("int").alias("n"), F.bitmap_construct_agg("_bit").alias("bitmap")).withColumn("fpr", F.lit(fpr))
+def build_bloom(postings: DataFrame) -> DataFrame:
+    """A2. One bitmap, as longs, for each chunk, bucket and part of distinct postings, and the false-positive rate its tokens give."""
+    placed = postings.withColumn("_bit", F.explode(F.array(*[F.pmod(F.xxhash64("token", F.lit(i)), F.lit(BITS)) for i in range(HASHES)])))
+    made = placed.groupBy(*CHUNK, "part", "parts").agg((F.count(F.lit(1)) / HASHES).cast("int").alias("n"), F.bitmap_construct_agg("_bit").alias("bitmap"))
+    words = F.transform(F.sequence(F.lit(0), F.lit(BITS // 64 - 1)), lambda w: F.conv(F.hex(F.substring(F.col("bitmap"), w * 8 + 1, F.lit(8))), 16, -10).cast("long"))
+    return made.withColumn("bitmap", words).withColumn("fpr", F.pow(1 - F.exp(-HASHES * F.col("n") / BITS), F.lit(HASHES)))
 
 
 def chunk_bounds(events: DataFrame) -> DataFrame:
@@ -122,6 +134,23 @@ def index_stats(filters: DataFrame, n: str = "n", step: int = 50) -> DataFrame:
     return filters.groupBy((F.floor(F.col(n) / step) * step).cast("long").alias("n_floor")).agg(F.count(F.lit(1)).alias("filters"))
 
 
+def index_totals(filters: DataFrame) -> DataFrame:
+    """A6. Of bitmaps: filters, chunks, buckets (epochs), elements, bytes, mean size of a group of parts, least and greatest false-positive rate in millionths."""
+    rate = F.round(F.col("fpr") * 1_000_000).cast("long")
+    chunk = F.struct("target", "object_id", "chunk_id")
+    sums = filters.agg(
+        F.count(F.lit(1)).alias("filters"), F.count_distinct(chunk).alias("chunks"), F.count_distinct("bucket").alias("buckets"), F.sum("n").alias("elements"), (F.count(F.lit(1)) * (BITS // 8)).alias("bytes"),
+        F.count_distinct(F.struct(*CHUNK)).alias("groups"), F.min(rate).alias("min_rate"), F.max(rate).alias("max_rate"),
+    )
+    return sums
+
+
+def key_sizes(filters: DataFrame, step: int = 50) -> DataFrame:
+    """A6. Histogram of the lengths of index keys in steps."""
+    key = F.concat_ws("/", "target", F.col("bucket").cast("string"), object_hash("object_id"), F.col("chunk_id").cast("string"), F.col("part").cast("string"))
+    return filters.groupBy((F.floor(F.length(key) / step) * step).cast("long").alias("size_floor")).agg(F.count(F.lit(1)).alias("filters"))
+
+
 def observe_build(df: DataFrame, name: str = "index") -> DataFrame:
     """A20. Counts rows of a build while it runs."""
     return df.observe(name, F.count(F.lit(1)).alias("rows"))
@@ -157,6 +186,27 @@ def write_filters(df: DataFrame, root: str, kind: str = "filters") -> None:
     _append(rows, f"{root}/{kind}", "target", "bucket_day")
 
 
+def read_index(spark: SparkSession, root: str, kind: str = "filters") -> DataFrame:
+    """S3. An index table with target and day as text: Spark would take a target of digits for a number.
+
+    Tables of the data model have its schema, so that no footer is read to find it.
+    """
+    found = schema(kind) if kind in ("events", "filters", "postings") else spark.read.parquet(f"{root}/{kind}").schema
+    named = [T.StructField(f.name, f.dataType) for f in found if f.name not in ("target", "bucket_day")]
+    named += [T.StructField(name, T.StringType()) for name in ("target", "bucket_day")]
+    return spark.read.schema(T.StructType(named)).parquet(f"{root}/{kind}")
+
+
+def write_events(events: DataFrame, root: str) -> None:
+    """K2. Events in the layout of the index: by target and day, sorted by chunk, so that a search reads few row groups."""
+    write_filters(events, root, "events")
+
+
+def write_reverse(df: DataFrame, root: str) -> None:
+    """K3. A row for each index key of each object, by range of objects."""
+    reverse_index(df).repartitionByRange("object_id", "key").sortWithinPartitions("object_id", "key").write.mode("append").parquet(f"{root}/reverse")
+
+
 def write_chunks(df: DataFrame, root: str) -> None:
     """K2."""
     df.write.mode("append").parquet(f"{root}/chunks")
@@ -174,23 +224,40 @@ def merge_templates(raw: DataFrame, merged: DataFrame | None = None) -> DataFram
 
 
 def compact_templates(spark: SparkSession, root: str, version: int, last_ms: int = 0, now_ms: int = 0, min_interval_ms: int = 0) -> bool:
-    """K5, X7. Merges raw and the latest merged templates into a new version, if one is due; tells whether it did."""
+    """K5, X7. Merges raw and the latest merged templates into a new version, if one is due; tells whether it did.
+
+    The raw files and versions that went into it are deleted once it is complete, so that a crash leaves duplicates at
+    most, which the next merge removes. Raw files that arrive meanwhile stay.
+    """
     if now_ms - last_ms < min_interval_ms:
         return False
-    merge_templates(read_templates(spark, root)).write.mode("overwrite").parquet(f"{root}/templates/merged/version={version}")
+    rows = read_templates(spark, root)
+    inputs = list(rows.inputFiles())  # names of the few files of a template store
+    merge_templates(rows).write.mode("error").parquet(f"{root}/templates/merged/version={version}")
+    delete_paths(spark, inputs)
     return True
 
 
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes files or folders by the file system that holds them."""
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(p))
+        path.getFileSystem(conf).delete(path, True)
+
+
 def read_templates(spark: SparkSession, root: str) -> DataFrame:
     """S5. Raw templates and the newest merged version."""
     from pyspark.errors import AnalysisException
 
-    raw = spark.read.parquet(f"{root}/templates/raw").select("template_hash", "template", "first_seen")
-    try:
-        merged = spark.read.parquet(f"{root}/templates/merged")
-    except AnalysisException:  # nothing merged yet
-        return raw
-    return raw.unionByName(latest_merged(merged, "version").select("template_hash", "template", "first_seen"))
+    columns, found = ["template_hash", "template", "first_seen"], []
+    for kind in ("raw", "merged"):
+        try:
+            rows = spark.read.parquet(f"{root}/templates/{kind}")
+        except AnalysisException:  # none yet, or all merged
+            continue
+        found.append((latest_merged(rows, "version") if kind == "merged" else rows).select(*columns))
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], "template_hash string, template string, first_seen long")
 
 
 def latest_merged(files: DataFrame, version: str) -> DataFrame:
@@ -201,25 +268,21 @@ def latest_merged(files: DataFrame, version: str) -> DataFrame:
 def delete_object(spark: SparkSession, root: str, kind: str, object_id: str) -> int:
     """K15. Takes an object's entries out of one index table and returns their number.
 
-    Only partitions that hold the object are rewritten: their other rows are staged, the partitions' folders removed by
-    the file system that holds them, and the staged rows appended.
+    Only the folders that hold the object are rewritten, as the file names of its rows tell them: their other rows are
+    staged, then overwrite these folders, and what held nothing else is deleted. Rows are never missing in between, and
+    a deletion that was stopped can be run again.
     """
-    path = f"{root}/{kind}"
-    rows = spark.read.parquet(path)
-    own = rows.where(F.col("object_id") == object_id).groupBy("target", "bucket_day").agg(F.count(F.lit(1)).alias("n"))
-    touched = own.collect()  # a row for each day of one object
+    rows = read_index(spark, root, kind).withColumn("_folder", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""))
+    own = rows.where(F.col("object_id") == object_id).groupBy("_folder").agg(F.count(F.lit(1)).alias("n"))
+    touched = {r["_folder"]: r.n for r in own.collect()}  # a row for each day of one object
     if not touched:
         return 0
-    kept = without_object(rows.join(F.broadcast(own.select("target", "bucket_day")), ["target", "bucket_day"], "left_semi"), object_id)
-    staged = f"{root}/_staged_{kind}_{uuid.uuid4().hex}"
-    kept.write.partitionBy("target", "bucket_day").parquet(staged)
-    left = spark.read.schema(rows.schema).parquet(staged)
-    jvm = spark.sparkContext._jvm
-    for r in touched:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/target={r.target}/bucket_day={r.bucket_day}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-    left.write.mode("append").partitionBy("target", "bucket_day").parquet(path)
-    return sum(r.n for r in touched)
+    kept = without_object(rows.where(F.col("_folder").isin(*touched)), object_id)
+    staged = written(kept, f"kept-{kind}")
+    full = {r["_folder"] for r in staged.select("_folder").distinct().collect()}
+    staged.drop("_folder").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("target", "bucket_day").parquet(f"{root}/{kind}")
+    delete_paths(spark, sorted(set(touched) - full))
+    return sum(touched.values())
 
 
 def without_object(df: DataFrame, object_id) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Protocol
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,32 @@ class MetricSink(Protocol):
 
     def write(self, samples: DataFrame, batch_id: int) -> None: ...
 
+    def close(self) -> None: ...
+
+
+class TableSink:
+    """E2. Samples as Parquet, a folder for each batch, so that a batch that is run again replaces its own rows."""
+
+    def __init__(self, options: dict[str, str]):
+        self.path = options["path"]
+
+    def write(self, samples: DataFrame, batch_id: int) -> None:
+        samples.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def close(self) -> None:
+        pass
+
+
+#: E2. Kind of a sink -> what makes it from options; users add their own.
+SINKS: dict[str, Callable[[dict[str, str]], MetricSink]] = {"table": TableSink}
+
+
+def create_sink(options: dict[str, str]) -> MetricSink:
+    """E2. The sink that options name by kind."""
+    if options.get("kind") not in SINKS:
+        raise ValueError(f"unknown kind of sink {options.get('kind')!r}")
+    return SINKS[options["kind"]](options)
+
 
 def counters(summaries: DataFrame, tags: list[str], value: str) -> DataFrame:
     """A13. Sum of a value by tags."""

@@ -24,9 +24,10 @@ def bloom_might_contain(bitmap: Column, token: str | Column) -> Column:
     token = F.lit(token) if isinstance(token, str) else token
 
     def bit(i: int) -> Column:
-        place = F.pmod(F.xxhash64(token, F.lit(i)), F.lit(BITS))
-        byte = F.conv(F.hex(F.substring(bitmap, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        return byte.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) != 0
+        place = F.pmod(F.xxhash64(token, F.lit(i)), F.lit(BITS)).cast("int")
+        # The first byte of a long is its highest one, the first bit of a byte its lowest one.
+        back = 56 - place.bitwiseAND(F.lit(56)) + place.bitwiseAND(F.lit(7))
+        return F.call_function("shiftright", F.get(bitmap, F.shiftright(place, 6)), back).bitwiseAND(F.lit(1)) != 0
 
     return reduce(lambda a, b: a & b, [bit(i) for i in range(HASHES)])
 
@@ -60,7 +61,7 @@ def _gate(text: str, tokens: list[list[str]]) -> Column:
 def can_prune(spark, text: str, tokens: list[list[str]]) -> bool:
     """Whether a chunk with none of the tokens fails the search: Spark folds the tree over constants."""
     tests = {i: "false" for i, need in enumerate(tokens) if need}
-    return not spark.range(1).select(gate_expr(text, tests).alias("x")).head().x
+    return not spark.sql("VALUES (0)").select(gate_expr(text, tests).alias("x")).head().x  # a local relation: no job
 
 
 def prune_by_postings(postings: DataFrame, text: str, tokens: list[list[str]], template_hashes: list[str] | None = None) -> DataFrame | None:
@@ -83,14 +84,18 @@ def prune_by_template(postings: DataFrame, hashes: list[str]) -> DataFrame:
     return distinct_chunks(postings.where(F.col("token").isin(hashes)))
 
 
-def prune_by_bitmap(filters: DataFrame, text: str, tokens: list[list[str]]) -> DataFrame | None:
-    """P5, P7. As prune_by_postings, from bitmaps: a token counts as found if a bitmap of the chunk may hold it."""
+def prune_by_bitmap(filters: DataFrame, text: str, tokens: list[list[str]], template_hashes: list[str] | None = None) -> DataFrame | None:
+    """P5, P6, P7. As prune_by_postings, from bitmaps: a token, or any of the template hashes, counts as found if a bitmap of the chunk may hold it."""
     need = sorted({t for c in tokens for t in c})
-    if not need or not can_prune(filters.sparkSession, text, tokens):
-        return None
-    held = F.filter(F.array(*[F.when(bloom_might_contain(F.col("bitmap"), t), F.lit(t)) for t in need]), lambda t: t.isNotNull())
-    rows = filters.select("object_id", "chunk_id", F.explode(held).alias("token"))
-    return _found(rows).where(_gate(text, tokens)).select("object_id", "chunk_id")
+    chunks = None
+    if need and can_prune(filters.sparkSession, text, tokens):
+        held = F.filter(F.array(*[F.when(bloom_might_contain(F.col("bitmap"), t), F.lit(t)) for t in need]), lambda t: t.isNotNull())
+        rows = filters.select("object_id", "chunk_id", F.explode(held).alias("token"))
+        chunks = _found(rows).where(_gate(text, tokens)).select("object_id", "chunk_id")
+    if template_hashes:
+        hashed = distinct_chunks(filters.where(might_contain_any(F.col("bitmap"), template_hashes)))
+        chunks = hashed if chunks is None else chunks.join(hashed, ["object_id", "chunk_id"], "left_semi")
+    return chunks
 
 
 def hits_to_chunks(hits: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -3,57 +3,81 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from logspark.functions.scalar import any_value_to_json, date_pattern, observed_time, otlp_body, pick_tag, split_markers
+from logspark.functions.scalar import _quoted, any_value_to_json, date_pattern, observed_time, pick_tag, split_markers
+from logspark.operators.prune import by_size
+from logspark.session import written
 
-ATTRIBUTES = "array<struct<key:string,value:string>>"
-OTLP = f"resourceLogs array<struct<resource:struct<attributes:{ATTRIBUTES}>,scopeLogs:array<struct<logRecords:array<struct<timeUnixNano:string,observedTimeUnixNano:string,body:string,attributes:{ATTRIBUTES}>>>>>>"
+VALUE = "struct<stringValue:string,boolValue:string,intValue:string,doubleValue:string,bytesValue:string,arrayValue:string,kvlistValue:string>"
+ATTRIBUTES = f"array<struct<key:string,value:{VALUE}>>"
+OTLP = f"resourceLogs array<struct<resource:struct<attributes:{ATTRIBUTES}>,scopeLogs:array<struct<logRecords:array<struct<timeUnixNano:string,observedTimeUnixNano:string,body:{VALUE},attributes:{ATTRIBUTES}>>>>>>"
+#: Records of an export request at most.
+BATCH = 1024
+
+
+def _plain(v):
+    """C17. Text of a parsed value: a string as it is, else its JSON."""
+    nested = lambda k: F.when(v[k].isNotNull(), any_value_to_json(F.concat(F.lit(f'{{"{k}":'), v[k], F.lit("}"))))
+    quoted = F.when(v["bytesValue"].isNotNull(), _quoted(v["bytesValue"]))
+    return F.coalesce(v["stringValue"], v["boolValue"], v["intValue"], v["doubleValue"], quoted, nested("arrayValue"), nested("kvlistValue"))
 
 
 def _attributes(col):
     """Key-value list as a map of plain values; of equal keys the last one holds."""
     a = F.coalesce(col, F.expr(f"cast(array() as {ATTRIBUTES})"))
-    text = lambda v: F.coalesce(F.get_json_object(v, "$.stringValue"), any_value_to_json(v))
-    last = F.filter(a, lambda x, i: ~F.array_contains(F.transform(F.slice(a, i + 2, F.size(a)), lambda y: y["key"]), x["key"]))
-    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["key"], text(x["value"]))))
+    keys = F.transform(a, lambda x: x["key"])
+    last = F.filter(a, lambda x, i: ~F.array_contains(F.slice(keys, i + 2, F.size(a)), x["key"]))
+    once = F.when(F.size(F.array_distinct(keys)) == F.size(keys), a).otherwise(last)
+    return F.map_from_entries(F.transform(once, lambda x: F.struct(x["key"], _plain(x["value"]))))
 
 
 def flatten_otlp(df: DataFrame, col: str = "request") -> DataFrame:
     """S9. A row for each log record of JSON export requests: tag, body, time_ns, observed_ns, attributes, resource."""
-    # Values of any type are kept as their JSON text: reading them as strings gives objects as text.
+    # Lists and maps are read as their JSON text, and scalars of any type as text.
     r = df.select(F.explode(F.from_json(col, OTLP)["resourceLogs"]).alias("r"))
     s = r.select(_attributes(F.col("r.resource.attributes")).alias("resource"), F.explode("r.scopeLogs").alias("s"))
     x = s.select("resource", F.explode("s.logRecords").alias("x"))
     return x.select(
-        pick_tag("resource").alias("tag"), otlp_body("x.body").alias("body"), F.col("x.timeUnixNano").try_cast("long").alias("time_ns"), F.col("x.observedTimeUnixNano").try_cast("long").alias("observed_ns"),
+        pick_tag("resource").alias("tag"), _plain(F.col("x.body")).alias("body"), F.col("x.timeUnixNano").try_cast("long").alias("time_ns"), F.col("x.observedTimeUnixNano").try_cast("long").alias("observed_ns"),
         _attributes(F.col("x.attributes")).alias("attributes"), "resource",
     )
 
 
-def group_by_resource(records: DataFrame, batch: int | None = None) -> DataFrame:
-    """A14. The records of each resource as a list, in parts of at most batch records so that no list is unbounded."""
-    rec = F.struct("time_ns", "observed_ns", "body", "attributes")
+def _parts(rows: DataFrame, batch: int) -> DataFrame:
+    """part of each row (key, record), so that no key and part has more than batch of them, also of equal ones.
+
+    Equal rows are counted, combined before the shuffle, and numbered again as copies. A key's rows are dealt over as
+    many slots as it has eight batches, and numbered inside a slot: no task orders all rows of a large key.
+    """
+    once = written(rows.groupBy("key", "record").agg(F.count(F.lit(1)).alias("_n")), "records")
+    sizes = once.groupBy("key").agg(F.ceil(F.sum("_n") / (8 * batch)).alias("_slots"))
+    copies = once.select("key", "record", F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("_copy"))
+    dealt = copies.join(by_size(sizes), "key").withColumn("_slot", F.pmod(F.xxhash64("record", "_copy"), F.col("_slots")))
+    number = F.row_number().over(W.partitionBy("key", "_slot").orderBy("record", "_copy"))
+    return dealt.withColumn("part", F.floor((number - 1) / batch)).drop("_slots", "_copy")
+
+
+def _by_resource(records: DataFrame, rec) -> DataFrame:
     key = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("resource"))))
-    rows = records.select(key.alias("resource"), rec.alias("record"), F.xxhash64("time_ns", "body").alias("_h"))
-    if batch is None:
-        return rows.groupBy("resource").agg(F.sort_array(F.collect_list(F.to_json("record"))).alias("records"))
-    sizes = rows.groupBy("resource").agg(F.ceil(F.count(F.lit(1)) / batch).alias("_parts"))
-    part = rows.join(sizes, "resource").withColumn("part", F.pmod(F.col("_h"), F.col("_parts")))
-    return part.groupBy("resource", "part").agg(F.sort_array(F.collect_list(F.to_json("record"))).alias("records"))
+    return records.select(key.alias("key"), rec.alias("record"))
+
 
+def group_by_resource(records: DataFrame, batch: int = BATCH) -> DataFrame:
+    """A14. The records of each resource in sorted lists of at most batch records, as JSON."""
+    rows = _by_resource(records, F.to_json(F.struct("time_ns", "observed_ns", "body", "attributes")))
+    return _parts(rows, batch).groupBy("key", "_slot", "part").agg(F.sort_array(F.collect_list("record")).alias("records")).select(F.col("key").alias("resource"), "records")
 
-def to_otlp(records: DataFrame, batch: int = 10_000) -> DataFrame:
-    """K10. Export requests as JSON, one for each resource and part; markers are stripped, observed time is filled."""
+
+def to_otlp(records: DataFrame, batch: int = BATCH) -> DataFrame:
+    """K10. Export requests as JSON, each with at most batch records of one resource; markers are stripped, observed time is filled."""
     now = F.unix_micros(F.current_timestamp()) * 1000
     attributes = lambda m: F.transform(F.array_sort(F.map_entries(m)), lambda e: F.struct(e["key"].alias("key"), F.struct(e["value"].alias("stringValue")).alias("value")))
     rec = F.struct(F.col("time_ns").cast("string").alias("timeUnixNano"), observed_time("observed_ns", "time_ns", now).cast("string").alias("observedTimeUnixNano"), F.struct(F.col("body").alias("stringValue")).alias("body"), attributes(split_markers("attributes")).alias("attributes"))
-    key = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("resource"))))
-    rows = records.select(key.alias("_key"), "resource", rec.alias("rec"), F.xxhash64("time_ns", "body").alias("_h"))
-    sizes = rows.groupBy("_key").agg(F.ceil(F.count(F.lit(1)) / batch).alias("_parts"))
-    part = rows.join(sizes, "_key").withColumn("_part", F.pmod(F.col("_h"), F.col("_parts")))
-    grouped = part.groupBy("_key", "_part").agg(F.first("resource").alias("resource"), F.collect_list("rec").alias("recs"))
-    log = F.struct(F.struct(attributes(F.col("resource")).alias("attributes")).alias("resource"), F.array(F.struct(F.col("recs").alias("logRecords"))).alias("scopeLogs"))
+    grouped = _parts(_by_resource(records, rec), batch).groupBy("key", "_slot", "part").agg(F.collect_list("record").alias("recs"))
+    resource = attributes(F.from_json("key", "map<string,string>"))
+    log = F.struct(F.struct(resource.alias("attributes")).alias("resource"), F.array(F.struct(F.col("recs").alias("logRecords"))).alias("scopeLogs"))
     return grouped.select(F.to_json(F.struct(F.array(log).alias("resourceLogs"))).alias("request"), F.size("recs").alias("n_records"))
 
 

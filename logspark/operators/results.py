@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from logspark.functions.scalar import query_reason, slice_label, time_slice
 from logspark.operators import prune
 from logspark.operators.search import QueryOptions, clause_tokens, combine_filters, in_range
+from logspark.session import written
+from logspark.sources.files import scan_filters_between
 
 EVENT_FIELDS = {"k": "enrichment['k']", "event_type": "enrichment['event_type']", "user_id": "enrichment['user_id']", "this": "text", "this.text": "text"}
 
@@ -23,7 +25,7 @@ def candidates(events: DataFrame, options: QueryOptions, postings: DataFrame | N
     tokens = clause_tokens(events.sparkSession, options.search) if tokens is None else tokens
     if postings is not None:
         return prune.prune_by_postings(postings, options.search, tokens, template_hashes)
-    return prune.prune_by_bitmap(filters, options.search, tokens) if filters is not None else None
+    return prune.prune_by_bitmap(filters, options.search, tokens, template_hashes) if filters is not None else None
 
 
 def search(events: DataFrame, options: QueryOptions, postings: DataFrame | None = None, filters: DataFrame | None = None, template_hashes: list[str] | None = None, tokens: list[list[str]] | None = None, fields: dict[str, str] | None = None) -> DataFrame:
@@ -35,6 +37,28 @@ def search(events: DataFrame, options: QueryOptions, postings: DataFrame | None
     return rows.where(combine_filters(options.filters, options.search, fields=fields or EVENT_FIELDS))
 
 
+def search_stored(spark: SparkSession, root: str, target: str, options: QueryOptions, kind: str = "postings", resolution: int = 3_600_000, template_hashes: list[str] | None = None, fields: dict[str, str] | None = None) -> DataFrame:
+    """P7, S4. A search over a stored index (index.write_filters, write_events): the index and the events are read for the
+    days of the time range only, and of the events only the chunks that are left."""
+    index = scan_filters_between(spark, root, target, options.t0, options.t1, resolution, kind)
+    events = scan_filters_between(spark, root, target, options.t0, options.t1, resolution, "events")
+    side = {"postings": index} if kind == "postings" else {"filters": index}
+    return search(events, options, template_hashes=template_hashes, fields=fields, **side)
+
+
+def counters_of(spark: SparkSession, root: str, target: str, options: QueryOptions, kind: str = "postings", resolution: int = 3_600_000) -> DataFrame:
+    """A7. Counters of a stored search: index keys scanned, chunks matched, requests, objects and bytes of events left and skipped."""
+    index = scan_filters_between(spark, root, target, options.t0, options.t1, resolution, kind)
+    chunks = candidates(index, options, **({"postings": index} if kind == "postings" else {"filters": index}))
+    keys = index.select("object_id", "chunk_id", "bucket").distinct()
+    held = keys.join(prune.by_size(chunks.withColumn("_hit", F.lit(True))), ["object_id", "chunk_id"], "left") if chunks is not None else keys.withColumn("_hit", F.lit(True))
+    chunk, hit = F.struct("object_id", "chunk_id"), F.col("_hit").isNotNull()
+    return held.agg(
+        F.count(F.lit(1)).alias("keys"), F.count_distinct(chunk).alias("scanned"), F.count_distinct(F.when(hit, chunk)).alias("matched"), F.count_distinct(F.when(~hit, chunk)).alias("skipped_search"),
+        (F.count_if(hit) - F.count_distinct(F.when(hit, chunk))).alias("skipped_duplicate"), F.count_distinct(F.when(hit, F.col("object_id"))).alias("requests"), F.count_distinct("object_id").alias("objects"),
+    )
+
+
 def result_bytes(matches: DataFrame) -> DataFrame:
     """K6. UTF-8 bytes of the matched events of each object."""
     return matches.groupBy("object_id").agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("n_events"))
@@ -58,12 +82,12 @@ def cap_per_group(df: DataFrame, keys: list[str], order: list, n: int = 2000) ->
 def limit_bytes(df: DataFrame, order: list, max_bytes: int, size: str = "bytes", day: str | None = None) -> DataFrame:
     """W7. Rows as long as the bytes before them stay under the limit.
 
-    day, a column that the order starts with, makes the running sum two-level: sums of each day, then inside it, so
-    that no task sees all rows.
+    The running sum has two levels, sums of each day and then inside it, so that no task sees all rows. day is a column
+    that the order starts with; without one, ranges of the order, dealt by Spark and written, take its place.
     """
     if day is None:
-        before = F.coalesce(F.sum(size).over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-        return df.withColumn("_before", before).where(F.col("_before") < max_bytes).drop("_before")
+        ranged = written(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+        return limit_bytes(ranged, order, max_bytes, size, "_range").drop("_range")
     days = df.groupBy(day).agg(F.sum(size).alias("_sum"))  # a row for each day
     earlier = F.coalesce(F.sum("_sum").over(W.orderBy(day).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     held = df.join(days.select(F.col(day), earlier.alias("_earlier")), day).where(F.col("_earlier") < max_bytes)
@@ -98,9 +122,10 @@ def slices(spark: SparkSession, t0: int, t1: int, base: int, most: int) -> DataF
 
 def write_results(matches: DataFrame, root: str, query_id: str, cap: int = 2000, kind: str = "results") -> DataFrame:
     """K7, K8, X9. Results as JSON lines by slice, at most cap for each slice and object; returns the counters."""
-    kept = cap_per_group(matches, ["slice", "object_id"], ["seq"], cap)
+    found = written(matches, "matches")  # the search runs once, its rows are used twice
+    kept = cap_per_group(found, ["slice", "object_id"], ["seq"], cap)
     kept.write.mode("overwrite").partitionBy("slice").json(f"{root}/{kind}/query_id={query_id}")
-    return result_counters(matches, ["slice", "object_id"], cap)
+    return result_counters(found, ["slice", "object_id"], cap)
 
 
 def write_summaries(df: DataFrame, root: str, query_id: str, cap: int = 2000) -> DataFrame:

@@ -119,6 +119,11 @@ def where_user(df: DataFrame, sql_text: str) -> DataFrame:
     return df.where(F.expr(sql_text))
 
 
+def with_outcome(df: DataFrame, sql_text: str, match: str = "accept", mismatch: str = "deny", out: str = "outcome") -> DataFrame:
+    """P13. The outcome of a user's predicate for each row; a predicate that is null doesn't match."""
+    return df.withColumn(out, F.when(F.coalesce(F.expr(sql_text).cast("boolean"), F.lit(False)), match).otherwise(mismatch))
+
+
 def is_template_line(col: Column) -> Column:
     """P16."""
     return F.coalesce(F.get_json_object(col, "$.templateHash").isNotNull(), F.lit(False))
@@ -129,6 +134,11 @@ def is_empty_query(hashes, tokens) -> bool:
     return not hashes and not any(tokens or ())
 
 
+def valid_request(t0: Column, t1: Column, terms: Column) -> Column:
+    """P17, P18. Whether a request has terms and a range that does not end before it starts, for tables of requests."""
+    return (t0 < t1) & (F.size(F.filter(terms, lambda t: F.trim(t) != "")) > 0)
+
+
 def not_stale(deadline: Column, now: Column, grace: str = "10 minutes") -> Column:
     """P19. Not past the deadline by more than the grace."""
     return now <= deadline + F.expr(f"INTERVAL {grace}")
@@ -165,8 +175,8 @@ class QueryOptions:
 
 def clause_tokens(spark: SparkSession, text: str, delims: str = DELIMITERS) -> list[list[str]]:
     """Tokens of each clause that can prune: those of ==; includes may match part of a token and gives none."""
-    terms = search_terms(spark, text).select("idx", "kind", tokenize("value", delims).alias("tokens")).collect()  # a search's few clauses
-    return [r.tokens if r.kind == "==" else [] for r in sorted(terms, key=lambda r: r.idx)]
+    each = [tokenize(F.lit(c.value), delims) if c.kind == "==" else F.array().cast("array<string>") for c in clauses(text)[0]]
+    return spark.sql("VALUES (0)").select(F.array(*each).alias("tokens")).head().tokens  # a local relation: no job
 
 
 def gate_expr(text: str, clause: dict[int, str]) -> Column:

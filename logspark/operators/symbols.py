@@ -3,27 +3,18 @@
 from __future__ import annotations
 
 import itertools
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logspark.session import written
+
 
 def read_symbol_units(spark: SparkSession, path: str) -> DataFrame:
     """E5. JSON units, one a line, with the file as unit id."""
     return spark.read.text(path).select(F.xxhash64(F.input_file_name(), "value").alias("unit_id"), F.col("value").alias("unit"))
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder (spark.checkpoint.dir; a temporary one only where that is unset)."""
-    spark = df.sparkSession
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="logspark-")
-    path = f"{root}/symbols-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def walk_symbols(df: DataFrame, col: str = "unit", max_depth: int | None = None) -> DataFrame:
     """C34. value, context, depth and path of each node, level by level.
 
@@ -34,7 +25,7 @@ def walk_symbols(df: DataFrame, col: str = "unit", max_depth: int | None = None)
     out = None
     for depth in itertools.count() if max_depth is None else range(max_depth):
         if max_depth is None:
-            level = _written(level)
+            level = written(level, "symbols")
             if out is not None and level.isEmpty():
                 break
         value = F.get_json_object("node", "$.value")

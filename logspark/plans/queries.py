@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,10 @@ from logspark.operators import reports as T
 from logspark.operators import results as Q
 from logspark.operators import search as X
 from logspark.operators import symbols as Y
+from logspark.session import shared_folder
+from logspark.sources import files
 from logspark.sources.files import between, keys_after
+from logspark.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -90,6 +94,48 @@ SEARCH = 'event_type == "error" && includes(this, "8")'
 SEARCH_SQL = f"SELECT event_id AS seq, strftime(ts, '%Y-%m-%d') AS object_id FROM events WHERE event_type = 'error' AND contains(concat(event_type, ' ', props), '8') AND {MS} >= {T0} AND {MS} < {T1}"
 
 
+def fresh(spark: SparkSession, name: str) -> str:
+    """A new folder of the shared one."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored_index(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the index of a table's events: written by the first query that needs it, found again as long as the table's files are the same."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    state = source.getFileSystem(conf).getFileStatus(source)
+    root = f"{shared_folder(spark)}/events-index-{uuid.uuid5(uuid.NAMESPACE_URL, f'{source} {state.getModificationTime()} {state.getLen()}').hex}"
+    done = jvm.org.apache.hadoop.fs.Path(f"{root}/_DONE")
+    system = done.getFileSystem(conf)
+    if not system.exists(done):
+        system.delete(jvm.org.apache.hadoop.fs.Path(root), True)  # what a writer that was stopped has left
+        I.write_events(indexed_events(spark, sf_dir).drop("value"), root)
+        events = I.read_index(spark, root, "events")
+        postings = I.distinct_tokens(events)
+        I.write_filters(postings, root, "postings")
+        I.write_filters(I.build_bloom(I.assign_parts(I.read_index(spark, root, "postings"))), root, "filters")
+        I.write_chunks(I.chunk_bounds(events), root)
+        I.write_reverse(events, root)
+        system.create(done).close()
+    return root
+
+
+@query(SEARCH_SQL)
+def search_stored_postings(spark, sf_dir):
+    return _found(Q.search_stored(spark, stored_index(spark, sf_dir), "events", X.QueryOptions(SEARCH, t0=T0, t1=T1)))
+
+
+@query(SEARCH_SQL)
+def search_stored_bitmap(spark, sf_dir):
+    return _found(Q.search_stored(spark, stored_index(spark, sf_dir), "events", X.QueryOptions(SEARCH, t0=T0, t1=T1), "filters"))
+
+
+@query(f"SELECT event_id AS seq, strftime(ts, '%Y-%m-%d') AS object_id FROM events WHERE user_id = 17 AND event_type = 'click' AND {MS} >= {T0} AND {MS} < {T1}")
+def search_stored_rare(spark, sf_dir):
+    """A rare value, which leaves few chunks, with a template gate: the user's id counts as one of two hashes."""
+    return _found(Q.search_stored(spark, stored_index(spark, sf_dir), "events", X.QueryOptions('user_id == "17" && event_type == "click"', t0=T0, t1=T1), template_hashes=["17", "absent"]))
+
+
 def _found(df: DataFrame) -> DataFrame:
     return df.select("seq", "object_id")
 
@@ -141,6 +187,11 @@ def user_predicate(spark, sf_dir):
     return X.where_user(indexed_events(spark, sf_dir), "value > 50 AND enrichment['event_type'] IN ('view', 'click')").select("seq", "value")
 
 
+@query("SELECT event_id, CASE WHEN event_type = 'view' AND value > 20 THEN 'accept' ELSE 'deny' END AS outcome FROM events")
+def predicate_outcome(spark, sf_dir):
+    return X.with_outcome(raw_events(spark, sf_dir), "event_type = 'view' AND value > 20").select("event_id", "outcome")
+
+
 @query(f"WITH {LINES} SELECT object_id, count(*) AS n FROM l WHERE contains(text, 'the') AND contains(text, 'of') GROUP BY 1")
 def line_terms_all(spark, sf_dir):
     lines = I.document_lines(table(spark, sf_dir, "documents"))
@@ -248,7 +299,56 @@ def reverse_index(spark, sf_dir):
 
 @query(f"WITH {POSTINGS} SELECT object_id, count(*) AS n FROM k WHERE object_id <> '2024-01-10' GROUP BY 1")
 def delete_object(spark, sf_dir):
-    return I.without_object(I.distinct_tokens(indexed_events(spark, sf_dir)), "2024-01-10").groupBy("object_id").agg(F.count(F.lit(1)).alias("n"))
+    """An object's entries out of a written index."""
+    root = fresh(spark, "deleted")
+    I.write_filters(I.distinct_tokens(indexed_events(spark, sf_dir)), root, "postings")
+    I.delete_object(spark, root, "postings", "2024-01-10")
+    return I.read_index(spark, root, "postings").groupBy("object_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {POSTINGS} SELECT object_id, chunk_id, min(ts_ms) AS min_ts, max(ts_ms) AS max_ts, count(*) AS n_events, sum(strlen(props))::BIGINT AS n_bytes FROM x GROUP BY 1, 2")
+def chunk_table(spark, sf_dir):
+    return files.read_chunks(spark, stored_index(spark, sf_dir)).select("object_id", "chunk_id", "min_ts", "max_ts", "n_events", "n_bytes")
+
+
+@query(f"WITH {POSTINGS} SELECT bucket, chunk_id, token FROM k WHERE object_id = '2024-01-10'")
+def object_entries(spark, sf_dir):
+    return files.read_object_entries(spark, stored_index(spark, sf_dir), "2024-01-10", "postings").select("bucket", "chunk_id", "token")
+
+
+@query(f"WITH {POSTINGS} SELECT object_id, count(DISTINCT (bucket, chunk_id)) AS n_keys FROM x GROUP BY 1")
+def reverse_table(spark, sf_dir):
+    return spark.read.parquet(f"{stored_index(spark, sf_dir)}/reverse").groupBy("object_id").agg(F.count(F.lit(1)).alias("n_keys"))
+
+
+@query(f"WITH {POSTINGS} SELECT DISTINCT object_id, chunk_id, bucket FROM x WHERE bucket >= {T0} AND bucket < {T1}")
+def stored_scan(spark, sf_dir):
+    rows = files.scan_filters_between(spark, stored_index(spark, sf_dir), "events", T0, T1, HOUR)
+    return rows.select("object_id", "chunk_id", "bucket").distinct()
+
+
+@query(f"WITH {POSTINGS}, g AS (SELECT object_id, chunk_id, bucket, count(*) AS n FROM k GROUP BY ALL) SELECT sum(ceil(n / 4.0))::BIGINT AS parts, sum(n)::BIGINT AS tokens, max(ceil(n / 4.0))::BIGINT AS most FROM g")
+def bitmap_parts(spark, sf_dir):
+    """Bitmaps of several parts each: every token is in one of them."""
+    placed = I.assign_parts(I.distinct_tokens(indexed_events(spark, sf_dir)), 4)
+    made = I.build_bloom(placed)
+    sizes = placed.groupBy(*I.CHUNK).agg(F.first("parts").alias("parts")).agg(F.sum("parts").alias("parts"), F.max("parts").cast("long").alias("most"))
+    return sizes.join(F.broadcast(made.agg(F.sum("n").alias("tokens")))).select("parts", "tokens", "most")  # one row each
+
+
+@query(f"WITH {POSTINGS}, g AS (SELECT object_id, chunk_id, bucket, count(*) AS n FROM k GROUP BY ALL) SELECT count(*) AS filters, count(DISTINCT (object_id, chunk_id)) AS chunks, count(DISTINCT bucket) AS buckets, sum(n)::BIGINT AS elements, count(*) * 4096 AS bytes, count(*) AS groups, round(pow(1 - exp(-7 * min(n) / 32768), 7) * 1000000)::BIGINT AS min_rate, round(pow(1 - exp(-7 * max(n) / 32768), 7) * 1000000)::BIGINT AS max_rate FROM g")
+def index_totals(spark, sf_dir):
+    return I.index_totals(I.read_index(spark, stored_index(spark, sf_dir)))
+
+
+@query(f"WITH {POSTINGS}, g AS (SELECT DISTINCT object_id, chunk_id, bucket FROM x) SELECT (length(concat_ws('/', 'events', bucket::VARCHAR, {HASH.format('object_id')}, chunk_id::VARCHAR, '0')) // 2 * 2)::BIGINT AS size_floor, count(*) AS filters FROM g GROUP BY 1")
+def index_key_sizes(spark, sf_dir):
+    return I.key_sizes(I.read_index(spark, stored_index(spark, sf_dir)), 2)
+
+
+@query(f"WITH {POSTINGS}, g AS (SELECT object_id, chunk_id, bucket FROM x WHERE bucket >= {T0} AND bucket < {T1} GROUP BY ALL), h AS (SELECT DISTINCT object_id, chunk_id, true AS hit FROM k WHERE bucket >= {T0} AND bucket < {T1} AND token = 'error'), j AS (SELECT g.*, coalesce(hit, false) AS hit FROM g LEFT JOIN h USING (object_id, chunk_id)) SELECT count(*) AS keys, count(DISTINCT (object_id, chunk_id)) AS scanned, count(DISTINCT (object_id, chunk_id)) FILTER (hit) AS matched, count(DISTINCT (object_id, chunk_id)) FILTER (NOT hit) AS skipped_search, count(*) FILTER (hit) - count(DISTINCT (object_id, chunk_id)) FILTER (hit) AS skipped_duplicate, count(DISTINCT object_id) FILTER (hit) AS requests, count(DISTINCT object_id) AS objects FROM j")
+def stored_counters(spark, sf_dir):
+    return Q.counters_of(spark, stored_index(spark, sf_dir), "events", X.QueryOptions(SEARCH, t0=T0, t1=T1))
 
 
 @query(f"WITH {POSTINGS} SELECT DISTINCT object_id, chunk_id, bucket FROM x WHERE bucket >= {T0 + 1_800_000} - ({T0 + 1_800_000}) % {HOUR} AND bucket < {T1} AND bucket > {T0 - HOUR}")
@@ -280,6 +380,19 @@ def templates_compact(spark, sf_dir):
     return I.merge_templates(rows.where("first_seen % 2 = 0"), rows.where("first_seen % 2 = 1"))
 
 
+@query(f"WITH {ENCODED} SELECT template_hash, template, min(seq) AS first_seen FROM e GROUP BY 1, 2")
+def template_store(spark, sf_dir):
+    """Raw templates written by two runs, merged, with more raw ones after that, and read as a store."""
+    root = fresh(spark, "store")
+    rows = encoded(spark, sf_dir).select("template_hash", "template", F.col("seq").alias("first_seen"))
+    firsts = I.merge_templates(rows)
+    I.append_templates(firsts.where("first_seen % 3 = 0"), root)
+    I.append_templates(firsts.where("first_seen % 3 = 1"), root)
+    I.compact_templates(spark, root, 1)
+    I.append_templates(firsts.where("first_seen % 3 = 2"), root)
+    return I.merge_templates(I.read_templates(spark, root))
+
+
 @query(f"WITH {ENCODED}, v AS (SELECT template_hash, template, seq % 3 AS version FROM e) SELECT DISTINCT template_hash, template FROM v WHERE version = (SELECT max(version) FROM v)")
 def template_latest(spark, sf_dir):
     rows = encoded(spark, sf_dir).withColumn("version", F.col("seq") % 3)
@@ -381,19 +494,71 @@ def slices(spark, sf_dir):
 @query("SELECT event_id AS seq, strftime(ts, '%Y-%m-%d') AS object_id, concat(event_type, ' ', props) AS text FROM events WHERE event_type = 'error'")
 def results_readback(spark, sf_dir):
     """Rows written as results and read again."""
-    import uuid
-
     rows = Q.search(indexed_events(spark, sf_dir), X.QueryOptions('event_type == "error"')).select("seq", "object_id", "text", F.substring("object_id", 1, 7).alias("slice"))
-    root = f"{_shared(spark)}/results-{uuid.uuid4().hex}"
+    root = fresh(spark, "results")
     Q.write_results(rows, root, "q", 1 << 30)
     return Q.read_results(spark, root, "q", "seq long, object_id string, text string").select("seq", "object_id", "text")
 
 
-def _shared(spark: SparkSession) -> str:
-    """The folder all executors share; only where the session names none, a temporary one."""
-    import tempfile
+CAPPED = "r AS (SELECT strftime(ts, '%Y-%m') AS slice, strftime(ts, '%Y-%m-%d') AS object_id, event_id AS seq, row_number() OVER (PARTITION BY strftime(ts, '%Y-%m'), strftime(ts, '%Y-%m-%d') ORDER BY event_id) AS i FROM events WHERE event_type = 'view')"
+
+
+def _views(spark, sf_dir):
+    return Q.search(indexed_events(spark, sf_dir), X.QueryOptions('event_type == "view"')).select("seq", "object_id", "text", F.substring("object_id", 1, 7).alias("slice"))
+
+
+@query(f"WITH {CAPPED} SELECT slice, object_id, seq FROM r WHERE i <= 4")
+def summaries_capped(spark, sf_dir):
+    """Summaries cut at four for each slice and object."""
+    root = fresh(spark, "summaries")
+    Q.write_summaries(_views(spark, sf_dir), root, "q", 4)
+    return Q.read_results(spark, root, "q", "seq long, object_id string, slice string", "summaries").select("slice", "object_id", "seq")
+
+
+@query(f"WITH {CAPPED} SELECT slice, object_id, least(count(*), 4)::BIGINT AS written, greatest(count(*) - 4, 0)::BIGINT AS dropped, count(*) > 4 AS truncated FROM r GROUP BY 1, 2")
+def truncation_markers(spark, sf_dir):
+    return Q.write_results(_views(spark, sf_dir), fresh(spark, "results"), "q", 4).select("slice", "object_id", F.col("written").cast("long").alias("written"), "dropped", "truncated")
 
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="logspark-")
+
+@query(f"WITH {CAPPED} SELECT slice, object_id, seq FROM r WHERE i <= 3")
+def slices_partial(spark, sf_dir):
+    """Results written slice by slice."""
+    root = fresh(spark, "partial")
+    rows = _views(spark, sf_dir)
+    labels = [r.slice for r in rows.select("slice").distinct().orderBy("slice").collect()]  # a slice for each month
+    Q.write_by_slice(rows, root, "q", labels, 3)
+    return Q.read_results(spark, root, "q", "seq long, object_id string, slice string").select("slice", "object_id", "seq")
+
+
+@query("SELECT event_id AS seq FROM (SELECT event_id, coalesce(sum(strlen(props)) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) b FROM events) WHERE b < 30000")
+def result_limit_ranged(spark, sf_dir):
+    return Q.limit_bytes(indexed_events(spark, sf_dir), ["seq"], 30000, "n_bytes").select("seq")
+
+
+@query("SELECT user_id::VARCHAR AS worker_id, event_id AS n FROM events WHERE user_id % 50 = 3")
+def query_log_table(spark, sf_dir):
+    """A query log written by query and read again."""
+    root = fresh(spark, "log")
+    rows = raw_events(spark, sf_dir).select(F.concat(F.lit("q"), (F.col("user_id") % 50).cast("string")).alias("query_id"), F.col("user_id").cast("string").alias("worker_id"), "ts", F.col("event_id").alias("n"))
+    Q.write_query_log(rows, root)
+    return spark.read.parquet(f"{root}/query_log").where("query_id = 'q3'").select("worker_id", "n")
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d') AS rolled, count(*) AS n FROM events GROUP BY 1")
+def rolled_table(spark, sf_dir):
+    root = fresh(spark, "rolled")
+    R.write_rolled(raw_events(spark, sf_dir).select("ts", "event_id"), root, "d")
+    return spark.read.schema("event_id long, rolled string").parquet(root).groupBy("rolled").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT count(*) FILTER (event_id % 4 > 0 AND user_id % 3 > 0) AS asked, count(*) FILTER (event_id % 4 = 0 OR user_id % 3 = 0) AS refused FROM events")
+def option_checks(spark, sf_dir):
+    """Queries without terms and ranges that end before they start are refused, here as a column over many requests."""
+    e = raw_events(spark, sf_dir)
+    t0, t1 = F.col("ts_ms"), F.col("ts_ms") + F.col("event_id") % 4
+    terms = F.when(F.col("user_id") % 3 > 0, F.array("event_type")).otherwise(F.array().cast("array<string>"))
+    good = X.valid_request(t0, t1, terms)
+    return e.agg(F.count_if(good).alias("asked"), F.count_if(~good).alias("refused"))
 
 
 @query("SELECT event_id, level, concat('{\"level\":\"', level, '\",\"message\":\"', event_type, '\",\"data\":{\"queryId\":\"q1\",\"events\":', user_id, '}}') AS line FROM (SELECT *, CASE event_id % 4 WHEN 0 THEN 'DEBUG' WHEN 1 THEN 'INFO' WHEN 2 THEN 'ERROR' ELSE 'PERF' END AS level FROM events) WHERE level <> 'DEBUG'")
@@ -450,10 +615,10 @@ def sample_values(spark, sf_dir):
     return raw_events(spark, sf_dir).select("event_id", S.sample_value(kind, F.col("value"), F.col("user_id").cast("double")).alias("sample"))
 
 
-@query(f"SELECT DISTINCT concat('user=', user_id) AS labels FROM events WHERE {MS} >= {T1} AND user_id NOT IN (SELECT user_id FROM events WHERE {MS} < {T1})")
+@query(f"SELECT DISTINCT concat('k=', json_extract_string(props, '$.k'), ',user=', user_id) AS labels FROM events e WHERE {MS} >= {T1} AND NOT EXISTS (SELECT 1 FROM events f WHERE f.user_id = e.user_id AND json_extract_string(f.props, '$.k') = json_extract_string(e.props, '$.k') AND epoch_us(f.ts) // 1000 < {T1})")
 def new_series(spark, sf_dir):
-    e = raw_events(spark, sf_dir).withColumn("user", F.col("user_id"))
-    s = M.to_samples(e, "users", ["user"], "value", "ts_ms")
+    e = raw_events(spark, sf_dir).select(F.col("user_id").alias("user"), F.get_json_object("props", "$.k").alias("k"), "value", "ts_ms")
+    s = M.to_samples(e, "users", ["user", "k"], "value", "ts_ms")
     return M.new_series(s.where(F.col("ts") >= T1), s.where(F.col("ts") < T1).select("name", "labels")).select("labels").distinct()
 
 
@@ -490,6 +655,24 @@ def otlp_roundtrip(spark, sf_dir):
     return back.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col("attributes")["event_id"]).alias("ids"), F.sum(F.octet_length("body")).alias("bytes"))
 
 
+@query("SELECT event_id, concat('{\"a\":{\"b\":[{\"c\":\"', event_type, '\"},', user_id, ',null]}}') AS body, concat('[[[\"', event_type, '\"]]]') AS deep FROM events")
+def otlp_nested(spark, sf_dir):
+    """Values four levels deep, there and back."""
+    plain = F.concat(F.lit('{"a":{"b":[{"c":"'), F.col("event_type"), F.lit('"},'), F.col("user_id").cast("string"), F.lit(",null]}}"))
+    listed = F.concat(F.lit('[[["'), F.col("event_type"), F.lit('"]]]'))
+    attributes = F.concat(F.lit('[{"key":"id","value":{"intValue":"'), F.col("event_id").cast("string"), F.lit('"}},{"key":"deep","value":'), S.json_to_any_value(listed), F.lit("}]"))
+    request = F.concat(F.lit('{"resourceLogs":[{"resource":{},"scopeLogs":[{"logRecords":[{"body":'), S.json_to_any_value(plain), F.lit(',"attributes":'), attributes, F.lit("}]}]}]}"))
+    r = R.flatten_otlp(raw_events(spark, sf_dir).select(request.alias("request")))
+    return r.select(F.col("attributes")["id"].cast("long").alias("event_id"), "body", F.col("attributes")["deep"].alias("deep"))
+
+
+@query("WITH s AS (SELECT CASE WHEN user_id % 3 = 0 THEN '' ELSE concat('svc', user_id % 3) END AS a, user_id % 2 AS b, count(*) AS n FROM events GROUP BY 1, 2) SELECT 100::BIGINT AS most, sum(n)::BIGINT AS n FROM s HAVING max(n) >= 100")
+def otlp_batches(spark, sf_dir):
+    """No request has more than a hundred records, and the large resources fill some."""
+    sent = R.to_otlp(R.flatten_otlp(otlp_requests(spark, sf_dir)), 100)
+    return sent.agg(F.max("n_records").cast("long").alias("most"), F.sum("n_records").alias("n"))
+
+
 @query(f"SELECT concat('t', user_id % 5) AS tag, {MS} // 1000 AS time, event_id FROM events WHERE event_id % 11 <> 0")
 def forward_flatten(spark, sf_dir):
     e = raw_events(spark, sf_dir)
@@ -606,6 +789,91 @@ def observed_times(spark, sf_dir):
     return raw_events(spark, sf_dir).where("event_id > 0 AND user_id > 0").select("event_id", S.observed_time(observed, "event_id", F.lit(-1)).alias("observed"))
 
 
+@query("SELECT doc_id, CASE WHEN h >= 9223372036854775808::HUGEINT THEN h - 18446744073709551616::HUGEINT ELSE h END::BIGINT AS hash FROM (SELECT doc_id, list_reduce(list_prepend(0::HUGEINT, list_transform(string_split(left(text, 200), ''), lambda c: unicode(c)::HUGEINT)), lambda a, c: (a * 31 + c) % 18446744073709551616::HUGEINT) AS h FROM documents WHERE length(text) > 0)")
+def poly_hash(spark, sf_dir):
+    """The hash of a text's first 200 characters (a key), chained over its two halves."""
+    d = table(spark, sf_dir, "documents").where("length(text) > 0")
+    return d.select("doc_id", S.poly_hash(F.substring("text", 101, 100), S.poly_hash(F.substring("text", 1, 100))).alias("hash"))
+
+
+@query("SELECT event_id, concat('event_type=', event_type) AS held FROM events")
+def carried_markers(spark, sf_dir):
+    """Attributes with carried times, and without them again."""
+    e = raw_events(spark, sf_dir)
+    joined = S.join_markers(F.create_map(F.lit("event_type"), F.col("event_type")), time=F.col("ts_ms"), resource=F.lit("r"))
+    return e.select("event_id", F.array_join(F.transform(F.map_entries(S.split_markers(joined)), lambda x: F.concat(x["key"], F.lit("="), x["value"])), ",").alias("held"))
+
+
+@query("SELECT doc_id, doc_id % 3 > 0 AS valid FROM documents")
+def utf8_validity(spark, sf_dir):
+    """Texts cut inside a character are not valid."""
+    raw = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    return table(spark, sf_dir, "documents").select("doc_id", S.is_well_formed_utf8(F.when(F.col("doc_id") % 3 == 0, F.concat(raw, F.unhex(F.lit("C3")))).otherwise(raw)).alias("valid"))
+
+
+# ---- streams ------------------------------------------------------------------------------------------------------------
+def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream of files in the layout of indexed ones: those of the stored index, as they arrive."""
+    root = stored_index(spark, sf_dir)
+    return spark.readStream.schema(I.read_index(spark, root, "events").schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/events")
+
+
+@query(f"SELECT {MS} - {MS} % {HOUR} AS bucket, count(*) AS n FROM events GROUP BY 1")
+def stream_buckets(spark, sf_dir):
+    """Buckets of a stream; rows that come late are counted in theirs."""
+    root = fresh(spark, "buckets")
+    streams.start_buckets(streamed(spark, sf_dir), HOUR, 24 * HOUR, root, f"{root}/checkpoint").awaitTermination()
+    return streams.read_buckets(spark, root).select("bucket", "n")
+
+
+@query(f"WITH {POSTINGS} SELECT object_id, chunk_id, bucket, token FROM k")
+def stream_index(spark, sf_dir):
+    root = fresh(spark, "continuous")
+    streams.stream_index(streamed(spark, sf_dir), root, f"{root}/checkpoint").awaitTermination()
+    return I.read_index(spark, root, "postings").select("object_id", "chunk_id", "bucket", "token").distinct()  # batches may share a chunk
+
+
+@query("SELECT DISTINCT concat('user=', user_id) AS labels FROM events")
+def stream_first_seen(spark, sf_dir):
+    """Each series once, however often and late it comes again."""
+    root = fresh(spark, "series")
+    s = streamed(spark, sf_dir).select(F.lit("users").alias("name"), F.concat(F.lit("user="), F.col("enrichment")["user_id"]).alias("labels"))
+    streams.first_seen(s).writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/rows").select("labels")
+
+
+@query("SELECT event_type, sum(strlen(props))::BIGINT AS value FROM events GROUP BY 1")
+def stream_counters(spark, sf_dir):
+    """Cumulative counters: the last value that each step has emitted."""
+    root = fresh(spark, "counters")
+    sink = M.create_sink({"kind": "table", "path": f"{root}/samples"})
+    e = streamed(spark, sf_dir).withColumn("event_type", F.col("enrichment")["event_type"])
+    streams.close_counters(streams.start_counters(e, ["event_type"], "n_bytes", sink, f"{root}/checkpoint", None), sink)
+    return spark.read.schema("event_type string, value long, batch long").parquet(f"{root}/samples").groupBy("event_type").agg(F.max_by("value", "batch").alias("value"))
+
+
+@query(f"SELECT {HASH.format('event_type')} AS template_hash, event_type AS template FROM events GROUP BY event_type")
+def stream_templates(spark, sf_dir):
+    """Templates of a stream, each once, compacted in a store."""
+    root = fresh(spark, "templates")
+    t = streamed(spark, sf_dir).select(F.col("enrichment")["event_type"].alias("template"), S.object_hash(F.col("enrichment")["event_type"]).alias("template_hash"))
+    once = streams.stream_templates(t).withColumn("first_seen", F.lit(0).cast("long"))
+    once.writeStream.foreachBatch(lambda rows, _: I.append_templates(rows, root)).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    streams.maybe_compact(spark, root, 1, 0, 10, 5)
+    return I.read_templates(spark, root).select("template_hash", "template")
+
+
+@query("SELECT event_type AS tag, count(*) AS n, count(DISTINCT event_id) AS ids FROM events GROUP BY 1")
+def stream_otlp(spark, sf_dir):
+    """Export requests of a stream, written batch by batch, then read as records again."""
+    root = fresh(spark, "otlp")
+    e = streamed(spark, sf_dir)
+    records = e.select((F.col("ts_ms") * 10**6).alias("time_ns"), F.lit(None).cast("long").alias("observed_ns"), F.col("seq").cast("string").alias("body"), "enrichment", F.create_map(F.lit("service.name"), F.col("enrichment")["event_type"]).alias("resource")).withColumnRenamed("enrichment", "attributes")
+    streams.stream_otlp(records, lambda d: d.write.mode("append").parquet(f"{root}/requests"), f"{root}/checkpoint", 100).awaitTermination()
+    sent = spark.read.parquet(f"{root}/requests")
+    return R.flatten_otlp(sent).groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("body").alias("ids"))
+
+
 # ---- symbols ------------------------------------------------------------------------------------------------------------
 @query("WITH n AS (SELECT event_id AS unit_id, unnest([event_type, concat('u', user_id % 20), 'leaf']) AS symbol FROM events) SELECT symbol, count(DISTINCT unit_id) AS n_units, min(unit_id) AS first FROM n GROUP BY 1")
 def symbol_index(spark, sf_dir):
@@ -615,3 +883,13 @@ def symbol_index(spark, sf_dir):
     units = raw_events(spark, sf_dir).select(F.col("event_id").alias("unit_id"), unit.alias("unit"))
     placed = Y.symbol_positions(Y.build_symbol_index(Y.walk_symbols(units, max_depth=3)), units.select("unit_id", F.length("unit").alias("length")))
     return placed.groupBy("symbol").agg(F.count_distinct("unit_id").alias("n_units"), F.min("unit_id").alias("first"))
+
+
+@query("WITH n AS (SELECT event_id AS unit_id, unnest([event_type, concat('u', user_id % 20), 'mid', 'low', 'leaf']) AS value, unnest([0, 1, 2, 3, 4]) AS depth FROM events) SELECT depth::INT AS depth, value, count(*) AS n FROM n GROUP BY 1, 2")
+def symbol_deep(spark, sf_dir):
+    """Trees of five levels, walked until a level is empty."""
+    node = F.lit('{"value":"leaf","context":"VAR"}')
+    for value in (F.lit("low"), F.lit("mid"), F.concat(F.lit("u"), (F.col("user_id") % 20).cast("string")), F.col("event_type")):
+        node = F.concat(F.lit('{"value":"'), value, F.lit('","context":"CLASS","children":['), node, F.lit("]}"))
+    units = raw_events(spark, sf_dir).select(F.col("event_id").alias("unit_id"), F.concat(F.lit('{"nodes":['), node, F.lit("]}")).alias("unit"))
+    return Y.walk_symbols(units).groupBy("depth", "value").agg(F.count(F.lit(1)).alias("n"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -35,3 +36,21 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent))
     spark.sparkContext.addPyFile(str(path))
     _shipped.add(app)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, which driver and executors share; where it is unset, a temporary folder on one machine and an error on a cluster."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="logspark-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the shared folder: its lineage ends there and lost executors cost nothing before it."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from logspark.functions.scalar import syslog_msg, time_bucket
+from logspark.operators.index import read_index
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -29,9 +30,10 @@ class _Range(InputPartition):
 
 
 class RangeSource(DataSource):
-    """S2, E4. Lines that start in byte ranges of files that each task can open; one partition for each range.
+    """S2, E4. Lines that start in byte ranges of an object; one partition for each range.
 
-    Options: path and ranges, as offset:length,offset:length. A line belongs to the range it starts in.
+    Options: path and ranges, as offset:length,offset:length. A line belongs to the range it starts in. A path with a
+    scheme is opened by Arrow's file system for it (object stores, HDFS), any other one is local; only the range is read.
     """
 
     @classmethod
@@ -54,7 +56,12 @@ class _RangeReader(DataSourceReader):
         return [_Range(self.path, o, n) for o, n in found if n > 0]
 
     def read(self, partition):
-        with open(partition.path, "rb") as f:
+        import io
+
+        from pyarrow.fs import FileSystem, LocalFileSystem
+
+        system, path = FileSystem.from_uri(partition.path) if "://" in partition.path or partition.path.startswith("file:") else (LocalFileSystem(), partition.path)
+        with system.open_input_file(path) as raw, io.BufferedReader(raw, 1 << 20) as f:
             at = partition.offset
             if at:
                 f.seek(at - 1)
@@ -81,7 +88,7 @@ def read_syslog(spark: SparkSession, path: str, stream: bool = False) -> DataFra
 
 def scan_filters(spark: SparkSession, root: str, target: str, after: int | None = None, kind: str = "filters") -> DataFrame:
     """S3, T6. Index rows of a target, in buckets after a given one; target is a partition, so others are not read."""
-    rows = spark.read.parquet(f"{root}/{kind}").where(F.col("target") == target)
+    rows = read_index(spark, root, kind).where(F.col("target") == target)
     return keys_after(rows, after) if after is not None else rows
 
 
@@ -97,9 +104,11 @@ def between(filters: DataFrame, t0: int, t1: int, resolution: int) -> DataFrame:
 
 def scan_filters_between(spark: SparkSession, root: str, target: str, t0: int, t1: int, resolution: int, kind: str = "filters") -> DataFrame:
     """S4. As between, with the days of the window as a partition filter."""
+    rows = scan_filters(spark, root, target, kind=kind)
+    if not t0 and not t1:  # no bounds
+        return rows
     day = lambda ms: F.date_format(F.timestamp_millis(F.lit(ms)), "yyyy-MM-dd")
-    rows = scan_filters(spark, root, target, kind=kind).where((F.col("bucket_day") >= day(t0 - t0 % resolution)) & (F.col("bucket_day") <= day(t1)))
-    return between(rows, t0, t1, resolution)
+    return between(rows.where((F.col("bucket_day") >= day(t0 - t0 % resolution)) & (F.col("bucket_day") <= day(t1))), t0, t1, resolution)
 
 
 def read_chunks(spark: SparkSession, root: str) -> DataFrame:
@@ -109,7 +118,7 @@ def read_chunks(spark: SparkSession, root: str) -> DataFrame:
 
 def read_object_entries(spark: SparkSession, root: str, object_id: str, kind: str = "filters") -> DataFrame:
     """S7."""
-    return spark.read.parquet(f"{root}/{kind}").where(F.col("object_id") == object_id)
+    return read_index(spark, root, kind).where(F.col("object_id") == object_id)
 
 
 def stream_objects(spark: SparkSession, path: str, schema) -> DataFrame:

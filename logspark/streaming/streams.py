@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from logspark.operators.index import compact_templates, distinct_tokens, write_filters
+from logspark.functions.scalar import time_bucket
+from logspark.operators.index import compact_templates, distinct_tokens
 from logspark.operators.metrics import MetricSink
 from logspark.operators.records import to_otlp
 
@@ -32,6 +33,40 @@ def stream_index(events: DataFrame, root: str, checkpoint: str):
     return events.writeStream.foreachBatch(build).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def start_buckets(df: DataFrame, resolution_ms: int, late_ms: int, root: str, checkpoint: str, ts: str = "ts_ms"):
+    """X1, X3. Counts of each time bucket by micro-batch, as parts that add up, in a table for rows in time and one for late rows.
+
+    A row is late if the newest time of all batches before its own is more than late_ms ahead of it. No row is dropped,
+    however late, and no state grows: the newest time is kept with the batch's output. Read them with read_buckets.
+    """
+    spark = df.sparkSession
+
+    def build(batch: DataFrame, batch_id: int) -> None:
+        newest = _newest(spark, root, batch_id)
+        late = F.col(ts) < F.lit(newest - late_ms) if newest is not None else F.lit(False)
+        counted = batch.groupBy(time_bucket(ts, resolution_ms).alias("bucket"), late.alias("late")).agg(F.count(F.lit(1)).alias("n"), F.max(ts).alias("newest"))
+        counted.write.mode("overwrite").partitionBy("late").parquet(f"{root}/buckets/batch={batch_id}")
+
+    return df.writeStream.foreachBatch(build).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _newest(spark: SparkSession, root: str, batch_id: int) -> int | None:
+    """The newest time of the batches before this one; a batch that is run again sees what it saw the first time."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        done = spark.read.schema("bucket long, n long, newest long, late boolean, batch long").parquet(f"{root}/buckets")
+    except AnalysisException:  # the first batch
+        return None
+    return done.where(F.col("batch") < batch_id).agg(F.max("newest")).head()[0]  # one row
+
+
+def read_buckets(spark: SparkSession, root: str) -> DataFrame:
+    """X1, X3. bucket, n (all rows) and n_late."""
+    rows = spark.read.schema("bucket long, n long, newest long, late boolean, batch long").parquet(f"{root}/buckets")
+    return rows.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("late"), F.col("n")).otherwise(0)).alias("n_late"))
+
+
 def split_late(df: DataFrame, watermark_ms: int, newest: str = "newest_ms", ts: str = "ts_ms") -> tuple[DataFrame, DataFrame]:
     """X3. Rows in time, and late ones for a table of their own; none is dropped."""
     late = F.col(ts) < F.col(newest) - watermark_ms
@@ -43,17 +78,31 @@ def first_seen_stream(samples: DataFrame, ts: str = "ts", watermark: str = "1 da
     return samples.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(["name", "labels"])
 
 
+def first_seen(samples: DataFrame) -> DataFrame:
+    """X4. The first row of each series ever: keys are never forgotten, state grows with the number of series only."""
+    return samples.dropDuplicates(["name", "labels"])
+
+
 def stream_counters(df: DataFrame, tags: list[str], value: str) -> DataFrame:
     """X5. Cumulative sums by tags, for output mode update or complete."""
     return df.groupBy(*tags).agg(F.sum(value).alias("value"))
 
 
 def start_counters(df: DataFrame, tags: list[str], value: str, sink: MetricSink, checkpoint: str, step: str | None = "1 minute"):
-    """X5, E2. Emits changed counters to a sink each step; without a step once, for what there is."""
+    """X5, E2. Emits changed counters to a sink each step; without a step for what there is, then the sink is closed."""
     trigger = {"processingTime": step} if step else {"availableNow": True}
     return stream_counters(df, tags, value).writeStream.outputMode("update").foreachBatch(sink.write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def close_counters(query, sink: MetricSink) -> None:
+    """X5. Stops a query of start_counters once it has taken in what its source holds, so that nothing is left unsent, and closes the sink."""
+    if query.isActive:
+        query.processAllAvailable()
+        query.stop()
+    query.awaitTermination()
+    sink.close()
+
+
 def stream_templates(df: DataFrame) -> DataFrame:
     """X6."""
     return df.select("template_hash", "template").dropDuplicates(["template_hash"])
@@ -64,16 +113,20 @@ def maybe_compact(spark: SparkSession, root: str, version: int, last_ms: int, no
     return compact_templates(spark, root, version, last_ms, now_ms, interval_ms)
 
 
-def stream_otlp(df: DataFrame, send: Callable[[DataFrame], None], checkpoint: str, batch: int = 100):
-    """X8. Export requests of each micro-batch, at most batch records each, to send."""
-    return df.writeStream.foreachBatch(lambda rows, _: send(to_otlp(rows, batch))).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def stream_otlp(df: DataFrame, send: Callable[[DataFrame], None], checkpoint: str, batch: int = 100, every: str | None = None):
+    """X8. Export requests of each micro-batch, at most batch records each, to send; every (such as 200 milliseconds) makes it run on."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return df.writeStream.foreachBatch(lambda rows, _: send(to_otlp(rows, batch))).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 class StreamCounters(StreamingQueryListener):
-    """X10. Rows and batches of all queries since the start, and since the last call of delta."""
+    """X10. Rows read and written, batches and milliseconds of all queries since the start, and since the last call of delta."""
+
+    NAMES = ("rows", "batches", "written", "ms")
 
     def __init__(self) -> None:
-        self.rows = self.batches = self._rows = self._batches = 0
+        self.rows = self.batches = self.written = self.ms = 0
+        self._last = dict.fromkeys(self.NAMES, 0)
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -85,13 +138,15 @@ class StreamCounters(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:
-        self.rows += event.progress.numInputRows
+        p = event.progress
+        self.rows += p.numInputRows
         self.batches += 1
+        self.written += max(0, p.sink.numOutputRows)
+        self.ms += p.batchDuration
 
-    def delta(self) -> tuple[int, int]:
-        out = self.rows - self._rows, self.batches - self._batches
-        self._rows, self._batches = self.rows, self.batches
+    def delta(self) -> dict[str, int]:
+        now = {n: getattr(self, n) for n in self.NAMES}
+        out = {n: now[n] - self._last[n] for n in self.NAMES}
+        self._last = now
         return out
 
-
-__all__ = ["StreamCounters", "bucket_stream", "first_seen_stream", "maybe_compact", "split_late", "start_counters", "stream_counters", "stream_index", "stream_otlp", "stream_templates", "write_filters"]

@@ -59,7 +59,8 @@ def test_literals_are_data(spark):
 def test_pruning_never_changes_the_answer(spark):
     e = indexed_events(spark, SF).cache()
     postings = I.distinct_tokens(e).cache()
-    filters = I.build_bloom(I.assign_parts(postings)).cache()
+    filters = I.build_bloom(I.assign_parts(postings, 4)).cache()  # several parts
+    assert filters.where("parts > 1").count() > 0
     for text in ('event_type == "error"', 'k == "7" || event_type == "view" && user_id == "3"', 'includes(this, "1") && k == "5"', 'includes(this, "click")', 'k == "absent"'):
         o = X.QueryOptions(text)
         plain = sorted(r.seq for r in Q.search(e, o).collect())
@@ -76,6 +77,22 @@ def test_bitmaps_have_no_false_negative_and_few_false_positives(spark):
     assert absent <= 40  # 2 %
     parts = I.build_bloom(I.assign_parts(postings, 1000)).collect()
     assert len(parts) == 3 and sum(r.n for r in parts) == 3000
+    strict = I.build_bloom(I.assign_parts(postings, fpr=0.0001)).collect()
+    assert len(strict) == -(-3000 // I.tokens_for(0.0001)) and max(r.fpr for r in strict) < 0.00015
+    with pytest.raises(ValueError):
+        I.tokens_for(0)
+
+
+def test_bitmaps_gate_by_template(spark):
+    e = indexed_events(spark, SF).cache()
+    postings = I.distinct_tokens(e).cache()
+    filters = I.build_bloom(I.assign_parts(postings))
+    hashes = [r.token for r in postings.where("token = '7' or token = 'signup'").select("token").distinct().collect()]
+    o = X.QueryOptions('event_type == "error"')
+    exact, may = (Q.candidates(e, o, template_hashes=hashes, **side).distinct() for side in ({"postings": postings}, {"filters": filters}))
+    assert exact.count() > 0 and exact.exceptAll(may).count() == 0
+    assert may.count() <= Q.candidates(e, o, filters=filters).distinct().count()
+    assert Q.candidates(e, o, filters=filters, template_hashes=["no such hash"]).count() < may.count()
 
 
 def test_scalars(spark):
@@ -88,6 +105,11 @@ def test_scalars(spark):
     assert value(S.syslog_msg(lit('<134>1 2024-01-15T10:30:00Z host app 1234 - - {"level":"INFO","msg":"test"}'))) == '{"level":"INFO","msg":"test"}'
     assert value(S.escape_control(lit("a\nb\tc\x01"))) == "a\\nb\\tc\\u0001"
     assert value(S.any_value_to_json(lit('{"kvlistValue":{"values":[{"key":"a","value":{"arrayValue":{"values":[{"intValue":"1"},{"stringValue":"x\\"y"}]}}}]}}'))) == '{"a":[1,"x\\"y"]}'
+    nested = {"a": {"b": {"c": ["x", 1, {"d": None}]}}}
+    assert json.loads(value(S.any_value_to_json(S.json_to_any_value(lit(json.dumps(nested)))))) == nested
+    assert value(S.any_value_to_json(lit("{}"))) is None and value(S.any_value_to_json(lit("no json"))) is None
+    assert value(S.poly_hash(lit("ab"))) == value(S.poly_hash(lit("b"), S.poly_hash(lit("a")))) == 31 * 97 + 98
+    assert value(S.poly_hash(lit("z" * 40))) == (sum(122 * 31**i for i in range(40)) + 2**63) % 2**64 - 2**63
     assert value(S.json_to_any_value(lit('[1,"a",true]'))) == '{"arrayValue":{"values":[{"intValue":1},{"stringValue":"a"},{"boolValue":true}]}}'
     assert [value(S.truncate_dimension(lit(v), lit(n))) for v, n in (("warning", "level"), ("", "level"), ("404 Not Found", "http"), ("Netherlands", "geo"))] == ["WARN", "UNCL", "404", "Netherland"]
     assert value(S.event_time_seconds(F.unhex(lit("65A5C2F800000000")))) == 0x65A5C2F8
@@ -114,7 +136,7 @@ def test_files(spark, tmp_path):
     rows = files.read_lines(spark, str(path)).orderBy("line_start").collect()
     assert [(r.line_start, r.line_end, r.text) for r in rows] == [(0, 7, "é one"), (7, 11, "two"), (11, 17, "three")]
     assert [r.text for r in files.read_ranges(spark, str(path), [(7, 4)]).collect()] == ["two"]
-    assert sorted(r.text for r in files.read_ranges(spark, str(path), [(0, 2), (8, 9)]).collect()) == ["three", "é one"]
+    assert sorted(r.text for r in files.read_ranges(spark, f"file://{path}", [(0, 2), (8, 9)]).collect()) == ["three", "é one"]
 
 
 def test_index_tables(spark, tmp_path):
@@ -127,6 +149,16 @@ def test_index_tables(spark, tmp_path):
     own = files.read_object_entries(spark, root, "2024-01-10", "postings").count()
     assert I.delete_object(spark, root, "postings", "2024-01-10") == own > 0
     assert spark.read.parquet(f"{root}/postings").count() == before - own
+    odd = e.withColumn("target", F.when(F.col("seq") % 3 == 0, "app:web").when(F.col("seq") % 3 == 1, "007")).withColumn("object_id", (F.col("seq") % 2).cast("string"))
+    I.write_filters(I.distinct_tokens(odd), root, "odd")  # targets that are escaped, numbers and null
+    rows = I.read_index(spark, root, "odd")
+    total, want = rows.count(), rows.where("object_id <> '1'").select("target", "token").collect()
+    assert I.delete_object(spark, root, "odd", "1") == total - len(want) > 0
+    left = I.read_index(spark, root, "odd")
+    assert sorted(map(str, left.select("target", "token").collect())) == sorted(map(str, want))
+    assert {r.target for r in left.select("target").distinct().collect()} == {"app:web", "007", None}
+    assert I.delete_object(spark, root, "odd", "0") == len(want)
+    assert not [p for p in (tmp_path / "odd").rglob("*.parquet")]
     t0 = 1704844800000
     got = files.scan_filters_between(spark, root, "events", t0 + 5, t0 + 86_400_000 * 3, 3_600_000, "postings")
     assert got.where("bucket < %d" % t0).count() == 0 and got.count() > 0
@@ -141,6 +173,8 @@ def test_templates_are_compacted(spark, tmp_path):
     assert not I.compact_templates(spark, root, 9, last_ms=10, now_ms=15, min_interval_ms=10)
     merged = I.latest_merged(spark.read.parquet(f"{root}/templates/merged"), "version")
     assert {r.template_hash: r.template for r in merged.collect()} == {"a": "A2", "b": "B", "c": "C"}
+    assert not list((tmp_path / "templates" / "raw").glob("*.parquet")) and len({p.parent for p in (tmp_path / "templates" / "merged").rglob("*.parquet")}) == 1
+    assert {r.template_hash: r.template for r in I.read_templates(spark, root).collect()} == {"a": "A2", "b": "B", "c": "C"}
 
 
 def test_results_and_deadline(spark, tmp_path):
@@ -154,6 +188,10 @@ def test_results_and_deadline(spark, tmp_path):
 
 
 def test_otlp_roundtrip_keeps_types_and_resources(spark):
+    deep = {"kvlistValue": {"values": [{"key": "b", "value": {"arrayValue": {"values": [{"kvlistValue": {"values": [{"key": "c", "value": {"arrayValue": {"values": [{"stringValue": "x]}"}, {}]}}}]}}]}}}]}}
+    one = spark.createDataFrame([(json.dumps({"resourceLogs": [{"resource": {}, "scopeLogs": [{"logRecords": [{"body": deep, "attributes": [{"key": "a", "value": deep}, {"key": "a", "value": {"boolValue": True}}, {"key": "d", "value": deep}]}]}]}]}),)], "request string")
+    r = R.flatten_otlp(one).head()
+    assert json.loads(r.body) == json.loads(r.attributes["d"]) == {"b": [{"c": ["x]}", None]}]} and r.attributes["a"] == "true"
     request = {"resourceLogs": [{"resource": {"attributes": [{"key": "service.name", "value": {"stringValue": ""}}, {"key": "k8s.pod.name", "value": {"stringValue": "p1"}}]}, "scopeLogs": [{"logRecords": [
         {"timeUnixNano": "5", "body": {"stringValue": "plain"}, "attributes": [{"key": "n", "value": {"intValue": "3"}}]}, {"timeUnixNano": "6", "body": {"kvlistValue": {"values": [{"key": "a", "value": {"boolValue": True}}]}}}]}]}]}
     got = R.flatten_otlp(spark.createDataFrame([(json.dumps(request),)], "request string")).orderBy("time_ns").collect()
@@ -162,6 +200,17 @@ def test_otlp_roundtrip_keeps_types_and_resources(spark):
     assert grouped.head().records and grouped.count() == 1
 
 
+@pytest.mark.parametrize(("n", "batch"), [(1000, 100), (1000, 7), (1, 100)])
+def test_batches_of_equal_records_are_bounded(spark, n, batch):
+    rows = spark.range(n).select(F.lit(5).cast("long").alias("time_ns"), F.lit(None).cast("long").alias("observed_ns"), F.lit("same").alias("body"), F.expr("map('k', 'v')").alias("attributes"), F.expr("map('service.name', 's')").alias("resource"))
+    rows = rows.union(rows.limit(3).withColumn("resource", F.expr("map('service.name', 't')")))
+    sizes = [len(r.records) for r in R.group_by_resource(rows, batch).where("resource like '%\"s\"%'").collect()]
+    assert sum(sizes) == n and max(sizes) <= batch
+    sent = [r.n_records for r in R.to_otlp(rows, batch).collect()]
+    assert sum(sent) == n + min(n, 3) and max(sent) <= batch and len(sent) <= 2 * n / batch + 3
+    assert R.flatten_otlp(R.to_otlp(rows, batch)).groupBy("tag").count().orderBy("tag").collect()[0]["count"] == n
+
+
 def test_reports(spark):
     df = spark.createDataFrame([("a", "5"), ("b", "x"), ("c", "15")], "name string, v string")
     assert [(r["rank"], r.name, r.pct, r.bar) for r in T.chart(df, "name", "v", 2, 20).collect()] == [(1, "c", 75, "#" * 15), (2, "a", 25, "#" * 5)]
