@@ -12,6 +12,8 @@ from logspark.operators.search import gate_expr
 
 #: Rows that a join of this module may broadcast (two keys each); above it Spark shuffles.
 BROADCAST_ROWS = 500_000
+#: Chunks that a search may name in its scan.
+FEW = 1000
 
 
 def by_size(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -19,6 +21,15 @@ def by_size(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def keep_chunks(events: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Events of the chunks. Few of them become lists of values, which reach the scan; a list may keep some chunks too many."""
+    found = chunks.select("object_id", "chunk_id").limit(FEW + 1).collect()
+    if len(found) > FEW:
+        return events.join(by_size(chunks), ["object_id", "chunk_id"], "left_semi")
+    lists = [sorted({r[c] for r in found if r[c] is not None}) for c in ("object_id", "chunk_id")]
+    return events.where(F.col("object_id").isin(lists[0]) & F.col("chunk_id").isin(lists[1]))
+
+
 def bloom_might_contain(bitmap: Column, token: str | Column) -> Column:
     """P5. False only if the token is not in the set behind the bitmap."""
     token = F.lit(token) if isinstance(token, str) else token

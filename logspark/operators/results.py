@@ -33,7 +33,7 @@ def search(events: DataFrame, options: QueryOptions, postings: DataFrame | None
     chunks = candidates(events, options, postings, filters, template_hashes, tokens)
     rows = events.where(in_range(F.col("ts_ms"), options.t0, options.t1))
     if chunks is not None:
-        rows = rows.join(prune.by_size(chunks), ["object_id", "chunk_id"], "left_semi")
+        rows = prune.keep_chunks(rows, chunks)
     return rows.where(combine_filters(options.filters, options.search, fields=fields or EVENT_FIELDS))
 
 
