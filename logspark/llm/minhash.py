@@ -6,12 +6,15 @@ half as many hash evaluations; both are unbiased for the Jaccard similarity. Ban
 1. One pass over the texts (no shuffle) makes signatures and a digest of each shingle set. Rows with equal sets become
    one class, represented by its smallest id, however many they are; a digest pre-aggregates them before the shuffle.
 2. Buckets with two or more classes give candidates: all pairs of a bucket of at most SMALL classes, and of a larger one
-   the pairs of each member with its smallest id, so pairs grow with members and never with their square.
+   the pairs of each member with its smallest id. A bucket of more than HOT is dealt into slots, each with a smallest id
+   of its own, and these make one more bucket: pairs grow with members, and no key holds more than HOT of them.
 3. A pair is a link only if its whole shingle sets say so: 100 * intersection >= percent * union. Pairs whose sketches
    agree in fewer than LEAST of 64 bytes (at a similarity of 0.8: one in ten million) are not looked at.
-4. Large buckets that still hold several connected components form families. A family's sets are dealt once into
-   blocks of bounded size, and every two blocks are compared in one task, each set against a whole block at a time,
-   so that no link inside a bucket is lost and no pair is written but one that joins two components.
+4. The members of large buckets that still hold several connected components are compared by prefix filtering: of two
+   sets at the threshold the rarest shingles, all but percent of them, have one in common. Sets meet under such a
+   shingle only, never in a bucket as a whole, so pages that share a template but no rare shingle do not meet. Where more
+   than SMALL meet, their sketches are compared in blocks of bounded size; pairs of different components are confirmed
+   as in 3. The order of shingles comes from counts in 2^SLOT_BITS slots, a table of fixed size; any order is right.
 5. Connected components over the links, distributed; texts travel only for classes that share a bucket.
 
 At a similarity of 0.8 a pair shares no bucket with probability (1 - 0.8^5)^30, about 7e-6.
@@ -31,15 +34,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logspark.llm.common import LOWER, id_text, map_rows, shingles, word_hashes
+from logspark.llm.common import LOWER, arrow_schema, id_text, map_rows, mix, shingles, word_hashes
 from logspark.llm.tables import components, small, written
 
 ROWS, BANDS = 5, 30
 HASHES = ROWS * BANDS
 SMALL = 8
 LEAST = 34
-#: Members and shingles of a block of a family.
-BLOCK, BLOCK_SHINGLES = 1024, 400_000
+#: Members of a bucket's slot, and copies of a text, that one key may have.
+HOT = 4096
+#: Sketches in a block; slots of the shingle counts.
+BLOCK, SLOT_BITS = 1024, 18
 _rng = np.random.default_rng(20)
 MULTIPLY = _rng.integers(0, 1 << 63, HASHES // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 FLIP = _rng.integers(0, 1 << 63, HASHES // 2, dtype=np.uint64)
@@ -87,12 +92,16 @@ def _confirm(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def _sketch(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 64)
+
+
 def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs whose sketches agree in LEAST bytes or more."""
 
     def run(batches):
         for t in batches:
-            x, y = (np.frombuffer(b"".join(t.column(i).to_pylist()), np.uint8).reshape(-1, 64) for i in (2, 3))
+            x, y = _sketch(t.column(2)), _sketch(t.column(3))
             yield t.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= LEAST, pa.bool_()))
 
     k = small(sketches)
@@ -108,60 +117,98 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _confirm(sa.join(sb, ["a", "b"]), percent)
 
 
+def _buckets(members: DataFrame) -> DataFrame:
+    """(top, key, id, n) of the members (key, id, n) of buckets with two or more; top is the bucket, key it or its slot."""
+    sizes = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+    hot = small(sizes.where(f"size > {HOT}").select("key", F.ceil(F.col("size") / HOT).alias("slots")))  # one for HOT members at most
+    dealt = members.join(hot, "key", "left")
+    cold = dealt.where("slots is null").join(sizes.where(f"size <= {HOT}").select("key"), "key")
+    slot = F.xxhash64("key", F.pmod(F.xxhash64("id", F.lit(3)), F.col("slots")))
+    columns = lambda key: (F.col("key").alias("top"), key.alias("key"), "id", "n")
+    return cold.select(*columns(F.col("key"))).union(dealt.where("slots is not null").select(*columns(slot)))
+
+
 def _pairs(bucket: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs a < b: all of a small bucket, those with the smallest id of a large one."""
-    facts = bucket.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n")).alias("p"))
+    facts = bucket.groupBy("top", "key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n")).alias("p"))
     little = bucket.join(facts.where(f"size <= {SMALL}").select("key"), "key")
     every = little.alias("x").join(little.alias("y"), "key").where("x.id < y.id").selectExpr("x.id a", "y.id b", "x.n na", "y.n nb")
-    pivots = facts.where(f"size > {SMALL}").selectExpr("key", "p.id as pid", "p.n as pn")
-    star = bucket.join(pivots, "key").where("id <> pid").selectExpr("pid a", "id b", "n na", "pn nb")
-    return every.union(star).where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
+    star = lambda rows, pivots: rows.join(pivots.selectExpr("key", "p.id as pid", "p.n as pn"), "key").where("id <> pid").selectExpr("least(pid, id) a", "greatest(pid, id) b", "n na", "pn nb")
+    slots = facts.where("top <> key").selectExpr("top as key", "p.id as id", "p.n as n")  # the smallest of each slot
+    tops = slots.groupBy("key").agg(F.min(F.struct("id", "n")).alias("p"))
+    pairs = every.union(star(bucket, facts.where(f"size > {SMALL}"))).union(star(slots, tops))
+    return pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
+
+
+def _open(bucket: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, component) of the members of large buckets that hold several components."""
+    seen = bucket.select("top", "id").join(labels, "id")
+    several = seen.groupBy("top").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where(f"size > {SMALL} and low <> high")
+    return seen.join(small(several.select("top")), "top").select("id", "component").distinct()
+
+
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def _families(bucket: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, family, component) of the members of large buckets that hold several components."""
-    seen = bucket.join(labels, "id")
-    open_ = seen.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("first"))
-    left = written(seen.join(open_.where(f"size > {SMALL} and low <> high").select("key", "first"), "key").select("id", "first", "component").distinct(), "open")
-    nodes = left.select("id", "component").distinct()
-    family = components(left.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), nodes.select("id"))
-    return nodes.join(family.withColumnRenamed("component", "family"), "id")
+def _count_shingles(sets: DataFrame) -> np.ndarray:
+    """How many sets have a shingle of each slot (a set may count more than once)."""
 
+    def run(batches):
+        total = np.zeros(1 << SLOT_BITS, np.int64)
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                np.add.at(total, _slots(np.frombuffer(x, np.uint64)), 1)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], names=["slot", "n"])
+
+    counts = sets.select("shingles").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << SLOT_BITS, np.int64)
+    out[counts.column("slot").to_numpy()] = counts.column("n").to_numpy()
+    return out
+
+
+def _prefixes(held: DataFrame, percent: int) -> DataFrame:
+    """(key, id, component, n) of the rarest shingles of sets (id, component, shingles), by which those at the threshold meet."""
+    sent = held.sparkSession.sparkContext.broadcast(_count_shingles(held))
+    schema = "keys array<long>, id long, component long, n long"
+    types = arrow_schema(held.sparkSession, schema)
 
-def _within(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the components of each family, from every two blocks of its members."""
-    held = families.join(sets, "id").withColumn("n", F.length("shingles") / 8)
-    size = held.groupBy("family").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    held = held.join(size, "family").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = held.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "component", "block", "shingles")
+    def run(batches):
+        for b in batches:
+            rows = []
+            for i, c, x in zip(*(b.column(k).to_pylist() for k in ("id", "component", "shingles")), strict=True):
+                x = np.frombuffer(x, np.uint64)
+                n = sent.value[_slots(x)]
+                rare = np.lexsort((x, n))[: len(x) - -(-percent * len(x) // 100) + 1]
+                rows.append((x[rare[n[rare] > 1]].view(np.int64).tolist(), i, c, len(x)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), types, strict=True)], schema=types)
+
+    return held.select("id", "component", "shingles").mapInArrow(run, schema).select(F.explode("keys").alias("key"), "id", "component", "n")
+
+
+def _met(posted: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs a < b of different components whose sketches agree, of rows (key, id, component, n) with a key in common."""
+    sizes = posted.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    left = posted.join(sizes.select("key", "size"), "key").join(small(sketches), "id")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    held = left.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = held.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "component", "n", "block", "sketch")
 
     def compare(t: pa.Table) -> pa.Table:
-        ids, comps, block = (t.column(c).to_pylist() for c in ("id", "component", "block"))
+        ids, comps, n, block = (t.column(c).to_numpy() for c in ("id", "component", "n", "block"))
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        found = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
-        left, right = [k for k, x in enumerate(block) if x == i], [k for k, x in enumerate(block) if x == j]
-        links = []
-        if left and right:
-            names, local = np.unique(np.concatenate(found), return_inverse=True)
-            cut = np.cumsum([0, *map(len, found)])
-            mine = [local[cut[k] : cut[k + 1]] for k in range(len(found))]
-            theirs, sizes = np.concatenate([mine[k] for k in right]), np.array([len(mine[k]) for k in right])
-            starts = np.cumsum(sizes) - sizes
-            comp = np.array(comps)
-            flag = np.zeros(len(names), np.int32)
-            for k in left:
-                if (comp[right] == comp[k]).all():
-                    continue
-                flag[mine[k]] = 1
-                both = np.add.reduceat(flag[theirs], starts)
-                flag[mine[k]] = 0
-                for y in np.flatnonzero(100 * both >= percent * (len(mine[k]) + sizes - both)):
-                    if comp[right[y]] != comp[k]:
-                        links.append((ids[k], ids[right[y]]))
-                        comp[comp == comp[right[y]]] = comp[k]
-        return pa.table({"a": pa.array([min(x) for x in links], pa.int64()), "b": pa.array([max(x) for x in links], pa.int64())})
-
-    return dealt.groupBy("family", "i", "j").applyInArrow(compare, "a long, b long")
+        sketch = _sketch(t.column("sketch"))
+        right = np.flatnonzero(block == j)
+        a, b = [], []
+        for k in np.flatnonzero(block == i):
+            fits = right[(comps[right] != comps[k]) & (100 * np.minimum(n[right], n[k]) >= percent * np.maximum(n[right], n[k])) & ((ids[right] > ids[k]) | (i != j))]
+            fits = fits[(sketch[fits] == sketch[k]).sum(1) >= LEAST]
+            a += np.minimum(ids[fits], ids[k]).tolist()
+            b += np.maximum(ids[fits], ids[k]).tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,34 +216,39 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     docs = id_text(df, id_col, text_col)
     signed = written(map_rows(docs, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary", lambda i, t: _signed(i, t, k)), "signatures")
     filled = signed.where("digest is not null")
-    classes = filled.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = filled.groupBy("digest").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("rows"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = written(classes, "classes")
     members = classes.where("id is not null").select("id", "n", F.explode("bands").alias("key"))
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
-    bucket = written(members.join(shared, "key").select("key", "id", "n"), "buckets")
+    bucket = written(_buckets(members.select("key", "id", "n")), "buckets")
     nodes = written(bucket.select("id").distinct(), "candidates")
-    once = _repeats(signed)
+    once = not signed.select("doc_id").join(small(nodes), F.col("doc_id") == F.col("id"), "left_semi").groupBy("doc_id").count().where("count > 1").isEmpty()
     sketches = classes.join(small(nodes), "id", "left_semi").select("id", "sketch")
-    pairs = written(_alike(_pairs(bucket, percent), sketches.dropDuplicates(["id"]) if once else sketches), "pairs")
+    sketches = sketches.dropDuplicates(["id"]) if once else sketches
+    pairs = written(_alike(_pairs(bucket, percent), sketches), "pairs")
     texts = docs.join(small(nodes), docs.doc_id == nodes.id, "left_semi")
     sets = map_rows(texts, "id long, shingles binary", lambda i, t: (i, shingle_set(t, k).tobytes())).where("length(shingles) > 0")
     sets = written(sets.dropDuplicates(["id"]) if once else sets, "sets")
     links = written(_links(pairs, sets, percent), "links")
     labels = components(links, nodes)
-    families = written(_families(bucket, labels), "families")
-    more = written(_within(families, sets, percent), "links")
-    if not more.isEmpty():
-        labels = components(links.union(more), nodes)
-    names = classes.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
-    return signed.select("doc_id", "n_shingles", "digest").join(names, "digest", "left").select(
-        "doc_id", "n_shingles",
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),
-    )
-
-
-def _repeats(signed: DataFrame) -> bool:
-    return not signed.groupBy("doc_id").count().where("count > 1").isEmpty()
+    left = written(_open(bucket, labels), "open")
+    if not left.isEmpty():
+        posted = written(_prefixes(left.join(sets, "id"), percent), "prefixes")
+        met = written(_met(posted, sketches, percent), "pairs")
+        labels = components(links.union(written(_links(met, sets, percent), "links")), nodes)
+    # A row alone in its class and without links is its own component: most rows need no name.
+    names = classes.join(labels, "id", "left").select("digest", "rows", F.coalesce("component", "id").alias("name"), "id").where("rows > 1 or name <> id")
+    return _named(signed, written(names.select("digest", "rows", "name"), "names"))
+
+
+def _named(signed: DataFrame, names: DataFrame) -> DataFrame:
+    """Rows with the component of their class. Classes of many copies come by broadcast (one for HOT rows at most); all
+    other rows, and those without words, are spread over the keys of the join."""
+    hot = small(names.where(f"rows > {HOT}").select("digest", F.col("name").alias("first")))
+    seen = signed.select("doc_id", "n_shingles", "digest").join(hot, "digest", "left")
+    key = F.when(F.col("digest").isNotNull() & F.col("first").isNull(), F.col("digest")).otherwise(F.hex(F.xxhash64("doc_id")).cast("binary").substr(1, 8))
+    rest = small(names.where(f"rows <= {HOT}").select(F.col("digest").alias("key"), "name"))
+    component = F.coalesce("first", "name", "doc_id")
+    return seen.withColumn("key", key).join(rest, "key", "left").select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def drop_near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -204,7 +256,7 @@ def drop_near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: s
     judged = written(near_duplicates(df, k, percent, id_col, text_col), "judged")
     gone = small(judged.where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
     left = df.join(gone, df[f"`{id_col}`"] == gone["_gone"], "left_anti")
-    if not _repeats(judged.where("doc_id is not null")):
+    if judged.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         return left
     known = F.col(f"`{id_col}`").isNotNull()
     return left.where(known).dropDuplicates([id_col]).union(left.where(~known))

@@ -2,30 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logspark.session import shared_folder, written
+
 #: Ids a join may broadcast (8 bytes each); above it the join is by shuffle.
 BROADCAST_IDS = 1_000_000
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which executors and driver share; only where it is unset (one machine, tests) a temporary folder."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="logspark-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: its lineage ends there and lost executors cost nothing before it."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["components", "shared_folder", "small", "written"]
 
 
 def small(df: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:

@@ -92,8 +92,10 @@ def test_near_duplicates(frame, texts, k):
     assert minhash.near_duplicates(frame([]), k).count() == 0
 
 
-def test_large_group_is_compared_in_blocks(frame, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 7)
+@pytest.mark.parametrize(("block", "hot"), [(1024, 4096), (7, 10), (3, 2)])
+def test_large_group_is_compared_in_blocks(frame, monkeypatch, block, hot):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "HOT", hot)
     r = random.Random(1)
     base = [f"w{i}" for i in range(60)]
     rows = []
@@ -102,8 +104,53 @@ def test_large_group_is_compared_in_blocks(frame, monkeypatch):
         for _ in range(r.randint(0, 9)):
             w[r.randrange(60)] = f"n{r.randrange(10**6)}"
         rows.append((i, " ".join(w)))
+    rows += [(100 + i, rows[5][1]) for i in range(8)] + [(200 + i, "") for i in range(8)] + [rows[7], (None, rows[9][1])]
+    got = collections.Counter((x.doc_id, x.component_id) for x in minhash.near_duplicates(frame(rows), 2).collect())
+    assert got == collections.Counter((i, c) for (i, _), (_, c) in zip(rows, brute_components(rows, 2, 80), strict=True))
+
+
+def planted_pairs(n, k=2, size=150):
+    """Pairs of texts whose shingle sets have a similarity between 0.80 and 0.85."""
+    r = random.Random(9)
+    rows = []
+    while len(rows) < 2 * n:
+        w = [f"v{r.randrange(10**9)}" for _ in range(size)]
+        x = list(w)
+        for _ in range(r.randint(6, 9)):
+            x[r.randrange(size)] = f"u{r.randrange(10**9)}"
+        a, b = ({tuple(y[i : i + k]) for i in range(size - k + 1)} for y in (w, x))
+        if 80 * len(a | b) <= 100 * len(a & b) <= 85 * len(a | b):
+            rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(x))]
+    return rows
+
+
+def test_recall_just_above_the_threshold(frame):
+    rows = planted_pairs(3000)
     got = {x.doc_id: x.component_id for x in minhash.near_duplicates(frame(rows), 2).collect()}
-    assert got == {i: c for (i, _), (_, c) in zip(rows, brute_components(rows, 2, 80), strict=True)}
+    assert sum(got[i + 1] == i for i in range(0, len(rows), 2)) >= 2999  # one in 140,000 is expected to be missed
+
+
+def test_templates_do_not_meet(frame):
+    """Pages that share three quarters of their text fill large buckets but share no rare shingle."""
+    r = random.Random(4)
+    site = " ".join(f"site{i}" for i in range(150))
+    rows = [(i, f"{site} " + " ".join(f"own{r.randrange(10**9)}" for _ in range(45))) for i in range(400)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(30)]
+    docs = frame(rows)
+    held = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("component"), "text")
+    sets = [(i, i, minhash.shingle_set(t.encode(), 2).tobytes()) for i, t in rows]
+    posted = minhash._prefixes(held.sparkSession.createDataFrame(sets, "id long, component long, shingles binary"), 80)
+    most = posted.groupBy("key").count().agg(F.max("count")).head()[0]
+    assert most <= 2 and posted.count() < 30 * 2 * 60
+    got = {x.doc_id: x.component_id for x in minhash.near_duplicates(docs, 2).collect()}
+    assert got == {i: i % 1000 for i, _ in rows}
+
+
+def test_near_duplicates_of_a_long_text(frame):
+    r = random.Random(3)
+    words = [f"w{r.randrange(5000)}" for _ in range(400_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(["x", *words[1:]])), (3, " ".join(words[:100_000]))]
+    assert {x.doc_id: x.component_id for x in minhash.near_duplicates(frame(rows), 2).collect()} == {1: 1, 2: 1, 3: 3}
 
 
 def test_drop_near_duplicates_keeps_columns(frame, texts):
