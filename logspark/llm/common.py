@@ -83,7 +83,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def word_hashes(data: bytes) -> np.ndarray:
     """64-bit hashes of the words [^\\x20\\x09-\\x0D]+ of UTF-8 text, in order."""
     starts, ends = word_bounds(data)
-    return _hash(np.frombuffer(data, np.uint8), starts, ends)
+    return hash_words(data, starts, ends)
 
 
 def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -95,9 +95,11 @@ def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def _hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_words(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words at these bytes."""
     if not len(starts):
         return np.zeros(0, np.uint64)
+    raw = np.frombuffer(data, np.uint8)
     offset = np.arange(len(raw), dtype=np.int64)
     offset -= np.repeat(np.append(0, starts), np.diff(np.concatenate(([0], starts, [len(raw)]))))
     value = _BYTE[raw] * _POW[offset & 0xFFFF]

@@ -481,9 +481,13 @@ def test_license_detections_against_brute_force():
         assert licenses.detect(text, found) == brute_detect(text, found)
 
 
-@pytest.mark.parametrize("rows_in_slice", [3, 2048])
-def test_substrings(frame, texts, monkeypatch, rows_in_slice):
+@pytest.mark.parametrize(("rows_in_slice", "bits", "digests"), [(3, 64, 250_000), (2048, 64, 250_000), (3, 4, 20), (2048, 4, 20)])
+def test_substrings(frame, texts, monkeypatch, rows_in_slice, bits, digests):
     monkeypatch.setattr(substrings, "SLICE_ROWS", rows_in_slice)
+    monkeypatch.setattr(substrings, "BATCH_DIGESTS", digests)
+    if bits < 64:  # hashes of windows that tell nearly nothing apart: words and digests decide
+        whole = substrings.window_hashes
+        monkeypatch.setattr(substrings, "window_hashes", lambda w, size, lane: whole(w, size, lane) & np.uint64((1 << bits) - 1))
     rows = [x for x in texts if x[0] is not None] + [(60, "v " * 50), (61, "u v " * 30 + "end"), (62, " ".join(map(str, range(20)))), (63, " ".join(map(str, range(25))))]
     first, want = {}, collections.Counter()
     order = sorted(set(rows), key=lambda x: x[0])
@@ -503,18 +507,21 @@ def test_substrings(frame, texts, monkeypatch, rows_in_slice):
 
 
 def colliding_words(size):
-    """Words before and after a place, and two words for it that collide in 24 bits and with 8 bits of a window's hash."""
-    words = np.array([f"own{i}" for i in range(300_000)])
-    hashes = word_hashes(" ".join(words).encode())
-    order = np.argsort(hashes & np.uint64(0xFFFFFF))
-    same = np.flatnonzero(np.diff(hashes[order] & np.uint64(0xFFFFFF)) == 0)
+    """Words before and after a place, and two words for it of one symbol and, in some window, one check."""
+    words = np.array([f"own{i}" for i in range(3000)])
+    symbols = word_hashes(" ".join(words).encode()).astype(np.uint8)
     around = [f"site{i}" for i in range(2 * size - 2)]
-    for a, b in zip(order[same], order[same + 1], strict=True):
-        pages = [[*around[: size - 1], w, *around[size - 1 :]] for w in (words[a], words[b])]
-        h = [word_hashes(" ".join(x).encode()) for x in pages]
-        x, y = (substrings.window_hashes(v, size, 1) & np.uint64(0xFF) for v in h)
-        if ((x == y) & (substrings.least_grams(h[0], size) == substrings.least_grams(h[1], size))).any():
-            return [" ".join(x) for x in pages]
+    least, checks = [], []
+    for w in words:
+        h = word_hashes(" ".join([*around[: size - 1], w, *around[size - 1 :]]).encode())
+        least.append(substrings.least_grams(h, size))
+        checks.append(substrings.window_hashes(h, size, 0).astype(np.uint16))
+    for k in np.unique(symbols):
+        same = np.flatnonzero(symbols == k)
+        for i, a in enumerate(same):
+            for b in same[i + 1 :]:
+                if ((checks[a] == checks[b]) & (least[a] == least[b])).any():
+                    return [" ".join([*around[: size - 1], words[x], *around[size - 1 :]]) for x in (a, b)]
     raise AssertionError("no collision")
 
 
@@ -539,7 +546,7 @@ def test_substrings_of_a_hot_part(frame, spark, monkeypatch):
         batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held, strict=True)], names=["doc_id", "key", "text"])
         types = arrow_schema(spark, substrings.PACKED)
         packed = pa.Table.from_batches(list(substrings._hashed(64, 20, hot)(types)([batch]))).to_pylist()
-        return windows, len(hot), max(collections.Counter(x["shard"] for x in packed for _ in range(len(x["checks"] or b"") // 10)).values())
+        return windows, len(hot), max(collections.Counter(x["shard"] for x in packed for _ in range(len(x["checks"] or b"") // 2)).values())
 
     total, hot, before = largest()
     assert (total, hot) == (sum(len(t.split()) - 19 for _, t in rows), 0)
