@@ -5,6 +5,9 @@ scan finds the keywords; only rules with a keyword in the text are tried. Of the
 first, then the longer one; a later detection that lies inside an earlier one, or overlaps one of the same family, is
 suppressed. Base phrases are counted by themselves and their labels always stay.
 
+Rules come from two places: SIGNATURES, written by hand from the licenses' sentences, and names, identifiers and
+versions of each family as they stand in prose and in identifier lines.
+
 Edge cases: a null or empty text has no words, no labels (empty strings) and score 0; several places of a phrase all
 count; equal rows give equal results; an empty table gives an empty one. Other columns are ignored.
 """
@@ -63,30 +66,102 @@ FAMILIES = {
     "vim": (("vim license",), ("vim",), ()),
     "proprietary": (("proprietary license", "commercial license agreement", "end user license agreement"), (), ()),
 }
-# Sentences that only one family's text has; (label, words, priority, relevance).
-SENTENCES = (
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy", 9, 1.0),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", 9, 1.0),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", 9, 1.0),
-    ("apache", "you may not use this file except in compliance with the license", 8, 0.95),
-    ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license", 9, 1.0),
-    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license", 10, 1.0),
-    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public license", 10, 1.0),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license", 9, 1.0),
-    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy", 9, 1.0),
-    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", 8, 0.95),
-    ("unlicense", "this is free and unencumbered software released into the public domain", 9, 1.0),
-    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document", 7, 0.8),
-    ("cc0", "has waived all copyright and related or neighboring rights", 8, 0.9),
-    ("proprietary", "all rights reserved unauthorized copying of this file is strictly prohibited", 8, 0.95),
+# Signatures written by hand, each from a sentence of a license's text or notice:
+# (label, keyword, pattern, priority, relevance).
+SIGNATURES = (
+    ("mit", "obtaining a copy", r"permission is hereby granted free of charge to any person obtaining a copy(?: of this software and associated documentation files)?", 9, 1.0),
+    ("mit", "substantial portions of the software", r"the above copyright notice and this permission notice (?:\w+ ){0,6}shall be included in all copies or substantial portions of the software", 9, 0.95),
+    ("mit x11", "shall not be used in advertising", r"except as contained in this notice the names? of (?:\w+ ){1,10}shall not be used in advertising", 9, 0.95),
+    ("bsd", "redistribution and use in source and binary forms", r"redistribution and use in source and binary forms with or without modification are permitted", 9, 1.0),
+    ("bsd 2 clause", "redistributions in binary form", r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer", 9, 0.9),
+    ("bsd 3 clause", "used to endorse or promote products", r"(?:neither )?the names? of (?:\w+ ){1,14}may (?:not )?be used to endorse or promote products", 10, 1.0),
+    ("bsd 4 clause", "all advertising materials mentioning", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment", 10, 1.0),
+    ("isc", "and or distribute this software for any purpose", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted(?: provided that the above copyright notice)?", 9, 1.0),
+    ("ntp", "distribute this software and its documentation", r"permission to use copy modify and distribute this software and its documentation for any purpose with or without fee is hereby granted", 9, 0.95),
+    ("postgresql", "without a written agreement", r"for any purpose without fee and without a written agreement is hereby granted", 10, 1.0),
+    ("apache", "except in compliance with the license", r"you may not use this file except in compliance with the license", 8, 0.95),
+    ("apache 2 0", "apache org licenses license 2 0", r"(?:you may obtain a copy of the license at )?https? www apache org licenses license 2 0", 10, 1.0),
+    ("apache 2 0", "agreed to in writing", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", 9, 0.95),
+    ("apache 1 1", "developed by the apache software foundation", r"this product includes software developed by the apache software foundation", 9, 0.9),
+    ("gpl", "modify it under the terms of the gnu general public license", r"you can redistribute it and or modify it under the terms of the gnu general public license", 9, 1.0),
+    ("gpl", "a copy of the gnu general public license", r"you should have received a copy of the gnu general public license", 8, 0.9),
+    ("gpl", "general public license for more details", r"see the gnu general public license for more details", 8, 0.9),
+    ("gpl 2", "either version 2 of the license", r"either version 2 of the license or at your option any later version", 9, 0.95),
+    ("gpl 3", "either version 3 of the license", r"either version 3 of the license or at your option any later version", 9, 0.95),
+    ("gpl", "changing it is not allowed", r"everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed", 7, 0.7),
+    ("lgpl", "modify it under the terms of the gnu lesser general public license", r"you can redistribute it and or modify it under the terms of the gnu lesser general public license", 10, 1.0),
+    ("lgpl", "modify it under the terms of the gnu library general public license", r"you can redistribute it and or modify it under the terms of the gnu library general public license", 10, 1.0),
+    ("lgpl", "a copy of the gnu lesser general public license", r"you should have received a copy of the gnu lesser general public license", 9, 0.9),
+    ("agpl", "modify it under the terms of the gnu affero general public license", r"you can redistribute it and or modify it under the terms of the gnu affero general public license", 10, 1.0),
+    ("agpl", "a copy of the gnu affero general public license", r"you should have received a copy of the gnu affero general public license", 9, 0.9),
+    ("gfdl", "modify this document under the terms", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", 10, 1.0),
+    ("gfdl", "no invariant sections", r"with no invariant sections no front cover texts and no back cover texts", 8, 0.9),
+    ("mpl", "subject to the terms of the mozilla public license", r"this source code form is subject to the terms of the mozilla public license", 9, 1.0),
+    ("mpl 1 1", "subject to the mozilla public license", r"the contents of this file are subject to the mozilla public license version 1 1", 10, 1.0),
+    ("mpl 2 0", "a copy of the mpl was not distributed", r"if a copy of the mpl was not distributed with this file you can obtain one at", 9, 0.95),
+    ("epl", "accompanying materials are made available under", r"this program and the accompanying materials are made available under the terms of the eclipse public license", 10, 1.0),
+    ("cddl", "terms of the common development and distribution license", r"the contents of this file are subject to the terms of the common development and distribution license", 10, 1.0),
+    ("cpl", "terms of the common public license", r"made available under the terms of the common public license", 10, 1.0),
+    ("eupl", "licensed under the eupl", r"licensed under the eupl(?: version 1 [12])?(?: or as soon they will be approved)?", 9, 1.0),
+    ("artistic", "same terms as perl itself", r"redistribute it and or modify it under the same terms as perl itself", 9, 0.95),
+    ("artistic 2 0", "terms of the artistic license 2 0", r"under the terms of the artistic license 2 0", 9, 1.0),
+    ("boost", "any person or organization obtaining a copy", r"permission is hereby granted free of charge to any person or organization obtaining a copy", 10, 1.0),
+    ("boost", "17th august 2003", r"boost software license version 1 0 (?:\w+ ){0,2}17th august 2003", 9, 1.0),
+    ("zlib", "without any express or implied warranty", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable", 8, 0.95),
+    ("zlib", "and redistribute it freely", r"permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely", 9, 1.0),
+    ("unlicense", "free and unencumbered software", r"this is free and unencumbered software released into the public domain", 9, 1.0),
+    ("unlicense", "publish use compile sell or distribute", r"anyone is free to copy modify publish use compile sell or distribute this software", 9, 1.0),
+    ("wtfpl", "what the fuck you want to", r"you just do what the fuck you want to", 9, 1.0),
+    ("cc0", "has waived all copyright", r"has waived all copyright and related or neighbou?ring rights", 8, 0.9),
+    ("cc0", "publicdomain zero 1 0", r"creativecommons org publicdomain zero 1 0", 10, 1.0),
+    ("cc by", "creativecommons org licenses by", r"creativecommons org licenses by(?: [1-4] [05])?", 8, 0.95),
+    ("cc by sa", "creativecommons org licenses by sa", r"creativecommons org licenses by sa(?: [1-4] [05])?", 9, 1.0),
+    ("cc by nc", "creativecommons org licenses by nc", r"creativecommons org licenses by nc(?: [1-4] [05])?", 9, 1.0),
+    ("cc by nc sa", "creativecommons org licenses by nc sa", r"creativecommons org licenses by nc sa(?: [1-4] [05])?", 10, 1.0),
+    ("cc by nd", "creativecommons org licenses by nd", r"creativecommons org licenses by nd(?: [1-4] [05])?", 9, 1.0),
+    ("cc by nc nd", "creativecommons org licenses by nc nd", r"creativecommons org licenses by nc nd(?: [1-4] [05])?", 10, 1.0),
+    ("cc", "some rights reserved", r"some rights reserved", 3, 0.5),
+    ("python", "psf hereby grants licensee", r"psf hereby grants licensee a nonexclusive royalty free world wide license", 9, 1.0),
+    ("php", "includes php software", r"this product includes php software freely available from", 9, 0.95),
+    ("openssl", "developed by the openssl project", r"this product includes software developed by the openssl project", 9, 0.95),
+    ("openssl", "original ssleay license", r"original ssleay license", 8, 0.9),
+    ("ofl", "this font software is licensed under", r"this font software is licensed under the sil open font license", 9, 1.0),
+    ("ofl", "reserved font name", r"with reserved font names?", 6, 0.8),
+    ("odbl", "database contents license", r"any rights in individual contents of the database are licensed under the database contents license", 9, 1.0),
+    ("ms pl", "you bear the risk of using it", r"the software is licensed as is you bear the risk of using it", 7, 0.8),
+    ("sspl", "to third parties as a service", r"make the functionality of the program or a modified version available to third parties as a service", 9, 1.0),
+    ("busl", "make non production use", r"copy modify create derivative works redistribute and make non production use of the licensed work", 9, 1.0),
+    ("elastic", "as a hosted or managed service", r"you may not provide the software to third parties as a hosted or managed service", 9, 1.0),
+    ("ncsa", "deal with the software without restriction", r"to deal with the software without restriction", 8, 0.9),
+    ("vim", "vim is charityware", r"vim is charityware", 8, 0.95),
+    ("icu", "icu license", r"icu license icu 1 8 1 and later", 8, 0.95),
+    ("json", "used for good not evil", r"the software shall be used for good not evil", 9, 1.0),
+    ("beerware", "you can buy me a beer", r"if we meet some day and you think this stuff is worth it you can buy me a beer", 9, 1.0),
+    ("blessing", "may you do good and not evil", r"may you do good and not evil", 8, 0.95),
+    ("ecl", "educational community license", r"educational community license(?: version [12] 0)?", 7, 0.9),
+    ("afl", "academic free license", r"academic free license(?: version [123] \d)?", 7, 0.9),
+    ("osl", "open software license", r"open software license(?: version [123] \d)?", 7, 0.9),
+    ("qpl", "q public license", r"(?:the )?q public license(?: version 1 0)?", 7, 0.9),
+    ("sleepycat", "how to obtain complete source code", r"redistributions in any form must be accompanied by information on how to obtain complete source code", 9, 1.0),
+    ("w3c", "w3c software notice and license", r"w3c software notice and license", 8, 0.95),
+    ("upl", "universal permissive license", r"(?:the )?universal permissive license(?: upl)?(?: version 1 0)?", 8, 0.95),
+    ("hpnd", "historical permission notice and disclaimer", r"historical permission notice and disclaimer", 8, 0.95),
+    ("public domain", "in the public domain", r"(?:is|has been placed|was placed|are) in the public domain", 6, 0.7),
+    ("public domain", "to the public domain", r"(?:dedicated|dedicates? (?:\w+ ){1,4}) ?to the public domain", 6, 0.8),
+    ("proprietary", "unauthorized copying", r"(?:all rights reserved )?unauthorized copying of this (?:file|software|work|program)(?: via any medium)? is strictly prohibited", 8, 0.95),
+    ("proprietary", "confidential and proprietary information", r"(?:is|contains|are) (?:the )?confidential and proprietary information of", 8, 0.95),
+    ("proprietary", "unpublished rights reserved", r"unpublished rights reserved under the copyright laws", 8, 0.95),
+    ("proprietary", "may be reproduced", r"no part of this (?:publication|document|software|work|book) may be reproduced", 7, 0.8),
+    ("proprietary", "legal agreement between you", r"is a legal agreement between you (?:\w+ ){0,6}and", 6, 0.8),
+    ("proprietary", "reverse engineer decompile", r"(?:may|shall|will) not (?:\w+ ){0,4}reverse engineer decompile(?: or)? disassemble", 7, 0.8),
+    ("noncommercial", "non commercial", r"for non commercial (?:use|purposes) only", 5, 0.7),
+    ("noncommercial", "noncommercial", r"for noncommercial (?:use|purposes) only", 5, 0.7),
+    ("noncommercial", "research purposes only", r"for (?:academic |scientific )?research purposes only", 5, 0.7),
 )
 #: Words around a name -> (pattern with the name as %s, priority, relevance).
 FORMS = (
     (r"(?:licensed|released|distributed|available|provided|published|covered) (?:\w+ ){0,3}under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?%s", 7, 1.0),
-    (r"(?:subject to|according to|in accordance with|governed by) (?:the )?(?:terms (?:and conditions )?of )?(?:the )?%s", 6, 0.95),
-    (r"(?:license|licence) (?:is )?(?:the )?%s", 5, 0.9),
-    (r"(?:see|under|using|with|via) (?:the )?%s", 4, 0.8),
-    (r"(?:the )?%s", 2, 0.7),
+    (r"(?:(?:subject to|according to|in accordance with|governed by) (?:the )?(?:terms (?:and conditions )?of )?|(?:license|licence) (?:is )?|(?:see|under|using|with|via) )?(?:the )?%s", 4, 0.8),
 )
 
 
@@ -112,8 +187,9 @@ def rules() -> tuple[list[Rule], ahocorasick.Automaton]:
             for v in (*versions, ""):
                 tail = rf" ?v?{v}(?: only| or later)?" if v else ""
                 made.append(Rule(family, f"{family} {v}".strip(), rf"spdx license identifier {re.escape(x)}{tail}", "spdx license identifier", 10 + bool(v), 1.0))
-    for label, words, priority, relevance in SENTENCES:
-        made.append(Rule(label, label, re.escape(words), words, priority, relevance))
+    for label, keyword, pattern, priority, relevance in SIGNATURES:
+        family = next((f for f in sorted(FAMILIES, key=len, reverse=True) if label == f or label.startswith(f"{f} ")), label)
+        made.append(Rule(family, label, pattern, keyword, priority, relevance))
     keys = ahocorasick.Automaton()
     for k in {r.keyword for r in made} | set(BASE):
         keys.add_word(f" {k} ", k)

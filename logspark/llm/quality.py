@@ -25,13 +25,36 @@ RULES = {
     "exclamations": "100 * n_exclaim > 5 * word_chars",
     "duplicate_lines": "n_lines >= 4 and 100 * n_dup_lines > 60 * n_lines",
     "word_length": "n_words > 0 and (word_chars < 2 * n_words or word_chars > 25 * n_words)",
+    "many_words": "n_words > 100000",
+    "digits": "100 * n_digits > 40 * word_chars",
+    "odd_words": "100 * n_odd_words > 50 * n_words",
+    "long_words": "100 * n_long_words > 10 * n_words",
+    "bullets": "n_lines >= 4 and 100 * n_bullets > 90 * n_lines",
+    "ellipses": "n_lines >= 4 and 100 * n_ellipses > 30 * n_lines",
+    "few_ends": "n_lines >= 4 and 100 * n_ends < 10 * n_lines",
+    "few_distinct": "n_words >= 100 and 100 * n_distinct < 10 * n_words",
+    "braces": "100 * n_braces > 2 * word_chars",
+    "links": "100 * n_links > 20 * n_words",
+    "control": "100 * n_control > word_chars",
+    "broken": "1000 * n_broken > word_chars",
+    "placeholder": "n_placeholders > 0",
 }
 #: Policy version -> rules that reject.
 POLICIES = {
     "base": ("few_words", "repeated_windows"),
-    "v1": tuple(RULES),
+    "v1": tuple(RULES)[:7],
+    "v2": tuple(r for r in RULES if r not in ("many_words", "few_ends")),
+    "strict": tuple(RULES),
 }
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_exclaim", "n_lines")
+#: Measurement -> pattern whose matches in the text, or characters in it, or lines that have it, are counted.
+CHARS = {"n_symbols": r"[#*$%&|<>]", "n_upper": "[A-Z]", "n_exclaim": "!", "n_digits": "[0-9]", "n_braces": r"[{}]", "n_control": r"[\x00-\x08\x0E-\x1F\x7F]", "n_broken": "\uFFFD"}
+PLACES = {
+    "n_odd_words": r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0DA-Za-z\x{80}-\x{10FFFF}]++(?![^\x20\x09-\x0D])",
+    "n_long_words": r"[^\x20\x09-\x0D]{31,}+",
+    "n_links": r"(?<![^\x20\x09-\x0D])(?:https?://|www\.)",
+    "n_placeholders": r"(?i)lorem ipsum",
+}
+LINES = {"n_bullets": r"^[ \t]*[-*•]", "n_ellipses": r"(?:\.\.\.|…)[ \t\r]*\z", "n_ends": r'[.!?"”»)][ \t\r]*\z'}
 
 
 def mask(rules: tuple[str, ...]) -> int:
@@ -44,6 +67,10 @@ def _count(text: Column, chars: str) -> Column:
     return F.length(F.array_join(F.regexp_extract_all(text, F.lit(chars + "+"), F.lit(0)), "")).cast("long")
 
 
+def _has(pattern: str):
+    return lambda x: x.rlike(pattern)
+
+
 def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and the measurements of each row."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
@@ -51,9 +78,8 @@ def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.col(f"`{id_col}`").alias("doc_id"),
         F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)).alias("_w"),
         F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_l"),
-        _count(text, r"[#*$%&|<>]").alias("n_symbols"),
-        _count(text, "[A-Z]").alias("n_upper"),
-        _count(text, "!").alias("n_exclaim"),
+        *[_count(text, c).alias(k) for k, c in CHARS.items()],
+        *[F.regexp_count(text, F.lit(p)).cast("long").alias(k) for k, p in PLACES.items()],
     ).withColumn("word_chars", F.length(F.array_join("_w", "")).cast("long"))
     # Windows in the order of their hashes: equal ones are neighbours.
     window = lambda w, i: F.struct(F.xxhash64(w, F.get("_w", i + 1), F.get("_w", i + 2)).alias("h"), i.alias("i"))
@@ -63,11 +89,12 @@ def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     covered = F.aggregate(F.transform("_p", lambda p, i: F.least(F.lit(3), p - F.coalesce(F.get("_p", i - 1), F.lit(-3)))), F.lit(0), lambda a, x: a + x)
     facts = F.struct(
         F.size("_w").cast("long").alias("n_words"),
-        "word_chars", "n_symbols",
+        "word_chars", *CHARS, *PLACES,
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         covered.cast("long").alias("n_repeat_words"),
-        "n_upper", "n_exclaim",
         F.size("_l").cast("long").alias("n_lines"),
+        *[F.size(F.filter("_l", _has(x))).cast("long").alias(k) for k, x in LINES.items()],
+        F.size(F.array_distinct("_w")).cast("long").alias("n_distinct"),
     )
     # The generator keeps later filters above it: pushed below, they would repeat the expressions for each use.
     return places.select("doc_id", F.explode(F.array(facts)).alias("_m")).select("doc_id", "_m.*")
@@ -79,13 +106,20 @@ def ledger(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return measured(df, id_col, text_col).withColumn("failed_bits", sum(bits[1:], bits[0]).cast("long"))
 
 
-def apply_policy(of: DataFrame, policy: str = "v1") -> DataFrame:
+def write_ledger(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ledger of df, stored; what it returns, and spark.read.parquet(path) at any later time, serves every policy without the texts."""
+    made = ledger(df, id_col, text_col)
+    made.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(made.schema).parquet(path)
+
+
+def apply_policy(of: DataFrame, policy: str = "v2") -> DataFrame:
     """Adds base_failed and kept; a row that fails the base is never kept."""
     failed = lambda name: F.col("failed_bits").bitwiseAND(F.lit(mask(POLICIES[name])).cast("long")) != 0
     return of.withColumn("base_failed", failed("base")).withColumn("kept", ~failed("base") & ~failed(policy))
 
 
-def ablation(of: DataFrame, policy: str = "v1") -> DataFrame:
+def ablation(of: DataFrame, policy: str = "v2") -> DataFrame:
     """For each rule of a policy: rows that fail it, rows that only it rejects, and rows kept without it."""
     counts = of.groupBy("failed_bits").agg(F.count(F.lit(1)).alias("n"))
     names = list(RULES)
@@ -99,7 +133,7 @@ def ablation(of: DataFrame, policy: str = "v1") -> DataFrame:
     )
 
 
-def keep_good(df: DataFrame, policy: str = "v1", text_col: str = "text") -> DataFrame:
+def keep_good(df: DataFrame, policy: str = "v2", text_col: str = "text") -> DataFrame:
     """The rows of df that a policy keeps, with their columns and order of columns as they were."""
     names = [f"_row.`{c}`" for c in df.columns]
     packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(f"`{text_col}`").alias("text"))

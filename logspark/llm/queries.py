@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import os
+import uuid
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from logspark.llm import bpe, decontaminate, htmltext, licenses, minhash, pii, quality, secrets, substrings, toxicity
 
-VOCABULARY = os.environ.get("BPE_VOCABULARY") or public_tokenizers.path("word_bpe_49k.json")
+from logspark.session import shared_folder
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark, sf_dir, name):
@@ -57,7 +60,14 @@ def op10_secrets(spark, sf_dir):
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_minhash, op3_decontaminate, op4_html, op5_licenses, op6_pii, op7_toxicity, op8_substrings, op9_quality, op10_secrets)}
+def quality_ablation(spark, sf_dir):
+    """What each rule of two policies removes, from one stored ledger."""
+    held = quality.write_ledger(table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}")
+    each = [quality.ablation(held, policy).select(F.lit(policy).alias("policy"), "rule", "n_failed", "n_only", "n_kept_without") for policy in ("v1", "v2")]
+    return each[0].union(each[1])
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_minhash, op3_decontaminate, op4_html, op5_licenses, op6_pii, op7_toxicity, op8_substrings, op9_quality, op10_secrets, quality_ablation)}
 LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ALNUM = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -68,6 +78,18 @@ def _runs_of(table: str, key: str, k: int) -> str:
     return f"SELECT {key}, i, {k} AS k, s FROM (SELECT {key}, i, string_agg(a, ' ') OVER w AS s, count(*) OVER w AS n FROM {table} WINDOW w AS (PARTITION BY {key} ORDER BY i ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING)) WHERE n = {k}"
 
 
+LEDGER = rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+ x AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM d),
+ g AS (SELECT doc_id, i, a, lead(a) OVER p AS b, lead(a, 2) OVER p AS c FROM x WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+ r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM g WHERE c IS NOT NULL) WHERE n > 1),
+ v AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM r) GROUP BY 1),
+ m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(v.n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines,
+  {", ".join(f"(length(t) - length(regexp_replace(t, '{c}', '', 'g')))::BIGINT AS {k}" for k, c in quality.CHARS.items())},
+  len(list_filter(w, lambda x: NOT regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_odd_words, len(list_filter(w, lambda x: length(x) > 30)) AS n_long_words, len(list_filter(w, lambda x: regexp_matches(x, '^(https?://|www\.)'))) AS n_links,
+  len(regexp_extract_all(t, '(?i)lorem ipsum')) AS n_placeholders, len(list_distinct(w)) AS n_distinct,
+  {", ".join(f"len(list_filter(l, lambda x: regexp_matches(x, '{c}'))) AS {k}" for k, c in quality.LINES.items())} FROM d LEFT JOIN v USING (doc_id)),
+ b AS (SELECT *, ({" + ".join(f"CASE WHEN {rule} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(quality.RULES.values()))})::BIGINT AS failed_bits FROM m)"""
+
 #: The queries that SQL can express. Tokenizer ids, links between shingle sets, parsed markup, places of matches and
 #: learned scores can't; their tests hold them against brute force.
 ORACLE: dict[str, str] = {
@@ -86,13 +108,10 @@ ORACLE: dict[str, str] = {
  c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM f WHERE r > 1),
  k AS (SELECT x.doc_id, count(c.i) AS n_removed, coalesce(string_agg(a, ' ' ORDER BY x.i) FILTER (c.i IS NULL), '') AS kept FROM x LEFT JOIN c ON x.doc_id = c.doc_id AND x.i = c.i GROUP BY 1)
  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
-    "op9_quality": rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
- x AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM d),
- g AS (SELECT doc_id, i, a, lead(a) OVER p AS b, lead(a, 2) OVER p AS c FROM x WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
- r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM g WHERE c IS NOT NULL) WHERE n > 1),
- v AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM r) GROUP BY 1),
- m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
-  coalesce(v.n, 0)::BIGINT AS n_repeat_words, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper, length(t) - length(replace(t, '!', '')) AS n_exclaim, len(l) AS n_lines FROM d LEFT JOIN v USING (doc_id)),
- b AS (SELECT *, ({" + ".join(f"CASE WHEN {rule} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(quality.RULES.values()))})::BIGINT AS failed_bits FROM m)
- SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits FROM b""",
+    "op9_quality": rf"""{LEDGER}
+ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed_bits & 3 <> 0 AS base_failed, failed_bits & {quality.mask(quality.POLICIES["v2"])} = 0 AS kept, failed_bits FROM b""",
+    "quality_ablation": LEDGER + ", " + " UNION ALL ".join(
+        f"SELECT '{p}' AS policy, '{r}' AS rule, count(*) FILTER (failed_bits & {quality.mask((r,))} <> 0) AS n_failed, count(*) FILTER (failed_bits & {quality.mask(quality.POLICIES[p])} = {quality.mask((r,))}) AS n_only, count(*) FILTER (failed_bits & {quality.mask(quality.POLICIES[p]) & ~quality.mask((r,))} = 0) AS n_kept_without FROM b"
+        for p in ("v1", "v2") for r in quality.POLICIES[p]
+    ).replace("SELECT", "o AS (SELECT", 1) + ") SELECT * FROM o",
 }

@@ -461,6 +461,25 @@ def test_scans_of_long_texts_are_linear(scan):
     assert seconds(100_000) < 8 * max(seconds(25_000), 0.01)
 
 
+def test_license_signatures():
+    for label, keyword, pattern, priority, relevance in licenses.SIGNATURES:
+        assert keyword in re.sub(r"\(\?:([^()|]*)\)\??", r"\1", pattern).replace("https?", "https"), (label, keyword)
+        assert 0 < relevance <= 1 and priority > 0
+    notices = {
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software": "mit",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer.": "bsd 2 clause",
+        "Neither the name of the University nor the names of its contributors may be used to endorse or promote products": "bsd 3 clause",
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0": "apache 2 0",
+        "either version 3 of the License, or (at your option) any later version": "gpl 3",
+        "See https://creativecommons.org/licenses/by-nc-sa/4.0/ for it": "cc by nc sa",
+        "The Software shall be used for Good, not Evil.": "json",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at": "mpl 2 0",
+        "a perfectly ordinary sentence": "",
+    }
+    for text, label in notices.items():
+        assert licenses.row(1, text.encode())[6] == label, text
+
+
 def brute_detect(text, found):
     hits = [(m.start(), m.end(), x) for x in licenses.rules()[0] if x.keyword in found for m in x.pattern.finditer(text)]
     held = []
@@ -580,7 +599,24 @@ def test_quality(frame, texts):
     assert quality.keep_good(docs).count() == sum(r.kept for r in got)
     table = {r.rule: r for r in quality.ablation(quality.ledger(docs)).collect()}
     assert table["few_words"].n_failed == sum(r.n_words < 50 for r in got)
-    assert table["few_words"].n_kept_without == sum(not r.failed_bits & ~1 for r in got)
+    assert table["few_words"].n_kept_without == sum(not r.failed_bits & quality.mask(quality.POLICIES["v2"]) & ~1 for r in got)
+
+
+def test_quality_ledger_is_stored_once(frame, tmp_path):
+    good = " ".join(f"word{i}" for i in range(80))
+    rows = [(1, good), (2, good + " lorem ipsum"), (3, "\n".join(f"- item {i} {good[i:]}" for i in range(5))), (4, " ".join(["1234567 !"] * 60)), (5, good + " {" * 40), (6, "\n".join(f"and so on {good[i:]}..." for i in range(4))),
+            (7, " ".join(f"http://x.example/{i}" for i in range(60))), (8, good + "\ufffd" * 5), (9, good + "\x01" * 20), (10, None), (11, " ".join(f"{'q' * 40}{i}" for i in range(60))), (12, f"{good} a" * 100)]
+    docs = frame(rows)
+    held = quality.write_ledger(docs, str(tmp_path / "ledger"))
+    bits = {r.doc_id: {k for i, k in enumerate(quality.RULES) if r.failed_bits >> i & 1} for r in held.collect()}
+    assert bits[1] == set()
+    for i, rule in {2: "placeholder", 3: "bullets", 4: "odd_words", 5: "braces", 6: "ellipses", 7: "links", 8: "broken", 9: "control", 10: "few_words", 11: "long_words", 12: "repeated_windows"}.items():
+        assert rule in bits[i], (i, rule, bits[i])
+    for policy in quality.POLICIES:  # no second look at the texts
+        want = {r.doc_id: r.kept for r in quality.apply_policy(quality.ledger(docs), policy).collect()}
+        assert {r.doc_id: r.kept for r in quality.apply_policy(held, policy).collect()} == want
+    assert {r.rule for r in quality.ablation(held, "strict").collect()} == set(quality.RULES)
+    assert quality.ledger(frame([])).count() == 0
 
 
 SECRETS = [
