@@ -151,9 +151,9 @@ def key_sizes(filters: DataFrame, step: int = 50) -> DataFrame:
     return filters.groupBy((F.floor(F.length(key) / step) * step).cast("long").alias("size_floor")).agg(F.count(F.lit(1)).alias("filters"))
 
 
-def observe_build(df: DataFrame, name: str = "index") -> DataFrame:
-    """A20. Counts rows of a build while it runs."""
-    return df.observe(name, F.count(F.lit(1)).alias("rows"))
+def observe_build(df: DataFrame, name="index") -> DataFrame:
+    """A20. Counts rows, bytes and tokens of a build of events while it runs; name may be an Observation."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"), F.sum("n_bytes").alias("bytes"), F.sum(F.size("tokens")).alias("tokens"))
 
 
 def with_debug_values(token_sets_df: DataFrame, limit: int = 200) -> DataFrame:

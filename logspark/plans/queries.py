@@ -297,6 +297,63 @@ def reverse_index(spark, sf_dir):
     return keys.groupBy("object_id").agg(F.array_join(F.sort_array(F.collect_list("key")), " ").alias("keys"))  # the result is one string
 
 
+@query(f"SELECT event_id AS seq FROM events WHERE event_type = 'error' AND user_id % 10 = 3 AND {MS} >= {T0} AND {MS} < {T1}")
+def search_gated_bitmap(spark, sf_dir):
+    """Bitmaps with a gate for template hashes, here users' ids: a chunk stays if a bitmap may hold one of them."""
+    users = [str(u) for u in range(3, 150, 10)]
+    rows = Q.search_stored(spark, stored_index(spark, sf_dir), "events", X.QueryOptions('event_type == "error"', t0=T0, t1=T1), "filters", template_hashes=users)
+    return X.where_user(rows, "cast(enrichment['user_id'] AS bigint) % 10 = 3").select("seq")
+
+
+@query("SELECT count(*) AS rows FROM events")
+def observed_build(spark, sf_dir):
+    """Rows that a build has counted while it wrote the index."""
+    from pyspark.sql import Observation
+
+    seen = Observation("build")
+    root = fresh(spark, "observed")
+    I.observe_build(indexed_events(spark, sf_dir).drop("value"), seen).write.parquet(f"{root}/events")
+    return spark.createDataFrame([(seen.get["rows"],)], "rows long")
+
+
+def day_objects(spark, sf_dir) -> str:
+    """A log object for each day: its events' props as lines, in order, written as text."""
+    root = f"{fresh(spark, 'objects')}/logs"
+    rows = raw_events(spark, sf_dir).select("day", "event_id", "props").repartition("day").sortWithinPartitions("day", "event_id")
+    rows.select("day", "props").write.partitionBy("day").text(root)
+    return spark.read.text(f"{root}/day=2024-01-10").inputFiles()[0]
+
+
+DAY = "o AS (SELECT props, (sum(strlen(props) + 1) OVER (ORDER BY event_id) - strlen(props) - 1)::BIGINT AS line_start FROM events WHERE strftime(ts, '%Y-%m-%d') = '2024-01-10')"
+
+
+@query(f"WITH {DAY} SELECT line_start, line_start + strlen(props) + 1 AS line_end, props AS text FROM o")
+def object_lines(spark, sf_dir):
+    return files.read_lines(spark, day_objects(spark, sf_dir)).select("line_start", "line_end", "text")
+
+
+@query(f"WITH {DAY} SELECT line_start, props AS text FROM o WHERE line_start < 500 OR line_start BETWEEN 1200 AND 2899")
+def object_ranges(spark, sf_dir):
+    return files.read_ranges(spark, day_objects(spark, sf_dir), [(1200, 1700), (0, 500), (0, 500)]).select("line_start", "text")
+
+
+@query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' AND n_nationkey >= 9")
+def bound_options(spark, sf_dir):
+    """A statement with options bound when it runs."""
+    from logspark.operators import extend
+
+    n, r = (table(spark, sf_dir, x) for x in ("nation", "region"))
+    return extend.run_sql(spark, "SELECT n_name, r_name FROM {n} n JOIN {r} r ON n_regionkey = r_regionkey WHERE r_name = :region AND n_nationkey >= :least", {"region": "ASIA", "least": 9}, n=n, r=r)
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def store_orc(spark, sf_dir):
+    """A table written to a store of another format and read again."""
+    store = files.Store(fresh(spark, "orc"), "orc")
+    store.write(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "customer")
+    return store.read(spark, "customer")
+
+
 @query(f"WITH {POSTINGS} SELECT object_id, count(*) AS n FROM k WHERE object_id <> '2024-01-10' GROUP BY 1")
 def delete_object(spark, sf_dir):
     """An object's entries out of a written index."""
@@ -815,7 +872,7 @@ def utf8_validity(spark, sf_dir):
 def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream of files in the layout of indexed ones: those of the stored index, as they arrive."""
     root = stored_index(spark, sf_dir)
-    return spark.readStream.schema(I.read_index(spark, root, "events").schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/events")
+    return files.stream_objects(spark, f"{root}/events", I.read_index(spark, root, "events").schema)
 
 
 @query(f"SELECT {MS} - {MS} % {HOUR} AS bucket, count(*) AS n FROM events GROUP BY 1")
@@ -893,3 +950,13 @@ def symbol_deep(spark, sf_dir):
         node = F.concat(F.lit('{"value":"'), value, F.lit('","context":"CLASS","children":['), node, F.lit("]}"))
     units = raw_events(spark, sf_dir).select(F.col("event_id").alias("unit_id"), F.concat(F.lit('{"nodes":['), node, F.lit("]}")).alias("unit"))
     return Y.walk_symbols(units).groupBy("depth", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT event_type AS symbol, count(DISTINCT event_type || user_id) AS n FROM events GROUP BY 1")
+def symbol_units(spark, sf_dir):
+    """Units that a scanner has written, one a line, read and walked."""
+    root = fresh(spark, "units")
+    unit = F.concat(F.lit('{"nodes":[{"value":"'), F.col("event_type"), F.lit('","context":"CLASS","user":'), F.col("user_id").cast("string"), F.lit("}]}"))
+    raw_events(spark, sf_dir).select(unit.alias("value")).distinct().write.text(root)
+    nodes = Y.walk_symbols(Y.read_symbol_units(spark, root), max_depth=1)
+    return Y.build_symbol_index(nodes).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
