@@ -3,6 +3,11 @@
 Every stage takes (spark, docs, sf_dir); all but the last return the columns of documents. Rows that a stage drops are
 gone for the next one: low quality, near copies but for one of each group, contaminated documents. Secrets are replaced
 in the text, whose n_chars is then counted anew. The last stage returns token counts and digests.
+
+Edge cases: a null, empty or wordless text fails the quality rules (too few words), so later stages of run() never see
+one; called by themselves they keep it: it is near nothing, has no window and no secret, and no tokens. Of equal texts, and
+of a group of near copies, the document of the smallest id stays; rows that repeat an id are one document, of which one
+row stays. A row without id always stays. Columns are taken by the names of documents; others pass through. Empty tables of documents give empty results, and an empty benchmark drops nothing.
 """
 
 from __future__ import annotations

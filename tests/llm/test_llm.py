@@ -671,6 +671,123 @@ def test_pipeline_stages(spark, tmp_path, texts):
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == [1, 4]
 
 
+def brute_quality(text):
+    """Whether a document passes every rule of the production policy, by plain Python."""
+    t = text or ""
+    w = WORD.findall(t)
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    grams = [tuple(w[p : p + 3]) for p in range(len(w) - 2)]
+    n = collections.Counter(grams)
+    m = {"n_words": len(w), "word_chars": sum(map(len, w)), "n_lines": len(lines), "n_dup_lines": len(lines) - len(set(lines)), "n_distinct": len(set(w))}
+    m["n_repeat_words"] = len({q for p, g in enumerate(grams) if n[g] > 1 for q in (p, p + 1, p + 2)})
+    m |= {k: len(re.findall(c.replace(r"\x{80}-\x{10FFFF}", "\x80-\U0010FFFF"), t)) for k, c in {**quality.CHARS, **quality.PLACES}.items()}
+    m |= {k: sum(bool(re.search(c.replace(r"\z", r"\Z"), x)) for x in lines) for k, c in quality.LINES.items()}
+    return not any(eval(quality.RULES[r], {}, m) for r in quality.POLICIES["v2"])  # noqa: S307  the rules are this library's own
+
+
+def brute_windows(items):
+    out = {}
+    for i, t in items:
+        w = ALNUM.findall(low(t))
+        for j in range(max(1, len(w) - 12) if w else 0):
+            out.setdefault(tuple(w[j : j + 13]), set()).add(i)
+    return out
+
+
+def brute_clean(text, windows):
+    w = ALNUM.findall(low(text))
+    hit = {q for p in range(len(w)) for n in range(1, 14) if p + n <= len(w) and tuple(w[p : p + n]) in windows for q in range(p, p + n)}
+    return not hit or 20 * len(hit) < len(w)
+
+
+def brute_redact(text):
+    if text is None:
+        return None
+    kinds = ((re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 8), (re.compile("AKIA[A-Z0-9]+"), 0, 16), (re.compile("[0-9a-f]+"), 0, 32))
+    gone = sorted((m.start(), m.end()) for p, g, n in kinds for m in p.finditer(text) if len(m[g]) >= n)
+    out, at = [], 0
+    for a, b in gone:
+        if a >= at:
+            out += [text[at:a], "[SECRET]"]
+        at = max(at, b)
+    return "".join(out) + text[at:]
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    tokenizers = pytest.importorskip("tokenizers")
+    r = random.Random(21)
+    words = [f"wort{i}" for i in range(700)] + ["Über", "the", "of", "$$", "#", "{x}"]
+    rows = []
+    for _ in range(60):
+        w = r.choices(words, k=r.choice((20, 60, 90, 200)))
+        if r.random() < 0.3:
+            w[r.randrange(len(w))] = r.choice(("token=abcdefghij", "AKIA" + "Q" * 16, "0f" * 20, "password: hunter2hunter2"))
+        if r.random() < 0.2:
+            w = w[:10] * 12
+        rows.append([len(rows), " ".join(w) + r.choice(("", "\n", "\nline\nline\nline\nline"))])
+    for i in range(30):  # near copies, some on both sides of the threshold
+        w = rows[i][1].split(" ")
+        for _ in range(r.randrange(5)):
+            w[r.randrange(len(w))] = f"neu{r.randrange(99)}"
+        rows.append([len(rows), " ".join(w)])
+    items = [[i, " ".join(rows[i][1].split()[5:40])] for i in range(0, 60, 7)] + [[90, "wort1 wort2"], [91, None]]
+    rows += [[200, None], [201, ""], rows[3], rows[70]]
+    made = [(i, t, "de", "s", len(t or "")) for i, t in rows]
+
+    def store(name, docs, bench):
+        root = f"{tmp_path}/{name}"
+        spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{root}/documents.parquet")
+        spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+        return root
+
+    good = [x for x in rows if brute_quality(x[1])]
+    component = brute_components(good, 5, 80)
+    once = list({x[0]: x for x, (_, c) in zip(good, component, strict=True) if x[0] == c}.values())
+    windows = brute_windows(items)
+    left = [(i, brute_redact(t)) for i, t in once if brute_clean(t, windows)]
+    assert 10 < len(left) < len(once) < len(good) < len(rows)
+    library = tokenizers.Tokenizer.from_file(VOCABULARY)
+    library.no_truncation()
+    library.no_padding()
+    want = {}
+    for i, t in left:
+        ids = library.encode(t, add_special_tokens=False).ids
+        want[i] = (len(ids), hashlib.sha256(b"".join(k.to_bytes(4, "little") for k in ids)).hexdigest(), sha(library.decode(ids, skip_special_tokens=False)))
+    got = corpus_pipeline.run(spark, store("all", made, items)).collect()
+    assert len(got) == len(want)
+    assert {x.doc_id: (x.n_tokens, x.ids_sha256, x.decoded_sha256) for x in got} == want
+    assert corpus_pipeline.run(spark, store("none", [], [])).count() == 0
+
+
+def test_empty_tables(frame, spark):
+    none = frame([])
+    bench, marks = (spark.createDataFrame([], f"{k} long, text string, toxic int") for k in ("item_id", "doc_id"))
+    made = [decontaminate.find_contamination(none, bench), decontaminate.drop_contaminated(none, bench), licenses.scan_licenses(none), toxicity.score(none, marks), quality.ledger(none), quality.keep_good(none), secrets.scan_secrets(none), secrets.redact(none), pii.redact(none), minhash.drop_near_duplicates(none)]
+    assert [x.count() for x in made] == [0] * len(made)
+
+
+def test_very_long_texts(frame, spark):
+    """Texts of a few million characters: whole, and in time."""
+    r = random.Random(5)
+    words = [f"w{r.randrange(50_000)}" for _ in range(300_000)]
+    text = " ".join([*words, "AKIA" + "Q" * 16, "mail@site.example", "mit license", *words[:20]]) + "\n"
+    docs = frame([(1, text), (2, "short")])
+    n = len(words) + 24
+    bench = spark.createDataFrame([(7, " ".join(words[1000:1013])), (8, "mit license")], "item_id long, text string")
+    found = decontaminate.find_contamination(docs, bench).where("doc_id = 1").head()
+    assert (found.n_words, found.n_hit, found.n_items) == (n + 2, 15, 2)  # the address is three words here
+    assert secrets.scan_secrets(docs).where("doc_id = 1").head().n_access == 1
+    licensed = licenses.scan_licenses(docs).where("doc_id = 1").head()
+    assert (licensed.n_base, licensed.first_word) == (1, 300_004)
+    measured = quality.ledger(docs).where("doc_id = 1").head()
+    grams = collections.Counter(zip(*(text.split()[i:] for i in range(3)), strict=False))
+    assert measured.n_words == n and measured.n_repeat_words >= 40 and measured.n_distinct == len(set(text.split())) and sum(v > 1 for v in grams.values()) >= 18
+    assert pii.find_pii(docs).where("doc_id = 1").head().n_email == 1
+    removed = substrings.remove_repeats(docs, with_text=False).where("doc_id = 1").head()
+    assert (removed.n_words, removed.n_removed) == (n, 20)
+
+
 def test_fm_index_matching_statistics():
     import numpy as np
 
