@@ -6,15 +6,15 @@ half as many hash evaluations; both are unbiased for the Jaccard similarity. Ban
 1. One pass over the texts (no shuffle) makes signatures and a digest of each shingle set. Rows with equal sets become
    one class, represented by its smallest id, however many they are; a digest pre-aggregates them before the shuffle.
 2. Buckets with two or more classes give candidates: all pairs of a bucket of at most SMALL classes, and of a larger one
-   the pairs of each member with its smallest id. A bucket of more than HOT is dealt into slots, each with a smallest id
-   of its own, and these make one more bucket: pairs grow with members, and no key holds more than HOT of them.
+   a spanning tree of the pairs whose sketches agree most, so that pairs grow with members. A bucket of more than HOT is
+   dealt into slots of about that size, twice and differently, so that slots of one dealing tie those of the other.
 3. A pair is a link only if its whole shingle sets say so: 100 * intersection >= percent * union. Pairs whose sketches
    agree in fewer than LEAST of 64 bytes (at a similarity of 0.8: one in ten million) are not looked at.
 4. The members of large buckets that still hold several connected components are compared by prefix filtering: of two
-   sets at the threshold the rarest shingles, all but percent of them, have one in common. Sets meet under such a
-   shingle only, never in a bucket as a whole, so pages that share a template but no rare shingle do not meet. Where more
-   than SMALL meet, their sketches are compared in blocks of bounded size; pairs of different components are confirmed
-   as in 3. The order of shingles comes from counts in 2^SLOT_BITS slots, a table of fixed size; any order is right.
+   sets at the threshold the rarest shingles, all but percent of them, have one in common, and the first they have in
+   common stands so far in front that enough others can follow. Sets meet under such a shingle only, never in a bucket as
+   a whole, so pages that share a template but no rare shingle do not meet. Where more than SMALL do, their sketches are
+   compared in blocks of bounded size; pairs of different components are confirmed as in 3. The order of shingles comes from counts in 2^SLOT_BITS slots, a table of fixed size; any order is right.
 5. Connected components over the links, distributed; texts travel only for classes that share a bucket.
 
 At a similarity of 0.8 a pair shares no bucket with probability (1 - 0.8^5)^30, about 7e-6.
@@ -42,7 +42,9 @@ HASHES = ROWS * BANDS
 SMALL = 8
 LEAST = 34
 #: Members of a bucket's slot, and copies of a text, that one key may have.
-HOT = 4096
+HOT = 512
+#: Hot buckets that a filter may name.
+HOT_KEYS = 10_000
 #: Sketches in a block; slots of the shingle counts.
 BLOCK, SLOT_BITS = 1024, 18
 _rng = np.random.default_rng(20)
@@ -120,24 +122,42 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _buckets(members: DataFrame) -> DataFrame:
     """(top, key, id, n) of the members (key, id, n) of buckets with two or more; top is the bucket, key it or its slot."""
     sizes = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
-    hot = small(sizes.where(f"size > {HOT}").select("key", F.ceil(F.col("size") / HOT).alias("slots")))  # one for HOT members at most
-    dealt = members.join(hot, "key", "left")
-    cold = dealt.where("slots is null").join(sizes.where(f"size <= {HOT}").select("key"), "key")
-    slot = F.xxhash64("key", F.pmod(F.xxhash64("id", F.lit(3)), F.col("slots")))
+    hot = sizes.where(f"size > {HOT}").select("key", F.ceil(F.col("size") / HOT).alias("slots"))  # one for HOT members at most
+    named = [r.key for r in hot.select("key").limit(HOT_KEYS + 1).collect()]
+    # Members of hot buckets stay out of the shuffle that finds those of all others.
+    rest = members.where(~F.col("key").isin(named)) if len(named) <= HOT_KEYS else members.join(small(hot), "key", "left_anti")
+    cold = rest.join(sizes.where(f"size <= {HOT}").select("key"), "key")
+    dealt = members.join(small(hot), "key")
+    slots = F.explode(F.array(*[F.xxhash64("key", F.lit(i), F.pmod(F.xxhash64("id", F.lit(i)), F.col("slots"))) for i in range(2)]))
     columns = lambda key: (F.col("key").alias("top"), key.alias("key"), "id", "n")
-    return cold.select(*columns(F.col("key"))).union(dealt.where("slots is not null").select(*columns(slot)))
-
-
-def _pairs(bucket: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs a < b: all of a small bucket, those with the smallest id of a large one."""
-    facts = bucket.groupBy("top", "key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n")).alias("p"))
-    little = bucket.join(facts.where(f"size <= {SMALL}").select("key"), "key")
-    every = little.alias("x").join(little.alias("y"), "key").where("x.id < y.id").selectExpr("x.id a", "y.id b", "x.n na", "y.n nb")
-    star = lambda rows, pivots: rows.join(pivots.selectExpr("key", "p.id as pid", "p.n as pn"), "key").where("id <> pid").selectExpr("least(pid, id) a", "greatest(pid, id) b", "n na", "pn nb")
-    slots = facts.where("top <> key").selectExpr("top as key", "p.id as id", "p.n as n")  # the smallest of each slot
-    tops = slots.groupBy("key").agg(F.min(F.struct("id", "n")).alias("p"))
-    pairs = every.union(star(bucket, facts.where(f"size > {SMALL}"))).union(star(slots, tops))
-    return pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
+    return cold.select(*columns(F.col("key"))).union(dealt.select(*columns(slots)))
+
+
+def _pairs(bucket: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs a < b: all of a small bucket, a spanning tree of a large one."""
+    sizes = bucket.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    little = bucket.join(sizes.where(f"size <= {SMALL}").select("key"), "key")
+    every = little.alias("x").join(little.alias("y"), "key").where(f"x.id < y.id and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)").selectExpr("x.id a", "y.id b").distinct()
+    large = bucket.join(sizes.where(f"size > {SMALL}").select("key"), "key").join(small(sketches), "id").select("key", "id", "n", "sketch")
+    return _alike(every, sketches).union(large.groupBy("key").applyInArrow(lambda t: _tree(t, percent), "a long, b long")).distinct()
+
+
+def _tree(t: pa.Table, percent: int) -> pa.Table:
+    """A spanning forest of the rows (key, id, n, sketch), with the most alike pairs, by Prim's algorithm."""
+    ids, n, sketch = t.column("id").to_numpy(), t.column("n").to_numpy(), _sketch(t.column("sketch"))
+    best, link = np.full(len(ids), -1), np.zeros(len(ids), np.int64)
+    left = np.ones(len(ids), bool)
+    a, b = [], []
+    for _ in range(len(ids)):
+        at = int(np.argmax(np.where(left, best, -2)))
+        left[at] = False
+        if best[at] >= LEAST:
+            a.append(min(ids[at], ids[link[at]]))
+            b.append(max(ids[at], ids[link[at]]))
+        alike = np.where(100 * np.minimum(n, n[at]) >= percent * np.maximum(n, n[at]), (sketch == sketch[at]).sum(1), -1)
+        nearer = alike > best
+        best[nearer], link[nearer] = alike[nearer], at
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def _open(bucket: DataFrame, labels: DataFrame) -> DataFrame:
@@ -169,9 +189,9 @@ def _count_shingles(sets: DataFrame) -> np.ndarray:
 
 
 def _prefixes(held: DataFrame, percent: int) -> DataFrame:
-    """(key, id, component, n) of the rarest shingles of sets (id, component, shingles), by which those at the threshold meet."""
+    """(key, id, component, n, place) of the rarest shingles of sets (id, component, shingles), by which those at the threshold meet."""
     sent = held.sparkSession.sparkContext.broadcast(_count_shingles(held))
-    schema = "keys array<long>, id long, component long, n long"
+    schema = "keys array<struct<key: long, place: int>>, id long, component long, n long"
     types = arrow_schema(held.sparkSession, schema)
 
     def run(batches):
@@ -181,34 +201,41 @@ def _prefixes(held: DataFrame, percent: int) -> DataFrame:
                 x = np.frombuffer(x, np.uint64)
                 n = sent.value[_slots(x)]
                 rare = np.lexsort((x, n))[: len(x) - -(-percent * len(x) // 100) + 1]
-                rows.append((x[rare[n[rare] > 1]].view(np.int64).tolist(), i, c, len(x)))
+                met = np.flatnonzero(n[rare] > 1)  # no other set has those of one
+                rows.append(([{"key": k, "place": p} for k, p in zip(x[rare[met]].view(np.int64).tolist(), met.tolist(), strict=True)], i, c, len(x)))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), types, strict=True)], schema=types)
 
-    return held.select("id", "component", "shingles").mapInArrow(run, schema).select(F.explode("keys").alias("key"), "id", "component", "n")
+    return held.select("id", "component", "shingles").mapInArrow(run, schema).select(F.explode("keys").alias("k"), "id", "component", "n").select("k.key", "id", "component", "n", "k.place")
 
 
 def _met(posted: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs a < b of different components whose sketches agree, of rows (key, id, component, n) with a key in common."""
+    """Pairs a < b of different components whose sketches agree, of rows (key, id, component, n, place) with a key in common."""
     sizes = posted.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    left = posted.join(sizes.select("key", "size"), "key").join(small(sketches), "id")
+    met = posted.join(sizes.select("key", "size"), "key")
+    # If a shingle is the first in common, no more can be than those from there on: place in its own set tells how many.
+    enough = f"{100 + percent} * least(x.n - x.place, y.n - y.place) >= {percent} * (x.n + y.n)"
+    few = met.where(f"size <= {SMALL}")
+    every = few.alias("x").join(few.alias("y"), "key").where(f"x.id < y.id and x.component <> y.component and {enough}").selectExpr("x.id a", "y.id b").distinct()
+    left = met.where(f"size > {SMALL}").join(small(sketches), "id")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     held = left.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = held.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "component", "n", "block", "sketch")
+    dealt = held.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "component", "n", "place", "block", "sketch")
 
     def compare(t: pa.Table) -> pa.Table:
-        ids, comps, n, block = (t.column(c).to_numpy() for c in ("id", "component", "n", "block"))
+        ids, comps, n, place, block = (t.column(c).to_numpy() for c in ("id", "component", "n", "place", "block"))
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         sketch = _sketch(t.column("sketch"))
         right = np.flatnonzero(block == j)
         a, b = [], []
         for k in np.flatnonzero(block == i):
-            fits = right[(comps[right] != comps[k]) & (100 * np.minimum(n[right], n[k]) >= percent * np.maximum(n[right], n[k])) & ((ids[right] > ids[k]) | (i != j))]
+            follow = np.minimum(n[right] - place[right], n[k] - place[k])
+            fits = right[(comps[right] != comps[k]) & ((100 + percent) * follow >= percent * (n[right] + n[k])) & ((ids[right] > ids[k]) | (i != j))]
             fits = fits[(sketch[fits] == sketch[k]).sum(1) >= LEAST]
             a += np.minimum(ids[fits], ids[k]).tolist()
             b += np.maximum(ids[fits], ids[k]).tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return _alike(every, sketches).union(dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")).distinct()
 
 
 def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,7 +251,7 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     once = not signed.select("doc_id").join(small(nodes), F.col("doc_id") == F.col("id"), "left_semi").groupBy("doc_id").count().where("count > 1").isEmpty()
     sketches = classes.join(small(nodes), "id", "left_semi").select("id", "sketch")
     sketches = sketches.dropDuplicates(["id"]) if once else sketches
-    pairs = written(_alike(_pairs(bucket, percent), sketches), "pairs")
+    pairs = written(_pairs(bucket, sketches, percent), "pairs")
     texts = docs.join(small(nodes), docs.doc_id == nodes.id, "left_semi")
     sets = map_rows(texts, "id long, shingles binary", lambda i, t: (i, shingle_set(t, k).tobytes())).where("length(shingles) > 0")
     sets = written(sets.dropDuplicates(["id"]) if once else sets, "sets")
