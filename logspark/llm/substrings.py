@@ -54,7 +54,7 @@ PACKED = "shard int, docs binary, keys binary, cuts binary, steps binary, runs b
 #: Windows of a shard, on average, and of a group of least parts that stay together; found places of a bucket of documents.
 SHARD_WINDOWS, HOT, BUCKET_PLACES = 1_000_000, 250_000, 4_000_000
 #: Digests in a bucket, on average, and in a batch of a task; bytes of one.
-BUCKET_DIGESTS, BATCH_DIGESTS, DIGEST = 1_000_000, 250_000, 16
+BUCKET_DIGESTS, BATCH_DIGESTS, DIGEST = 1_000_000, 250_000, 16  # two 64-bit numbers
 #: Groups of least parts are told apart by this many bits.
 GROUP_BITS = 18
 NULL_ID = -(1 << 63)
@@ -345,8 +345,8 @@ def _digested(types: pa.Schema, size: int, buckets: int, documents: int):
     """Of (doc_id, key, text, maybe): the digests of the candidates, the earliest of each in a batch by bucket, all others as found."""
 
     def flush(docs: list[tuple[int, int, np.ndarray]], raw: list[bytes]):
-        doc, key = (np.concatenate([np.full(len(p), d[i]) for d in docs for p in [d[2]]]) for i in (0, 1))
-        place, digests = np.concatenate([d[2] for d in docs]), np.frombuffer(b"".join(raw), f"S{DIGEST}").view(np.uint64).reshape(-1, 2)
+        doc, key = (np.repeat([d[i] for d in docs], [len(d[2]) for d in docs]) for i in (0, 1))
+        place, digests = np.concatenate([d[2] for d in docs]), np.frombuffer(b"".join(raw), np.uint64).reshape(-1, 2)
         yield from _first_of_each(doc, key, place, digests, buckets, documents)
 
     def run(batches):

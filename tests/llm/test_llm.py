@@ -717,10 +717,10 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     tokenizers = pytest.importorskip("tokenizers")
     r = random.Random(21)
-    words = [f"wort{i}" for i in range(700)] + ["Über", "the", "of", "$$", "#", "{x}"]
+    words = [f"wort{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(676)] + ["Über", "the", "of", "$$", "#"]
     rows = []
     for _ in range(60):
-        w = r.choices(words, k=r.choice((20, 60, 90, 200)))
+        w = r.choices(words, k=r.choice((20, 90, 150, 200)))
         if r.random() < 0.3:
             w[r.randrange(len(w))] = r.choice(("token=abcdefghij", "AKIA" + "Q" * 16, "0f" * 20, "password: hunter2hunter2"))
         if r.random() < 0.2:
@@ -729,9 +729,9 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     for i in range(30):  # near copies, some on both sides of the threshold
         w = rows[i][1].split(" ")
         for _ in range(r.randrange(5)):
-            w[r.randrange(len(w))] = f"neu{r.randrange(99)}"
+            w[r.randrange(len(w))] = f"neu{r.choice(words)}"
         rows.append([len(rows), " ".join(w)])
-    items = [[i, " ".join(rows[i][1].split()[5:40])] for i in range(0, 60, 7)] + [[90, "wort1 wort2"], [91, None]]
+    items = [[i, " ".join(rows[i][1].split()[5:40])] for i in range(0, 60, 12)] + [[90, "wortab wortcd"], [91, None]]
     rows += [[200, None], [201, ""], rows[3], rows[70]]
     made = [(i, t, "de", "s", len(t or "")) for i, t in rows]
 
