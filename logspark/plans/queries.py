@@ -99,12 +99,16 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Changes with what stored_index writes, so that an index of an earlier layout is not taken for a new one.
+INDEX_LAYOUT = 2
+
+
 def stored_index(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the index of a table's events: written by the first query that needs it, found again as long as the table's files are the same."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     source = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
     state = source.getFileSystem(conf).getFileStatus(source)
-    root = f"{shared_folder(spark)}/events-index-{uuid.uuid5(uuid.NAMESPACE_URL, f'{source} {state.getModificationTime()} {state.getLen()}').hex}"
+    root = f"{shared_folder(spark)}/events-index-{uuid.uuid5(uuid.NAMESPACE_URL, f'{INDEX_LAYOUT} {source} {state.getModificationTime()} {state.getLen()}').hex}"
     done = jvm.org.apache.hadoop.fs.Path(f"{root}/_DONE")
     system = done.getFileSystem(conf)
     if not system.exists(done):
