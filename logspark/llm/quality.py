@@ -12,6 +12,8 @@ unless kept by name. Repeated 3-word windows are found by 64-bit hashes within o
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,10 +52,12 @@ POLICIES = {
 CHARS = {"n_symbols": r"[#*$%&|<>]", "n_upper": "[A-Z]", "n_exclaim": "!", "n_digits": "[0-9]", "n_braces": r"[{}]", "n_control": r"[\x00-\x08\x0E-\x1F\x7F]", "n_broken": "\uFFFD"}
 PLACES = {
     "n_odd_words": r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0DA-Za-z\x{80}-\x{10FFFF}]++(?![^\x20\x09-\x0D])",
-    "n_long_words": r"[^\x20\x09-\x0D]{31,}+",
+    "n_long_words": r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{31,}+",
     "n_links": r"(?<![^\x20\x09-\x0D])(?:https?://|www\.)",
-    "n_placeholders": r"(?i)lorem ipsum",
+    "n_placeholders": r"[Ll]orem [Ii]psum",
 }
+#: What a text must hold for a pattern to be tried at all.
+GATES = {"n_links": ("http", "www."), "n_placeholders": ("orem ",)}
 LINES = {"n_bullets": r"^[ \t]*[-*•]", "n_ellipses": r"(?:\.\.\.|…)[ \t\r]*\z", "n_ends": r'[.!?"”»)][ \t\r]*\z'}
 
 
@@ -67,6 +71,11 @@ def _count(text: Column, chars: str) -> Column:
     return F.length(F.array_join(F.regexp_extract_all(text, F.lit(chars + "+"), F.lit(0)), "")).cast("long")
 
 
+def _places(text: Column, name: str) -> Column:
+    n = F.regexp_count(text, F.lit(PLACES[name])).cast("long")
+    return F.when(reduce(lambda a, b: a | b, [F.contains(text, F.lit(g)) for g in GATES[name]]), n).otherwise(F.lit(0).cast("long")) if name in GATES else n
+
+
 def _has(pattern: str):
     return lambda x: x.rlike(pattern)
 
@@ -79,7 +88,7 @@ def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)).alias("_w"),
         F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_l"),
         *[_count(text, c).alias(k) for k, c in CHARS.items()],
-        *[F.regexp_count(text, F.lit(p)).cast("long").alias(k) for k, p in PLACES.items()],
+        *[_places(text, k).alias(k) for k in PLACES],
     ).withColumn("word_chars", F.length(F.array_join("_w", "")).cast("long"))
     # Windows in the order of their hashes: equal ones are neighbours.
     window = lambda w, i: F.struct(F.xxhash64(w, F.get("_w", i + 1), F.get("_w", i + 2)).alias("h"), i.alias("i"))

@@ -86,7 +86,7 @@ LEDGER = rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w, l
  m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(v.n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines,
   {", ".join(f"(length(t) - length(regexp_replace(t, '{c}', '', 'g')))::BIGINT AS {k}" for k, c in quality.CHARS.items())},
   len(list_filter(w, lambda x: NOT regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_odd_words, len(list_filter(w, lambda x: length(x) > 30)) AS n_long_words, len(list_filter(w, lambda x: regexp_matches(x, '^(https?://|www\.)'))) AS n_links,
-  len(regexp_extract_all(t, '(?i)lorem ipsum')) AS n_placeholders, len(list_distinct(w)) AS n_distinct,
+  len(regexp_extract_all(t, '[Ll]orem [Ii]psum')) AS n_placeholders, len(list_distinct(w)) AS n_distinct,
   {", ".join(f"len(list_filter(l, lambda x: regexp_matches(x, '{c}'))) AS {k}" for k, c in quality.LINES.items())} FROM d LEFT JOIN v USING (doc_id)),
  b AS (SELECT *, ({" + ".join(f"CASE WHEN {rule} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(quality.RULES.values()))})::BIGINT AS failed_bits FROM m)"""
 
