@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from logspark.functions.scalar import DELIMITERS, object_hash, tokenize
 from logspark.model import schema
-from logspark.session import written
+from logspark.session import delete_paths, written
 
 #: Bits of a bitmap, stored as longs, and hash functions.
 BITS, HASHES = 32768, 7
@@ -238,14 +238,6 @@ def compact_templates(spark: SparkSession, root: str, version: int, last_ms: int
     return True
 
 
-def delete_paths(spark: SparkSession, paths: list[str]) -> None:
-    """Deletes files or folders by the file system that holds them."""
-    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(p))
-        path.getFileSystem(conf).delete(path, True)
-
-
 def read_templates(spark: SparkSession, root: str) -> DataFrame:
     """S5. Raw templates and the newest merged version."""
     from pyspark.errors import AnalysisException

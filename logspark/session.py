@@ -49,8 +49,32 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables in the shared one."""
+    return f"{shared_folder(spark)}/run-{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: its lineage ends there and lost executors cost nothing before it."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """df as a Parquet table in the run's folder: its lineage ends there and lost executors cost nothing before it."""
+    path = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes files or folders by the file system that holds them."""
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p) if "%" not in p else jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(p))
+        path.getFileSystem(conf).delete(path, True)
+
+
+def delete_table(df: DataFrame) -> None:
+    """Deletes a table that written made, once nothing reads it any more."""
+    files = df.inputFiles()
+    delete_paths(df.sparkSession, [f.rpartition("/")[0] for f in list(files)[:1]])
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this application; lazy results that read them have to be written before."""
+    delete_paths(spark, [run_folder(spark)])
