@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logspark.session import shared_folder, written
+from logspark.session import delete_table, shared_folder, written
 
 #: Ids a join may broadcast (8 bytes each); above it the join is by shuffle.
 BROADCAST_IDS = 1_000_000
 
-__all__ = ["components", "shared_folder", "small", "written"]
+__all__ = ["components", "delete_table", "shared_folder", "small", "written"]
 
 
 def small(df: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
