@@ -29,6 +29,8 @@ from logspark.llm.tables import small, written
 
 #: Levels of a tree of fanout 2 that one pass pivots; a wider tree takes fewer, so that no pass has more than 16 slots.
 LEVELS = 3
+#: The path of a root.
+NONE = "cast(array() AS array<struct<left: string, right: string>>)"
 
 
 def field(col: Column) -> Column:
@@ -59,21 +61,19 @@ def numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
     return held.withColumn("index", F.col("_place") + F.col("_shift")).drop("_place", "_range", "_shift")
 
 
-def _size(level: int, fanout: int) -> Column:
-    """Nodes of a group this many levels above those that size counts."""
-    return F.ceil(F.col("size") / fanout**level).cast("long")
+def _size(level: int, fanout: int) -> str:
+    """Nodes of a group this many levels above those that size counts, as SQL."""
+    return f"((size + {fanout**level - 1}) div {fanout**level})"
 
 
 def _inner(table: DataFrame, fanout: int, levels: int) -> DataFrame:
     """A pivoted table with the nodes of its inner levels: n{level}_{slot}, of which level 0 are the children themselves."""
     width = fanout**levels
-    out = table.withColumns({f"n0_{j}": F.col(f"c{j}")["digest"] for j in range(width)})
+    out = table.selectExpr("*", *[f"c{j}.digest AS n0_{j}" for j in range(width)])
     for i in range(levels):
-        made = {}
-        for p in range(width // fanout ** (i + 1)):
-            run = [F.col(f"n{i}_{m}") for m in range(p * fanout, (p + 1) * fanout)]
-            made[f"n{i + 1}_{p}"] = F.when(run[0].isNotNull(), F.when(_size(i, fanout) > 1, F.sha2(F.concat_ws("", *run), 256)).otherwise(run[0]))
-        out = out.withColumns(made)
+        runs = [[f"n{i}_{m}" for m in range(p * fanout, (p + 1) * fanout)] for p in range(width // fanout ** (i + 1))]
+        hashed = [f"CASE WHEN {run[0]} IS NULL OR {_size(i, fanout)} = 1 THEN {run[0]} ELSE sha2(concat_ws('', {', '.join(run)}), 256) END" for run in runs]
+        out = out.selectExpr("*", *[f"{h} AS n{i + 1}_{p}" for p, h in enumerate(hashed)])
     return out
 
 
@@ -92,12 +92,12 @@ def climb(nodes: DataFrame, payload: list[str], fanout: int) -> list[DataFrame]:
     width, tables = fanout**levels, []
     while True:
         item = F.struct("digest", *payload)
-        slots = [F.max(F.when(F.pmod("index", F.lit(width)) == j, item)).alias(f"c{j}") for j in range(width)]
-        table = written(nodes.groupBy("group", F.floor(F.col("index") / width).cast("long").alias("index"), "size").agg(*slots), "slots")
+        dealt = nodes.select("group", F.expr(f"index div {width}").alias("index"), "size", F.expr(f"index % {width}").alias("slot"), item.alias("item"))
+        table = written(dealt.groupBy("group", "index", "size").agg(*[F.expr(f"max(CASE WHEN slot = {j} THEN item END)").alias(f"c{j}") for j in range(width)]), "slots")
         tables.append(table)
         if (table.agg(F.max("size")).head()[0] or 0) <= width:
             return tables
-        nodes = tops(table, fanout).withColumn("size", _size(levels, fanout))
+        nodes = tops(table, fanout).withColumn("size", F.expr(_size(levels, fanout)))
         payload = []
 
 
@@ -116,22 +116,20 @@ def descend(tables: list[DataFrame], seeds: DataFrame, payload: list[str], fanou
     width = fanout**levels
     carried = [c for c in seeds.columns if c not in ("group", "path")]
     above = seeds.withColumn("index", F.lit(0).cast("long"))
-    none = F.array().cast("array<struct<left:string,right:string>>")
     for depth, table in reversed(list(enumerate(tables))):
-        rows = _inner(table, fanout, levels).join(above, ["group", "index"])
         slots = []
         for j in range(width):
             own = []
             for i in range(levels):
                 at = j // fanout**i
                 first = at // fanout * fanout
-                pick = lambda slots, i=i: F.concat_ws("", *[F.col(f"n{i}_{m}") for m in slots]) if slots else F.lit("")
-                siblings = F.struct(pick(range(first, at)).alias("left"), pick(range(at + 1, first + fanout)).alias("right"))
-                own.append(F.when(_size(i, fanout) > 1, F.array(siblings)).otherwise(none))
-            slots.append(F.when(F.col(f"c{j}").isNotNull(), F.struct(F.lit(j).alias("slot"), F.col(f"c{j}").alias("item"), F.concat(*own, F.col("path")).alias("path"))))
-        found = rows.select("group", "index", *carried, F.explode(F.filter(F.array(*slots), lambda s: s.isNotNull())).alias("one"))
-        kept = [F.col("one")["item"][c].alias(c) for c in (["digest", *payload] if not depth else [])]
-        above = found.select("group", *carried, (F.col("index") * width + F.col("one")["slot"]).alias("index"), F.col("one")["path"].alias("path"), *kept)
+                left, right = (f"concat_ws('', {', '.join(f'n{i}_{m}' for m in some)})" if some else "''" for some in (range(first, at), range(at + 1, first + fanout)))
+                own.append(f"CASE WHEN {_size(i, fanout)} > 1 THEN array(struct({left} AS left, {right} AS right)) ELSE {NONE} END")
+            slots.append(f"CASE WHEN c{j} IS NOT NULL THEN struct({j} AS slot, c{j} AS item, concat({', '.join(own)}, path) AS path) END")
+        rows = _inner(table, fanout, levels).join(above, ["group", "index"])
+        found = rows.selectExpr("group", "index", *carried, f"explode(filter(array({', '.join(slots)}), s -> s IS NOT NULL)) AS one")
+        kept = [f"one.item.{c}" for c in (["digest", *payload] if not depth else [])]
+        above = found.selectExpr("group", *carried, f"index * {width} + one.slot AS index", "one.path AS path", *kept)
     return above.drop("index")
 
 
@@ -144,7 +142,7 @@ def manifest(leaves: DataFrame, payload: list[str], fanout: int = 2) -> DataFram
     tables = climb(nodes, payload, fanout)
     roots = tops(tables[-1], fanout).select(F.lit("").alias("group"), "digest", F.col("group").alias("of"))
     above = climb(numbered(roots, [F.col("of")]), ["of"], fanout)
-    top = tops(above[-1], fanout).select("group", F.col("digest").alias("root"), F.array().cast("array<struct<left:string,right:string>>").alias("path"))
+    top = tops(above[-1], fanout).select("group", F.col("digest").alias("root"), F.expr(NONE).alias("path"))
     seeds = descend(above, top, ["of"], fanout).select(F.col("of").alias("group"), F.col("digest").alias("subroot"), "root", "path")
     return descend(tables, seeds, payload, fanout)
 
