@@ -8,8 +8,8 @@ DDL = {
     "log_lines": "object_id STRING, line_start BIGINT, line_end BIGINT, text STRING",
     "events": "target STRING, object_id STRING, seq BIGINT, chunk_id BIGINT, ts_ms BIGINT, bucket BIGINT, text STRING, n_bytes INT, enrichment MAP<STRING,STRING>, tokens ARRAY<STRING>",
     "query_terms": "idx INT, field STRING, value STRING, kind STRING",
-    "chunks": "object_id STRING, chunk_id BIGINT, min_ts BIGINT, max_ts BIGINT, n_events BIGINT, n_bytes BIGINT",
-    "filters": "target STRING, bucket BIGINT, object_id STRING, chunk_id BIGINT, part INT, parts INT, n INT, bitmap ARRAY<BIGINT>, fpr DOUBLE",
+    "chunks": "object_id STRING, chunk_id BIGINT, offset BIGINT, length BIGINT, min_ts BIGINT, max_ts BIGINT, n_events BIGINT, n_bytes BIGINT",
+    "filters": "target STRING, bucket BIGINT, object_id STRING, chunk_id BIGINT, part INT, parts INT, n INT, bits INT, hashes INT, bitmap BINARY, fpr DOUBLE",
     "postings": "target STRING, bucket BIGINT, object_id STRING, chunk_id BIGINT, token STRING",
     "templates": "template_hash STRING, template STRING, first_seen BIGINT",
     "ranges": "object_id STRING, offset BIGINT, length BIGINT",

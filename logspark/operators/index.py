@@ -1,25 +1,33 @@
 """Index build: line places, chunks, tokens, postings, bitmaps, templates and the tables they live in.
 
-Postings (one row for each token of a chunk and time bucket) are exact; bitmaps are their Bloom form, built by one
-map-side combined aggregation. Tables are Parquet, partitioned by target and day and sorted by chunk.
+Postings (one row for each token of a chunk and time bucket) are exact; Bloom filters are their short form, each sized
+by the tokens it holds. Tables are Parquet, partitioned by target and day and sorted by chunk.
 """
 
 from __future__ import annotations
 
 import math
+import random
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.types import StructType
 
 from logspark.functions.scalar import DELIMITERS, object_hash, tokenize
 from logspark.model import schema
 from logspark.session import delete_paths, written
 
-#: Bits of a bitmap, stored as longs, and hash functions.
-BITS, HASHES = 32768, 7
+#: The least false-positive rate of a filter in hundredths, the accuracy in hundredths that bounds the greatest one, and
+#: the bytes of a filter's bitmap.
+RATE, ACCURACY, FILTER_BYTES = 1, 90, 4096
+#: Factors of the two halves of a token's hash in its i-th place; small enough that no product leaves a signed long.
+_draw = random.Random(29)
+FACTORS = [(_draw.getrandbits(29) | 1, _draw.getrandbits(29) | 1) for _ in range(7)]
 #: Values of a part of a list.
 PART_ROWS = 100_000
 CHUNK = ["target", "bucket", "object_id", "chunk_id"]
@@ -96,27 +104,68 @@ def token_sets(events: DataFrame) -> DataFrame:
     return distinct_tokens(events).groupBy(*CHUNK).agg(F.sort_array(F.collect_set("token")).alias("tokens"))
 
 
-def tokens_for(fpr: float, k: int = HASHES, bits: int = BITS) -> int:
-    """A3. The most tokens with which a bitmap of this size keeps to a false-positive rate."""
-    if not 0 < fpr < 1:
+def filter_size(n: int, rate: float) -> tuple[int, int]:
+    """A2. Bits, in whole bytes, and hash functions of a filter of n tokens at a false-positive rate."""
+    if not 0 < rate < 1:
         raise ValueError("the rate must be between 0 and 1")
-    return max(1, int(-bits / k * math.log(1 - fpr ** (1 / k))))
+    bits = max(1, -int(n * math.log(rate) / math.log(2) ** 2 // 8)) * 8
+    return bits, max(1, round(-math.log2(rate)))
 
 
-def assign_parts(postings: DataFrame, max_tokens: int | None = None, fpr: float = 0.01) -> DataFrame:
-    """A3. part and parts, so that no bitmap holds much more than max_tokens, by default what the false-positive rate allows."""
-    max_tokens = max_tokens or tokens_for(fpr)
-    sizes = postings.groupBy(*CHUNK).agg(F.count(F.lit(1)).alias("n"))
-    parts = sizes.select(*CHUNK, F.ceil(F.col("n") / max_tokens).cast("int").alias("parts"))
-    return postings.join(parts, CHUNK).withColumn("part", F.pmod(F.xxhash64("token", F.lit(-1)), F.col("parts")).cast("int"))
+def tokens_for(rate: float, limit: int = FILTER_BYTES) -> int:
+    """A3. The most tokens of a filter of this many bytes at a false-positive rate."""
+    if not 0 < rate < 1:
+        raise ValueError("the rate must be between 0 and 1")
+    return max(1, int(limit * 8 * math.log(2) ** 2 / -math.log(rate)))
+
+
+def build_bloom(postings: DataFrame, limit: int = FILTER_BYTES, accuracy: int = ACCURACY, least: int = RATE) -> DataFrame:
+    """A2, A3. Bloom filters of the distinct postings of each chunk and bucket, sized by their tokens.
 
+    A filter takes the first rate of least, least + 1, ... (100 - accuracy) per cent at which it is no longer than limit
+    bytes. Where none is, its tokens are bisected by the first bits of their hashes, again and again, and each part is a
+    filter of its own: part and parts tell which tokens are in it. A row has n, bits, hashes, bitmap and the rate that its
+    tokens give, fpr.
 
-def build_bloom(postings: DataFrame) -> DataFrame:
-    """A2. One bitmap, as longs, for each chunk, bucket and part of distinct postings, and the false-positive rate its tokens give."""
-    placed = postings.withColumn("_bit", F.explode(F.array(*[F.pmod(F.xxhash64("token", F.lit(i)), F.lit(BITS)) for i in range(HASHES)])))
-    made = placed.groupBy(*CHUNK, "part", "parts").agg((F.count(F.lit(1)) / HASHES).cast("int").alias("n"), F.bitmap_construct_agg("_bit").alias("bitmap"))
-    words = F.transform(F.sequence(F.lit(0), F.lit(BITS // 64 - 1)), lambda w: F.conv(F.hex(F.substring(F.col("bitmap"), w * 8 + 1, F.lit(8))), 16, -10).cast("long"))
-    return made.withColumn("bitmap", words).withColumn("fpr", F.pow(1 - F.exp(-HASHES * F.col("n") / BITS), F.lit(HASHES)))
+    Spark gathers the 64-bit hashes of a chunk's tokens, which a chunk's bytes bound; places are set in Arrow batches.
+    """
+    if not 0 < least <= 100 - accuracy < 100:
+        raise ValueError("rates go from least to 100 - accuracy per cent")
+    rates = [r / 100 for r in range(least, 100 - accuracy + 1)]
+    most = [tokens_for(r, limit) for r in rates]
+    gathered = postings.groupBy(*CHUNK).agg(F.collect_set(F.xxhash64("token")).alias("tokens"))
+    out = StructType([f for f in schema("filters") if f.name in CHUNK] + [f for f in schema("filters") if f.name not in CHUNK])
+
+    def run(batches):
+        for b in batches:
+            rows, made = [], []
+            lists = b.column("tokens")
+            flat, offsets = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
+            offsets = offsets - offsets[0]
+            for row in range(b.num_rows):
+                for part in _filters(flat[offsets[row] : offsets[row + 1]], 0, 0, rates, most):
+                    rows.append(row)
+                    made.append(part)
+            keys = b.select(CHUNK).take(pa.array(rows, pa.int64()))
+            types = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.float64())
+            columns = list(zip(*made, strict=True)) if made else [()] * len(types)
+            yield pa.RecordBatch.from_arrays([*keys.columns, *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=out.names)
+
+    return gathered.select(*CHUNK, "tokens").mapInArrow(run, out)
+
+
+def _filters(tokens: np.ndarray, part: int, depth: int, rates: list[float], most: list[int]) -> list[tuple]:
+    """part, parts, n, bits, hashes, bitmap and fpr of the filters of these hashes."""
+    n = len(tokens)
+    if n > most[-1]:  # more than the last rate allows
+        high = (tokens >> np.uint64(63 - depth)) & np.uint64(1) == 1
+        return _filters(tokens[~high], part * 2, depth + 1, rates, most) + _filters(tokens[high], part * 2 + 1, depth + 1, rates, most)
+    rate = next((r for r, m in zip(rates, most, strict=True) if n <= m), rates[-1])
+    bits, hashes = filter_size(n, rate)
+    low, high, held = tokens & np.uint64(0xFFFFFFFF), tokens >> np.uint64(32), np.zeros(bits, bool)
+    for a, b in FACTORS[:hashes]:
+        held[(low * np.uint64(a) + high * np.uint64(b) >> np.uint64(20)) % np.uint64(bits)] = True
+    return [(part, 1 << depth, n, bits, hashes, np.packbits(held, bitorder="little").tobytes(), (1 - math.exp(-hashes * n / bits)) ** hashes)]
 
 
 def chunk_bounds(events: DataFrame) -> DataFrame:
@@ -124,6 +173,12 @@ def chunk_bounds(events: DataFrame) -> DataFrame:
     return events.groupBy("object_id", "chunk_id").agg(F.min("ts_ms").alias("min_ts"), F.max("ts_ms").alias("max_ts"), F.count(F.lit(1)).alias("n_events"), F.sum("n_bytes").alias("n_bytes"))
 
 
+def chunk_table(lines: DataFrame) -> DataFrame:
+    """K2, A4. A row for each chunk of lines: its place in its object, the bounds of its times, and what it holds."""
+    start = F.min("line_start")
+    return lines.groupBy("object_id", "chunk_id").agg(start.alias("offset"), (F.max("line_end") - start).alias("length"), F.min("ts_ms").alias("min_ts"), F.max("ts_ms").alias("max_ts"), F.count(F.lit(1)).alias("n_events"), F.sum(F.col("line_end") - F.col("line_start")).alias("n_bytes"))
+
+
 def object_summary(chunks: DataFrame) -> DataFrame:
     """A5. Bounds over an object's chunks, without least times of 0."""
     return chunks.groupBy("object_id").agg(F.min(F.when(F.col("min_ts") > 0, F.col("min_ts"))).alias("min_ts"), F.max("max_ts").alias("max_ts"), F.count(F.lit(1)).alias("n_chunks"), F.sum("n_events").alias("n_events"), F.sum("n_bytes").alias("n_bytes"))
@@ -139,7 +194,7 @@ def index_totals(filters: DataFrame) -> DataFrame:
     rate = F.round(F.col("fpr") * 1_000_000).cast("long")
     chunk = F.struct("target", "object_id", "chunk_id")
     sums = filters.agg(
-        F.count(F.lit(1)).alias("filters"), F.count_distinct(chunk).alias("chunks"), F.count_distinct("bucket").alias("buckets"), F.sum("n").alias("elements"), (F.count(F.lit(1)) * (BITS // 8)).alias("bytes"),
+        F.count(F.lit(1)).alias("filters"), F.count_distinct(chunk).alias("chunks"), F.count_distinct("bucket").alias("buckets"), F.sum("n").alias("elements"), F.sum(F.octet_length("bitmap")).alias("bytes"),
         F.count_distinct(F.struct(*CHUNK)).alias("groups"), F.min(rate).alias("min_rate"), F.max(rate).alias("max_rate"),
     )
     return sums
@@ -208,8 +263,8 @@ def write_reverse(df: DataFrame, root: str) -> None:
 
 
 def write_chunks(df: DataFrame, root: str) -> None:
-    """K2."""
-    df.write.mode("append").parquet(f"{root}/chunks")
+    """K2. Chunks by range of objects, so that those of an object are found by row groups."""
+    df.repartitionByRange("object_id", "chunk_id").sortWithinPartitions("object_id", "chunk_id").write.mode("append").parquet(f"{root}/chunks")
 
 
 def append_templates(df: DataFrame, root: str) -> None:

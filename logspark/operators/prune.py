@@ -5,10 +5,12 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from logspark.operators.index import BITS, HASHES
+from logspark.operators.index import FACTORS
 from logspark.operators.search import gate_expr
+from logspark.session import written
 
 #: Rows that a join of this module may broadcast (two keys each); above it Spark shuffles.
 BROADCAST_ROWS = 500_000
@@ -23,34 +25,52 @@ def by_size(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 def keep_chunks(events: DataFrame, chunks: DataFrame) -> DataFrame:
     """Events of the chunks. Few of them become lists of values, which reach the scan; a list may keep some chunks too many."""
-    found = chunks.select("object_id", "chunk_id").limit(FEW + 1).collect()
+    chunks = written(chunks.select("object_id", "chunk_id"), "chunks")  # the index is evaluated once
+    found = chunks.limit(FEW + 1).collect()
     if len(found) > FEW:
         return events.join(by_size(chunks), ["object_id", "chunk_id"], "left_semi")
     lists = [sorted({r[c] for r in found if r[c] is not None}) for c in ("object_id", "chunk_id")]
     return events.where(F.col("object_id").isin(lists[0]) & F.col("chunk_id").isin(lists[1]))
 
 
-def bloom_might_contain(bitmap: Column, token: str | Column) -> Column:
-    """P5. False only if the token is not in the set behind the bitmap."""
-    token = F.lit(token) if isinstance(token, str) else token
+#: Hexadecimal digits with the first, second, third and fourth bit set.
+DIGITS = ("13579BDF", "2367ABEF", "4567CDEF", "89ABCDEF")
+
+
+def bloom_might_contain(token: str | Column) -> Column:
+    """P5. Over rows of filters: false only if the token is not in the set behind the filter, or is one of another part."""
+    return _in_filter(F.xxhash64(F.lit(token) if isinstance(token, str) else token))
+
+
+def _in_filter(h: Column) -> Column:
+    """Whether the bits of a token's hash are set; they are tested one after the other, and no more of them once one is not."""
+    low, high = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32)
+    # The first bits of the hash are the part's number; parts is a power of two, and 1 where there is one part.
+    own = (F.col("parts") == 1) | (F.floor(high / F.lit(1 << 32) * F.col("parts")) == F.col("part"))
 
     def bit(i: int) -> Column:
-        place = F.pmod(F.xxhash64(token, F.lit(i)), F.lit(BITS)).cast("int")
-        # The first byte of a long is its highest one, the first bit of a byte its lowest one.
-        back = 56 - place.bitwiseAND(F.lit(56)) + place.bitwiseAND(F.lit(7))
-        return F.call_function("shiftright", F.get(bitmap, F.shiftright(place, 6)), back).bitwiseAND(F.lit(1)) != 0
+        a, b = FACTORS[i]
+        place = F.shiftright(low * F.lit(a) + high * F.lit(b), 20) % F.col("bits")
+        byte = F.hex(F.substring(F.col("bitmap"), F.shiftright(place, 3).cast("int") + 1, F.lit(1)))
+        digit = F.substring(byte, F.lit(2) - F.shiftright(place, 2).bitwiseAND(F.lit(1)).cast("int"), F.lit(1))  # the second one holds the low bits
+        return (F.col("hashes") <= i) | (F.instr(F.get(F.array(*map(F.lit, DIGITS)), place.bitwiseAND(F.lit(3)).cast("int")), digit) > 0)
+
+    return reduce(lambda a, b: a & b, [own, *(bit(i) for i in range(len(FACTORS)))])
 
-    return reduce(lambda a, b: a & b, [bit(i) for i in range(HASHES)])
 
+def _hashes(tokens: list[str]) -> Column:
+    """The hashes of tokens as one list, so that the size of a plan does not grow with them."""
+    return F.transform(F.array(*map(F.lit, tokens)), lambda t: F.xxhash64(t))  # noqa: PLW0108
 
-def might_contain_any(bitmap: Column, tokens: list[str]) -> Column:
+
+def might_contain_any(tokens: list[str]) -> Column:
     """P6. Without tokens false."""
-    return reduce(lambda a, b: a | b, [bloom_might_contain(bitmap, t) for t in tokens]) if tokens else F.lit(False)
+    return F.exists(_hashes(tokens), _in_filter) if tokens else F.lit(False)
 
 
-def might_contain_all(bitmap: Column, tokens: list[str]) -> Column:
-    """P6. Without tokens true."""
-    return reduce(lambda a, b: a & b, [bloom_might_contain(bitmap, t) for t in tokens]) if tokens else F.lit(True)
+def might_contain_all(tokens: list[str]) -> Column:
+    """P6. Of filters of one part: whether all may be in it; without tokens true."""
+    return F.forall(_hashes(tokens), _in_filter) if tokens else F.lit(True)
 
 
 def distinct_chunks(hits: DataFrame) -> DataFrame:
@@ -100,11 +120,11 @@ def prune_by_bitmap(filters: DataFrame, text: str, tokens: list[list[str]], temp
     need = sorted({t for c in tokens for t in c})
     chunks = None
     if need and can_prune(filters.sparkSession, text, tokens):
-        held = F.filter(F.array(*[F.when(bloom_might_contain(F.col("bitmap"), t), F.lit(t)) for t in need]), lambda t: t.isNotNull())
+        held = F.filter(F.array(*map(F.lit, need)), lambda t: _in_filter(F.xxhash64(t)))
         rows = filters.select("object_id", "chunk_id", F.explode(held).alias("token"))
         chunks = _found(rows).where(_gate(text, tokens)).select("object_id", "chunk_id")
     if template_hashes:
-        hashed = distinct_chunks(filters.where(might_contain_any(F.col("bitmap"), template_hashes)))
+        hashed = distinct_chunks(filters.where(might_contain_any(template_hashes)))
         chunks = hashed if chunks is None else chunks.join(hashed, ["object_id", "chunk_id"], "left_semi")
     return chunks
 
@@ -125,6 +145,19 @@ def range_join(ranges: DataFrame, lines: DataFrame, block: int = 65536) -> DataF
     return held.join(cut, ["object_id", "_block"]).where("line_start >= offset AND line_start < offset + length").drop("_block")
 
 
+def merge_ranges(chunks: DataFrame, most: int = 1024) -> DataFrame:
+    """J1, A8. Ranges of adjacent chunks (object_id, chunk_id, offset, length) joined: object_id, offset, length, n_chunks.
+
+    Gaps and islands: a chunk that starts where the one before it ends continues its range. Ranges end at every `most`-th
+    chunk number, so that no request is larger than that many chunks and an object's chunks are dealt over many groups.
+    """
+    w = W.partitionBy("object_id", "_group").orderBy("offset")
+    held = chunks.select("object_id", "offset", "length", F.floor(F.col("chunk_id") / most).alias("_group")).where("length > 0")
+    new = held.withColumn("_new", (F.coalesce(F.lag(F.col("offset") + F.col("length")).over(w), F.lit(-1)) != F.col("offset")).cast("int"))
+    islands = new.withColumn("_island", F.sum("_new").over(w))
+    return islands.groupBy("object_id", "_group", "_island").agg(F.min("offset").alias("offset"), F.sum("length").alias("length"), F.count(F.lit(1)).alias("n_chunks")).drop("_group", "_island")
+
+
 def sort_ranges(ranges: DataFrame) -> DataFrame:
     """T1."""
     return ranges.dropDuplicates().orderBy("object_id", "offset", "length")

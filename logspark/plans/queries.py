@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from logspark.functions import scalar as S
 from logspark.operators import index as I
 from logspark.operators import metrics as M
+from logspark.operators import objects as O
 from logspark.operators import prune as P
 from logspark.operators import records as R
 from logspark.operators import reports as T
@@ -99,29 +102,43 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-#: Changes with what stored_index writes, so that an index of an earlier layout is not taken for a new one.
-INDEX_LAYOUT = 2
+def _code() -> str:
+    """A digest of the code that tables are made by: one made by other code is not taken for a new one."""
+    root = Path(__file__).resolve().parent.parent
+    found = sorted(p for d in ("functions", "operators", "plans", "sources") for p in (root / d).glob("*.py"))
+    return hashlib.sha256(b"".join(p.read_bytes() for p in [root / "model.py", *found])).hexdigest()
 
 
-def stored_index(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of the index of a table's events: written by the first query that needs it, found again as long as the table's files are the same."""
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], None]) -> str:
+    """Folder of what build makes of a table's events: made by the first query that needs it, found again as long as the
+    table's files and the code are the same. It is made in a folder of its own, which then gets the name that others look for."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    source = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    path = jvm.org.apache.hadoop.fs.Path
+    source = path(f"{sf_dir}/events.parquet")
     state = source.getFileSystem(conf).getFileStatus(source)
-    root = f"{shared_folder(spark)}/events-index-{uuid.uuid5(uuid.NAMESPACE_URL, f'{INDEX_LAYOUT} {source} {state.getModificationTime()} {state.getLen()}').hex}"
-    done = jvm.org.apache.hadoop.fs.Path(f"{root}/_DONE")
-    system = done.getFileSystem(conf)
-    if not system.exists(done):
-        system.delete(jvm.org.apache.hadoop.fs.Path(root), True)  # what a writer that was stopped has left
+    root = f"{shared_folder(spark)}/{name}-{uuid.uuid5(uuid.NAMESPACE_URL, f'{_code()} {source} {state.getModificationTime()} {state.getLen()}').hex}"
+    system = path(root).getFileSystem(conf)
+    if not system.exists(path(root)):
+        own = f"{root}-{uuid.uuid4().hex}"
+        build(own)
+        if not system.rename(path(own), path(root)) or system.exists(path(f"{root}/{path(own).getName()}")):
+            system.delete(path(own), True)  # another one was first; a rename onto its folder goes inside
+            system.delete(path(f"{root}/{path(own).getName()}"), True)
+    return root
+
+
+def stored_index(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the index of a table's events."""
+
+    def build(root: str) -> None:
         I.write_events(indexed_events(spark, sf_dir).drop("value"), root)
         events = I.read_index(spark, root, "events")
-        postings = I.distinct_tokens(events)
-        I.write_filters(postings, root, "postings")
-        I.write_filters(I.build_bloom(I.assign_parts(I.read_index(spark, root, "postings"))), root, "filters")
+        I.write_filters(I.distinct_tokens(events), root, "postings")
+        I.write_filters(I.build_bloom(I.read_index(spark, root, "postings")), root, "filters")
         I.write_chunks(I.chunk_bounds(events), root)
         I.write_reverse(events, root)
-        system.create(done).close()
-    return root
+
+    return stored(spark, sf_dir, "events-index", build)
 
 
 @query(SEARCH_SQL)
@@ -153,7 +170,7 @@ def search_postings(spark, sf_dir):
 @query(SEARCH_SQL)
 def search_bitmap(spark, sf_dir):
     e = indexed_events(spark, sf_dir)
-    return _found(Q.search(e, X.QueryOptions(SEARCH, t0=T0, t1=T1), filters=I.build_bloom(I.assign_parts(I.distinct_tokens(e)))))
+    return _found(Q.search(e, X.QueryOptions(SEARCH, t0=T0, t1=T1), filters=I.build_bloom(I.distinct_tokens(e))))
 
 
 @query(SEARCH_SQL)
@@ -320,25 +337,75 @@ def observed_build(spark, sf_dir):
     return spark.createDataFrame([(seen.get["rows"],)], "rows long")
 
 
-def day_objects(spark, sf_dir) -> str:
-    """A log object for each day: its events' props as lines, in order, written as text."""
-    root = f"{fresh(spark, 'objects')}/logs"
-    rows = raw_events(spark, sf_dir).select("day", "event_id", "props").repartition("day").sortWithinPartitions("day", "event_id")
-    rows.select("day", "props").write.partitionBy("day").text(root)
-    return spark.read.text(f"{root}/day=2024-01-10").inputFiles()[0]
+# ---- raw log objects -----------------------------------------------------------------------------------------------------
+def log_objects(spark: SparkSession, sf_dir: str) -> str:
+    """Raw log objects: the events of six hours each as lines of tab-separated text, in order of their ids."""
+
+    def build(root: str) -> None:
+        e = raw_events(spark, sf_dir).withColumn("part", F.floor(F.col("ts_ms") % 86_400_000 / 21_600_000).cast("int"))
+        line = F.concat_ws("\t", "ts_ms", "event_id", "event_type", "user_id", "props")
+        rows = e.select("day", "part", "event_id", line.alias("line")).repartition("day", "part").sortWithinPartitions("day", "part", "event_id")
+        rows.select("day", "part", "line").write.partitionBy("day", "part").text(root)
+
+    return stored(spark, sf_dir, "log-objects", build)
+
+
+def parsed(lines: DataFrame) -> DataFrame:
+    """Lines of log_objects as events."""
+    f = F.split("text", "\t", 5)
+    fields = F.create_map(F.lit("event_type"), F.get(f, 2), F.lit("user_id"), F.get(f, 3), F.lit("k"), F.get_json_object(F.get(f, 4), "$.k"))
+    rows = lines.withColumns({"ts_ms": F.get(f, 0).cast("long"), "seq": F.get(f, 1).cast("long"), "enrichment": fields})
+    return rows.withColumn("tokens", I.event_tokens(F.map_values("enrichment")))
+
 
+OBJECT_CHUNK = 2048
+RARE = 'user_id == "17" && (event_type == "error" || event_type == "click")'
+OBJECTS = f"""o AS (SELECT strftime(ts, '%Y-%m-%d') AS day, {MS} % 86400000 // 21600000 AS part, event_id, event_type, user_id, props, {MS} AS ms, concat_ws(chr(9), {MS}, event_id, event_type, user_id, props) AS line FROM events),
+ p AS (SELECT *, (sum(strlen(line) + 1) OVER (PARTITION BY day, part ORDER BY event_id) - strlen(line) - 1)::BIGINT AS line_start FROM o)"""
+#: Chunks, and whether one can hold a match of RARE in its time range.
+GATED = f"""{OBJECTS}, t AS (SELECT *, line_start // {OBJECT_CHUNK} AS chunk_id, ms - ms % {HOUR} >= {T0} AND ms - ms % {HOUR} < {T1} AS seen FROM p),
+ c AS (SELECT day, part, chunk_id, min(line_start) AS off, max(line_start + strlen(line) + 1) - min(line_start) AS len, {T0} <= max(ms) AND {T1} > min(ms) AND bool_or(seen AND (user_id = 17 OR json_extract_string(props, '$.k') = '17')) AND bool_or(seen AND event_type IN ('error', 'click')) AS hit FROM t GROUP BY 1, 2, 3)"""
 
-DAY = "o AS (SELECT props, (sum(strlen(props) + 1) OVER (ORDER BY event_id) - strlen(props) - 1)::BIGINT AS line_start FROM events WHERE strftime(ts, '%Y-%m-%d') = '2024-01-10')"
 
+def object_index_of(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the index of log_objects."""
+    objects = log_objects(spark, sf_dir)
+    return stored(spark, sf_dir, "objects-index", lambda root: O.index_objects(spark, objects, root, "logs", parsed, OBJECT_CHUNK))
 
-@query(f"WITH {DAY} SELECT line_start, line_start + strlen(props) + 1 AS line_end, props AS text FROM o")
+
+RARE_SQL = f"SELECT event_id AS seq, {MS} AS ts_ms, concat_ws(chr(9), {MS}, event_id, event_type, user_id, props) AS text FROM events WHERE user_id = 17 AND event_type IN ('error', 'click') AND {MS} >= {T0} AND {MS} < {T1}"
+
+
+@query(RARE_SQL)
+def object_search(spark, sf_dir):
+    """Raw objects, their index, pruned chunks, ranges, ranged reads and the lines left, as a plain WHERE gives them."""
+    return O.search_objects(spark, object_index_of(spark, sf_dir), "logs", X.QueryOptions(RARE, t0=T0, t1=T1), parsed).select("seq", "ts_ms", "text")
+
+
+@query(RARE_SQL)
+def object_search_bitmap(spark, sf_dir):
+    """The same, pruned by Bloom filters."""
+    return O.search_objects(spark, object_index_of(spark, sf_dir), "logs", X.QueryOptions(RARE, t0=T0, t1=T1), parsed, "filters").select("seq", "ts_ms", "text")
+
+
+@query(f"WITH {GATED}, h AS (SELECT *, lag(off + len) OVER (PARTITION BY day, part, chunk_id // 1024 ORDER BY off) AS before FROM c WHERE hit) SELECT count(DISTINCT (day, part)) AS objects, count(*) AS chunks, count(*) FILTER (before IS NULL OR before <> off) AS ranges, sum(len)::BIGINT AS bytes, (SELECT count(DISTINCT (day, part)) FROM c) AS objects_held, (SELECT count(*) FROM c) AS chunks_held, (SELECT sum(len) FROM c)::BIGINT AS bytes_held FROM h")
+def object_reads(spark, sf_dir):
+    """Bytes, ranges and chunks that the search asks for, beside those of all objects."""
+    return O.read_counters(spark, object_index_of(spark, sf_dir), "logs", X.QueryOptions(RARE, t0=T0, t1=T1))
+
+
+@query(f"WITH {OBJECTS} SELECT event_id AS seq, line_start, line_start + strlen(line) + 1 AS line_end, line AS text FROM p")
 def object_lines(spark, sf_dir):
-    return files.read_lines(spark, day_objects(spark, sf_dir)).select("line_start", "line_end", "text")
+    """All lines of all raw objects with their places."""
+    return parsed(files.read_lines(spark, log_objects(spark, sf_dir))).select("seq", "line_start", "line_end", "text")
 
 
-@query(f"WITH {DAY} SELECT line_start, props AS text FROM o WHERE line_start < 500 OR line_start BETWEEN 1200 AND 2899")
+@query(f"WITH {OBJECTS} SELECT event_id AS seq, line_start, line AS text FROM p WHERE line_start < 500 OR line_start BETWEEN 1200 AND 2899")
 def object_ranges(spark, sf_dir):
-    return files.read_ranges(spark, day_objects(spark, sf_dir), [(1200, 1700), (0, 500), (0, 500)]).select("line_start", "text")
+    """Two ranges of each raw object, cut anywhere; a line belongs to the range it starts in."""
+    objects = files.read_lines(spark, log_objects(spark, sf_dir)).select("object_id").distinct()
+    ranges = objects.select("object_id", F.inline(F.array(*[F.struct(F.lit(o).cast("long").alias("offset"), F.lit(n).cast("long").alias("length")) for o, n in ((1200, 1700), (0, 500))])))
+    return parsed(files.read_object_ranges(ranges)).select("seq", "line_start", "text")
 
 
 @query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' AND n_nationkey >= 9")
@@ -388,16 +455,30 @@ def stored_scan(spark, sf_dir):
     return rows.select("object_id", "chunk_id", "bucket").distinct()
 
 
-@query(f"WITH {POSTINGS}, g AS (SELECT object_id, chunk_id, bucket, count(*) AS n FROM k GROUP BY ALL) SELECT sum(ceil(n / 4.0))::BIGINT AS parts, sum(n)::BIGINT AS tokens, max(ceil(n / 4.0))::BIGINT AS most FROM g")
+#: The size of each filter at one per cent: whole bytes of n * -ln(rate) / ln(2)^2 bits.
+SIZED = f"{POSTINGS}, g AS (SELECT object_id, chunk_id, bucket, count(*) AS n, ceil(count(*) * -ln(0.01) / (ln(2) * ln(2)) / 8)::BIGINT AS size FROM k GROUP BY ALL)"
+
+
+@query(f"WITH {SIZED} SELECT object_id, chunk_id, bucket, n, size * 8 AS bits, 7 AS hashes, size AS bytes, round(pow(1 - exp(-7 * n / (size * 8)), 7) * 1000000)::BIGINT AS rate FROM g")
+def bitmap_sizes(spark, sf_dir):
+    """Every filter of the stored index: bits and hash functions follow from its tokens, the rate in millionths from all three."""
+    f = I.read_index(spark, stored_index(spark, sf_dir))
+    return f.select("object_id", "chunk_id", "bucket", F.col("n").cast("long").alias("n"), F.col("bits").cast("long").alias("bits"), "hashes", F.octet_length("bitmap").cast("long").alias("bytes"), F.round(F.col("fpr") * 1_000_000).cast("long").alias("rate"))
+
+
+@query(f"WITH {POSTINGS}, d AS (SELECT object_id, count(DISTINCT token) AS n FROM k GROUP BY 1) SELECT object_id, n, true AS within, true AS split, 0::BIGINT AS missed FROM d")
 def bitmap_parts(spark, sf_dir):
-    """Bitmaps of several parts each: every token is in one of them."""
-    placed = I.assign_parts(I.distinct_tokens(indexed_events(spark, sf_dir)), 4)
-    made = I.build_bloom(placed)
-    sizes = placed.groupBy(*I.CHUNK).agg(F.first("parts").alias("parts")).agg(F.sum("parts").alias("parts"), F.max("parts").cast("long").alias("most"))
-    return sizes.join(F.broadcast(made.agg(F.sum("n").alias("tokens")))).select("parts", "tokens", "most")  # one row each
+    """Filters of whole days, too many tokens for one of 64 bytes: parts hold each token once, keep to the bytes and the
+    last rate of the ladder, and miss no token of their day."""
+    tokens = I.distinct_tokens(indexed_events(spark, sf_dir)).select("target", "object_id", "token").distinct().withColumns({"bucket": F.lit(0).cast("long"), "chunk_id": F.lit(0).cast("long")})
+    made = I.build_bloom(tokens, limit=64, accuracy=95)
+    within = (F.octet_length("bitmap") <= 64) & (F.col("fpr") < 0.06)
+    sums = made.groupBy("object_id").agg(F.sum("n").alias("n"), F.bool_and(within).alias("within"), (F.max("parts") > 1).alias("split"))
+    found = made.join(tokens.select("object_id", "token"), "object_id").where(P.bloom_might_contain(F.col("token"))).groupBy("object_id").agg(F.count_distinct("token").alias("found"))
+    return sums.join(found, "object_id").select("object_id", "n", "within", "split", (F.col("n") - F.col("found")).alias("missed"))
 
 
-@query(f"WITH {POSTINGS}, g AS (SELECT object_id, chunk_id, bucket, count(*) AS n FROM k GROUP BY ALL) SELECT count(*) AS filters, count(DISTINCT (object_id, chunk_id)) AS chunks, count(DISTINCT bucket) AS buckets, sum(n)::BIGINT AS elements, count(*) * 4096 AS bytes, count(*) AS groups, round(pow(1 - exp(-7 * min(n) / 32768), 7) * 1000000)::BIGINT AS min_rate, round(pow(1 - exp(-7 * max(n) / 32768), 7) * 1000000)::BIGINT AS max_rate FROM g")
+@query(f"WITH {SIZED} SELECT count(*) AS filters, count(DISTINCT (object_id, chunk_id)) AS chunks, count(DISTINCT bucket) AS buckets, sum(n)::BIGINT AS elements, sum(size)::BIGINT AS bytes, count(*) AS groups, min(round(pow(1 - exp(-7 * n / (size * 8)), 7) * 1000000))::BIGINT AS min_rate, max(round(pow(1 - exp(-7 * n / (size * 8)), 7) * 1000000))::BIGINT AS max_rate FROM g")
 def index_totals(spark, sf_dir):
     return I.index_totals(I.read_index(spark, stored_index(spark, sf_dir)))
 

@@ -2,24 +2,60 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from logspark.functions.scalar import syslog_msg, time_bucket
 from logspark.operators.index import read_index
+from logspark.operators.prune import by_size
+from logspark.session import written
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """S1. Lines of text files with their byte offsets; large files are split between tasks.
+    """S1. Lines of text files with their byte offsets: object_id (the file), line_start, line_end, text.
 
-    The text input format gives the offset of each line, which no DataFrame reader does.
+    A file may be split between tasks. A line starts after all bytes before it: those of its own split, which a task sums
+    up in order over Arrow batches, and those of the file's splits before it, a few numbers that are summed first. Lines
+    end with a line feed; a carriage return stays in the text, so that offsets are exact whatever the bytes. Texts are
+    read twice and never shuffled.
     """
-    rdd = spark.sparkContext.newAPIHadoopFile(path, "org.apache.hadoop.mapreduce.lib.input.TextInputFormat", "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text")
-    lines = spark.createDataFrame(rdd, "line_start long, text string")
-    return lines.select(F.lit(path).alias("object_id"), "line_start", (F.col("line_start") + F.octet_length("text") + 1).alias("line_end"), "text")
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start")
+    rows = spark.read.option("lineSep", "\n").text(path).select(place["file_path"].alias("object_id"), place["file_block_start"].alias("_split"), F.col("value").alias("text"))
+    sizes = rows.groupBy("object_id", "_split").agg(F.sum(F.octet_length("text") + 1).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.partitionBy("object_id").orderBy("_split").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sizes = written(sizes.select("object_id", "_split", before.alias("_before")), "splits")
+    lines = rows.mapInArrow(_offsets, "object_id string, _split long, _at long, text string").join(by_size(sizes), ["object_id", "_split"])
+    start = F.col("_before") + F.col("_at")
+    return lines.select("object_id", start.alias("line_start"), (start + F.octet_length("text") + 1).alias("line_end"), "text")
+
+
+def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of lines in their split, which come in order, one split after the other."""
+    held, total = None, 0
+    for b in batches:
+        at = 0
+        files, splits = b.column(0), b.column(1)
+        sizes = pc.add(pc.binary_length(b.column(2)), 1).to_numpy(zero_copy_only=False).astype(np.int64)
+        codes = pc.dictionary_encode(files).indices.to_numpy(zero_copy_only=False)
+        ends = [*(np.flatnonzero((np.diff(codes) != 0) | (np.diff(splits.to_numpy()) != 0)) + 1).tolist(), b.num_rows]
+        places = np.zeros(b.num_rows, np.int64)
+        for end in ends if b.num_rows else ():
+            key = files[at].as_py(), splits[at].as_py()
+            if key != held:
+                held, total = key, 0
+            sums = np.cumsum(sizes[at:end])
+            places[at:end] = total + sums - sizes[at:end]
+            total += int(sums[-1])
+            at = end
+        yield pa.RecordBatch.from_arrays([files, splits, pa.array(places), b.column(2)], names=["object_id", "_split", "_at", "text"])
 
 
 @dataclass
@@ -56,22 +92,71 @@ class _RangeReader(DataSourceReader):
         return [_Range(self.path, o, n) for o, n in found if n > 0]
 
     def read(self, partition):
-        import io
-
-        from pyarrow.fs import FileSystem, LocalFileSystem
-
-        system, path = FileSystem.from_uri(partition.path) if "://" in partition.path or partition.path.startswith("file:") else (LocalFileSystem(), partition.path)
-        with system.open_input_file(path) as raw, io.BufferedReader(raw, 1 << 20) as f:
-            at = partition.offset
-            if at:
-                f.seek(at - 1)
-                at += len(f.readline()) - 1  # the rest of a line that starts before the range
-            while at < partition.offset + partition.length:
-                line = f.readline()
-                if not line:
-                    return
-                yield partition.path, at, line.rstrip(b"\r\n").decode("utf-8", "replace")
-                at += len(line)
+        yield from _range_lines(partition.path, partition.offset, partition.length)
+
+
+#: Bytes that one request of a range asks for.
+PIECE = 8 << 20
+
+
+def _range_lines(uri: str, offset: int, length: int) -> Iterator[pa.RecordBatch]:
+    """Lines that start in a byte range of an object, in batches; nothing outside but the rest of the last line is read."""
+    from pyarrow.fs import FileSystem, LocalFileSystem
+
+    system, path = FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (LocalFileSystem(), uri)
+    with system.open_input_file(path) as f:
+        size = f.size()
+        end = min(offset + length, size)
+        at = start = max(0, offset - 1)  # the byte before tells whether a line starts at the offset
+        rest, step = b"", 1 << 16
+        while at < end or rest:
+            if at < end:
+                piece = f.read_at(min(PIECE, end - at), at)
+            else:  # the last line goes on behind the range
+                piece, step = f.read_at(min(step, size - at), at), step * 2
+            at += len(piece)
+            data = rest + piece
+            cut = len(data) if at >= size else data.find(b"\n", len(rest)) + 1 if at > end else data.rfind(b"\n") + 1
+            if cut:
+                yield _lines_at(uri, data[:cut], start, offset, end)
+                start += cut
+            rest = b"" if at > end and cut else data[cut:]
+            if at >= size:
+                return
+
+
+def _lines_at(uri: str, data: bytes, start: int, least: int, end: int) -> pa.RecordBatch:
+    """The lines of data, which starts at a line and at this byte of its object, that start in [least, end)."""
+    lines = pc.split_pattern(pa.array([data], pa.large_binary()), b"\n").flatten()
+    if data.endswith(b"\n"):
+        lines = lines[:-1]
+    sizes = pc.binary_length(lines).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    places = start + np.cumsum(sizes) - sizes
+    held = pa.array((places >= least) & (places < end))
+    if not held.true_count:
+        return pa.RecordBatch.from_arrays([pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.string())], names=["object_id", "line_start", "text"])
+    lines, places = lines.filter(held).cast(pa.binary()), pa.array(places).filter(held)
+    text = pa.StringArray.from_buffers(len(lines), lines.buffers()[1], lines.buffers()[2], offset=lines.offset)  # whatever the bytes
+    return pa.RecordBatch.from_arrays([pa.repeat(uri, len(lines)), places, text], names=["object_id", "line_start", "text"])
+
+
+def read_object_ranges(ranges: DataFrame, split_bytes: int = 64 << 20) -> DataFrame:
+    """S2, J1. Lines that start in byte ranges of many objects: object_id, line_start, line_end, text.
+
+    ranges (object_id, offset, length) is a DataFrame, so that their number is not bounded by the driver; they are dealt
+    over tasks in order of object and offset, by about split_bytes for each task. A line belongs to the range it starts in.
+    """
+    total = ranges.agg(F.sum("length")).head()[0] or 0
+    least = int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = ranges.where("length > 0").select("object_id", "offset", "length").repartitionByRange(max(least, -(-total // split_bytes)), "object_id", "offset").sortWithinPartitions("object_id", "offset")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, offset, length in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                yield from _range_lines(path, offset, length)
+
+    lines = dealt.mapInArrow(run, "object_id string, line_start long, text string")
+    return lines.select("object_id", "line_start", (F.col("line_start") + F.octet_length("text") + 1).alias("line_end"), "text")
 
 
 def read_ranges(spark: SparkSession, path: str, ranges: list[tuple[int, int]]) -> DataFrame:

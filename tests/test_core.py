@@ -2,6 +2,7 @@
 
 import itertools
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from logspark.operators import reports as T
 from logspark.operators import results as Q
 from logspark.operators import search as X
 from logspark.operators import symbols as Y
-from logspark.plans.queries import QUERIES, indexed_events
+from logspark.plans.queries import QUERIES, T0, T1, indexed_events
 from logspark.sources import files
 from logspark.streaming import streams
 
@@ -59,7 +60,7 @@ def test_literals_are_data(spark):
 def test_pruning_never_changes_the_answer(spark):
     e = indexed_events(spark, SF).cache()
     postings = I.distinct_tokens(e).cache()
-    filters = I.build_bloom(I.assign_parts(postings, 4)).cache()  # several parts
+    filters = I.build_bloom(postings, limit=4).cache()  # several parts
     assert filters.where("parts > 1").count() > 0
     for text in ('event_type == "error"', 'k == "7" || event_type == "view" && user_id == "3"', 'includes(this, "1") && k == "5"', 'includes(this, "click")', 'k == "absent"'):
         o = X.QueryOptions(text)
@@ -68,25 +69,54 @@ def test_pruning_never_changes_the_answer(spark):
         assert plain == sorted(r.seq for r in Q.search(e, o, filters=filters).collect())
 
 
-def test_bitmaps_have_no_false_negative_and_few_false_positives(spark):
-    postings = spark.range(3000).select(F.lit("t").alias("target"), F.lit(0).cast("long").alias("bucket"), F.lit("o").alias("object_id"), F.lit(0).cast("long").alias("chunk_id"), F.concat(F.lit("tok"), F.col("id")).alias("token"))
-    f = I.build_bloom(I.assign_parts(postings)).select("bitmap")
-    present = f.crossJoin(postings.select("token").limit(300)).where(P.bloom_might_contain(F.col("bitmap"), F.col("token"))).count()
-    absent = f.crossJoin(spark.range(2000).select(F.concat(F.lit("none"), F.col("id")).alias("token"))).where(P.bloom_might_contain(F.col("bitmap"), F.col("token"))).count()
-    assert present == 300
-    assert absent <= 40  # 2 %
-    parts = I.build_bloom(I.assign_parts(postings, 1000)).collect()
-    assert len(parts) == 3 and sum(r.n for r in parts) == 3000
-    strict = I.build_bloom(I.assign_parts(postings, fpr=0.0001)).collect()
-    assert len(strict) == -(-3000 // I.tokens_for(0.0001)) and max(r.fpr for r in strict) < 0.00015
+def token_rows(spark, n, prefix="tok"):
+    return spark.range(n).select(F.lit("t").alias("target"), F.lit(0).cast("long").alias("bucket"), F.lit("o").alias("object_id"), F.lit(0).cast("long").alias("chunk_id"), F.concat(F.lit(prefix), F.col("id")).alias("token"))
+
+
+@pytest.mark.parametrize(("n", "limit", "accuracy", "least"), [(3000, 4096, 90, 1), (3000, 1024, 90, 1), (3000, 1024, 99, 1), (5000, 256, 95, 2), (40, 4096, 90, 1), (1, 4096, 90, 1)])
+def test_filters_are_sized_for_their_tokens(spark, n, limit, accuracy, least):
+    f = I.build_bloom(token_rows(spark, n), limit, accuracy, least).cache()
+    rows = f.collect()
+    assert sum(r.n for r in rows) == n
+    assert all(len(r.bitmap) * 8 == r.bits <= limit * 8 for r in rows)
+    assert all(r.fpr <= (100 - accuracy) / 100 * 1.05 for r in rows)
+    assert {(r.part / r.parts) for r in rows} == {r.part / r.parts for r in rows if r.part < r.parts} and abs(sum(1 / r.parts for r in rows) - 1) < 1e-9
+    assert n < 100 or sum(r.bits for r in rows) / n < 16  # bits a token
+    if len(rows) > 1:  # only what the last rate does not hold is bisected
+        assert all(r.n <= I.tokens_for((100 - accuracy) / 100, limit) for r in rows)
+    tokens = token_rows(spark, n).select("token")
+    held = f.crossJoin(tokens).where(P.bloom_might_contain(F.col("token")))
+    assert held.select("token").distinct().count() == n  # no false negative
+    absent = f.crossJoin(token_rows(spark, 4000, "none").select("token")).where(P.bloom_might_contain(F.col("token"))).count()
+    want = sum(r.fpr / r.parts for r in rows)  # a token is tested against its own part
+    assert absent <= 4000 * want * 2 + 20
+
+
+def test_filter_sizes():
+    assert I.filter_size(100, 0.01) == (960, 7)
+    assert I.filter_size(0, 0.01) == (8, 7)
+    assert I.filter_size(I.tokens_for(0.01, 64), 0.01)[0] <= 512 < I.filter_size(I.tokens_for(0.01, 64) + 1, 0.01)[0]
+    for bad in (0, 1):
+        with pytest.raises(ValueError):
+            I.tokens_for(bad)
+        with pytest.raises(ValueError):
+            I.filter_size(3, bad)
+
+
+def test_filters_of_nothing_and_bad_rates(spark):
+    assert I.build_bloom(token_rows(spark, 0)).count() == 0
     with pytest.raises(ValueError):
-        I.tokens_for(0)
+        I.build_bloom(token_rows(spark, 1), accuracy=100)
+    f = I.build_bloom(token_rows(spark, 20))
+    both = [f.where(P.might_contain_all(t)).count() for t in (["tok1", "tok2"], ["tok1", "absent"], [])]
+    assert both == [1, 0, 1]
+    assert [f.where(P.might_contain_any(t)).count() for t in (["absent", "tok3"], ["absent"], [])] == [1, 0, 0]
 
 
 def test_bitmaps_gate_by_template(spark):
     e = indexed_events(spark, SF).cache()
     postings = I.distinct_tokens(e).cache()
-    filters = I.build_bloom(I.assign_parts(postings))
+    filters = I.build_bloom(postings)
     hashes = [r.token for r in postings.where("token = '7' or token = 'signup'").select("token").distinct().collect()]
     o = X.QueryOptions('event_type == "error"')
     exact, may = (Q.candidates(e, o, template_hashes=hashes, **side).distinct() for side in ({"postings": postings}, {"filters": filters}))
@@ -283,7 +313,7 @@ def test_model_matches_operators(spark):
 
     e = indexed_events(spark, SF)
     postings = I.distinct_tokens(e)
-    made = {"events": e, "postings": postings, "filters": I.build_bloom(I.assign_parts(postings)), "chunks": I.chunk_bounds(e)}
+    made = {"events": e, "postings": postings, "filters": I.build_bloom(postings), "chunks": I.chunk_table(e.withColumns({"line_start": F.lit(0).cast("long"), "line_end": F.lit(9).cast("long")}))}
     for name, df in made.items():
         types = {f.name: f.dataType.simpleString() for f in schema(name)}
         assert set(types) <= set(df.columns), name
@@ -317,3 +347,92 @@ def test_deep_symbols(spark):
     assert [(r.depth, r.value) for r in Y.walk_symbols(units).orderBy("depth").collect()] == [(d, f"d{d}") for d in range(12)]
     assert Y.walk_symbols(units, max_depth=3).count() == 3
     assert Y.walk_symbols(units.limit(0)).count() == 0
+
+
+def test_lines_and_ranges_of_raw_objects(spark, tmp_path):
+    """Lines of files split anywhere, and ranges that start and end anywhere, against plain Python over the bytes."""
+    from logspark.sources import files
+
+    r = random.Random(7)
+    root = tmp_path / "objects of tests"
+    root.mkdir()
+    held = {}
+    for name in ("a.log", "b=1.log", "c.log", "empty.log", "open.log"):
+        lines = [bytes(r.choices(b"ab\xc3\xa9\xff\t\r ", k=r.choice([0, 1, 7, 40, 300]))) for _ in range({"empty.log": 0}.get(name, 400))]
+        data = b"".join(x + b"\n" for x in lines)
+        if name == "open.log":
+            data += b"the last line has no end"
+        (root / name).write_bytes(data)
+        at, held[name] = 0, []
+        for x in data.split(b"\n")[: -1 if data.endswith(b"\n") or not data else None]:
+            held[name].append((at, x))
+            at += len(x) + 1
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        got = files.read_lines(spark, str(root)).select("object_id", "line_start", "line_end", F.col("text").cast("binary").alias("text")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    names = {x.object_id for x in got}
+    of = {n: next(o for o in names if o.endswith(n.replace("=", "%3D")) or o.endswith(n)) for n in held if held[n]}
+    assert sorted((x.object_id, x.line_start, bytes(x.text)) for x in got) == sorted((of[n], a, x) for n in of for a, x in held[n])
+    assert all(x.line_end == x.line_start + len(x.text) + 1 for x in got)
+    ranges = [(of[n], r.randrange(0, 30_000), r.choice([0, 1, 5, 100, 5000, 10**9])) for n in of for _ in range(12)]
+    found = files.read_object_ranges(spark.createDataFrame(ranges, "object_id string, offset long, length long")).select("object_id", "line_start", F.col("text").cast("binary").alias("text")).collect()
+    want = [(o, a, x) for o, start, n in ranges for name in of if of[name] == o for a, x in held[name] if start <= a < start + n]
+    assert sorted((x.object_id, x.line_start, bytes(x.text)) for x in found) == sorted(want)
+    one = files.read_ranges(spark, of["a.log"], [(100, 900), (0, 50)]).select("line_start", F.col("text").cast("binary").alias("text")).collect()
+    assert sorted((x.line_start, bytes(x.text)) for x in one) == sorted((a, x) for a, x in held["a.log"] if a < 50 or 100 <= a < 1000)
+
+
+def test_long_lines_are_read_behind_their_range(tmp_path, monkeypatch):
+    from logspark.sources import files
+
+    monkeypatch.setattr(files, "PIECE", 1000)
+    data = b"x" * 300_000 + b"\n" + b"short\n" + b"y" * 50_000
+    (tmp_path / "o").write_bytes(data)
+    read = lambda a, n: [(p, len(t)) for b in files._range_lines(str(tmp_path / "o"), a, n) for p, t in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+    assert read(0, 1) == [(0, 300_000)]
+    assert read(5, 10) == []
+    assert read(1, 300_001) == [(300_001, 5)]
+    assert read(0, 10**7) == [(0, 300_000), (300_001, 5), (300_007, 50_000)]
+    assert read(400_000, 5) == []
+
+
+def test_merged_ranges(spark):
+    """Adjacent chunks become one range, gaps and every most-th chunk end it."""
+    r = random.Random(3)
+    rows = [(o, c, c * 10 + (c > 40) * 3, 10 + (c == 40) * 3) for o in ("a", "b") for c in range(70) if r.random() < 0.7]
+    got = P.merge_ranges(spark.createDataFrame(rows, "object_id string, chunk_id long, offset long, length long"), 16).collect()
+    want = []
+    for o, c, offset, length in rows:
+        if want and want[-1][0] == o and want[-1][1] + want[-1][2] == offset and c % 16:
+            want[-1][2] += length
+            want[-1][3] += 1
+        else:
+            want.append([o, offset, length, 1])
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_search_over_objects_reads_less_and_finds_all(spark):
+    from logspark.operators import objects as O
+    from logspark.plans import queries as Z
+
+    root = Z.object_index_of(spark, SF)
+    lines = Z.parsed(files_of(spark)).cache()
+    for text in ('user_id == "17"', 'event_type == "error" && k == "5"', 'includes(this, "view")', 'k == "absent"'):
+        for t0, t1 in ((0, 0), (T0, T1)):
+            o = X.QueryOptions(text, t0=t0, t1=t1)
+            want = sorted(r.seq for r in lines.where(X.in_range(F.col("ts_ms"), t0, t1) & X.search_expr(text, fields=Q.EVENT_FIELDS)).collect())
+            for kind in ("postings", "filters"):
+                assert sorted(r.seq for r in O.search_objects(spark, root, "logs", o, Z.parsed, kind).collect()) == want, (text, kind)
+    c = O.read_counters(spark, root, "logs", X.QueryOptions('user_id == "17"')).head()
+    assert 0 < c.bytes < c.bytes_held and c.ranges <= c.chunks < c.chunks_held
+    few = O.read_counters(spark, root, "logs", X.QueryOptions('k == "absent"')).head()
+    assert (few.bytes, few.ranges) == (0, 0)
+
+
+def files_of(spark):
+    from logspark.plans import queries as Z
+    from logspark.sources import files
+
+    return files.read_lines(spark, Z.log_objects(spark, SF))
