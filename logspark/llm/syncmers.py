@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from logspark.llm.common import arrow_schema, id_text, map_rows, mix
 from logspark.llm.tables import written
 
-K, S = 24, 5
+K, S = 16, 4
 #: Bytes of text that a range of ids holds about, and the least number of ranges for each shuffle partition.
 RANGE_BYTES, RANGES = 32 << 20, 4
 _FACTOR, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
