@@ -11,11 +11,13 @@
 3. The pages are read again, each with the list of those of its subtrees that are templates. These are cut: outside
    articles unless nothing would be left, inside them unless most of the prose (text outside links) would go, since then
    it is the article that recurs.
-4. What recurrence can't tell, on hosts of few pages and for parts that differ from page to page, is cut by name: nav,
-   footer, form, aside and header elements, roles and, outside articles, telling classes as whole tokens or known
-   compounds; inside articles only those of adverts, notices and comments. What holds an article or a main area or,
-   on pages without these, most of the prose is never cut by name; headings and inline elements have no name.
-5. Of what is left the articles, else the main areas, are the text if they hold half of the prose; else all of it is.
+4. Where what recurs is at least half of the text around a page's articles and main areas (of a page without these,
+   where anything recurs), it is the frame of the site and nothing else is cut: recurrence has decided. Other pages, on hosts
+   of few stories or with parts that differ from page to page, are cleared by name: nav, footer, form, aside and header
+   elements, roles and, outside articles, telling classes as whole tokens or known compounds; inside articles only those of
+   adverts, notices and comments. What holds an article or a main area or most of the prose it stands in (the page's, where
+   that has neither, else the article's) is never cut by name; headings and inline elements have no name.
+5. Of what is left of these pages the articles, else the main areas, are the text if they hold half of the prose; else all of it is.
 
 References are decoded, white space inside a block becomes one blank, blocks are trimmed and joined by newlines.
 
@@ -32,6 +34,7 @@ from __future__ import annotations
 import html
 import itertools
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 import xxhash
@@ -46,6 +49,9 @@ SEVERAL, SHARE, COMMON = 3, 0.2, 0.5
 COPIES, BROADCAST_ROWS = 1000, 5000
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)""", re.S)
+#: Tags that end at the next sign for it, quoted or not: for the rest of a page after UNCLOSED tags whose quotes never end.
+SIMPLE = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<()()()(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)""", re.S)
+UNCLOSED = 8
 ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 RAW = {t: re.compile(rf"</{t}\b[^>]*(?:>|\Z)", re.I) for t in ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "xmp", "noframes")}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -62,6 +68,8 @@ NAMES = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar side-bar rail aside widget widgets footer header masthead topbar toolbar "
     "comment comments commentlist disqus respond replies reply responses share sharing social related recommended more-like-this search searchbox pagination pager".split()
 )
+#: Elements that a new item of a list or table inside them does not end.
+BARS = frozenset("ul ol dl table select".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: Base and modulus of the sums that tell subtrees apart.
 BASE, PRIME = 0x1B873593CC9E2D51, (1 << 61) - 1
@@ -73,6 +81,8 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 FIRM = frozenset("nav footer".split())
 #: Names that count inside articles, too.
 INSIDE = frozenset("ad ads advert advertisement advertising adbox adsense sponsored cookie cookies consent gdpr newsletter subscribe subscription comment comments commentlist disqus respond".split())
+#: Those of them that name readers' comments whatever they hold, as comments may outweigh a story.
+COMMENTS = frozenset("comments commentlist disqus respond".split())
 #: Never cut by class or id: headings and what stands inside a line.
 UNNAMED = frozenset(
     "html body article main p h1 h2 h3 h4 h5 h6 a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split()
@@ -119,7 +129,7 @@ class Page:
 
 
 OUTSIDE, WITHIN, ALONE = 0, 1, 2  # places of subtrees: outside of articles, inside them, a paragraph or heading outside
-FREE, WEAK, HARD, MUTE = 0, 1, 2, 3  # levels of names: none, cut unless it holds most, cut, without text
+FREE, WEAK, SURE, HARD, MUTE = 0, 1, 2, 3, 4  # levels of names: none, cut unless it holds most, cut (by name, by tag), without text
 
 
 def _named(tag: str, attributes: str, inside: bool) -> tuple[int, bool]:
@@ -135,8 +145,8 @@ def _named(tag: str, attributes: str, inside: bool) -> tuple[int, bool]:
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
                 return MUTE, False
             elif name in ("class", "id") and tag not in UNNAMED:
-                names = INSIDE if inside else NAMES
-                level = max(level, WEAK * any(_site_part(w, names) for w in value.split()))
+                names, words = INSIDE if inside else NAMES, value.split()
+                level = max(level, WEAK * any(_site_part(w, names) for w in words), SURE * (inside and any(w in COMMENTS for w in words)))
             elif name in ("class", "id") and tag == "article":
                 level = max(level, HARD * any(w.partition("-")[0] in ("comment", "comments", "reply") for w in value.split()))
     return level, main
@@ -148,14 +158,19 @@ def read(page: str) -> Page:
     out, plain = found.out, found.plain
     stack = [Open("", 0, FREE, False)]
     sums = [0]
-    count: dict[str, int] = {}
+    places: dict[str, list[int]] = {}  # of the open elements of each tag in the stack
+    blocks, bars = [0], [0]  # places of open blocks, and of those that end no item outside of them
     mute = areas = links = 0
     title, headings = "", []
 
     def close() -> None:
         nonlocal mute, areas, links
         e = stack.pop()
-        count[e.tag] -= 1
+        places[e.tag].pop()
+        if e.tag in BLOCK:
+            blocks.pop()
+            if e.tag in BARS:
+                bars.pop()
         links -= e.tag == "a"
         end = len(out)
         if e.tag in BLOCK and out and out[-1] is not None:
@@ -167,8 +182,8 @@ def read(page: str) -> Page:
         areas -= e.area
         above = stack[-1]
         if e.level and not e.holds:
-            found.named.append((e.start, end, 0 if e.level == HARD else e.prose))
-        if e.tag in ("h1", "h2"):
+            found.named.append((e.start, end, 0 if e.level in (SURE, HARD) else e.prose))
+        if e.tag in ("h1", "h2") and not places.get("h1") and not places.get("h2"):  # each text once, however headings nest
             headings.append("".join([x or " " for x in out[e.start : end]]))
         if e.area:
             (found.articles if e.tag == "article" else found.mains).append((e.start, end))
@@ -200,9 +215,13 @@ def read(page: str) -> Page:
             out.append(None)
             plain.append(0)
 
-    at, n = 0, len(page)
+    def close_to(k: int) -> None:
+        while len(stack) > k:
+            close()
+
+    at, n, token, unclosed = 0, len(page), TOKEN, 0
     while at < n:
-        m = TOKEN.search(page, at)
+        m = token.search(page, at)
         if m is None:
             text(page[at:])
             break
@@ -212,14 +231,16 @@ def read(page: str) -> Page:
         closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not tag:
             continue
+        if not m[2] and token is TOKEN:  # no tag end outside of quotes in all that follows
+            unclosed += 1
+            if unclosed == UNCLOSED:
+                token = SIMPLE
         tag = tag.lower()
         if closing:
             if tag == "br":
                 text(" ")
-            elif count.get(tag):
-                while stack[-1].tag != tag:
-                    close()
-                close()
+            elif places.get(tag):
+                close_to(places[tag][-1])
             continue
         if tag in VOID:
             if tag == "br":
@@ -233,28 +254,22 @@ def read(page: str) -> Page:
             at = e.end() if e else n
             continue
         if tag in BLOCK:
-            while count.get("head"):  # whose end tag may be left out
+            while places.get("head"):  # whose end tag may be left out
                 close()
-            if count.get("p") and tag not in ("option", "select"):
-                k = len(stack) - 1
-                while k and stack[k].tag != "p" and (stack[k].tag not in BLOCK):
-                    k -= 1
-                if stack[k].tag == "p":
-                    while len(stack) > k:
-                        close()
+            if tag not in ("option", "select") and stack[blocks[-1]].tag == "p":
+                close_to(blocks[-1])
             for other in SIBLINGS.get(tag, ()):
-                if count.get(other):
-                    k = len(stack) - 1
-                    while k and stack[k].tag not in ("ul", "ol", "dl", "table", "select", other):
-                        k -= 1
-                    if stack[k].tag == other:
-                        while len(stack) > k:
-                            close()
+                if places.get(other) and places[other][-1] > bars[-1]:
+                    close_to(places[other][-1])
             end_block()
         level, main = _named(tag, attributes, areas > 0)
         area = not mute and level < HARD and (main or tag == "article")
+        places.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK:
+            blocks.append(len(stack))
+            if tag in BARS:
+                bars.append(len(stack))
         stack.append(Open(tag, len(out), level, area))
-        count[tag] = count.get(tag, 0) + 1
         mute += level == MUTE
         areas += area
         links += tag == "a"
@@ -273,10 +288,10 @@ def between(out: list[str | None], sums: list[int], start: int, end: int) -> int
     return (sums[end] - sums[start] * pow(BASE, end - start, PRIME)) % PRIME
 
 
-def main_text(page: str, templates: frozenset[int], names: bool = True, areas: bool = True) -> tuple[str, int]:
-    """The text without the page's templates, and how many of these were cut.
+def main_text(page: str, templates: frozenset[int], names: bool = True, areas: bool = True) -> tuple[str, int, bool]:
+    """The text without the page's templates, how many of these were cut, and whether they alone decided.
 
-    names and areas false leave out steps 4 and 5, so that recurrence alone decides.
+    names and areas false leave out steps 4 and 5, so that recurrence alone decides on every page.
     """
     found = read(page)
     out, plain = found.out, found.plain
@@ -285,7 +300,7 @@ def main_text(page: str, templates: frozenset[int], names: bool = True, areas: b
     whole = [(0, len(out))]
 
     def cut(ranges: list[tuple[int, int]]) -> None:
-        for a, b in ranges:
+        for a, b in _outer(ranges):  # each place once, however ranges nest
             keep[a:b] = bytes(b - a)
 
     recurring = [(a, b) for a, b, h, place in found.subtrees if place != WITHIN and h in templates]
@@ -293,11 +308,22 @@ def main_text(page: str, templates: frozenset[int], names: bool = True, areas: b
     cut(recurring)
     if recurring and not any(k and x and not x.isspace() for x, k in zip(out, keep, strict=True)):
         keep[:], recurring = before, []
-    if names:
-        whole_page = not (found.articles or found.mains)
-        cut([(a, b) for a, b, own in found.named if not (whole_page and 2 * own > found.prose)])
+    known = bool(recurring) and _knows_frame(found, keep)
+    if names and not known:
+        around = _outer([*found.articles, *found.mains])
+        cut([(a, b) for a, b, own in found.named if not own])
+        starts, sums = [a for a, _ in around], [0, *itertools.accumulate(n * k for n, k in zip(plain, keep, strict=True))]
+
+        def holds_most(a: int, own: int) -> bool:
+            """Whether a part is most of the prose of the area that it stands in, or of a page without areas."""
+            k = bisect_right(starts, a) - 1
+            if k >= 0 and a < around[k][1]:
+                return 2 * own > sums[around[k][1]] - sums[around[k][0]]
+            return not around and 2 * own > found.prose
+
+        cut([(a, b) for a, b, own in found.named if not holds_most(a, own)])
     chosen, left = whole, prose(whole)
-    if areas:
+    if areas and not known:
         chosen = next((_outer(r) for r in (found.articles, found.mains) if r and 2 * prose(_outer(r)) >= left), whole)
     within = [(a, b) for a, b, h, place in found.subtrees if place == WITHIN and h in templates]
     if within:
@@ -316,7 +342,16 @@ def main_text(page: str, templates: frozenset[int], names: bool = True, areas: b
         elif k and i:
             part.append(x)
     blocks.append("".join(part))
-    return "\n".join([t for x in blocks if (t := SPACE.sub(" ", x).strip())]), len(recurring) + len(within)
+    return "\n".join([t for x in blocks if (t := SPACE.sub(" ", x).strip())]), len(recurring) + len(within), known
+
+
+def _knows_frame(found: Page, keep: bytearray) -> bool:
+    """Whether what recurs is at least half of the text around the page's articles and main areas: then it is the site's frame."""
+    inside = bytearray(len(found.out))
+    for a, b in _outer([*found.articles, *found.mains]):
+        inside[a:b] = b"\1" * (b - a)
+    around = [(len(x.strip()), k) for x, k, i in zip(found.out, keep, inside, strict=True) if x and not i]
+    return 2 * sum(n for n, k in around if not k) >= sum(n for n, _ in around) if any(inside) else True
 
 
 def _outer(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -361,7 +396,8 @@ def find_templates(subtrees: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", names: bool = True, areas: bool = True) -> DataFrame:
-    """One row for each row of pages: page_id, url, text, n_chars, n_templates (subtrees cut because they recur)."""
+    """One row for each row of pages: page_id, url, text, n_chars, n_templates (subtrees cut because they recur) and
+    by_templates (whether these alone decided, without names and areas)."""
     rows = _pages(pages, id_col, url_col, html_col).withColumn("page", F.xxhash64("html"))
     subtrees = find_subtrees(rows)
     templates = find_templates(subtrees)
@@ -372,7 +408,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     dealt = rows.join(hot, ["host", "page"], "left").withColumn("key", F.coalesce(F.pmod(F.xxhash64("page_id", "url"), F.col("keys")).cast("int"), F.lit(0))).drop("keys")
     lists = own.select("host", "page", "own", F.explode(F.sequence(F.lit(0), F.col("keys") - 1)).alias("key"))
     joined = dealt.join(small(lists, BROADCAST_ROWS), ["host", "page", "key"], "left").select("page_id", "url", "html", "own")
-    schema = "page_id long, url string, text string, n_chars long, n_templates long"
+    schema = "page_id long, url string, text string, n_chars long, n_templates long, by_templates boolean"
     types = arrow_schema(rows.sparkSession, schema)
 
     def run(batches):
@@ -380,7 +416,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 texts = [main_text(p or "", frozenset(o or ()), names, areas) for p, o in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
-                more = [pa.array([t for t, _ in texts], pa.string()), pa.array([len(t) for t, _ in texts], pa.int64()), pa.array([n for _, n in texts], pa.int64())]
+                more = [pa.array([x[0] for x in texts], pa.string()), pa.array([len(x[0]) for x in texts], pa.int64()), pa.array([x[1] for x in texts], pa.int64()), pa.array([x[2] for x in texts], pa.bool_())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.string()), *more], schema=types)
 
     return joined.mapInArrow(run, schema)

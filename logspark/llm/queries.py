@@ -34,6 +34,13 @@ def op4_html(spark, sf_dir):
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+def html_templates(spark, sf_dir):
+    """By host: pages, the subtrees cut from them because they recur, and the pages whose text these alone decided."""
+    found = htmltext.extract(table(spark, sf_dir, "pages"))
+    host = F.lower(F.regexp_extract("url", htmltext.HOST, 1)).alias("host")
+    return found.groupBy(host).agg(F.count(F.lit(1)).alias("n_pages"), F.sum("n_templates").alias("n_templates"), F.count_if("by_templates").alias("n_by_templates"))
+
+
 def op5_licenses(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -78,7 +85,7 @@ def quality_ablation(spark, sf_dir):
     return each[0].union(each[1])
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_minhash, op3_decontaminate, op4_html, op5_licenses, op6_pii, op7_toxicity, op8_substrings, op9_quality, op10_secrets, op11_syncmers, op12_resample, op13_merkle, quality_ablation)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_minhash, op3_decontaminate, op4_html, op5_licenses, op6_pii, op7_toxicity, op8_substrings, op9_quality, op10_secrets, op11_syncmers, op12_resample, op13_merkle, quality_ablation, html_templates)}
 LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ALNUM = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

@@ -241,11 +241,33 @@ def test_html(spark):
     ("<head><title>t</title><body><p>No end of the head.", "No end of the head."),
     ("<nav>menu<article><p>In a menu that is not closed.</article>", "In a menu that is not closed."),
     ("<div hidden><article>no</article></div><a href=x>Only a link</a>", "Only a link"),
+    ("<article><h1>T</h1><div class='subscription'><p>A story of some length that is told in a part with an odd name.</div></article>", "T\nA story of some length that is told in a part with an odd name."),
+    ("<article><p>Lead.</p><div id='comment'><p>The story itself, which is longer than its lead.</div><div class=comments><p>Readers say much more than the story does, on and on.</div></article>", "Lead.\nThe story itself, which is longer than its lead."),
 ])
 def test_html_cuts_no_prose(page, text):
     assert htmltext.main_text(page, frozenset())[0] == text
 
 
+@pytest.mark.parametrize("part", ["<h1>abcdefghij", "<h1><b>x", "<div>x", '<a "x>" ', "&amp", "<a ", "<div class='", "<p><select>" + "<i>" * 60 + "<div></div>" * 40, "<tr><table>" + "<i>" * 60 + "<tr></tr>" * 40])
+def test_html_of_crafted_pages_is_linear(part):
+    def seconds(n):
+        page = part * (n // len(part))
+        if part.startswith(("<p><select>", "<tr><table>")):  # once, and long
+            head, inner, last = re.fullmatch(r"(<\w+><\w+>)((?:<i>)+)(.*)", part).groups()
+            page = head + "<i>" * (n // 6) + last * (n // 2 // len(last))
+        least = []
+        for _ in range(2):
+            began = time.process_time()
+            found = htmltext.read(page)
+            assert sum(map(len, found.story)) <= len(page)
+            htmltext.main_text(page, frozenset(x[2] for x in found.subtrees))
+            least.append(time.process_time() - began)
+        return min(least)
+
+    small, large = seconds(60_000), seconds(600_000)
+    assert large < 30 * small + 0.5
+
+
 def pages_of(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
@@ -306,6 +328,31 @@ def test_html_recurrence_alone_against_brute_force(spark, monkeypatch, copies):
     got = htmltext.extract(pages_of(spark, made).repartition(5))
     assert {x.page_id: x.text for x in got.collect()} == want
     assert got.count() == len(rows)
+    # What is left out when templates are: the texts that they decide are those of the whole page without them.
+    whole = {i: htmltext.main_text(page, frozenset(), False, False)[0] for i, _, page in made}
+    decided = {x.page_id for x in got.where("by_templates").collect()}
+    assert len(decided) > 150
+    assert {x.page_id for x in got.collect() if x.text != whole[x.page_id]} == decided
+
+
+def test_html_registered_form_against_brute_force(spark):
+    """Sites with frames that recur around articles, frames that do not, and hosts of one story: steps 2 to 5 by hand."""
+    r = random.Random(8)
+    made, want, by = [], {}, {}
+    for i in range(90):
+        kind = ("frame", "names", "few")[i % 3]
+        host = f"{kind}{i % 2}.example" if kind != "few" else f"few{i}.example"
+        menu = "Home News Sport" if kind != "names" else f"menu {r.random()}"
+        foot = f"All rights of {host}" if kind != "names" else f"foot {r.random()}"
+        story = f"<h1>Title {i}</h1><p>Story number {i} is told at some length here.</p>"
+        extra = f"<div class=ad>{i}</div>" if kind != "frame" else ""
+        made.append((i, f"http://{host}/{i}", f"<body><nav><ul><li>{menu}</ul></nav>{extra}<article>{story}</article><div class=footer>{foot}</div></body>"))
+        want[i], by[i] = f"Title {i}\nStory number {i} is told at some length here.", kind == "frame"
+    got = htmltext.extract(pages_of(spark, made)).collect()
+    assert {x.page_id: x.text for x in got} == want
+    assert {x.page_id: x.by_templates for x in got} == by
+    plain = {i: htmltext.main_text(page, frozenset(), False, False)[0] for i, _, page in made}
+    assert all(plain[i] != want[i] for i in want)  # without templates and names the frames stay
 
 
 def test_html_long_deep_and_odd_tables(spark):
