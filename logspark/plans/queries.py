@@ -19,8 +19,9 @@ from logspark.operators import records as R
 from logspark.operators import reports as T
 from logspark.operators import results as Q
 from logspark.operators import search as X
+from logspark.operators import segments as G
 from logspark.operators import symbols as Y
-from logspark.session import shared_folder
+from logspark.session import shared_folder, written
 from logspark.sources import files
 from logspark.sources.files import between, keys_after
 from logspark.streaming import streams
@@ -931,11 +932,12 @@ def observed_times(spark, sf_dir):
     return raw_events(spark, sf_dir).where("event_id > 0 AND user_id > 0").select("event_id", S.observed_time(observed, "event_id", F.lit(-1)).alias("observed"))
 
 
-@query("SELECT doc_id, CASE WHEN h >= 9223372036854775808::HUGEINT THEN h - 18446744073709551616::HUGEINT ELSE h END::BIGINT AS hash FROM (SELECT doc_id, list_reduce(list_prepend(0::HUGEINT, list_transform(string_split(left(text, 200), ''), lambda c: unicode(c)::HUGEINT)), lambda a, c: (a * 31 + c) % 18446744073709551616::HUGEINT) AS h FROM documents WHERE length(text) > 0)")
+@query("SELECT doc_id, CASE WHEN h >= 9223372036854775808::HUGEINT THEN h - 18446744073709551616::HUGEINT ELSE h END::BIGINT AS hash FROM (SELECT doc_id, list_reduce(list_prepend(0::HUGEINT, list_transform(string_split(text, ''), lambda c: unicode(c)::HUGEINT)), lambda a, c: (a * 31 + c) % 18446744073709551616::HUGEINT) AS h FROM documents WHERE length(text) > 0)")
 def poly_hash(spark, sf_dir):
-    """The hash of a text's first 200 characters (a key), chained over its two halves."""
+    """The hash of a whole text, chained over its two halves."""
     d = table(spark, sf_dir, "documents").where("length(text) > 0")
-    return d.select("doc_id", S.poly_hash(F.substring("text", 101, 100), S.poly_hash(F.substring("text", 1, 100))).alias("hash"))
+    half = F.floor(F.length("text") / 2).cast("int")
+    return d.select("doc_id", S.poly_hash(F.substring("text", half + 1, F.length("text")), S.poly_hash(F.substring("text", F.lit(1), half))).alias("hash"))
 
 
 @query("SELECT event_id, concat('event_type=', event_type) AS held FROM events")
@@ -954,10 +956,10 @@ def utf8_validity(spark, sf_dir):
 
 
 # ---- streams ------------------------------------------------------------------------------------------------------------
-def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def streamed(spark: SparkSession, sf_dir: str, most: int | None = None) -> DataFrame:
     """Events as a stream of files in the layout of indexed ones: those of the stored index, as they arrive."""
     root = stored_index(spark, sf_dir)
-    return files.stream_objects(spark, f"{root}/events", I.read_index(spark, root, "events").schema)
+    return files.stream_objects(spark, f"{root}/events", I.read_index(spark, root, "events").schema, most)
 
 
 @query(f"SELECT {MS} - {MS} % {HOUR} AS bucket, count(*) AS n FROM events GROUP BY 1")
@@ -970,9 +972,26 @@ def stream_buckets(spark, sf_dir):
 
 @query(f"WITH {POSTINGS} SELECT object_id, chunk_id, bucket, token FROM k")
 def stream_index(spark, sf_dir):
+    """Batches as segments, merged as they come and at the end into one: each posting stands in it once."""
     root = fresh(spark, "continuous")
-    streams.stream_index(streamed(spark, sf_dir), root, f"{root}/checkpoint").awaitTermination()
-    return I.read_index(spark, root, "postings").select("object_id", "chunk_id", "bucket", "token").distinct()  # batches may share a chunk
+    streams.stream_index(streamed(spark, sf_dir, 6), root, f"{root}/checkpoint", 2).awaitTermination()
+    G.compact(spark, root, "postings", full=True)
+    return G.read(spark, root, "postings").select("object_id", "chunk_id", "bucket", "token")
+
+
+@query(f"WITH {POSTINGS} SELECT count(*) AS pinned, count(*) AS merged, true AS fewer_files, 3 AS deleted FROM k")
+def index_compaction(spark, sf_dir):
+    """Three overlapping batches, merged: a reader of the version before still sees its rows, the new one has each once in fewer files."""
+    root, e = fresh(spark, "segments"), indexed_events(spark, sf_dir)
+    for i in range(3):
+        G.append(I.distinct_tokens(e.where(f"seq % 3 = {i}")), root, "postings", i)
+    version, _ = G.live(spark, root, "postings")
+    G.compact(spark, root, "postings", full=True)
+    before, after = G.read(spark, root, "postings", version), G.read(spark, root, "postings")
+    fewer = len(after.inputFiles()) < len(before.inputFiles())
+    pinned = written(before.distinct().agg(F.count(F.lit(1)).alias("pinned")), "pinned")
+    deleted = G.vacuum(spark, root, "postings")
+    return after.agg(F.count(F.lit(1)).alias("merged")).join(F.broadcast(pinned)).withColumns({"fewer_files": F.lit(fewer), "deleted": F.lit(deleted)})  # one row each
 
 
 @query("SELECT DISTINCT concat('user=', user_id) AS labels FROM events")

@@ -206,9 +206,10 @@ def read_object_entries(spark: SparkSession, root: str, object_id: str, kind: st
     return read_index(spark, root, kind).where(F.col("object_id") == object_id)
 
 
-def stream_objects(spark: SparkSession, path: str, schema) -> DataFrame:
-    """S13. New Parquet objects as they arrive."""
-    return spark.readStream.schema(schema).parquet(path)
+def stream_objects(spark: SparkSession, path: str, schema, most: int | None = None) -> DataFrame:
+    """S13. New Parquet objects as they arrive, at most so many in a micro-batch."""
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", most) if most else reader).parquet(path)
 
 
 @dataclass(frozen=True)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from logspark.functions.scalar import time_bucket
+from logspark.operators import segments
 from logspark.operators.index import compact_templates, distinct_tokens
 from logspark.operators.metrics import MetricSink
 from logspark.operators.records import to_otlp
@@ -23,12 +24,13 @@ def bucket_stream(df: DataFrame, resolution: str, watermark: str, ts: str = "ts"
     return timed.groupBy(F.window(ts, resolution)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def stream_index(events: DataFrame, root: str, checkpoint: str):
-    """X2, S13. Appends the postings of each micro-batch; a batch that is run again replaces its own rows."""
+def stream_index(events: DataFrame, root: str, checkpoint: str, width: int = segments.WIDTH):
+    """X2, S13. Adds the postings of each micro-batch as a segment and merges segments level by level; a batch that is run
+    again adds nothing. Read them with segments.read."""
 
     def build(batch: DataFrame, batch_id: int) -> None:
-        rows = distinct_tokens(batch).withColumn("bucket_day", F.date_format(F.timestamp_millis("bucket"), "yyyy-MM-dd"))
-        rows.sortWithinPartitions("target", "bucket_day", "bucket", "object_id", "chunk_id").write.mode("overwrite").partitionBy("target", "bucket_day").parquet(f"{root}/postings/batch={batch_id}")
+        segments.append(distinct_tokens(batch), root, "postings", batch_id)
+        segments.compact(batch.sparkSession, root, "postings", width)
 
     return events.writeStream.foreachBatch(build).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -15,6 +15,7 @@ from logspark.operators import records as R
 from logspark.operators import reports as T
 from logspark.operators import results as Q
 from logspark.operators import search as X
+from logspark.operators import segments as G
 from logspark.operators import symbols as Y
 from logspark.plans.queries import QUERIES, T0, T1, indexed_events
 from logspark.sources import files
@@ -255,7 +256,7 @@ def test_streams_equal_batch(spark, tmp_path):
         e.where(f"seq % 3 = {i}").write.mode("append").parquet(f"{tmp_path}/in")
     source = files.stream_objects(spark, f"{tmp_path}/in", e.schema)
     streams.stream_index(source, str(tmp_path), f"{tmp_path}/c1").awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/postings").select(*I.CHUNK, "token").distinct()
+    got = G.read(spark, str(tmp_path), "postings").select(*I.CHUNK, "token").distinct()
     assert got.exceptAll(I.distinct_tokens(e)).count() == 0 and got.count() == I.distinct_tokens(e).count()
 
     held = {}
@@ -436,3 +437,53 @@ def files_of(spark):
     from logspark.sources import files
 
     return files.read_lines(spark, Z.log_objects(spark, SF))
+
+
+def test_segments_are_merged_level_by_level(spark, tmp_path):
+    root, e = str(tmp_path), indexed_events(spark, SF)
+    postings = I.distinct_tokens(e).cache()
+    assert G.read(spark, root, "postings").count() == 0 and G.live(spark, root, "postings") == (0, [])
+    pinned = {}
+    for i in range(7):
+        assert G.append(I.distinct_tokens(e.where(f"seq % 7 = {i}")), root, "postings", i)
+        assert not G.append(I.distinct_tokens(e.where(f"seq % 7 = {i}")), root, "postings", i)  # run again
+        G.compact(spark, root, "postings", 2)
+        version, live = G.live(spark, root, "postings")
+        assert sorted(b for s in live for b in s["batches"]) == list(range(i + 1))
+        assert len({s["level"] for s in live}) == len(live)  # at most one of a level is left
+        pinned[version] = i
+    for version, i in pinned.items():  # readers of older versions are not disturbed
+        want = I.distinct_tokens(e.where(f"seq % 7 <= {i}"))
+        got = G.read(spark, root, "postings", version).select(*want.columns).distinct()
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    assert G.compact(spark, root, "postings", full=True) == 1
+    once = G.read(spark, root, "postings")
+    assert once.count() == postings.count() and once.select(*postings.columns).exceptAll(postings).count() == 0
+    assert G.vacuum(spark, root, "postings") > 0
+    assert G.read(spark, root, "postings").count() == postings.count()
+    assert len(list((tmp_path / "postings").glob("segment=*"))) == 1
+    plan = once.where("target = 'events' and bucket_day = '2024-01-10'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket_day" in plan
+
+
+def test_segments_survive_dead_and_concurrent_writers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(G, "PATIENCE", 0.3)
+    root, e = str(tmp_path), indexed_events(spark, SF)
+    rows = I.distinct_tokens(e)
+    G.append(rows.where("chunk_id % 2 = 0"), root, "postings", 0)
+    (tmp_path / "postings/_manifest/000000000002.json").write_text('[{"na')  # a writer that died while it wrote
+    (tmp_path / "postings/segment=dead").mkdir()
+    assert G.live(spark, root, "postings")[0] == 1
+    G.append(rows.where("chunk_id % 2 = 1"), root, "postings", 1)
+    assert G.live(spark, root, "postings")[0] == 3
+    assert G.read(spark, root, "postings").count() == rows.count()
+    seen = []
+
+    def change(now):
+        if not seen:  # another writer commits between this one's reading and writing
+            seen.append(len(now))
+            G.commit(spark, root, "postings", lambda live: [*live, {"name": live[0]["name"], "level": 9, "batches": [77]}])
+        return [*now, {"name": now[0]["name"], "level": 8, "batches": [88]}]
+
+    assert G.commit(spark, root, "postings", change)
+    assert sorted(b for s in G.live(spark, root, "postings")[1] for b in s["batches"]) == [0, 1, 77, 88]
