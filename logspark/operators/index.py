@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 
 from logspark.functions.scalar import DELIMITERS, object_hash, tokenize
 from logspark.model import schema
+from logspark.operators import scans
 from logspark.session import delete_paths, written
 
 #: The least false-positive rate of a filter in hundredths, the accuracy in hundredths that bounds the greatest one, and
@@ -34,10 +35,9 @@ CHUNK = ["target", "bucket", "object_id", "chunk_id"]
 
 
 def line_offsets(df: DataFrame, object_col: str, order, text: str) -> DataFrame:
-    """S1, W3. line_start and line_end in bytes, each line with its line feed, within an object."""
-    w = W.partitionBy(object_col).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.octet_length(text) + 1).over(w), F.lit(0))
-    return df.withColumn("line_start", start).withColumn("line_end", F.col("line_start") + F.octet_length(text) + 1)
+    """S1, W3. line_start and line_end in bytes, each line with its line feed, within an object; see scans."""
+    rows = scans.running_sum(df, F.octet_length(text) + 1, [object_col], list(order), "line_start")
+    return rows.withColumn("line_end", F.col("line_start") + F.octet_length(text) + 1)
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
@@ -61,31 +61,18 @@ def document_lines(docs: DataFrame) -> DataFrame:
 def assign_chunks(lines: DataFrame, byte_range: int, greedy: bool = False, object_col: str = "object_id") -> DataFrame:
     """W1. chunk_id of each line: its offset by the chunk size or, greedy, a new chunk once one is longer than that.
 
-    The default is a plain expression; greedy goes through an object's lines in order, in one task for each object.
+    The default is a plain expression; greedy chunks are found by jump tables of blocks, see scans.
     """
     if byte_range <= 0:
         raise ValueError("byte_range must be positive")
-    if not greedy:
-        return lines.withColumn("chunk_id", F.floor(F.col("line_start") / byte_range).cast("long"))
-    schema = lines.withColumn("chunk_id", F.lit(0).cast("long")).schema
-
-    def cut(pdf):
-        pdf = pdf.sort_values("line_start", kind="stable")
-        ids, chunk, held = [], 0, 0
-        for n in (pdf["line_end"] - pdf["line_start"]).tolist():
-            ids.append(chunk)
-            held += n
-            if held > byte_range:
-                chunk, held = chunk + 1, 0
-        return pdf.assign(chunk_id=ids)
-
-    return lines.groupBy(object_col).applyInPandas(cut, schema)
+    if greedy:
+        return scans.greedy_chunks(lines, byte_range, object_col)
+    return lines.withColumn("chunk_id", F.floor(F.col("line_start") / byte_range).cast("long"))
 
 
 def fill_forward(df: DataFrame, col: str, partition, order, out: str | None = None) -> DataFrame:
-    """W2. Missing values take the last one before them."""
-    w = W.partitionBy(*partition).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    return df.withColumn(out or col, F.last(col, ignorenulls=True).over(w))
+    """W2. Missing values take the last one before them; see scans."""
+    return scans.last_value(df, col, list(partition), list(order), out or col)
 
 
 def event_tokens(values: Column, whole: Column | None = None, delims: str = DELIMITERS) -> Column:

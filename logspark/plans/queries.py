@@ -255,6 +255,19 @@ def byte_chunks(spark, sf_dir):
     return lines.groupBy("object_id", "chunk_id").agg(F.count(F.lit(1)).alias("n_lines"), F.min("line_start").alias("first"))
 
 
+GREEDY = f"""o AS (SELECT event_id, strlen(props) + 1 AS n, row_number() OVER (ORDER BY event_id) AS r FROM events),
+ s AS (SELECT event_id, r, (sum(n) OVER (ORDER BY r) - n)::BIGINT AS line_start FROM o),
+ j AS MATERIALIZED (SELECT a.line_start AS s, min(b.line_start) AS next FROM s a ASOF LEFT JOIN (SELECT line_start FROM s) b ON a.line_start + 1000 < b.line_start GROUP BY 1),
+ c AS (SELECT 0::BIGINT AS s, 0 AS chunk_id UNION ALL SELECT j.next, chunk_id + 1 FROM c JOIN j ON j.s = c.s WHERE j.next IS NOT NULL)"""
+
+
+@query(f"WITH RECURSIVE {GREEDY} SELECT event_id, s.line_start, c.chunk_id::BIGINT AS chunk_id FROM s ASOF JOIN c ON s.line_start >= c.s")
+def greedy_chunks(spark, sf_dir):
+    """All events as the lines of one object, cut by the greedy rule in many blocks."""
+    lines = I.line_offsets(raw_events(spark, sf_dir).withColumn("object_id", F.lit("all")), "object_id", ["event_id"], "props")
+    return I.assign_chunks(lines, 1000, greedy=True).select("event_id", "line_start", "chunk_id")
+
+
 @query("SELECT event_id, (sum(strlen(props) + 1) OVER (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY event_id) - strlen(props) - 1)::BIGINT AS line_start FROM events")
 def object_offsets(spark, sf_dir):
     return I.line_offsets(raw_events(spark, sf_dir), "day", ["event_id"], "props").select("event_id", "line_start")

@@ -487,3 +487,37 @@ def test_segments_survive_dead_and_concurrent_writers(spark, tmp_path, monkeypat
 
     assert G.commit(spark, root, "postings", change)
     assert sorted(b for s in G.live(spark, root, "postings")[1] for b in s["batches"]) == [0, 1, 77, 88]
+
+
+@pytest.mark.parametrize(("bits", "factor", "group"), [(16, 64, 256), (3, 2, 2), (4, 1, 3)])
+def test_scans_equal_sequential_ones(spark, monkeypatch, bits, factor, group):
+    """Objects of one line to many blocks, lines longer than blocks, and a null object, against plain loops."""
+    from logspark.operators import scans
+
+    monkeypatch.setattr(scans, "BLOCK_BITS", bits)
+    monkeypatch.setattr(scans, "FACTOR", factor)
+    monkeypatch.setattr(scans, "GROUP", group)
+    r = random.Random(bits)
+    rows, want, size = [], {}, 100
+    for name, n in (("a", 700), ("b", 1), (None, 90), ("c", 300), ("d", 40)):
+        at = chunk = held = 0
+        last = None
+        for i in range(n):
+            length = r.choice([0, 3, 20, 99, 100, 101]) if name != "d" else r.choice([0, 5000, 12])
+            value = r.choice([None, None, i])
+            last = value if value is not None else last
+            want[name, i] = (at, last, chunk)
+            rows.append((name, i, "x" * length, value))
+            at += length + 1
+            held += length + 1
+            if held > size:
+                chunk, held = chunk + 1, 0
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "object_id string, seq long, text string, v long").repartition(3)
+    lines = I.line_offsets(df, "object_id", ["seq"], "text")
+    got = I.fill_forward(I.assign_chunks(lines, size, greedy=True), "v", ["object_id"], ["seq"], "filled").collect()
+    assert {(x.object_id, x.seq): (x.line_start, x.filled, x.chunk_id) for x in got} == want
+    assert len(got) == len(rows)
+    assert I.assign_chunks(lines.limit(0), size, greedy=True).count() == 0
+    with pytest.raises(ValueError):
+        I.assign_chunks(lines, 0)
