@@ -48,6 +48,7 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[object, bytes], tuple], e
                 part = batch.slice(at, 1024)
                 rows = [fn(i, t or b"", *more) for i, t in zip(part.column(0).to_pylist(), part.column(1).cast(pa.large_binary()).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), types, strict=True)], schema=types)
+        pa.default_memory_pool().release_unused()  # a worker that waits for its next task keeps no batches
 
     return df.mapInArrow(run, schema)
 
