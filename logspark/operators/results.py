@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -95,6 +96,21 @@ def limit_bytes(df: DataFrame, order: list, max_bytes: int, size: str = "bytes",
     return held.withColumn("_before", inside + F.col("_earlier")).where(F.col("_before") < max_bytes).drop("_before", "_earlier")
 
 
+def limit_bytes_early(rows_of: Callable[[str], DataFrame], days: list[str], order: list, max_bytes: int, size: str = "bytes") -> tuple[DataFrame | None, list[str]]:
+    """W7, A9. As limit_bytes, a day at a time: rows of the days in order until their bytes reach the limit, and the days
+    that were read. What is after the limit is never read; rows_of gives the rows of one day, such as a search in it.
+    """
+    kept, total, read = [], 0, []
+    for day in days:
+        if total >= max_bytes:
+            break
+        rows = written(rows_of(day), "day")
+        read.append(day)
+        kept.append(limit_bytes(rows, order, max_bytes - total, size))
+        total += rows.agg(F.coalesce(F.sum(size), F.lit(0))).head()[0]
+    return (reduce(DataFrame.unionByName, kept) if kept else None), read
+
+
 def result_counters(df: DataFrame, keys: list[str], cap: int) -> DataFrame:
     """A18. Written, dropped, empty and control-character events of each group, and whether it was cut."""
     n = F.count(F.lit(1))

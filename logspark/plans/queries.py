@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from logspark.functions import scalar as S
 from logspark.operators import index as I
+from logspark.operators import many as N
 from logspark.operators import metrics as M
 from logspark.operators import objects as O
 from logspark.operators import prune as P
@@ -179,6 +181,22 @@ def search_scan(spark, sf_dir):
     return _found(Q.search(indexed_events(spark, sf_dir), X.QueryOptions(SEARCH, t0=T0, t1=T1)))
 
 
+MANY = 1000
+TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+@query(f"WITH q AS (SELECT i AS query, i % 97 AS u, ['{"', '".join(TYPES)}'][i % 5 + 1] AS t, i % 10 AS k FROM range({MANY}) r(i)) SELECT query, event_id AS seq FROM events JOIN q ON user_id = u AND (event_type = t OR json_extract_string(props, '$.k') = k::VARCHAR) UNION ALL SELECT query, event_id FROM events JOIN q ON query % 50 = 7 AND event_type = t AND contains(props, '99') AND NOT (user_id = u)")
+def search_many(spark, sf_dir):
+    """A thousand searches over all events in one job, pruned by postings where they can be."""
+    def text(i: int) -> str:
+        own = f'user_id == "{i % 97}" && (event_type == "{TYPES[i % 5]}" || k == "{i % 10}")'
+        return f'({own}) || (event_type == "{TYPES[i % 5]}" && includes(props, "99"))' if i % 50 == 7 else own
+
+    e = indexed_events(spark, sf_dir)
+    e = e.withColumn("enrichment", F.map_concat("enrichment", F.create_map(F.lit("props"), F.substring_index("text", " ", -1))))
+    return N.search_many(e, {i: text(i) for i in range(MANY)}, ["seq"], I.distinct_tokens(e))
+
+
 @query("SELECT event_id AS seq, strftime(ts, '%Y-%m-%d') AS object_id FROM events WHERE (event_type = 'error' OR event_type = 'view') AND json_extract_string(props, '$.k') = '7'")
 def search_multi_filter(spark, sf_dir):
     e = indexed_events(spark, sf_dir)
@@ -463,6 +481,17 @@ def reverse_table(spark, sf_dir):
     return spark.read.parquet(f"{stored_index(spark, sf_dir)}/reverse").groupBy("object_id").agg(F.count(F.lit(1)).alias("n_keys"))
 
 
+@query(f"WITH {POSTINGS}, d AS (SELECT DISTINCT bucket, object_id, chunk_id FROM x) SELECT bucket, object_id, chunk_id, ((row_number() OVER (ORDER BY bucket, object_id, chunk_id) - 1) // 400)::BIGINT AS page FROM d")
+def index_pages(spark, sf_dir):
+    """All keys of the stored index, in pages of 400 that follow one another by a continuation key."""
+    root, pages = fresh(spark, "pages"), 0
+    for page, _, _ in files.key_pages(spark, stored_index(spark, sf_dir), "events", 400):
+        rows = spark.createDataFrame(page, "bucket long, object_id string, chunk_id long")
+        rows.write.parquet(f"{root}/page={pages}")  # what a caller does with a page
+        pages += 1
+    return spark.read.schema("bucket long, object_id string, chunk_id long, page long").parquet(root)
+
+
 @query(f"WITH {POSTINGS} SELECT DISTINCT object_id, chunk_id, bucket FROM x WHERE bucket >= {T0} AND bucket < {T1}")
 def stored_scan(spark, sf_dir):
     rows = files.scan_filters_between(spark, stored_index(spark, sf_dir), "events", T0, T1, HOUR)
@@ -609,6 +638,20 @@ def result_limit(spark, sf_dir):
     return _found(Q.limit_bytes(indexed_events(spark, sf_dir), ["object_id", "seq"], 20000, "n_bytes", "object_id"))
 
 
+@query(f"SELECT event_id AS seq, strftime(ts, '%Y-%m-%d') AS object_id FROM (SELECT event_id, ts, coalesce(sum(strlen(props)) OVER (ORDER BY strftime(ts, '%Y-%m-%d'), event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) b FROM events WHERE event_type = 'error') WHERE b < (SELECT sum(strlen(props)) // 10 FROM events)")
+def result_limit_early(spark, sf_dir):
+    """A search of a stored index by days, which stops once its bytes reach a tenth of all events'."""
+    root = stored_index(spark, sf_dir)
+    limit = I.read_index(spark, root, "events").agg(F.floor(F.sum("n_bytes") / 10)).head()[0]
+    days = sorted(r.bucket_day for r in I.read_index(spark, root, "events").select("bucket_day").distinct().collect())  # days of the table
+
+    def of(day: str) -> DataFrame:
+        t0 = int(datetime.fromisoformat(f"{day}T00:00:00+00:00").timestamp() * 1000)
+        return Q.search_stored(spark, root, "events", X.QueryOptions('event_type == "error"', t0=t0, t1=t0 + 24 * HOUR))
+
+    return _found(Q.limit_bytes_early(of, days, ["seq"], limit, "n_bytes")[0])
+
+
 @query("SELECT strftime(ts, '%Y-%m-%d') AS object_id, least(count(*), 20)::BIGINT AS written, greatest(count(*) - 20, 0)::BIGINT AS dropped, 0::BIGINT AS empty, 0::BIGINT AS control, count(*) > 20 AS truncated FROM events WHERE event_type = 'view' GROUP BY 1")
 def result_counters(spark, sf_dir):
     return Q.result_counters(Q.search(indexed_events(spark, sf_dir), X.QueryOptions('event_type == "view"')), ["object_id"], 20).select("object_id", F.col("written").cast("long").alias("written"), "dropped", "empty", "control", "truncated")
@@ -1016,6 +1059,23 @@ def stream_first_seen(spark, sf_dir):
     return spark.read.parquet(f"{root}/rows").select("labels")
 
 
+TTL = 6 * HOUR
+
+
+@query(f"WITH s AS (SELECT DISTINCT concat('user=', user_id) AS labels, {MS} AS ts FROM events), b AS (SELECT *, lag(ts) OVER (PARTITION BY labels ORDER BY ts) AS before FROM s) SELECT labels, ts FROM b WHERE before IS NULL OR ts - before > {TTL}")
+def stream_first_seen_ttl(spark, sf_dir):
+    """New series of a stream in order of time: those not seen in the six hours before. Idle ones leave the state."""
+    root = fresh(spark, "ttl")
+    days = indexed_events(spark, sf_dir).select("object_id", F.lit("users").alias("name"), F.concat(F.lit("user="), F.col("enrichment")["user_id"]).alias("labels"), "ts_ms")
+    ordered = days.repartitionByRange(5, "ts_ms").withColumn("part", F.spark_partition_id())
+    written(ordered, "in-order").repartition("part").write.partitionBy("part").parquet(f"{root}/all")
+    for part in range(5):  # files come one after the other, as a source in order of time gives them
+        spark.read.parquet(f"{root}/all/part={part}").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    source = files.stream_objects(spark, f"{root}/in", "name string, labels string, ts_ms long", 1)
+    streams.first_seen_ttl(source, TTL, "ts_ms").writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/rows").select("labels", "ts")
+
+
 @query("SELECT event_type, sum(strlen(props))::BIGINT AS value FROM events GROUP BY 1")
 def stream_counters(spark, sf_dir):
     """Cumulative counters: the last value that each step has emitted."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 import numpy as np
 import pyarrow as pa
@@ -182,6 +183,42 @@ def keys_after(filters: DataFrame, bucket: int) -> DataFrame:
     return filters.where(F.col("bucket") > bucket)
 
 
+#: The order of an index table's keys.
+KEY = ("bucket", "object_id", "chunk_id")
+
+
+def key_pages(spark: SparkSession, root: str, target: str, n: int, after: tuple | None = None, kind: str = "postings") -> Iterator[tuple[list, tuple | None, int]]:
+    """S3, T6. Distinct keys of a target in their order, n at a time: the page, the key to go on after (None at the end), and
+    the number of files that were opened for it.
+
+    The days of a table are read in order, from that of the key on and no further than the page needs; of a day only the
+    row groups whose bounds can hold keys after it. A page is taken with one top-n for each day.
+    """
+    fs, path = _listing(spark, f"{root}/{kind}/target={target}")
+    days = sorted(s.getPath().getName().partition("=")[2] for s in fs.listStatus(path))
+    rows = scan_filters(spark, root, target, kind=kind)
+    while True:
+        page, files = [], 0
+        first = None if after is None else datetime.fromtimestamp(after[0] / 1000, UTC).strftime("%Y-%m-%d")
+        for day in days:
+            if len(page) == n or (first is not None and day < first):
+                continue
+            own = rows.where(F.col("bucket_day") == day)
+            if after is not None and day == first:
+                own = own.where((F.col("bucket") >= after[0]) & (F.struct(*KEY) > F.struct(*[F.lit(v).cast(rows.schema[c].dataType).alias(c) for c, v in zip(KEY, after, strict=True)])))
+            files += len(fs.listStatus(path.suffix(f"/bucket_day={day}")))
+            page += [tuple(r) for r in own.select(*KEY).distinct().orderBy(*KEY).limit(n - len(page)).collect()]
+        after = page[-1] if len(page) == n else None
+        yield page, after, files
+        if after is None:
+            return
+
+
+def _listing(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def between(filters: DataFrame, t0: int, t1: int, resolution: int) -> DataFrame:
     """S4. Buckets that can hold times in [t0, t1)."""
     return filters.where((F.col("bucket") >= time_bucket(F.lit(t0).cast("long"), resolution)) & (F.col("bucket") < t1))

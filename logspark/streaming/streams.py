@@ -5,10 +5,13 @@ A stream run to its end with availableNow gives what the batch operators give on
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming import StreamingQueryListener
 
 from logspark.functions.scalar import time_bucket
@@ -39,28 +42,25 @@ def start_buckets(df: DataFrame, resolution_ms: int, late_ms: int, root: str, ch
     """X1, X3. Counts of each time bucket by micro-batch, as parts that add up, in a table for rows in time and one for late rows.
 
     A row is late if the newest time of all batches before its own is more than late_ms ahead of it. No row is dropped,
-    however late, and no state grows: the newest time is kept with the batch's output. Read them with read_buckets.
+    however late. The newest time so far is one row that each batch writes beside its counts, and the next one reads, so
+    that a batch's work does not grow with those before it. Read the counts with read_buckets.
     """
     spark = df.sparkSession
 
     def build(batch: DataFrame, batch_id: int) -> None:
-        newest = _newest(spark, root, batch_id)
-        late = F.col(ts) < F.lit(newest - late_ms) if newest is not None else F.lit(False)
+        before = _newest(spark, root, batch_id)
+        late = F.col(ts) < F.lit(before - late_ms) if before is not None else F.lit(False)
         counted = batch.groupBy(time_bucket(ts, resolution_ms).alias("bucket"), late.alias("late")).agg(F.count(F.lit(1)).alias("n"), F.max(ts).alias("newest"))
         counted.write.mode("overwrite").partitionBy("late").parquet(f"{root}/buckets/batch={batch_id}")
+        own = spark.read.schema("newest long").parquet(f"{root}/buckets/batch={batch_id}").agg(F.max("newest").alias("newest"))
+        own.select(F.greatest("newest", F.lit(before).cast("long")).alias("newest")).write.mode("overwrite").parquet(f"{root}/newest/batch={batch_id}")
 
     return df.writeStream.foreachBatch(build).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def _newest(spark: SparkSession, root: str, batch_id: int) -> int | None:
-    """The newest time of the batches before this one; a batch that is run again sees what it saw the first time."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        done = spark.read.schema("bucket long, n long, newest long, late boolean, batch long").parquet(f"{root}/buckets")
-    except AnalysisException:  # the first batch
-        return None
-    return done.where(F.col("batch") < batch_id).agg(F.max("newest")).head()[0]  # one row
+    """The newest time of the batches before this one, as the last of them has written it."""
+    return spark.read.schema("newest long").parquet(f"{root}/newest/batch={batch_id - 1}").head()[0] if batch_id else None  # one row
 
 
 def read_buckets(spark: SparkSession, root: str) -> DataFrame:
@@ -80,6 +80,40 @@ def first_seen_stream(samples: DataFrame, ts: str = "ts", watermark: str = "1 da
     return samples.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(["name", "labels"])
 
 
+def first_seen_ttl(samples: DataFrame, ttl_ms: int, ts: str = "ts", watermark: str = "1 hour") -> DataFrame:
+    """X4. Samples (name, labels, time ts in ms) of series that are new: not seen yet, or not for longer than ttl_ms.
+
+    The state of a series is its last time. Any sample renews it; a timer in event time drops a series that is idle for
+    longer than ttl_ms once the watermark has passed, so state holds the series of the last ttl_ms only. A sample that is
+    older than the series' last time is never new, and one that is behind the watermark is dropped. Returns name, labels and ts; first_seen_ttl_batch is its batch form.
+    """
+    timed = samples.select("name", "labels", F.col(ts).alias("ts"), F.timestamp_millis(ts).alias("_time")).withWatermark("_time", watermark)
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        times = sorted({int(t) for b in batches for t in b["ts"]})
+        last, new = (state.get[0] if state.exists else None), []
+        for t in times:
+            if last is None or t - last > ttl_ms:
+                new.append(t)
+            last = t if last is None else max(last, t)
+        state.update((last,))
+        state.setTimeoutTimestamp(max(last + ttl_ms + 1, state.getCurrentWatermarkMs() + 1))
+        if new:
+            yield pd.DataFrame({"name": key[0], "labels": key[1], "ts": new})
+
+    return timed.groupBy("name", "labels").applyInPandasWithState(step, "name string, labels string, ts long", "last long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def first_seen_ttl_batch(samples: DataFrame, ttl_ms: int, ts: str = "ts") -> DataFrame:
+    """X4. The batch form of first_seen_ttl: samples whose series has no other one in the ttl_ms before."""
+    rows = samples.select("name", "labels", F.col(ts).alias("ts")).distinct()
+    before = F.lag("ts").over(W.partitionBy("name", "labels").orderBy("ts"))
+    return rows.withColumn("_before", before).where(F.col("_before").isNull() | (F.col("ts") - F.col("_before") > ttl_ms)).drop("_before")
+
+
 def first_seen(samples: DataFrame) -> DataFrame:
     """X4. The first row of each series ever: keys are never forgotten, state grows with the number of series only."""
     return samples.dropDuplicates(["name", "labels"])

@@ -521,3 +521,96 @@ def test_scans_equal_sequential_ones(spark, monkeypatch, bits, factor, group):
     assert I.assign_chunks(lines.limit(0), size, greedy=True).count() == 0
     with pytest.raises(ValueError):
         I.assign_chunks(lines, 0)
+
+
+def test_minterms():
+    from logspark.operators.many import minterms_of
+
+    each = lambda t: [sorted(m) for m in minterms_of(t)]
+    assert each('a == "1"') == [[0]]
+    assert each('a == "1" && (b == "2" || includes(c, "3")) || d == "4"') == [[0, 1], [0, 2], [3]]
+    assert each('(a == "1" || b == "2") && (a == "1" || c == "3")') == [[0, 2], [0, 3], [1, 2], [1, 3]]  # by number: equal clauses are not merged
+    assert each('a == "1" || a == "1" && b == "2"') == [[0], [1, 2]]
+    with pytest.raises(ValueError):
+        minterms_of(" && ".join(f'(a{i} == "1" || b{i} == "2")' for i in range(20)))
+
+
+def test_many_searches_equal_single_ones(spark):
+    from logspark.operators import many as N
+
+    e = indexed_events(spark, SF).cache()
+    postings = I.distinct_tokens(e).cache()
+    texts = [
+        'event_type == "error"', 'k == "7" || event_type == "view" && user_id == "3"', 'includes(this, "1") && k == "5"', 'includes(text, "click") || user_id == "9"', 'k == "absent"',
+        'event_type == "absent" && k == "1"', '(event_type == "view" || event_type == "click") && (k == "1" || k == "2" || includes(user_id, "14"))', 'user_id == "5" && user_id == "6"', 'nothing == "x" || k == "3"',
+    ]
+    names = {"user_id": "enrichment['user_id']", "nothing": "enrichment['nothing']", **Q.EVENT_FIELDS}
+    for some in (texts, [t for t in texts if "includes" not in t]):
+        want = sorted((i, r.seq) for i, t in enumerate(some) for r in e.where(X.search_expr(t, names)).select("seq").collect())
+        for side in (None, postings):
+            assert sorted(map(tuple, N.search_many(e, dict(enumerate(some)), ["seq"], side).select("query", "seq").collect())) == want
+    terms = N.minterms(spark, {0: 'user_id == "17"', 1: 'k == "absent"'})
+    chunks = N.prune_many(postings, terms)
+    assert 0 < chunks.count() < e.select("object_id", "chunk_id").distinct().count()
+    assert N.prune_many(postings, N.minterms(spark, {0: 'user_id == "17"', 1: 'includes(this, "x")'})) is None
+
+
+def test_pages_open_few_files(spark):
+    from logspark.plans import queries as Z
+
+    root = Z.stored_index(spark, SF)
+    want = [tuple(r) for r in I.read_index(spark, root, "postings").select(*files.KEY).distinct().orderBy(*files.KEY).collect()]
+    total = len(I.read_index(spark, root, "postings").inputFiles())
+    got, after, opened = [], None, []
+    for _ in range(4):  # a caller that comes back with the key
+        page, after, n = next(files.key_pages(spark, root, "events", 7, after))
+        got += page
+        opened.append(n)
+    assert got == want[:28]
+    assert max(opened) < total / 5
+    late = next(files.key_pages(spark, root, "events", 50, want[-3]))
+    assert late[0] == want[-2:] and late[1] is None
+    assert next(files.key_pages(spark, root, "events", 50, want[-1])) == ([], None, late[2])
+
+
+def test_early_stop_reads_no_day_after_the_limit(spark):
+    e = indexed_events(spark, SF).select("object_id", "seq", "n_bytes").cache()
+    days = sorted(r.object_id for r in e.select("object_id").distinct().collect())
+    asked = []
+
+    def of(day):
+        asked.append(day)
+        return e.where(F.col("object_id") == day)
+
+    want = sorted(r.seq for r in Q.limit_bytes(e, ["object_id", "seq"], 1500, "n_bytes", "object_id").collect())
+    rows, read = Q.limit_bytes_early(of, days, ["seq"], 1500, "n_bytes")
+    assert sorted(r.seq for r in rows.collect()) == want
+    assert read == asked == days[: len(asked)] and len(asked) < len(days) / 2
+    assert Q.limit_bytes_early(of, days, ["seq"], 0, "n_bytes") == (None, [])
+
+
+def test_series_return_within_and_after_their_time(spark, tmp_path):
+    hour = 3_600_000
+    batches = [[("a", 0), ("b", 0), ("a", 5 * hour)], [("a", 10 * hour), ("b", 7 * hour)], [("c", 30 * hour)], [("a", 31 * hour), ("c", 33 * hour), ("b", 32 * hour)], [("c", 39 * hour), ("c", 46 * hour)]]
+    batches = [[(x, t + 1000 * hour) for x, t in rows] for rows in batches]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame([("m", x, t) for x, t in rows], "name string, labels string, ts long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        q = streams.first_seen_ttl(files.stream_objects(spark, f"{tmp_path}/in", "name string, labels string, ts long"), 6 * hour, watermark="0 seconds").writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start()
+        q.awaitTermination()
+        held = [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
+        if i == 2:
+            assert held[-1] == 1  # a and b have been idle for longer and have left
+    got = sorted((r.labels, r.ts // hour - 1000) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == [("a", 0), ("a", 31), ("b", 0), ("b", 7), ("b", 32), ("c", 30), ("c", 46)]
+    twin = streams.first_seen_ttl_batch(spark.createDataFrame([("m", x, t) for rows in batches for x, t in rows], "name string, labels string, ts long"), 6 * hour)
+    assert sorted((r.labels, r.ts // hour - 1000) for r in twin.collect()) == got
+
+
+def test_late_rows_cost_each_batch_the_same(spark, tmp_path):
+    """A batch reads one row of those before it, however many there were; it may be run again."""
+    for i, times in enumerate([[1000, 5000], [9000, 2000], [100, 8000], [20_000, 8999]]):
+        spark.createDataFrame([(t,) for t in times], "ts_ms long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        streams.start_buckets(files.stream_objects(spark, f"{tmp_path}/in", "ts_ms long"), 1000, 4000, str(tmp_path), f"{tmp_path}/check").awaitTermination()
+        assert streams._newest(spark, str(tmp_path), i + 1) == max(5000, 9000 * (i > 0), 20_000 * (i > 2))
+    got = {r.bucket: (r.n, r.n_late) for r in streams.read_buckets(spark, str(tmp_path)).collect()}
+    assert got == {0: (1, 1), 1000: (1, 0), 2000: (1, 0), 5000: (1, 0), 8000: (2, 0), 9000: (1, 0), 20_000: (1, 0)}
