@@ -339,6 +339,65 @@ def first_per_key(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(F.min_by(value, order).alias(value))
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int) -> None:
+    """S6, J1. An index table bucketed and sorted by object and chunk, so that a large object is spread out: tables with one
+    number of buckets are joined on these as they lie, without a shuffle. An index that grows takes more buckets, all alike."""
+    df.write.mode("overwrite").option("path", path).bucketBy(buckets, "object_id", "chunk_id").sortBy("object_id", "chunk_id").saveAsTable(table)
+
+
 def content_digest(df: DataFrame, keys: list[str], line: str) -> DataFrame:
     """A16. MD5 of a group's lines in order; a digest for each group, whose lines it has to hold together."""
     return df.groupBy(*keys).agg(F.md5(F.array_join(F.sort_array(F.collect_list(line)), "\n").cast("binary")).alias("digest"))
+
+
+def digest_tree(df: DataFrame, keys: list[str], line: str, depth: int = 3) -> DataFrame:
+    """A16. The digests of a group's lines as a tree: keys, level, prefix, digest; that of level 0 stands for all lines.
+
+    A leaf holds the lines whose MD5 begins with `depth` hexadecimal digits, each once with its count, in order of their
+    MD5; a node above holds its up to sixteen children. The order of lines does not matter, no task holds a group, and a
+    changed line changes the nodes of one path only, by which changed_prefixes finds it and update_tree puts it right.
+    """
+    if not 0 < depth <= 16:
+        raise ValueError("depth goes from 1 to 16")
+    counted = df.groupBy(*keys, F.md5(F.col(line).cast("binary")).alias("_md5")).agg(F.count(F.lit(1)).alias("_n"))
+    each = F.concat_ws(":", "_md5", F.col("_n").cast("string"))
+    leaves = counted.groupBy(*keys, F.left("_md5", F.lit(depth)).alias("prefix")).agg(_digest_of(each).alias("digest"))
+    return _levels_above(leaves, keys, depth)
+
+
+def _digest_of(item: Column) -> Column:
+    return F.md5(F.array_join(F.sort_array(F.collect_list(item)), ",").cast("binary"))
+
+
+def _levels_above(leaves: DataFrame, keys: list[str], depth: int) -> DataFrame:
+    at = written(leaves.select(*keys, F.lit(depth).alias("level"), "prefix", "digest"), "digests")
+    levels = [at]
+    for level in range(depth - 1, -1, -1):
+        child = F.concat_ws(":", F.right("prefix", F.lit(1)), "digest")
+        at = written(at.groupBy(*keys, F.left("prefix", F.lit(level)).alias("prefix")).agg(_digest_of(child).alias("digest")).select(*keys, F.lit(level).alias("level"), "prefix", "digest"), "digests")
+        levels.append(at)
+    return reduce(DataFrame.unionByName, levels)
+
+
+def changed_prefixes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and prefix of the leaves in which two trees differ; below equal nodes nothing is compared."""
+    depth = max(t.agg(F.max("level")).head()[0] or 0 for t in (old, new))
+    found = None
+    for level in range(depth + 1):
+        sides = [t.where(F.col("level") == level).select(*keys, "prefix", F.col("digest").alias(name)) for t, name in ((old, "_old"), (new, "_new"))]
+        if found is not None:
+            sides = [s.join(found, (F.left(s["prefix"], F.lit(level - 1)) == found["_above"]) & reduce(lambda a, b: a & b, [s[k].eqNullSafe(found[f"_{k}"]) for k in keys]), "left_semi") for s in sides]
+        on = reduce(lambda a, b: a & b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*keys, "prefix"]])
+        both = sides[0].alias("a").join(sides[1].alias("b"), on, "full_outer").where("NOT (_old <=> _new)")
+        found = written(both.select(*[F.coalesce(f"a.{k}", f"b.{k}").alias(f"_{k}") for k in keys], F.coalesce("a.prefix", "b.prefix").alias("_above")), "changed")
+    return found.select(*[F.col(f"_{k}").alias(k) for k in keys], F.col("_above").alias("prefix"))
+
+
+def update_tree(tree: DataFrame, lines: DataFrame, keys: list[str], line: str, prefixes: DataFrame, depth: int = 3) -> DataFrame:
+    """A tree after its lines have changed: only the leaves of prefixes (keys, prefix) are hashed again, from all their lines."""
+    on = lambda left, prefix: reduce(lambda a, b: a & b, [left[k].eqNullSafe(prefixes[k]) for k in keys]) & (prefix == prefixes["prefix"])
+    own = lines.join(prefixes, on(lines, F.left(F.md5(lines[line].cast("binary")), F.lit(depth))), "left_semi")
+    leaves = tree.where(F.col("level") == depth)
+    kept = leaves.join(prefixes, on(leaves, leaves["prefix"]), "left_anti").select(*keys, "prefix", "digest")
+    fresh = digest_tree(own, keys, line, depth).where(F.col("level") == depth).select(*keys, "prefix", "digest")
+    return _levels_above(kept.unionByName(fresh), keys, depth)

@@ -150,7 +150,8 @@ def write_summaries(df: DataFrame, root: str, query_id: str, cap: int = 2000) ->
 
 
 def write_by_slice(df: DataFrame, root: str, query_id: str, labels: list[str], cap: int = 2000) -> None:
-    """X9. One job for each slice, so that a slice can be read once it is there."""
+    """X9. One job for each slice, so that a slice can be read once it is there; the search itself runs once."""
+    df = written(df, "found")
     for label in labels:
         kept = cap_per_group(df.where(F.col("slice") == label), ["object_id"], ["seq"], cap)
         kept.drop("slice").write.mode("overwrite").json(f"{root}/results/query_id={query_id}/slice={label}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -550,6 +551,21 @@ def chunk_lookup(spark, sf_dir):
     return hits.where(X.overlaps(F.col("min_ts"), F.col("max_ts"), T0, T1))
 
 
+@query(f"WITH {POSTINGS} SELECT object_id, chunk_id, min(ts_ms) AS min_ts, max(ts_ms) AS max_ts, count(*) AS n_events FROM x GROUP BY 1, 2 HAVING bool_or(event_type = 'error' OR user_id = 17)")
+def chunk_lookup_bucketed(spark, sf_dir):
+    """Hits joined with stored chunks, both bucketed by object: no row is shuffled for the join."""
+    root, name = fresh(spark, "bucketed"), uuid.uuid4().hex
+    e = indexed_events(spark, sf_dir)
+    I.write_bucketed(I.chunk_bounds(e), f"chunks_{name}", f"{root}/chunks", 8)
+    I.write_bucketed(I.distinct_tokens(e), f"postings_{name}", f"{root}/postings", 8)
+    return bucketed_lookup(spark, name, ["error", "17"])
+
+
+def bucketed_lookup(spark: SparkSession, name: str, tokens: list[str]) -> DataFrame:
+    hits = spark.table(f"postings_{name}").where(F.col("token").isin(*tokens)).select("object_id", "chunk_id")
+    return spark.table(f"chunks_{name}").join(hits, ["object_id", "chunk_id"], "left_semi").select("object_id", "chunk_id", "min_ts", "max_ts", "n_events")
+
+
 @query(f"WITH {POSTINGS} SELECT concat_ws('/', 'p/q', bucket::VARCHAR, {HASH.format('object_id')}, chunk_id::VARCHAR) AS key, 'p/q' AS prefix, bucket AS epoch, chunk_id AS chunk FROM x GROUP BY ALL")
 def index_keys(spark, sf_dir):
     c = indexed_events(spark, sf_dir).select("object_id", "chunk_id", "bucket").distinct()
@@ -594,6 +610,16 @@ def template_digest(spark, sf_dir):
     return I.content_digest(I.document_lines(table(spark, sf_dir, "documents")), ["object_id"], "text")
 
 
+MD5S = f"{LINES}, n AS (SELECT object_id % 7 AS grp, md5(text) AS h, count(*) AS n FROM l GROUP BY 1, 2), t2 AS (SELECT grp, left(h, 2) AS prefix, md5(string_agg(h || ':' || n, ',' ORDER BY h || ':' || n)) AS digest FROM n GROUP BY 1, 2), t1 AS (SELECT grp, left(prefix, 1) AS prefix, md5(string_agg(right(prefix, 1) || ':' || digest, ',' ORDER BY right(prefix, 1) || ':' || digest)) AS digest FROM t2 GROUP BY 1, 2), t0 AS (SELECT grp, '' AS prefix, md5(string_agg(prefix || ':' || digest, ',' ORDER BY prefix || ':' || digest)) AS digest FROM t1 GROUP BY 1)"
+
+
+@query(f"WITH {MD5S} SELECT grp, 2 AS level, prefix, digest FROM t2 UNION ALL SELECT grp, 1, prefix, digest FROM t1 UNION ALL SELECT grp, 0, prefix, digest FROM t0")
+def digest_tree(spark, sf_dir):
+    """The lines of all documents in seven groups, digested in parts."""
+    lines = I.document_lines(table(spark, sf_dir, "documents")).select((F.col("object_id") % 7).alias("grp"), "text")
+    return I.digest_tree(lines, ["grp"], "text", 2)
+
+
 @query(f"WITH {ENCODED} SELECT template_hash, seq, encoded FROM (SELECT *, row_number() OVER (PARTITION BY template_hash ORDER BY seq) r FROM e) WHERE r <= 3")
 def template_samples(spark, sf_dir):
     return T.first_n_per_key(encoded(spark, sf_dir), "template_hash", "seq", 3).select("template_hash", "seq", "encoded")
@@ -1086,6 +1112,30 @@ def stream_counters(spark, sf_dir):
     return spark.read.schema("event_type string, value long, batch long").parquet(f"{root}/samples").groupBy("event_type").agg(F.max_by("value", "batch").alias("value"))
 
 
+@query("SELECT count(*) AS rows, sum(strlen(event_type) + 1 + strlen(props))::BIGINT AS bytes FROM events")
+def stream_source_counters(spark, sf_dir):
+    """Rows and bytes that a stream has taken in, as its listener has counted them."""
+    root, counters = fresh(spark, "source"), streams.StreamCounters()
+    spark.streams.addListener(counters)
+    try:
+        q = streams.observe_source(streamed(spark, sf_dir, 10), "text").writeStream.format("noop").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        q.awaitTermination()
+        last = q.lastProgress.batchId
+        deadline = time.monotonic() + 60
+        while counters.batches <= last and time.monotonic() < deadline:  # progress comes by a bus of its own
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counters)
+    return spark.createDataFrame([(counters.rows, counters.bytes)], "rows long, bytes long")
+
+
+@query("SELECT event_type AS tag, count(*) AS n, false AS late FROM events GROUP BY 1")
+def deadline(spark, sf_dir):
+    """A search with a time limit that it keeps to; one that it doesn't is stopped (see the tests)."""
+    rows, late = Q.run_with_deadline(spark, lambda: raw_events(spark, sf_dir).groupBy(F.col("event_type").alias("tag")).agg(F.count(F.lit(1)).alias("n")).transform(lambda d: written(d, "in-time")), 600_000)
+    return rows.withColumn("late", F.lit(late))
+
+
 @query(f"SELECT {HASH.format('event_type')} AS template_hash, event_type AS template FROM events GROUP BY event_type")
 def stream_templates(spark, sf_dir):
     """Templates of a stream, each once, compacted in a store."""

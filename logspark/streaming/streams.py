@@ -5,6 +5,7 @@ A stream run to its end with availableNow gives what the batch operators give on
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -155,14 +156,21 @@ def stream_otlp(df: DataFrame, send: Callable[[DataFrame], None], checkpoint: st
     return df.writeStream.foreachBatch(lambda rows, _: send(to_otlp(rows, batch))).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def observe_source(df: DataFrame, text: str, name: str = "source") -> DataFrame:
+    """X10. Has a stream's source counted by StreamCounters: rows and UTF-8 bytes of a column, batch by batch."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes"))
+
+
 class StreamCounters(StreamingQueryListener):
-    """X10. Rows read and written, batches and milliseconds of all queries since the start, and since the last call of delta."""
+    """X10. Rows read and written, bytes of observed sources, batches and milliseconds of all queries since the start, and since
+    the last call of delta. every calls tell with the delta, at most once in so many seconds, as batches end."""
 
-    NAMES = ("rows", "batches", "written", "ms")
+    NAMES = ("rows", "batches", "written", "ms", "bytes")
 
-    def __init__(self) -> None:
-        self.rows = self.batches = self.written = self.ms = 0
+    def __init__(self, tell: Callable[[dict[str, int]], None] | None = None, every: float = 30.0, source: str = "source") -> None:
+        self.rows = self.batches = self.written = self.ms = self.bytes = 0
         self._last = dict.fromkeys(self.NAMES, 0)
+        self._tell, self._every, self._source, self._told = tell, every, source, time.monotonic()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -179,6 +187,11 @@ class StreamCounters(StreamingQueryListener):
         self.batches += 1
         self.written += max(0, p.sink.numOutputRows)
         self.ms += p.batchDuration
+        seen = (p.observedMetrics or {}).get(self._source)
+        self.bytes += seen["bytes"] if seen else 0
+        if self._tell and time.monotonic() - self._told >= self._every:
+            self._told = time.monotonic()
+            self._tell(self.delta())
 
     def delta(self) -> dict[str, int]:
         now = {n: getattr(self, n) for n in self.NAMES}

@@ -3,6 +3,7 @@
 import itertools
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -614,3 +615,59 @@ def test_late_rows_cost_each_batch_the_same(spark, tmp_path):
         assert streams._newest(spark, str(tmp_path), i + 1) == max(5000, 9000 * (i > 0), 20_000 * (i > 2))
     got = {r.bucket: (r.n, r.n_late) for r in streams.read_buckets(spark, str(tmp_path)).collect()}
     assert got == {0: (1, 1), 1000: (1, 0), 2000: (1, 0), 5000: (1, 0), 8000: (2, 0), 9000: (1, 0), 20_000: (1, 0)}
+
+
+def test_digest_tree_finds_and_mends_a_change(spark):
+    r = random.Random(5)
+    rows = [(r.choice(["a", "b", None]), f"line {r.randrange(150)}") for _ in range(400)]
+    df = spark.createDataFrame(rows, "grp string, line string")
+    nodes = lambda t: {(x.grp, x.level, x.prefix): x.digest for x in t.collect()}
+    old = nodes(I.digest_tree(df, ["grp"], "line", 2))
+    assert nodes(I.digest_tree(spark.createDataFrame(r.sample(rows, len(rows)), df.schema).repartition(5), ["grp"], "line", 2)) == old
+    assert {k[0] for k in old if k[1] == 0} == {"a", "b", None}
+    changed = [*rows[1:], ("c", "a group of its own"), ("a", rows[0][1] + " changed")]
+    new_df = spark.createDataFrame(changed, df.schema)
+    new = nodes(I.digest_tree(new_df, ["grp"], "line", 2))
+    trees = [I.digest_tree(x, ["grp"], "line", 2) for x in (df, new_df)]
+    found = I.changed_prefixes(*trees, ["grp"])
+    want = {(g, p) for g, level, p in {**old, **new} if level == 2 and old.get((g, level, p)) != new.get((g, level, p))}
+    assert {(x.grp, x.prefix) for x in found.collect()} == want and 2 <= len(want) <= 3
+    assert nodes(I.update_tree(trees[0], new_df, ["grp"], "line", found, 2)) == new
+    assert I.changed_prefixes(trees[0], trees[0], ["grp"]).count() == 0
+    assert I.digest_tree(df.limit(0), ["grp"], "line").count() == 0
+    with pytest.raises(ValueError):
+        I.digest_tree(df, ["grp"], "line", 0)
+
+
+def test_bucketed_tables_are_joined_as_they_lie(spark):
+    from logspark.plans import queries as Z
+
+    QUERIES["chunk_lookup_bucketed"](spark, SF)
+    name = next(t.name for t in spark.catalog.listTables() if t.name.startswith("chunks_")).removeprefix("chunks_")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = Z.bucketed_lookup(spark, name, ["error", "17"])
+        rows = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert rows and "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_source_counters_tell_their_deltas(spark, tmp_path):
+    told = []
+    counters = streams.StreamCounters(told.append, every=0.0)
+    spark.streams.addListener(counters)
+    try:
+        for i in range(2):
+            spark.createDataFrame([("é" * 10,), ("abc",), (None,)], "text string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+            streams.observe_source(files.stream_objects(spark, f"{tmp_path}/in", "text string"), "text").writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start().awaitTermination()
+            for _ in range(100):
+                if counters.rows >= 3 * (i + 1):
+                    break
+                time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counters)
+    assert (counters.rows, counters.bytes) == (6, 46)
+    assert sum(d["bytes"] for d in told) == 46 and len([d for d in told if d["rows"]]) == 2
