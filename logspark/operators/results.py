@@ -14,7 +14,7 @@ from logspark.functions.scalar import query_reason, slice_label, time_slice
 from logspark.operators import prune
 from logspark.operators.search import QueryOptions, clause_tokens, combine_filters, in_range
 from logspark.session import written
-from logspark.sources.files import scan_filters_between
+from logspark.sources.files import read_chunks, scan_filters_between
 
 EVENT_FIELDS = {"k": "enrichment['k']", "event_type": "enrichment['event_type']", "user_id": "enrichment['user_id']", "this": "text", "this.text": "text"}
 
@@ -47,16 +47,25 @@ def search_stored(spark: SparkSession, root: str, target: str, options: QueryOpt
     return search(events, options, template_hashes=template_hashes, fields=fields, **side)
 
 
-def counters_of(spark: SparkSession, root: str, target: str, options: QueryOptions, kind: str = "postings", resolution: int = 3_600_000) -> DataFrame:
-    """A7. Counters of a stored search: index keys scanned, chunks matched, requests, objects and bytes of events left and skipped."""
+def counters_of(spark: SparkSession, root: str, target: str, options: QueryOptions, kind: str = "postings", resolution: int = 3_600_000, template_hashes: list[str] | None = None) -> DataFrame:
+    """A7. Counters of a stored search: index keys, chunks scanned, matched and skipped (by the search, by the template gate),
+    keys of matched chunks beyond their first, requests, objects, and bytes of the events of chunks matched and skipped."""
     index = scan_filters_between(spark, root, target, options.t0, options.t1, resolution, kind)
-    chunks = candidates(index, options, **({"postings": index} if kind == "postings" else {"filters": index}))
-    keys = index.select("object_id", "chunk_id", "bucket").distinct()
-    held = keys.join(prune.by_size(chunks.withColumn("_hit", F.lit(True))), ["object_id", "chunk_id"], "left") if chunks is not None else keys.withColumn("_hit", F.lit(True))
-    chunk, hit = F.struct("object_id", "chunk_id"), F.col("_hit").isNotNull()
+    side = {"postings": index} if kind == "postings" else {"filters": index}
+    keys = index.select("object_id", "chunk_id", "bucket").distinct().groupBy("object_id", "chunk_id").agg(F.count(F.lit(1)).alias("n"))
+    gates = {"_search": candidates(index, options, **side), "_template": None}
+    if template_hashes:
+        gates["_template"] = prune.prune_by_template(index, template_hashes) if kind == "postings" else prune.distinct_chunks(index.where(prune.might_contain_any(template_hashes)))
+    for name, chunks in gates.items():
+        keys = keys.withColumn(name, F.lit(True)) if chunks is None else keys.join(prune.by_size(written(chunks.withColumn(name, F.lit(True)), "gate")), ["object_id", "chunk_id"], "left")
+    sizes = read_chunks(spark, root).select("object_id", "chunk_id", "n_bytes")
+    held = keys.join(sizes, ["object_id", "chunk_id"], "left").withColumn("_hit", F.col("_search").isNotNull() & F.col("_template").isNotNull())
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return held.agg(
-        F.count(F.lit(1)).alias("keys"), F.count_distinct(chunk).alias("scanned"), F.count_distinct(F.when(hit, chunk)).alias("matched"), F.count_distinct(F.when(~hit, chunk)).alias("skipped_search"),
-        (F.count_if(hit) - F.count_distinct(F.when(hit, chunk))).alias("skipped_duplicate"), F.count_distinct(F.when(hit, F.col("object_id"))).alias("requests"), F.count_distinct("object_id").alias("objects"),
+        total("n").alias("keys"), F.count(F.lit(1)).alias("scanned"), F.count_if("_hit").alias("matched"), F.count_if(F.col("_search").isNull()).alias("skipped_search"),
+        F.count_if(F.col("_search").isNotNull() & F.col("_template").isNull()).alias("skipped_template"), total(F.when(F.col("_hit"), F.col("n") - 1)).alias("skipped_duplicate"),
+        F.count_distinct(F.when(F.col("_hit"), F.col("object_id"))).alias("requests"), F.count_distinct("object_id").alias("objects"),
+        total(F.when(F.col("_hit"), F.col("n_bytes"))).alias("bytes"), total(F.when(~F.col("_hit"), F.col("n_bytes"))).alias("bytes_skipped"),
     )
 
 

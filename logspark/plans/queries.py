@@ -532,11 +532,24 @@ def index_key_sizes(spark, sf_dir):
     return I.key_sizes(I.read_index(spark, stored_index(spark, sf_dir)), 2)
 
 
-@query(f"WITH {POSTINGS}, g AS (SELECT object_id, chunk_id, bucket FROM x WHERE bucket >= {T0} AND bucket < {T1} GROUP BY ALL), h AS (SELECT DISTINCT object_id, chunk_id, true AS hit FROM k WHERE bucket >= {T0} AND bucket < {T1} AND token = 'error'), j AS (SELECT g.*, coalesce(hit, false) AS hit FROM g LEFT JOIN h USING (object_id, chunk_id)) SELECT count(*) AS keys, count(DISTINCT (object_id, chunk_id)) AS scanned, count(DISTINCT (object_id, chunk_id)) FILTER (hit) AS matched, count(DISTINCT (object_id, chunk_id)) FILTER (NOT hit) AS skipped_search, count(*) FILTER (hit) - count(DISTINCT (object_id, chunk_id)) FILTER (hit) AS skipped_duplicate, count(DISTINCT object_id) FILTER (hit) AS requests, count(DISTINCT object_id) AS objects FROM j")
+COUNTED = f"""{POSTINGS}, g AS (SELECT object_id, chunk_id, count(DISTINCT bucket) AS n FROM x WHERE bucket >= {T0} AND bucket < {T1} GROUP BY 1, 2),
+ h AS (SELECT object_id, chunk_id, bool_or(token = 'error') AS s, bool_or(token IN ('17', 'absent')) AS t FROM k WHERE bucket >= {T0} AND bucket < {T1} GROUP BY 1, 2),
+ z AS (SELECT object_id, chunk_id, sum(strlen(props)) AS size FROM x GROUP BY 1, 2), j AS (SELECT g.*, s, {{gate}} AS t, s AND {{gate}} AS hit, size FROM g JOIN h USING (object_id, chunk_id) JOIN z USING (object_id, chunk_id))
+ SELECT sum(n)::BIGINT AS keys, count(*) AS scanned, count(*) FILTER (hit) AS matched, count(*) FILTER (NOT s) AS skipped_search, count(*) FILTER (s AND NOT t) AS skipped_template, coalesce(sum(n - 1) FILTER (hit), 0)::BIGINT AS skipped_duplicate,
+ count(DISTINCT object_id) FILTER (hit) AS requests, count(DISTINCT object_id) AS objects, coalesce(sum(size) FILTER (hit), 0)::BIGINT AS bytes, coalesce(sum(size) FILTER (NOT hit), 0)::BIGINT AS bytes_skipped FROM j"""
+
+
+@query(f"WITH {COUNTED.format(gate='true')}")
 def stored_counters(spark, sf_dir):
     return Q.counters_of(spark, stored_index(spark, sf_dir), "events", X.QueryOptions(SEARCH, t0=T0, t1=T1))
 
 
+@query(f"WITH {COUNTED.format(gate='t')}")
+def stored_counters_gated(spark, sf_dir):
+    """With a template gate, here a user's id beside one that is absent."""
+    return Q.counters_of(spark, stored_index(spark, sf_dir), "events", X.QueryOptions(SEARCH, t0=T0, t1=T1), template_hashes=["17", "absent"])
+
+
 @query(f"WITH {POSTINGS} SELECT DISTINCT object_id, chunk_id, bucket FROM x WHERE bucket >= {T0 + 1_800_000} - ({T0 + 1_800_000}) % {HOUR} AND bucket < {T1} AND bucket > {T0 - HOUR}")
 def index_scan(spark, sf_dir):
     rows = I.distinct_tokens(indexed_events(spark, sf_dir))
