@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
@@ -153,13 +154,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, may_learn: C
         weights = {r.token: float(o) for r, o, u in zip(rows, odds, use, strict=True) if u}
         model = Model(weights)
         seen = texts.select(F.concat_ws(":", "toxic", "doc_id").alias("key"), "text")
-        facts = lambda: map_rows(seen, "toxic int, n int, hits array<double>, best double, x double", _facts(model)).collect()  # noqa: E731  a few numbers for each row of the sample
+        facts = lambda: map_rows(seen, "toxic int, n int, hits array<double>, counts array<long>, best double, x double", _facts(model)).collect()  # noqa: E731  a few numbers for each row of the sample
         found = facts()
         clean = [r for r in found if not r.toxic]
         n = sum(r.n for r in clean) + 1
-        hits = np.array([h for r in clean for h in r.hits] or [1.0])
-        model.drift = max(0.02, 2 * float(hits.sum()) / n)
-        model.rate = _rate(hits, np.full(len(hits), 1 / n), model.drift)
+        times: Counter = Counter()
+        for r in clean:
+            times.update(dict(zip(r.hits, r.counts, strict=True)))
+        hits = np.array(sorted(times) or [1.0])
+        share = np.array([times[h] for h in hits.tolist()] if times else [1]) / n
+        model.drift = max(0.02, 2 * float((hits * share).sum()))
+        model.rate = _rate(hits, share, model.drift)
         best = np.array([r.best for r in facts() if not r.toxic and r.best > 0] or [0.0])
         middle = float(np.median(best))
         model.scale = max(1e-4, float((best >= middle).sum()) / n * math.exp(min(50.0, model.rate * middle)))
@@ -184,7 +189,8 @@ def _facts(model: Model) -> Callable:
         words = [w for w in words_of(data) if w]
         memory: dict[str, float] = {}
         segments = model.segments(words, memory)
-        return int(key.split(":")[0]), len(words), [s for w in words if (s := memory[w]) > 0], max([s[0] for s in segments], default=0.0), model.evidence(words, memory)[0]
+        times = Counter(s for w in words if (s := memory[w]) > 0)  # at most as many values as the model has weights
+        return int(key.split(":")[0]), len(words), list(times), list(times.values()), max([s[0] for s in segments], default=0.0), model.evidence(words, memory)[0]
 
     return run
 
