@@ -7,13 +7,13 @@ A window is SIZE consecutive words; a word goes if a window over it has the same
    follows from the total. Windows of a group with more than HOT are spread over all shards by their full hash, each on
    its own, so a part that stands among many different neighbours fills no single shard. Counts choose the way of a
    window only: they may be too high (repeated windows are counted), never change a result.
-1. One pass over the texts. Inside a slice of a task's documents windows of one hash are compared word by word, as runs
+1. One pass over the texts. To keep the shuffle small, inside a slice of a task's documents windows of one hash are compared word by word, as runs
    of neighbours; all but the earliest of equal ones are removed at once, so a passage that a third of all documents
    share is shuffled once for each slice and not once for each document. A window's shard comes from the least hash of its
    GRAM-word parts; most of its neighbours share it, so windows travel as runs: a symbol of 8 bits for each word, and 16
    bits of each window's hash. Equal windows have equal least parts, so each has to be looked for in one shard only.
-2. In a shard, runs whose least part no other run has are done: none of their windows is anywhere else. Runs of equal
-   symbols are searched once. Over what is left a compressed FM-index is built (a wavelet matrix over the BWT), and
+2. In a shard, runs whose least part no other run has are done: none of their windows is anywhere else. Over all others a
+   compressed FM-index is built (a wavelet matrix over the BWT), and
    backward search streams the windows through it: a window whose matching statistic reaches SIZE with two places or more
    shares its suffix interval with its copies. Those that share their 16 bits, too, are candidates; nothing is removed yet.
 3. Candidates, packed by document, are joined to the texts, and each gets a 128-bit digest of its very words. In a batch,
@@ -284,28 +284,22 @@ def _search(rows: list[dict], size: int) -> list[tuple[np.ndarray, ...]]:
     if not len(shared):
         return []
     at_word, at_check = np.cumsum(n + size - 1) - (n + size - 1), np.cumsum(n) - n
-    earliest: dict[bytes, int] = {}
-    lead = np.array([earliest.setdefault(words[at_word[r] : at_word[r] + n[r] + size - 1] + raw[2 * at_check[r] : 2 * (at_check[r] + n[r])], r) for r in shared.tolist()])
-    once, times = np.unique(lead, return_counts=True)
-    again = shared[np.isin(lead, once[times > 1])]
-    out = [(np.repeat(doc[again], n[again]), np.repeat(key[again], n[again]), np.repeat(place[again], n[again]) + _ramp(n[again]))]
-    length = n[once] + size - 1
-    symbols = np.frombuffer(words, np.uint8)[np.repeat(at_word[once], length) + _ramp(length)]
-    text = np.zeros(len(symbols) + len(once), np.int64)  # a separator after each run
+    length = n[shared] + size - 1
+    symbols = np.frombuffer(words, np.uint8)[np.repeat(at_word[shared], length) + _ramp(length)]
+    text = np.zeros(len(symbols) + len(shared), np.int64)  # a separator after each run
     starts = np.cumsum(length + 1) - (length + 1)
     text[np.repeat(starts, length) + _ramp(length)] = symbols.astype(np.int64) + 1
-    windows = np.repeat(starts, n[once]) + _ramp(n[once])
+    windows = np.repeat(starts, n[shared]) + _ramp(n[shared])
     matched, low, _ = FmIndex(text).search(text, windows, size)
     hit = np.flatnonzero(matched == size)
-    if len(hit):
-        run = np.repeat(once, n[once])[hit]
-        p = np.repeat(place[once], n[once])[hit] + _ramp(n[once])[hit]
-        together = low[hit] * 65536 + checks[np.repeat(at_check[once], n[once]) + _ramp(n[once])][hit]
-        _, inverse, counts = np.unique(together, return_inverse=True, return_counts=True)
-        # Windows of runs that stand here twice are candidates already.
-        fresh = (counts[inverse] > 1) & np.isin(run, once[times == 1])
-        out.append((doc[run[fresh]], key[run[fresh]], p[fresh]))
-    return out
+    if not len(hit):
+        return []
+    run = np.repeat(shared, n[shared])[hit]
+    p = np.repeat(place[shared], n[shared])[hit] + _ramp(n[shared])[hit]
+    together = low[hit] * 65536 + checks[np.repeat(at_check[shared], n[shared]) + _ramp(n[shared])][hit]
+    _, inverse, counts = np.unique(together, return_inverse=True, return_counts=True)
+    found = counts[inverse] > 1
+    return [(doc[run[found]], key[run[found]], p[found])] if found.any() else []
 
 
 def _bucket(doc: np.ndarray, key: np.ndarray, buckets: int) -> np.ndarray:
