@@ -157,6 +157,154 @@ SIGNATURES = (
     ("noncommercial", "non commercial", r"for non commercial (?:use|purposes) only", 5, 0.7),
     ("noncommercial", "noncommercial", r"for noncommercial (?:use|purposes) only", 5, 0.7),
     ("noncommercial", "research purposes only", r"for (?:academic |scientific )?research purposes only", 5, 0.7),
+    ("mit", "to deal in the software without restriction", r"to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell", 9, 1.0),
+    ("mit", "claim damages or other liability", r"in no event shall the authors or copyright holders be liable for any claim damages or other liability", 8, 0.9),
+    ("mit", "warranties of merchantability fitness", r"the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness", 7, 0.8),
+    ("mit 0", "the software without restriction including", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided", 11, 1.0),
+    ("bsd", "procurement of substitute goods or services", r"procurement of substitute goods or services loss of use data or profits or business interruption", 8, 0.9),
+    ("bsd", "provided by the copyright holders and contributors", r"this software is provided by the copyright holders and contributors as is and any express or implied warranties", 8, 0.9),
+    ("bsd", "redistributions of source code must retain", r"redistributions of source code must retain the above copyright notice", 8, 0.9),
+    ("bsd", "provided by the regents and contributors", r"this software is provided by the regents and contributors as is", 9, 0.95),
+    ("bsd 0 clause", "performance of this software", r"arising out of or in connection with the use or performance of this software", 6, 0.7),
+    ("bsd 3 clause clear", "no express or implied licenses to any", r"no express or implied licenses to any party s patent rights are granted by this license", 10, 1.0),
+    ("bsd source code", "neither the name of the university", r"neither the name of the university nor the names of its contributors", 9, 0.95),
+    ("isc", "loss of use data or profits whether", r"special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract", 8, 0.9),
+    ("isc", "disclaims all warranties with regard", r"the author disclaims all warranties with regard to this software including all implied warranties", 8, 0.9),
+    ("apache 2 0", "each contributor hereby grants to you a perpetual", r"each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license", 9, 1.0),
+    ("apache 2 0", "derivative works a copy of this license", r"you must give any other recipients of the work or derivative works a copy of this license", 9, 0.95),
+    ("apache 2 0", "licensed to the apache software foundation", r"licensed to the apache software foundation asf under one or more contributor license agreements", 10, 1.0),
+    ("apache 2 0", "reproduction and distribution", r"terms and conditions for use reproduction and distribution 1 definitions", 9, 0.95),
+    ("apache 2 0", "cross claim or counterclaim in a lawsuit", r"including a cross claim or counterclaim in a lawsuit alleging that the work", 9, 0.95),
+    ("apache 1 0", "redistributions of any form whatsoever", r"redistributions of any form whatsoever must retain the following acknowledge?ment", 9, 0.9),
+    ("apache 1 1", "may apache appear in their name", r"nor may apache appear in their name without prior written permission", 10, 1.0),
+    ("gpl", "protect your rights with two steps", r"we protect your rights with two steps 1 copyright the software", 9, 0.95),
+    ("gpl 2", "work based on the program", r"you may modify your copy or copies of the program or any portion of it thus forming a work based on the program", 9, 1.0),
+    ("gpl 2", "accompany it with the complete corresponding", r"accompany it with the complete corresponding machine readable source code", 8, 0.9),
+    ("gpl 2", "51 franklin street fifth floor", r"free software foundation inc 51 franklin street fifth floor boston", 8, 0.85),
+    ("gpl 2", "59 temple place suite 330", r"free software foundation inc 59 temple place suite 330 boston", 8, 0.85),
+    ("gpl 2", "675 mass ave cambridge", r"free software foundation inc 675 mass ave cambridge", 8, 0.85),
+    ("gpl 3", "convey covered works to others for the sole purpose", r"you may convey covered works to others for the sole purpose of having them make modifications exclusively for you", 9, 1.0),
+    ("gpl 3", "no covered work shall be deemed part", r"no covered work shall be deemed part of an effective technological measure", 9, 1.0),
+    ("gpl 3", "installation information", r"the requirement to provide installation information does not include a requirement", 8, 0.9),
+    ("gpl", "freedom to share and change it", r"the licenses for most software are designed to take away your freedom to share and change it", 9, 0.95),
+    ("gpl", "free copyleft license for software", r"is a free copyleft license for software and other kinds of works", 9, 0.95),
+    ("gpl", "how to apply these terms to your new programs", r"how to apply these terms to your new programs", 7, 0.8),
+    ("gpl", "but without any warranty without even", r"in the hope that it will be useful but without any warranty without even the implied warranty of merchantability", 7, 0.8),
+    ("gpl classpath exception", "linking this library statically or dynamically", r"linking this library statically or dynamically with other modules is making a combined work based on this library", 10, 1.0),
+    ("gpl autoconf exception", "contains a configuration script generated by autoconf", r"distribute this file as part of a program that contains a configuration script generated by autoconf", 10, 1.0),
+    ("gpl bison exception", "skeleton", r"you may create a larger work that contains part or all of the bison parser skeleton", 10, 1.0),
+    ("gcc runtime exception", "gcc runtime library exception", r"gcc runtime library exception", 10, 1.0),
+    ("lgpl", "designed to work with the library", r"is designed to work with the library by being compiled or linked with it is called a work that uses the library", 9, 1.0),
+    ("lgpl 3", "terms and conditions of version 3 of the gnu general", r"incorporates the terms and conditions of version 3 of the gnu general public license supplemented by the additional permissions", 10, 1.0),
+    ("lgpl", "successor of the gnu library public license", r"it also counts as the successor of the gnu library public license", 9, 0.95),
+    ("agpl", "remote network interaction", r"remote network interaction use with the gnu general public license", 9, 1.0),
+    ("agpl", "interacting with it remotely through a computer network", r"must prominently offer all users interacting with it remotely through a computer network", 9, 1.0),
+    ("gfdl", "a secondary section is a named appendix", r"a secondary section is a named appendix or a front matter section", 9, 1.0),
+    ("gfdl", "preserve in that license notice the full lists", r"preserve in that license notice the full lists of invariant sections and required cover texts", 9, 1.0),
+    ("mpl 1 1", "initial developer of the original code", r"the initial developer of the original code is", 8, 0.9),
+    ("mpl 1 1", "alternatively the contents of this file may be used", r"alternatively the contents of this file may be used under the terms of either the gnu general public license", 9, 0.95),
+    ("mpl 2 0", "incompatible with secondary licenses", r"this source code form is incompatible with secondary licenses as defined by the mozilla public license", 10, 1.0),
+    ("mpl 2 0", "covered software is provided under this license", r"covered software is provided under this license on an as is basis", 9, 0.95),
+    ("epl", "secondary licenses when the conditions", r"this source code may also be made available under the following secondary licenses when the conditions for such availability", 9, 1.0),
+    ("epl", "any use reproduction or distribution of the program constitutes", r"any use reproduction or distribution of the program constitutes recipient s acceptance of this agreement", 8, 0.9),
+    ("edl", "eclipse distribution license", r"eclipse distribution license(?: version 1 0| v ?1 0)?", 8, 0.95),
+    ("cddl", "covered software under the terms of this license", r"you may distribute the executable form of the covered software under the terms of this license", 9, 0.95),
+    ("cddl", "cddl header start", r"cddl header start", 8, 0.95),
+    ("ipl", "ibm public license", r"(?:the )?ibm public license(?: version 1 0)?", 8, 0.95),
+    ("apsl", "apple public source license", r"(?:the )?apple public source license(?: version [12] [012])?", 8, 0.95),
+    ("npl", "netscape public license", r"(?:the )?netscape public license(?: version 1 [01])?", 8, 0.95),
+    ("spl", "sun public license", r"(?:the )?sun public license(?: version 1 0)?", 8, 0.95),
+    ("sissl", "sun industry standards source license", r"sun industry standards source license", 8, 0.95),
+    ("rpsl", "realnetworks public source license", r"realnetworks public source license", 8, 0.95),
+    ("nosl", "netizen open source license", r"netizen open source license", 8, 0.95),
+    ("nasa", "nasa open source agreement", r"nasa open source agreement(?: version 1 3)?", 8, 0.95),
+    ("lppl", "latex project public license", r"conditions of the latex project public license", 9, 1.0),
+    ("lppl", "lppl maintenance status", r"this work has the lppl maintenance status", 9, 1.0),
+    ("lppl", "latex project public license", r"(?:the )?latex project public license(?: version 1 [0123])?", 7, 0.9),
+    ("cecill", "cecill", r"(?:governed by|under) (?:the )?cecill(?: b| c)? license", 8, 0.95),
+    ("clarified artistic", "clarified artistic license", r"(?:the )?clarified artistic license", 8, 0.95),
+    ("artistic", "intent of this document is to state the conditions", r"the intent of this document is to state the conditions under which a package may be copied", 9, 1.0),
+    ("artistic", "reasonable copying fee", r"you may charge a reasonable copying fee for any distribution of this package", 9, 0.95),
+    ("boost", "works are solely in the form of machine executable", r"unless such copies or derivative works are solely in the form of machine executable object code", 10, 1.0),
+    ("zlib", "the origin of this software must not be misrepresented", r"the origin of this software must not be misrepresented you must not claim that you wrote the original software", 9, 1.0),
+    ("zlib", "altered source versions must be plainly marked", r"altered source versions must be plainly marked as such and must not be misrepresented", 9, 1.0),
+    ("libpng", "png reference library", r"the png reference library is supplied as is", 9, 1.0),
+    ("libtiff", "sam leffler and silicon graphics", r"the names of sam leffler and silicon graphics may not be used", 10, 1.0),
+    ("ijg", "independent jpeg group", r"this software is based in part on the work of the independent jpeg group", 9, 1.0),
+    ("freetype", "freetype project license", r"(?:the )?freetype project license", 8, 0.95),
+    ("unicode", "unicode inc license agreement", r"unicode inc license agreement data files and software", 9, 1.0),
+    ("unicode", "unicode data files and any associated documentation", r"obtaining a copy of the unicode data files and any associated documentation", 10, 1.0),
+    ("python", "beopen python open source license agreement", r"beopen python open source license agreement", 9, 1.0),
+    ("python", "psf is making python available to licensee", r"psf is making python available to licensee on an as is basis", 9, 1.0),
+    ("php", "products derived from this software may not be called php", r"products derived from this software may not be called php", 9, 1.0),
+    ("ruby", "you may distribute the software in object code or binary form", r"you may distribute the software in object code or binary form provided that you do at least one of the following", 9, 1.0),
+    ("openssl", "cryptographic software written by eric young", r"this product includes cryptographic software written by eric young", 9, 0.95),
+    ("postgresql", "university of california be liable to any party", r"in no event shall the university of california be liable to any party for direct indirect special incidental or consequential damages", 9, 0.95),
+    ("tcl", "hereby grant permission to use copy modify distribute and license", r"the authors hereby grant permission to use copy modify distribute and license this software", 9, 1.0),
+    ("ofl", "goals of the open font license", r"the goals of the open font license ofl are to stimulate worldwide development of collaborative font projects", 9, 1.0),
+    ("ofl", "neither the font software nor any of its individual components", r"neither the font software nor any of its individual components in original or modified versions may be sold by itself", 9, 1.0),
+    ("bitstream vera", "obtaining a copy of the fonts", r"obtaining a copy of the fonts accompanying this license", 9, 0.95),
+    ("odbl", "opendatacommons org licenses odbl", r"opendatacommons org licenses odbl(?: 1 0)?", 9, 1.0),
+    ("odc by", "opendatacommons org licenses by", r"opendatacommons org licenses by(?: 1 0)?", 9, 1.0),
+    ("pddl", "opendatacommons org licenses pddl", r"opendatacommons org licenses pddl(?: 1 0)?", 9, 1.0),
+    ("pddl", "public domain dedication and license", r"(?:open data commons )?public domain dedication and license", 8, 0.95),
+    ("cdla permissive", "community data license agreement permissive", r"community data license agreement permissive(?: version [12] 0)?", 8, 0.95),
+    ("cdla sharing", "community data license agreement sharing", r"community data license agreement sharing(?: version 1 0)?", 8, 0.95),
+    ("ogl uk", "open government licence", r"(?:the )?open government licence(?: v[123] 0| version [123] 0)?", 8, 0.95),
+    ("cc0", "the person who associated a work with this deed", r"the person who associated a work with this deed has dedicated the work to the public domain", 9, 1.0),
+    ("cc by", "you must give appropriate credit", r"you must give appropriate credit provide a link to the license and indicate if changes were made", 7, 0.85),
+    ("cc by sa", "under the same license as the original", r"if you remix transform or build upon the material you must distribute your contributions under the same license as the original", 8, 0.9),
+    ("cc by nc", "use the material for commercial purposes", r"you may not use the material for commercial purposes", 7, 0.85),
+    ("cc by nd", "you may not distribute the modified material", r"if you remix transform or build upon the material you may not distribute the modified material", 8, 0.9),
+    ("cc", "creative commons corporation is not a law firm", r"creative commons corporation is not a law firm and does not provide legal services", 8, 0.9),
+    ("cc", "this creative commons public license", r"under the terms of this creative commons public license", 8, 0.9),
+    ("ms rl", "for any file you distribute that contains code from the software", r"for any file you distribute that contains code from the software in source code or binary format", 9, 1.0),
+    ("ms lpl", "microsoft limited public license", r"microsoft limited public license", 8, 0.95),
+    ("microsoft eula", "microsoft software license terms", r"microsoft software license terms", 8, 0.95),
+    ("busl", "change date", r"effective on the change date or the fourth anniversary of the first publicly available distribution", 9, 1.0),
+    ("busl", "additional use grant", r"licensor may make an additional use grant above permitting limited production use", 9, 1.0),
+    ("elastic", "license key functionality", r"you may not move change disable or circumvent the license key functionality in the software", 9, 1.0),
+    ("commons clause", "commons clause", r"commons clause license condition(?: v1 0)?", 9, 1.0),
+    ("commons clause", "does not grant to you the right to sell", r"the license does not grant to you the right to sell the software", 9, 0.95),
+    ("polyform", "polyform", r"polyform (?:noncommercial|small business|shield|strict|perimeter|internal use|free trial) license", 9, 1.0),
+    ("prosperity", "prosperity public license", r"(?:the )?prosperity public license", 8, 0.95),
+    ("parity", "parity public license", r"(?:the )?parity public license", 8, 0.95),
+    ("blue oak", "blue oak model license", r"(?:the )?blue oak model license", 8, 0.95),
+    ("mulan", "mulan permissive software license", r"mulan permissive software license(?: version [12])?", 8, 0.95),
+    ("anti 996", "anti 996 license", r"(?:the )?anti 996 license", 8, 0.95),
+    ("hippocratic", "hippocratic license", r"(?:the )?hippocratic license(?: version [123] \d)?", 8, 0.95),
+    ("rail", "responsible ai license", r"(?:bigscience |creativeml )?(?:open )?responsible ai license", 8, 0.95),
+    ("openrail", "openrail m", r"(?:creativeml |bigscience |bigcode )?openrail m(?: license)?", 8, 0.95),
+    ("llama", "community license agreement", r"(?:the )?llama [234](?: \d)? community license agreement", 8, 0.95),
+    ("intel", "intel simplified software license", r"intel simplified software license", 8, 0.95),
+    ("nvidia", "nvidia software license agreement", r"(?:nvidia software license agreement|license agreement for nvidia software development kits)", 8, 0.95),
+    ("oracle bcl", "oracle binary code license agreement", r"oracle binary code license agreement", 8, 0.95),
+    ("oracle otn", "oracle technology network license agreement", r"oracle technology network license agreement", 8, 0.95),
+    ("x consortium", "x consortium", r"except as contained in this notice the name of the x consortium shall not be used", 10, 1.0),
+    ("xfree86", "xfree86 project", r"this product includes software developed by the xfree86 project", 9, 0.95),
+    ("eudatagrid", "eu datagrid software license", r"eu datagrid software license", 8, 0.95),
+    ("entessa", "entessa public license", r"entessa public license", 8, 0.95),
+    ("fair", "usage of the works is permitted", r"usage of the works is permitted provided that this instrument is retained with the works", 9, 1.0),
+    ("fsfap", "copying and distribution of this file with or without modification", r"copying and distribution of this file with or without modification are permitted in any medium without royalty", 9, 1.0),
+    ("fsful", "free software foundation gives unlimited permission", r"free software foundation gives unlimited permission to copy", 9, 1.0),
+    ("glide", "3dfx glide", r"3dfx glide source code general public license", 9, 1.0),
+    ("nlpl", "no limit public license", r"no limit public license", 8, 0.95),
+    ("ncgl uk", "non commercial government licence", r"non commercial government licence", 8, 0.95),
+    ("qpl", "you may copy and distribute the software in unmodified form provided", r"you may copy and distribute the software in unmodified form provided that the entire package", 9, 1.0),
+    ("smlnj", "standard ml of new jersey", r"standard ml of new jersey copyright (?:notice|license)", 8, 0.95),
+    ("zpl", "zope public license", r"(?:the )?zope public license(?: zpl)?(?: version [12] [01])?", 8, 0.95),
+    ("watcom", "sybase open watcom public license", r"sybase open watcom public license", 8, 0.95),
+    ("vovida", "vovida software license", r"vovida software license", 8, 0.95),
+    ("xnet", "x net license", r"x net license", 6, 0.8),
+    ("public domain", "no copyright is claimed", r"no copyright is claimed", 6, 0.7),
+    ("public domain", "work of the united states government", r"is a work of the united states government and (?:\w+ ){0,4}not subject to copyright", 8, 0.9),
+    ("proprietary", "all rights reserved no part", r"all rights reserved no part of this", 6, 0.75),
+    ("proprietary", "non transferable license to use", r"(?:grants? you )?a (?:limited |personal |revocable ){0,3}non exclusive non transferable license to use", 6, 0.8),
+    ("proprietary", "evaluation purposes only", r"for (?:internal )?evaluation purposes only", 5, 0.7),
+    ("proprietary", "u s government restricted rights", r"u s government restricted rights", 6, 0.8),
+    ("shareware", "this is not free software", r"(?:shareware|this is not free software) (?:\w+ ){0,6}(?:register|registration)", 5, 0.7),
+    ("noncommercial", "educational purposes only", r"for (?:personal |academic |private )?educational purposes only", 5, 0.7),
+    ("noncommercial", "personal use only", r"(?:licensed )?for personal use only", 4, 0.6),
 )
 #: Words around a name -> (pattern with the name as %s, priority, relevance).
 FORMS = (

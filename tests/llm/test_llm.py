@@ -536,6 +536,22 @@ def brute_detect(text, found):
     return sorted(held, key=lambda h: h[:2])
 
 
+def test_signatures_written_by_hand_are_gated_by_their_keywords():
+    assert len(licenses.SIGNATURES) > 200
+    assert len({(s[0], s[2]) for s in licenses.SIGNATURES}) == len(licenses.SIGNATURES)
+    made, _ = licenses.rules()
+    for label, keyword, pattern, priority, _ in licenses.SIGNATURES:
+        text = re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)\??", r"\1", re.sub(r"\(\?:(?:\\w\+ )+\)\{[^}]*\}", "", pattern))  # optional parts, the first of each choice
+        if re.search(r"[\\\[({?*+|]", text):
+            continue
+        rule = next(r for r in made if r.label == label and r.pattern.pattern == rf"(?<= ){pattern}(?= )")
+        text = " ".join(text.split())
+        assert rule.pattern.search(f" {text} "), label
+        if keyword in text:
+            found = licenses.detect(f" {text} ", {k for _, k in licenses.rules()[1].iter(f" {text} ")})
+            assert any(r.label == label or r.priority >= priority for _, _, r in found), (label, text)
+
+
 def test_license_detections_against_brute_force():
     r = random.Random(12)
     pieces = ["licensed under the", "mit license", "apache license version 2 0", "gnu general public license v3 or later", "gnu lesser general public license", "spdx license identifier mit", "see", "x", "and",
