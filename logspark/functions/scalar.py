@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-#: Characters that part tokens, unless a caller names others.
+#: Characters that part tokens, unless a caller names others.
 DELIMITERS = " \t\r\n,;:=\"'()[]{}<>|/\\&?!@#$%^*+`~"
 
 
@@ -284,6 +284,7 @@ def truncate_dimension(value, name) -> Column:
     return F.when(n == "level", F.upper(F.left(F.coalesce(F.nullif(v, F.lit("")), F.lit("UNCLASSIFIED")), F.lit(4)))).when(n == "http", F.left(v, F.lit(3))).otherwise(F.left(v, F.lit(10)))
 
 
+#: Fields of a summary that are no dimensions.
 STANDARD_FIELDS = ("type", "message_pattern", "user_service", "summaryVolume", "summaryBytes", "summaryTotals")
 
 

@@ -24,6 +24,7 @@ from logspark.streaming import streams
 
 SF = "/root/testdata/sf0.001"
 
+# Cases of the search grammar's contract.
 GRAMMAR = [
     ('a == "hello"', ["a=hello"]), ('includes(b, "bye")', ["b=bye"]), ('MyClass.field == "value"', ["MyClass.field=value"]), ('includes(MyClass.field, "value with space")', ["MyClass.field=value with space"]),
     ('field == ""', ["field="]), ('(a == "1") && (b == "2")', ["a=1", "b=2"]), ('(a == "1") || (b == "2")', ["a=1", "b=2"]), ('a == "1" && b == "2" || c == "3"', ["a=1", "b=2", "c=3"]),
