@@ -16,6 +16,8 @@ from logspark.session import written
 BROADCAST_ROWS = 500_000
 #: Chunks that a search may name in its scan.
 FEW = 1000
+#: Hashes of a list that filters are tested with.
+LISTED = 100_000
 
 
 def by_size(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -63,6 +65,14 @@ def _hashes(tokens: list[str]) -> Column:
     return F.transform(F.array(*map(F.lit, tokens)), lambda t: F.xxhash64(t))  # noqa: PLW0108
 
 
+def filters_with_any(filters: DataFrame, tokens: DataFrame) -> DataFrame:
+    """P6. Filters that may hold one of the tokens of a DataFrame of one column. A filter tests their hashes one after the other,
+    in lists of about LISTED, and stops at the first one that it may hold."""
+    hashes = tokens.select(F.xxhash64(tokens.columns[0]).alias("_h")).distinct()
+    lists = hashes.groupBy(F.pmod("_h", F.lit(max(1, -(-hashes.count() // LISTED))))).agg(F.collect_list("_h").alias("_hashes")).select("_hashes")
+    return filters.join(F.broadcast(lists), F.exists("_hashes", _in_filter)).drop("_hashes")
+
+
 def might_contain_any(tokens: list[str]) -> Column:
     """P6. Without tokens false."""
     return F.exists(_hashes(tokens), _in_filter) if tokens else F.lit(False)
@@ -95,8 +105,9 @@ def can_prune(spark, text: str, tokens: list[list[str]]) -> bool:
     return not spark.sql("VALUES (0)").select(gate_expr(text, tests).alias("x")).head().x  # a local relation: no job
 
 
-def prune_by_postings(postings: DataFrame, text: str, tokens: list[list[str]], template_hashes: list[str] | None = None) -> DataFrame | None:
-    """J3, J4, P7. Chunks whose tokens may satisfy the search, and hold one of the template hashes if some are given.
+def prune_by_postings(postings: DataFrame, text: str, tokens: list[list[str]], template_hashes: list[str] | DataFrame | None = None) -> DataFrame | None:
+    """J3, J4, P7. Chunks whose tokens may satisfy the search, and hold one of the template hashes if some are given; many of
+    them come as a DataFrame of one column.
 
     None: the search can't prune, every chunk stays.
     """
@@ -104,18 +115,24 @@ def prune_by_postings(postings: DataFrame, text: str, tokens: list[list[str]], t
     chunks = None
     if need and can_prune(postings.sparkSession, text, tokens):
         chunks = _found(postings.where(F.col("token").isin(need))).where(_gate(text, tokens)).select("object_id", "chunk_id")
-    if template_hashes:
+    if _given(template_hashes):
         hashed = prune_by_template(postings, template_hashes)
         chunks = hashed if chunks is None else chunks.join(hashed, ["object_id", "chunk_id"], "left_semi")
     return chunks
 
 
-def prune_by_template(postings: DataFrame, hashes: list[str]) -> DataFrame:
+def _given(hashes: list[str] | DataFrame | None) -> bool:
+    return isinstance(hashes, DataFrame) or bool(hashes)
+
+
+def prune_by_template(postings: DataFrame, hashes: list[str] | DataFrame) -> DataFrame:
     """J4. Chunks with one of the template hashes."""
+    if isinstance(hashes, DataFrame):
+        return distinct_chunks(postings.join(by_size(hashes.toDF("token")), "token", "left_semi"))
     return distinct_chunks(postings.where(F.col("token").isin(hashes)))
 
 
-def prune_by_bitmap(filters: DataFrame, text: str, tokens: list[list[str]], template_hashes: list[str] | None = None) -> DataFrame | None:
+def prune_by_bitmap(filters: DataFrame, text: str, tokens: list[list[str]], template_hashes: list[str] | DataFrame | None = None) -> DataFrame | None:
     """P5, P6, P7. As prune_by_postings, from bitmaps: a token, or any of the template hashes, counts as found if a bitmap of the chunk may hold it."""
     need = sorted({t for c in tokens for t in c})
     chunks = None
@@ -123,8 +140,9 @@ def prune_by_bitmap(filters: DataFrame, text: str, tokens: list[list[str]], temp
         held = F.filter(F.array(*map(F.lit, need)), lambda t: _in_filter(F.xxhash64(t)))
         rows = filters.select("object_id", "chunk_id", F.explode(held).alias("token"))
         chunks = _found(rows).where(_gate(text, tokens)).select("object_id", "chunk_id")
-    if template_hashes:
-        hashed = distinct_chunks(filters.where(might_contain_any(template_hashes)))
+    if _given(template_hashes):
+        held = filters_with_any(filters, template_hashes) if isinstance(template_hashes, DataFrame) else filters.where(might_contain_any(template_hashes))
+        hashed = distinct_chunks(held)
         chunks = hashed if chunks is None else chunks.join(hashed, ["object_id", "chunk_id"], "left_semi")
     return chunks
 

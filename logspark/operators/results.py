@@ -19,7 +19,7 @@ from logspark.sources.files import read_chunks, scan_filters_between
 EVENT_FIELDS = {"k": "enrichment['k']", "event_type": "enrichment['event_type']", "user_id": "enrichment['user_id']", "this": "text", "this.text": "text"}
 
 
-def candidates(events: DataFrame, options: QueryOptions, postings: DataFrame | None = None, filters: DataFrame | None = None, template_hashes: list[str] | None = None, tokens: list[list[str]] | None = None) -> DataFrame | None:
+def candidates(events: DataFrame, options: QueryOptions, postings: DataFrame | None = None, filters: DataFrame | None = None, template_hashes: list[str] | DataFrame | None = None, tokens: list[list[str]] | None = None) -> DataFrame | None:
     """Chunks that can hold matches; None if the index can't tell. Resolved tokens or hashes may be given (P21)."""
     if not options.search:
         return None
@@ -29,7 +29,7 @@ def candidates(events: DataFrame, options: QueryOptions, postings: DataFrame | N
     return prune.prune_by_bitmap(filters, options.search, tokens, template_hashes) if filters is not None else None
 
 
-def search(events: DataFrame, options: QueryOptions, postings: DataFrame | None = None, filters: DataFrame | None = None, template_hashes: list[str] | None = None, tokens: list[list[str]] | None = None, fields: dict[str, str] | None = None) -> DataFrame:
+def search(events: DataFrame, options: QueryOptions, postings: DataFrame | None = None, filters: DataFrame | None = None, template_hashes: list[str] | DataFrame | None = None, tokens: list[list[str]] | None = None, fields: dict[str, str] | None = None) -> DataFrame:
     """Matching events. The index only leaves out chunks; every event left is tested, so the rows never depend on it."""
     chunks = candidates(events, options, postings, filters, template_hashes, tokens)
     rows = events.where(in_range(F.col("ts_ms"), options.t0, options.t1))
@@ -38,7 +38,7 @@ def search(events: DataFrame, options: QueryOptions, postings: DataFrame | None
     return rows.where(combine_filters(options.filters, options.search, fields=fields or EVENT_FIELDS))
 
 
-def search_stored(spark: SparkSession, root: str, target: str, options: QueryOptions, kind: str = "postings", resolution: int = 3_600_000, template_hashes: list[str] | None = None, fields: dict[str, str] | None = None) -> DataFrame:
+def search_stored(spark: SparkSession, root: str, target: str, options: QueryOptions, kind: str = "postings", resolution: int = 3_600_000, template_hashes: list[str] | DataFrame | None = None, fields: dict[str, str] | None = None) -> DataFrame:
     """P7, S4. A search over a stored index (index.write_filters, write_events): the index and the events are read for the
     days of the time range only, and of the events only the chunks that are left."""
     index = scan_filters_between(spark, root, target, options.t0, options.t1, resolution, kind)

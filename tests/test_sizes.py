@@ -3,7 +3,10 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
+from logspark.operators import index as I
+from logspark.operators import prune as P
 from logspark.plans.queries import ORACLE, QUERIES
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -34,3 +37,20 @@ def differences(spark, folder, name) -> tuple[int, list, list]:
 def test_bucketed_hits_of_any_field_equal_sql(spark, tmp_path):
     folder = events_in(spark, tmp_path, SPARSE)
     assert differences(spark, folder, "chunk_lookup_bucketed") == (4, [], [])
+
+
+def test_gates_take_all_users_of_larger_tables(spark, tmp_path):
+    folder = events_in(spark, tmp_path, SPARSE)
+    assert differences(spark, folder, "search_gated_bitmap") == (1, [], [])
+
+
+@pytest.mark.parametrize("listed", [3, 100_000])
+def test_gates_of_many_hashes_equal_those_of_lists(spark, monkeypatch, listed):
+    monkeypatch.setattr(P, "LISTED", listed)
+    key = [F.lit("t").alias("target"), F.lit(0).cast("long").alias("bucket"), F.lit("o").alias("object_id"), (F.col("id") / 20).cast("long").alias("chunk_id")]
+    postings = spark.range(400).select(*key, F.concat(F.lit("tok"), "id").alias("token"))
+    asked = [f"tok{i}" for i in range(0, 200, 20)] + ["absent"]
+    hashes = spark.createDataFrame([(t,) for t in asked], "h string")
+    for rows, prune in ((postings, P.prune_by_postings), (I.build_bloom(postings), P.prune_by_bitmap)):
+        many, few = (sorted(map(tuple, prune(rows, 'a == "x"', [[]], h).collect())) for h in (hashes, asked))
+        assert many == few and set(many) >= {("o", i) for i in range(10)} and len(many) < 20
