@@ -44,11 +44,23 @@ def bloom_might_contain(token: str | Column) -> Column:
     return _in_filter(F.xxhash64(F.lit(token) if isinstance(token, str) else token))
 
 
+def _part_of(h: Column) -> Column:
+    """The part that a hash is in: its first bits are the part's number; parts is a power of two, and 1 where there is one part."""
+    return F.floor(F.shiftrightunsigned(h, 32) / F.lit(1 << 32) * F.col("parts"))
+
+
+def filters_of(tokens: DataFrame, filters: DataFrame, keys: list[str]) -> DataFrame:
+    """P5. Tokens (keys, token), each with the one filter of its keys that its hash belongs to, however many parts the keys have:
+    keys have few numbers of parts, and a number and the hash give the part, so this is a join on equal columns."""
+    numbers = filters.select(*keys, "parts").distinct()
+    asked = tokens.join(by_size(numbers), keys).withColumn("part", _part_of(F.xxhash64("token")).cast("int"))
+    return asked.join(filters, [*keys, "parts", "part"])
+
+
 def _in_filter(h: Column) -> Column:
     """Whether the bits of a token's hash are set; they are tested one after the other, and no more of them once one is not."""
     low, high = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32)
-    # The first bits of the hash are the part's number; parts is a power of two, and 1 where there is one part.
-    own = (F.col("parts") == 1) | (F.floor(high / F.lit(1 << 32) * F.col("parts")) == F.col("part"))
+    own = (F.col("parts") == 1) | (_part_of(h) == F.col("part"))
 
     def bit(i: int) -> Column:
         a, b = FACTORS[i]

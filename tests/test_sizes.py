@@ -54,3 +54,12 @@ def test_gates_of_many_hashes_equal_those_of_lists(spark, monkeypatch, listed):
     for rows, prune in ((postings, P.prune_by_postings), (I.build_bloom(postings), P.prune_by_bitmap)):
         many, few = (sorted(map(tuple, prune(rows, 'a == "x"', [[]], h).collect())) for h in (hashes, asked))
         assert many == few and set(many) >= {("o", i) for i in range(10)} and len(many) < 20
+
+
+def test_a_token_meets_one_part_of_its_filter(spark):
+    tokens = spark.range(3000).select(F.lit("t").alias("target"), F.lit(0).cast("long").alias("bucket"), F.col("id") % 2, F.concat(F.lit("tok"), "id").alias("token"))
+    tokens = tokens.select("target", "bucket", F.col("(id % 2)").cast("string").alias("object_id"), F.lit(0).cast("long").alias("chunk_id"), "token").union(tokens.limit(1).selectExpr("target", "bucket", "'one'", "0L", "token"))
+    made = I.build_bloom(tokens, limit=64, accuracy=95).cache()
+    met = P.filters_of(tokens.select("object_id", "token"), made, ["object_id"])
+    assert made.count() > 50 and met.count() == 3001  # a join by object alone has a row for each token and part
+    assert met.where(P.bloom_might_contain(F.col("token"))).count() == 3001
