@@ -168,8 +168,8 @@ def tag_or(tag, field=None, default: str = "") -> Column:
 
 
 #: A JSON string; JSON without brackets outside of strings.
-STRING = r'"(?:[^"\\]|\\.)*+"'
-FLAT = rf'(?:[^\[\]{{}}"]|{STRING})*+'
+STRING = r'"(?:[^"\\]++|\\.)*+"'
+FLAT = rf'(?:[^\[\]{{}}"]++|{STRING})*+'
 
 
 def any_value_to_json(col) -> Column:
@@ -181,19 +181,22 @@ def any_value_to_json(col) -> Column:
     x = F.to_json(F.try_parse_json(_c(col)))
     for pattern, to in (
         (rf'\{{"stringValue":({STRING})\}}', "$1"), (r'\{"(?:boolValue|intValue|doubleValue)":"?([^"{}\[\],]*+)"?\}', "$1"), (r'\{"bytesValue":("[^"]*+")\}', "$1"),
-        (r'\{"arrayValue":\{(?:"values":\[\])?\}\}', "\x01\x02"), (r'\{"kvlistValue":\{(?:"values":\[\])?\}\}', "\x03\x04"), (rf'\G((?:[^"{{]|{STRING}|\{{(?!\}}))*+)\{{\}}', "$1null"),
+        (r'\{"arrayValue":\{(?:"values":\[\])?\}\}', "\x01\x02"), (r'\{"kvlistValue":\{(?:"values":\[\])?\}\}', "\x03\x04"), (rf'\G((?:[^"{{]++|{STRING}|\{{(?!\}}))*+)\{{\}}', "$1null"),
     ):
         x = F.regexp_replace(x, pattern, to)
 
     def deeper(s: Column, _: Column) -> Column:
-        s_ = F.regexp_replace(s, rf'\{{"key":({STRING})\}}', "$1:null")
-        s_ = F.regexp_replace(s_, rf'\{{"key":({STRING}),"value":({FLAT})\}}', "$1:$2")
+        s_ = F.regexp_replace(s, rf'\{{"key":({STRING}),"value":({FLAT})\}}', "$1:$2")
         s_ = F.regexp_replace(s_, rf'\{{"arrayValue":\{{"values":\[({FLAT})\]\}}\}}', "\x01$1\x02")
         return F.when(s.contains('Value":{"values":['), F.regexp_replace(s_, rf'\{{"kvlistValue":\{{"values":\[({FLAT})\]\}}\}}', "\x03$1\x04")).otherwise(s)
 
-    levels = F.regexp_count(x, F.lit(r'\{"(?:arrayValue|kvlistValue)":'))
-    nested = F.aggregate(F.sequence(F.lit(1), levels), x, deeper)
-    return F.nullif(F.translate(F.when(levels > 0, nested).otherwise(x), "\x01\x02\x03\x04", "[]{}"), F.lit("null"))
+    def flat(s: Column) -> Column:
+        levels = F.regexp_count(s, F.lit(r'\{"(?:arrayValue|kvlistValue)":'))
+        nested = F.aggregate(F.sequence(F.lit(1), levels), F.regexp_replace(s, rf'\{{"key":({STRING})\}}', "$1:null"), deeper)
+        return F.when(levels > 0, nested).otherwise(s)
+
+    # As a lambda's argument x is computed once; Spark would compute it anew for each place that it is used at inside a lambda.
+    return F.nullif(F.translate(F.get(F.transform(F.array(x), flat), F.lit(0)), "\x01\x02\x03\x04", "[]{}"), F.lit("null"))
 
 
 def json_to_any_value(col) -> Column:
