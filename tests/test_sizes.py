@@ -63,3 +63,17 @@ def test_a_token_meets_one_part_of_its_filter(spark):
     met = P.filters_of(tokens.select("object_id", "token"), made, ["object_id"])
     assert made.count() > 50 and met.count() == 3001  # a join by object alone has a row for each token and part
     assert met.where(P.bloom_might_contain(F.col("token"))).count() == 3001
+
+
+def test_many_searches_shuffle_no_row_for_a_minterm(spark):
+    from logspark.operators import many as N
+    from logspark.plans.queries import indexed_events
+
+    e = indexed_events(spark, "/root/testdata/sf0.001").cache()
+    searches = {i: f'user_id == "{i % 9}" && event_type == "view"' for i in range(200)}
+    terms = N.minterms(spark, searches)
+    chunks = N.prune_many(I.distinct_tokens(e), terms)
+    assert "minterm" not in chunks._jdf.queryExecution().optimizedPlan().toString()  # 200 minterms have 9 sets of tokens
+    want = sorted((q, r.seq) for r in e.where("enrichment['event_type'] = 'view'").select("seq", F.col("enrichment")["user_id"].cast("int").alias("u")).collect() for q in searches if q % 9 == r.u)
+    twice = e.select(*e.columns).union(e.withColumn("enrichment", F.create_map(F.lit("event_type"), F.lit("view"))))  # other events of the same keys
+    assert sorted(map(tuple, N.search_many(twice, searches, ["seq"], I.distinct_tokens(e)).collect())) == want
