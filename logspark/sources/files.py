@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from logspark.functions.scalar import syslog_msg, time_bucket
+from logspark.operators import scans
 from logspark.operators.index import read_index
 from logspark.operators.prune import by_size
 from logspark.session import written
@@ -214,6 +215,13 @@ def key_pages(spark: SparkSession, root: str, target: str, n: int, after: tuple
             return
 
 
+def all_key_pages(spark: SparkSession, root: str, target: str, n: int, kind: str = "postings") -> DataFrame:
+    """S3, T6. The pages of key_pages from the first to the last one, as a table of the keys and their page: a key's place in
+    their order, by a running count in blocks, tells its page, so the work does not grow with the number of pages."""
+    keys = scan_filters(spark, root, target, kind=kind).select(*KEY).distinct()
+    return scans.running_sum(keys, F.lit(1), [], list(KEY), "_at").select(*KEY, F.floor(F.col("_at") / n).alias("page"))
+
+
 def _listing(spark: SparkSession, folder: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path

@@ -65,6 +65,21 @@ def test_a_token_meets_one_part_of_its_filter(spark):
     assert met.where(P.bloom_might_contain(F.col("token"))).count() == 3001
 
 
+def test_all_pages_are_those_of_continuation_keys(spark):
+    from logspark.plans import queries as Z
+    from logspark.sources import files
+
+    root = Z.stored_index(spark, "/root/testdata/sf0.001", "postings")
+    want = [(*k, i) for i, (page, _, _) in enumerate(files.key_pages(spark, root, "events", 7)) for k in page]
+    jobs = "pages"
+    spark.sparkContext.setJobGroup(jobs, jobs)
+    try:
+        got = sorted(map(tuple, files.all_key_pages(spark, root, "events", 7).collect()))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == want and len(spark.sparkContext.statusTracker().getJobIdsForGroup(jobs)) < want[-1][-1]
+
+
 def test_a_query_makes_the_parts_of_the_index_that_it_reads(spark, tmp_path):
     import os
 
