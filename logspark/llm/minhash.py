@@ -9,7 +9,9 @@ half as many hash evaluations; both are unbiased for the Jaccard similarity. Ban
    a spanning tree of the pairs whose sketches agree most, so that pairs grow with members. A bucket of more than HOT is
    dealt into slots of about that size, twice and differently, so that slots of one dealing tie those of the other.
 3. A pair is a link only if its whole shingle sets say so: 100 * intersection >= percent * union. Pairs whose sketches
-   agree in fewer than LEAST of 64 bytes (at a similarity of 0.8: one in ten million) are not looked at.
+   agree in fewer than LEAST of 64 bytes (at a similarity of 0.8: one in ten million) are not looked at. Sets travel to
+   cells, not to pairs: what the candidate pairs hold together goes to one cell, or by blocks to the cells of two blocks
+   where it is large, so that a set is shuffled once, or once for each block, however many partners it has.
 4. The members of large buckets that still hold several connected components are compared by prefix filtering: of two
    sets at the threshold the rarest shingles, all but percent of them, have one in common, and the first they have in
    common stands so far in front that enough others can follow. Sets meet under such a shingle only, never in a bucket as
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logspark.llm.common import LOWER, arrow_schema, id_text, map_rows, mix, shingles, word_hashes
-from logspark.llm.tables import components, small, written
+from logspark.llm.tables import BROADCAST_IDS, components, small, written
 
 ROWS, BANDS = 5, 30
 HASHES = ROWS * BANDS
@@ -45,8 +47,12 @@ LEAST = 34
 HOT = 512
 #: Hot buckets that a filter may name.
 HOT_KEYS = 10_000
-#: Sketches in a block; slots of the shingle counts.
+#: Sketches, or sets, in a block; slots of the shingle counts.
 BLOCK, SLOT_BITS = 1024, 18
+#: Bytes of sets in a block of a large group, and in a cell of small ones.
+BLOCK_BYTES, CELL_BYTES = 4 << 20, 1 << 20
+#: Bits of a key filter: eight for each key, between these powers of two.
+LEAST_BITS, MOST_BITS = 16, 28
 _rng = np.random.default_rng(20)
 MULTIPLY = _rng.integers(0, 1 << 63, HASHES // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 FLIP = _rng.integers(0, 1 << 63, HASHES // 2, dtype=np.uint64)
@@ -79,19 +85,20 @@ def _signed(doc_id, data: bytes, k: int) -> tuple:
     return doc_id, len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(), bands(values), (values[:64] >> np.uint64(40)).astype(np.uint8).tobytes()
 
 
-def _confirm(pairs: DataFrame, percent: int) -> DataFrame:
-    """Of (a, b, sa, sb), with whole sets, the pairs that are links."""
-
-    def run(batches):
-        for t in batches:
-            keep = []
-            for x, y in zip(t.column(2).to_pylist(), t.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+def _confirm(pairs: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
+    """Of the pairs (cell, a, b) of a cell, those that its whole sets (to, id, shingles) make links."""
+    at = {i: k for k, i in enumerate(sets.column("id").to_pylist())}
+    held = sets.column("shingles")
+    taken = lambda i: np.frombuffer(held[at[i]].as_py(), np.uint64)
+    keep, last, p = [], None, None
+    pairs = pairs.select(["a", "b"]).sort_by("a")
+    for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+        if a != last:
+            last, p = a, taken(a)
+        q = taken(b)
+        both = len(np.intersect1d(p, q, assume_unique=True))
+        keep.append(100 * both >= percent * (len(p) + len(q) - both))
+    return pairs.filter(pa.array(keep, pa.bool_()))
 
 
 def _sketch(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -112,16 +119,88 @@ def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Brings the two sets of each pair together under the pair, so that a pivot with many partners is spread out."""
-    p = small(pairs)
-    sa = sets.join(p, sets.id == p.a).select("a", "b", F.col("shingles").alias("sa"))
-    sb = sets.join(p, sets.id == p.b).select("a", "b", F.col("shingles").alias("sb"))
-    return _confirm(sa.join(sb, ["a", "b"]), percent)
+    """Of the pairs a < b, those that are links by the whole sets (id, n, shingles), which come to each cell once."""
+    cells = written(_cells(pairs, sets), "cells")
+    held = cells.select("cell", F.col("a").alias("id")).union(cells.select("cell", "b")).distinct()
+    brought = sets.join(small(held), "id").select("cell", "id", "shingles").toDF("to", "id", "shingles")
+    return cells.groupBy("cell").cogroup(brought.groupBy("to")).applyInArrow(lambda p, s: _confirm(p, s, percent), "a long, b long")
+
+
+def _cells(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(cell, a, b): pairs of one connected group have one cell, which small groups share; a large one is dealt over
+    blocks, and a pair's cell is that of its two blocks. A cell holds few sets, whatever the partners of each are."""
+    nodes = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    groups = written(components(pairs, nodes).join(sets.select("id", "n"), "id"), "groups")
+    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), (8 * F.sum("n")).alias("bytes"))
+    large = sizes.select("component", F.greatest(F.ceil(F.col("sets") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).alias("blocks")).where("blocks > 1")
+    cells = -(-8 * (groups.agg(F.sum("n")).head()[0] or 0) // CELL_BYTES) or 1
+    at = small(groups.join(small(large), "component", "left").select("id", "component", F.pmod(F.xxhash64("id"), "blocks").alias("block")))
+    both = pairs.join(at.toDF("a", "group", "i"), "a").join(at.toDF("b", "_", "j"), "b")
+    one = F.xxhash64(F.pmod(F.xxhash64("group"), F.lit(cells)))
+    return both.select(F.when(F.col("i").isNull(), one).otherwise(F.xxhash64("group", F.least("i", "j"), F.greatest("i", "j"))).alias("cell"), "a", "b")
+
+
+def _key_filter(keys: DataFrame) -> np.ndarray:
+    """A bitmap of hashes of keys (one long column), of at most 2^MOST_BITS bits: it has all of them, and few others."""
+    bits = min(max(LEAST_BITS, (8 * keys.count()).bit_length()), MOST_BITS)
+
+    def run(batches):
+        held = np.zeros(1 << bits >> 6, np.uint64)
+        for b in batches:
+            slots = mix(b.column(0).to_numpy().view(np.uint64)) >> np.uint64(64 - bits)
+            np.bitwise_or.at(held, slots >> np.uint64(6), np.uint64(1) << (slots & np.uint64(63)))
+        at = np.flatnonzero(held)
+        for k in range(0, len(at), 1 << 16):
+            part = at[k : k + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(held[part].view(np.int64))], names=["word", "bits"])
+
+    words = keys.mapInArrow(run, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << bits >> 6, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _passes(keep: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether a key filter may hold each key."""
+    slots = mix(keys.view(np.uint64)) >> np.uint64(64 - (len(keep) << 6).bit_length() + 1)
+    return (keep[slots >> np.uint64(6)] >> (slots & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _members(classes: DataFrame, keep: np.ndarray) -> DataFrame:
+    """(key, id, n) of the bands of classes (id, n, bands) that a key filter lets through."""
+    sent = classes.sparkSession.sparkContext.broadcast(keep)
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 4096):
+                part = b.slice(at, 4096)
+                keys = part.column(2).flatten().to_numpy()
+                met = np.flatnonzero(_passes(sent.value, keys))
+                row = pa.array(met // BANDS)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[met]), part.column(0).take(row), part.column(1).take(row)], names=["key", "id", "n"])
+
+    return classes.select("id", "n", "bands").mapInArrow(run, "key long, id long, n long")
+
+
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows (doc_id, text) of these ids. Where they are too many for a broadcast, a filter lets few other texts
+    through to the shuffle."""
+    if nodes.count() > BROADCAST_IDS:
+        sent = docs.sparkSession.sparkContext.broadcast(_key_filter(nodes.select("id")))
+
+        def run(batches):
+            for b in batches:
+                yield b.filter(pa.array(_passes(sent.value, b.column(0).fill_null(0).to_numpy())))
+
+        docs = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, text string")
+    return docs.join(small(nodes), F.col("doc_id") == F.col("id"), "left_semi")
 
 
-def _buckets(members: DataFrame) -> DataFrame:
-    """(top, key, id, n) of the members (key, id, n) of buckets with two or more; top is the bucket, key it or its slot."""
-    sizes = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+def _buckets(classes: DataFrame) -> DataFrame:
+    """(top, key, id, n) of the members of buckets with two or more classes (id, n, bands); top is the bucket, key it or
+    its slot. Most keys are of one class: a filter of the others keeps them out of the shuffle that brings members together."""
+    sizes = written(classes.select(F.explode("bands").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+    members = written(_members(classes, _key_filter(sizes.select("key"))), "members")
     hot = sizes.where(f"size > {HOT}").select("key", F.ceil(F.col("size") / HOT).alias("slots"))  # one for HOT members at most
     named = [r.key for r in hot.select("key").limit(HOT_KEYS + 1).collect()]
     # Members of hot buckets stay out of the shuffle that finds those of all others.
@@ -162,7 +241,7 @@ def _tree(t: pa.Table, percent: int) -> pa.Table:
 
 def _open(bucket: DataFrame, labels: DataFrame) -> DataFrame:
     """(id, component) of the members of large buckets that hold several components."""
-    seen = bucket.select("top", "id").join(labels, "id")
+    seen = written(bucket.select("top", "id").join(labels, "id"), "seen")
     several = seen.groupBy("top").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where(f"size > {SMALL} and low <> high")
     return seen.join(small(several.select("top")), "top").select("id", "component").distinct()
 
@@ -245,15 +324,13 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     filled = signed.where("digest is not null")
     classes = filled.groupBy("digest").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("rows"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = written(classes, "classes")
-    members = classes.where("id is not null").select("id", "n", F.explode("bands").alias("key"))
-    bucket = written(_buckets(members.select("key", "id", "n")), "buckets")
+    bucket = written(_buckets(classes.where("id is not null").select("id", "n", "bands")), "buckets")
     nodes = written(bucket.select("id").distinct(), "candidates")
     once = not signed.select("doc_id").join(small(nodes), F.col("doc_id") == F.col("id"), "left_semi").groupBy("doc_id").count().where("count > 1").isEmpty()
     sketches = classes.join(small(nodes), "id", "left_semi").select("id", "sketch")
     sketches = sketches.dropDuplicates(["id"]) if once else sketches
     pairs = written(_pairs(bucket, sketches, percent), "pairs")
-    texts = docs.join(small(nodes), docs.doc_id == nodes.id, "left_semi")
-    sets = map_rows(texts, "id long, shingles binary", lambda i, t: (i, shingle_set(t, k).tobytes())).where("length(shingles) > 0")
+    sets = map_rows(_texts(docs, nodes), "id long, n long, shingles binary", lambda i, t: (i, len(x := shingle_set(t, k)), x.tobytes())).where("n > 0")
     sets = written(sets.dropDuplicates(["id"]) if once else sets, "sets")
     links = written(_links(pairs, sets, percent), "links")
     labels = components(links, nodes)

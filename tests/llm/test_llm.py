@@ -148,6 +148,47 @@ def test_templates_do_not_meet(frame):
     assert got == {i: i % 1000 for i, _ in rows}
 
 
+def shuffled_bytes(spark):
+    """What this one-process session has written to shuffles; the status store gets it a little later."""
+    scala, last = spark.sparkContext._jsc.sc(), -1
+    while True:
+        scala.listenerBus().waitUntilEmpty()
+        time.sleep(0.5)
+        now = scala.statusStore().executorSummary("driver").totalShuffleWrite()
+        if now == last:
+            return now
+        last = now
+
+
+@pytest.mark.parametrize(("block", "size"), [(1024, 4 << 20), (40, 4 << 20), (1024, 100_000)])
+def test_sets_travel_once_whatever_their_partners(spark, monkeypatch, block, size):
+    """300 sets with 40 partners each, all of one group: a set goes to its cell or cells, not to each of its pairs."""
+    monkeypatch.setattr(minhash, "BLOCK", block, raising=False)
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", size, raising=False)
+    rng = np.random.default_rng(6)
+    all_of = rng.integers(0, 1 << 63, 520, dtype=np.uint64)
+    held = {i: np.unique(rng.permutation(all_of)[: 430 + 30 * (i % 3)]) for i in range(300)}
+    sets = [(i, len(x), x.tobytes()) for i, x in held.items()]
+    pairs = sorted({(min(a, b), max(a, b)) for a in held for b in rng.choice(300, 20).tolist() if a != b})
+    want = {(a, b) for a, b in pairs if 100 * len(np.intersect1d(held[a], held[b])) >= 80 * len(np.union1d(held[a], held[b]))}
+    assert 100 < len(want) < len(pairs) - 100
+    frames = spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(sets, "id long, n long, shingles binary")
+    before = shuffled_bytes(spark)
+    assert sorted(map(tuple, minhash._links(*frames, 80).collect())) == sorted(want)
+    blocks = max(-(-300 // block), -(-sum(len(x) for _, _, x in sets) // size))
+    assert shuffled_bytes(spark) - before < 1.2 * blocks * sum(len(x) for _, _, x in sets) + 500_000
+
+
+def test_filter_keeps_all_keys_and_few_others(spark, frame, texts, monkeypatch):
+    keys = np.random.default_rng(8).integers(-(1 << 63), 1 << 63, 60_000)
+    keep = minhash._key_filter(spark.createDataFrame([(int(k),) for k in keys[:30_000]], "key long"))
+    got = minhash._passes(keep, keys)
+    assert got[:30_000].all() and got[30_000:].mean() < 0.13
+    monkeypatch.setattr(minhash, "BROADCAST_IDS", 1)  # more candidates than a broadcast takes: their texts come by the filter
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame(texts), 2).collect())
+    assert got == collections.Counter((i, n, c) for (i, _), (n, c) in zip(texts, brute_components(texts, 2, 80), strict=True))
+
+
 def test_near_duplicates_of_a_long_text(frame):
     r = random.Random(3)
     words = [f"w{r.randrange(5000)}" for _ in range(400_000)]
